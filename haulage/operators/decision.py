@@ -8,40 +8,33 @@ from pyspark.sql import functions as F
 from haulage.functions.ordering import quoted
 
 
-def index_decision(
-    df: DataFrame, table_key: str, column: str, chunk_rows: int | Column, approximate: bool = False
-) -> DataFrame:
-    """Can whole values of an index column be packed into chunks?
-
-    'yes' if the values are on average small enough and none alone exceeds a chunk. The count per value
-    is combined before the shuffle, so a hot value costs one row per task. The approximate form skips
-    the shuffle of distinct values and tests the average only; packing then checks the largest value.
+def index_statistics(df: DataFrame, table_key: str, column: str, approximate: bool = False) -> DataFrame:
+    """Rows, distinct values and rows of the most frequent value of an index column (NULL counts as a value).
+
+    Counts per value are combined before the shuffle, so a hot value costs one row per task. The approximate
+    form shuffles no values; it does not know the most frequent one.
     """
-    limit = F.lit(chunk_rows) if isinstance(chunk_rows, int) else chunk_rows
     if approximate:
         stats = df.agg(
             F.count(F.lit(1)).alias("n_rows"),
             F.approx_count_distinct(quoted(column)).alias("n_values"),
-        ).withColumn("max_rows", F.lit(None).cast("bigint"))
+            F.lit(None).cast("bigint").alias("max_rows"),
+        )
     else:
-        stats = (
-            df.groupBy(quoted(column))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-                F.count(F.lit(1)).alias("n_values"),
-                F.max("n").alias("max_rows"),
-            )
+        per_value = df.groupBy(quoted(column)).agg(F.count(F.lit(1)).alias("n"))
+        stats = per_value.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+            F.count(F.lit(1)).alias("n_values"),
+            F.max("n").alias("max_rows"),
         )
+    return stats.select(F.lit(table_key).alias("table_key"), F.lit(column).alias("column_name"), "*")
+
+
+def index_decision(statistics: DataFrame, chunk_rows: int | Column) -> DataFrame:
+    """'yes' if whole values can be packed: small enough on average, and none alone exceeds a chunk."""
+    limit = F.lit(chunk_rows) if isinstance(chunk_rows, int) else chunk_rows
     fits = (F.col("n_rows") / F.nullif("n_values", F.lit(0)) <= limit) & (F.coalesce("max_rows", F.lit(0)) <= limit)
-    return stats.select(
-        F.lit(table_key).alias("table_key"),
-        F.lit(column).alias("column_name"),
-        "n_rows",
-        "n_values",
-        "max_rows",
-        F.when(fits, "yes").otherwise("no").alias("decision"),
-    )
+    return statistics.withColumn("decision", F.when(fits, "yes").otherwise("no"))
 
 
 def strategy_selection(profile: DataFrame) -> DataFrame:
