@@ -82,16 +82,20 @@ def partition_rows(df: DataFrame, partition: str, order_by: Sequence[str], chunk
 
 
 def index_manifest(df: DataFrame, column: str, chunk_rows: int) -> DataFrame:
-    """Pack whole values of an index column, in value order, into chunks of at most ``chunk_rows`` rows.
+    """Pack whole values of an index column into chunks of at most ``chunk_rows`` rows."""
+    return pack_values(df.groupBy(F.col(quoted(column)).alias("v")).agg(F.count(F.lit(1)).alias("n")), column, chunk_rows)
+
+
+def pack_values(counts: DataFrame, column: str, chunk_rows: int) -> DataFrame:
+    """Pack values (v, n) in value order. Input: one row per distinct value with its row count.
 
     Values over half a chunk stand alone. The others are packed by ``floor(rows_before / step)`` with
     ``step = chunk_rows - largest + 1``, which keeps the bound and makes chunks at least half full on
     average. NULL is a chunk of its own, before all others.
     """
-    spark = df.sparkSession
-    ranking.ensure_checkpoint_dir(spark)
-    # one row per distinct value, written to the shared folder: it is read three times below
-    counts = df.groupBy(F.col(quoted(column)).alias("v")).agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    ranking.ensure_checkpoint_dir(counts.sparkSession)
+    # written to the shared folder: it is read three times below
+    counts = counts.checkpoint()
     heavy = F.col("n") * 2 > chunk_rows
     stats = counts.agg(
         F.max("n").alias("largest"),

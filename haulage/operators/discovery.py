@@ -19,16 +19,18 @@ def key_columns(metadata: DataFrame) -> DataFrame:
     return once.select("table_key", "column_name", F.row_number().over(order).alias("key_position"))
 
 
-def index_columns(metadata: DataFrame) -> DataFrame:
+def index_columns(metadata: DataFrame, signed_lists: bool = True) -> DataFrame:
     """Index columns in index order; position 1 is the column that decides the strategy.
 
-    Input: table_key, indexed_column, position. A value such as ``+A-B`` lists several columns with
-    their sort direction and becomes one row per column.
+    Input: table_key, indexed_column, position. With ``signed_lists`` a value such as ``+A-B`` lists
+    several columns with their sort direction and becomes one row per column.
     """
     listed = metadata.groupBy("table_key", "indexed_column").agg(F.min("position").alias("position"))
-    parts = listed.select(
-        "table_key", "position", F.posexplode(F.split("indexed_column", "[+-]")).alias("place", "column_name")
-    ).filter("column_name <> ''")
+    if signed_lists:
+        names = F.posexplode(F.split("indexed_column", "[+-]")).alias("place", "column_name")
+    else:
+        names = F.posexplode(F.array("indexed_column")).alias("place", "column_name")
+    parts = listed.select("table_key", "position", names).filter("column_name <> ''")
     once = parts.groupBy("table_key", "column_name").agg(F.min(F.struct("position", "place")).alias("first"))
     order = Window.partitionBy("table_key").orderBy("first", "column_name")
     return once.select("table_key", "column_name", F.row_number().over(order).alias("index_position"))

@@ -32,6 +32,8 @@ class Sides:
     landed: DataFrame
     masked: DataFrame | None = None
     masked_columns: Sequence[str] = field(default_factory=list)
+    # statistics a database computed itself (see ``source_statistics``); the source is then not scanned
+    source_statistics: DataFrame | None = None
 
 
 def shown(column: Column, data_type: T.DataType) -> Column:
@@ -59,9 +61,11 @@ def _columns(side: Sides) -> list[str]:
     return side.source.columns + [c for c in side.landed.columns if c not in side.source.columns]
 
 
-def _compared(table_key: str, source: DataFrame, other: DataFrame, columns: Sequence[str]) -> DataFrame:
-    left = _column_stats(source, "source", table_key, columns)
-    return left.join(_column_stats(other, "landed", table_key, columns), "table_key")
+def _compared(side: Sides, other: DataFrame, columns: Sequence[str]) -> DataFrame:
+    left = side.source_statistics
+    if left is None:
+        left = _column_stats(side.source, "source", side.table_key, columns)
+    return left.join(_column_stats(other, "landed", side.table_key, columns), "table_key")
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -71,7 +75,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def validate_counts(sides: Sequence[Sides]) -> DataFrame:
     return _union(
         [
-            _compared(s.table_key, s.source, s.landed, []).select(
+            _compared(s, s.landed, []).select(
                 "table_key", "source_rows", "landed_rows", (F.col("source_rows") == F.col("landed_rows")).alias("matches")
             )
             for s in sides
@@ -94,7 +98,7 @@ def validate_columns(sides: Sequence[Sides]) -> DataFrame:
     parts = []
     for side in sides:
         names = _columns(side)
-        wide = _compared(side.table_key, side.source, side.landed, names)
+        wide = _compared(side, side.landed, names)
         rows = []
         for i, name in enumerate(names):
             here, there = name in side.source.columns, name in side.landed.columns
@@ -142,7 +146,7 @@ def validate_minmax(sides: Sequence[Sides]) -> DataFrame:
     return _union(
         [
             _minmax_rows(
-                _compared(s.table_key, s.source, s.landed, _columns(s)), s.source.schema, _columns(s), _checked(s)
+                _compared(s, s.landed, _columns(s)), s.source.schema, _columns(s), _checked(s)
             )
             for s in sides
         ]
@@ -154,7 +158,7 @@ def masked_minmax(sides: Sequence[Sides]) -> DataFrame:
     return _union(
         [
             _minmax_rows(
-                _compared(s.table_key, s.source, s.masked, s.source.columns),
+                _compared(s, s.masked, s.source.columns),
                 s.source.schema,
                 s.source.columns,
                 checked_numeric_columns(s.source, s.masked_columns),
@@ -179,7 +183,7 @@ def validation_status(sides: Sequence[Sides]) -> DataFrame:
     parts = []
     for side in sides:
         names = _columns(side)
-        wide = _compared(side.table_key, side.source, side.landed, names)
+        wide = _compared(side, side.landed, names)
         columns_ok = all(_same_type(side, n) for n in names)
         verdict = wide.select(
             "table_key",
@@ -191,7 +195,7 @@ def validation_status(sides: Sequence[Sides]) -> DataFrame:
             verdict = verdict.withColumn("masked_ok", F.lit(None).cast("boolean"))
         else:
             source = side.source.columns
-            copy = _compared(side.table_key, side.source, side.masked, source)
+            copy = _compared(side, side.masked, source)
             same_columns = set(source) == set(side.masked.columns)
             numeric = checked_numeric_columns(side.source, side.masked_columns)
             agrees = (F.col("source_rows") == F.col("landed_rows")) & F.lit(same_columns)

@@ -33,8 +33,8 @@ STRATEGY_TABLES = {
     "customer": ("maria", None, "c_nationkey", None),
     "part": ("maria", None, "p_type", None),
     "events": ("mysql", None, None, "ts"),
-    "documents": ("ibm", None, None, "lang"),
-    "labels": ("postgres", None, None, None),
+    "documents": ("ibm", None, "lang", None),
+    "labels": ("ibm", None, None, "quality"),
 }
 
 

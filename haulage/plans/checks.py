@@ -120,7 +120,7 @@ failed AS (SELECT *, mask_write_status IS NOT NULL AS masking_applies, write_sta
 # Both sides of every validated table.
 SIDES = """customer_landed AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (ORDER BY c_custkey) - 1 AS rn
   FROM customer) WHERE rn < 400 OR rn >= 800),
-part_landed AS (SELECT * REPLACE (least(p_retailprice, 1000.0) AS p_retailprice) FROM part),
+part_landed AS (SELECT * REPLACE (least(p_retailprice, 950.0) AS p_retailprice) FROM part),
 supplier_masked AS (SELECT * FROM supplier WHERE s_nationkey <> 3)"""
 
 PAIRS = {
@@ -243,11 +243,12 @@ keyed AS (SELECT 'orders' AS table_key, CASE WHEN max(n) = 1 THEN 1 ELSE 0 END A
 indexed AS (SELECT 'lineitem' AS table_key, sum(n) / count(*) AS average, max(n) AS most
     FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_suppkey)
   UNION ALL SELECT 'customer', sum(n) / count(*), max(n) FROM (SELECT count(*) AS n FROM customer GROUP BY c_nationkey)
-  UNION ALL SELECT 'part', sum(n) / count(*), max(n) FROM (SELECT count(*) AS n FROM part GROUP BY p_type)),
+  UNION ALL SELECT 'part', sum(n) / count(*), max(n) FROM (SELECT count(*) AS n FROM part GROUP BY p_type)
+  UNION ALL SELECT 'documents', sum(n) / count(*), max(n) FROM (SELECT count(*) AS n FROM documents GROUP BY lang)),
 parted AS (SELECT 'events' AS table_key, count(DISTINCT CAST(ts AS DATE)) AS n FROM events
-  UNION ALL SELECT 'documents', count(DISTINCT lang) FROM documents),
+  UNION ALL SELECT 'labels', count(DISTINCT quality) FROM labels),
 vendors(table_key, vendor) AS (VALUES ('orders', 'postgres'), ('conversations', 'mysql'), ('lineitem', 'mssql'),
-  ('customer', 'maria'), ('part', 'maria'), ('events', 'mysql'), ('documents', 'ibm'), ('labels', 'postgres')),
+  ('customer', 'maria'), ('part', 'maria'), ('events', 'mysql'), ('documents', 'ibm'), ('labels', 'ibm')),
 decided AS (SELECT v.table_key, v.vendor, s.chunk_rows, coalesce(k.n_key_columns, 0) AS n_key_columns,
   CASE WHEN i.table_key IS NULL THEN 0 ELSE 1 END AS n_index_columns,
   CASE WHEN i.table_key IS NULL THEN NULL WHEN i.average <= s.chunk_rows AND i.most <= s.chunk_rows THEN 'yes' ELSE 'no' END AS decision,

@@ -145,7 +145,7 @@ def sides(spark: SparkSession, sf_dir: str) -> list[Sides]:
             masking.masked_projection(landed_customer, customer_masks, SALT),
             customer_masks,
         ),
-        Sides("part", part, part.withColumn("p_retailprice", F.least("p_retailprice", F.lit(1000.0)))),
+        Sides("part", part, part.withColumn("p_retailprice", F.least("p_retailprice", F.lit(950.0)))),
         Sides(
             "supplier",
             supplier,

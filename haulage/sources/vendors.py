@@ -94,6 +94,19 @@ def ordered_literal(vendor: str, text: str, data_type: T.DataType) -> str:
     return value
 
 
+def extreme(vendor: str, word: str, name: str, data_type: T.DataType) -> str:
+    """MIN or MAX of a column, text in Spark's order."""
+    column = quote(vendor, name)
+    if isinstance(data_type, T.BooleanType):
+        yes, no = literal(vendor, "true", data_type), literal(vendor, "false", data_type)
+        return f"{word.upper()}(CASE WHEN {column} = {yes} THEN 1 WHEN {column} = {no} THEN 0 END)"
+    if isinstance(data_type, T.StringType) and vendor in ("mysql", "maria"):
+        return f"CONVERT({word.upper()}(CAST({column} AS BINARY)) USING utf8mb4)"
+    if isinstance(data_type, T.StringType) and vendor != "ibm":
+        column = ordered_column(vendor, name, data_type)
+    return f"{word.upper()}({column})"
+
+
 def page_query(vendor: str, table: str, columns: Sequence[str], offset: int, rows: int) -> str:
     """One page of a table under the total order of the given columns."""
     order = ", ".join(columns)
