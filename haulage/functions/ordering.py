@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CUT = "__cut"
+KEY = "__key"
 
 
 def quoted(name: str) -> str:
@@ -59,20 +60,9 @@ class Cuts:
         return F.from_json(F.lit(body), f"array<struct<{read}>>").cast(f"array<struct<{typed}>>")
 
 
-def _at_or_after(columns: Sequence[str]) -> str:
-    """SQL text: the row's tuple >= the cut's tuple, NULLs first."""
-    text = "true"
-    for i in reversed(range(len(columns))):
-        key, cut = quoted(columns[i]), f"{CUT}.c{i}"
-        text = (
-            f"({key} > {cut} OR ({cut} IS NULL AND {key} IS NOT NULL)"
-            f" OR ({key} <=> {cut} AND {text}))"
-        )
-    return text
-
-
-def same_tuple(columns: Sequence[str]) -> str:
-    return " AND ".join(f"{quoted(c)} <=> {CUT}.c{i}" for i, c in enumerate(columns))
+def key_struct(columns: Sequence[str]) -> Column:
+    """The row's tuple in the shape of a cut; structs compare field by field, NULLs first."""
+    return F.struct(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(columns)])
 
 
 def position(df: DataFrame, cuts: Cuts, out: str) -> DataFrame:
@@ -82,18 +72,16 @@ def position(df: DataFrame, cuts: Cuts, out: str) -> DataFrame:
     adds ``least(spark_partition_id(), 0)``, always 0: a later filter on the position would
     otherwise be pushed down through the steps, doubling the expression at each of them.
     """
-    table = df.withColumn(out, F.lit(0))
     if not len(cuts):
-        return table
+        return df.withColumn(out, F.lit(0))
     keep = [quoted(c) for c in df.columns]
     array = cuts.literal()
-    test = _at_or_after(cuts.columns)
+    table = df.withColumns({out: F.lit(0), KEY: key_struct(cuts.columns)})
     for power in reversed(range(len(cuts).bit_length())):
         step = 1 << power
-        table = table.select("*", F.get(array, F.col(out) + (step - 1)).alias(CUT)).selectExpr(
-            *keep,
-            f"CASE WHEN {CUT} IS NOT NULL AND {test} THEN {out} + {step} ELSE {out} END AS {out}",
-        )
+        cut = F.get(array, F.col(out) + (step - 1))
+        further = F.when(F.col(KEY) >= cut, F.col(out) + step).otherwise(F.col(out))
+        table = table.select(*keep, KEY, further.alias(out))
     return table.selectExpr(*keep, f"{out} + least(spark_partition_id(), 0) AS {out}")
 
 

@@ -21,13 +21,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulage.functions.ordering import CUT, Cuts, key_text, lookup, position, quoted, same_tuple
+from haulage.functions.ordering import CUT, Cuts, key_struct, key_text, lookup, position, quoted
 
 BUCKET = "__bucket"
-SAMPLE_PER_BUCKET = 32
+SAMPLE_PER_BUCKET = 16
 MIN_BUCKETS = 8
 MAX_BUCKETS = 4096
 ROWS_PER_BUCKET = 1_000_000
+MIN_ROWS_PER_BUCKET = 256
 MAX_LITERAL_CUTS = 4096
 MAX_LITERAL_BYTES = 4 << 20
 MAX_LITERAL_PARTITIONS = 2048
@@ -36,7 +37,8 @@ COPIES_PER_STEP = 4096
 
 
 def bucket_count(total: int, pages: int) -> int:
-    wanted = max(4 * pages, total // ROWS_PER_BUCKET, MIN_BUCKETS)
+    """A few buckets per page, so that only a share of them holds a page edge; neither tiny nor too many."""
+    wanted = max(min(4 * pages, total // MIN_ROWS_PER_BUCKET), total // ROWS_PER_BUCKET, MIN_BUCKETS)
     return min(wanted, MAX_BUCKETS)
 
 
@@ -44,14 +46,19 @@ def _texts(df: DataFrame, keys: Sequence[str]) -> list:
     return [key_text(F.col(quoted(k)), df.schema[k].dataType).alias(f"c{i}") for i, k in enumerate(keys)]
 
 
+def _shortest(rows: Sequence[Sequence]) -> int:
+    """Length of the shortest prefix that tells the rows apart as well as all their values do."""
+    width = len(rows[0]) if rows else 1
+    whole = len({tuple(r) for r in rows})
+    return next((n for n in range(1, width) if len({tuple(r[:n]) for r in rows}) == whole), width)
+
+
 def _telling_prefix(sample: DataFrame, keys: Sequence[str]) -> list[str]:
-    """Shortest key prefix that tells the sampled tuples apart as well as all keys do."""
-    if len(keys) == 1:
+    """The keys worth comparing. Wide values are looked at as hashes, they do not travel to the driver."""
+    if len(keys) == 1 or all(not isinstance(sample.schema[k].dataType, T.StringType) for k in keys):
         return list(keys)
-    hashes = [F.xxhash64(*[F.col(quoted(k)) for k in keys[: i + 1]]).alias(f"h{i}") for i in range(len(keys))]
-    rows = sample.select(*hashes).collect()
-    distinct = [len({r[i] for r in rows}) for i in range(len(keys))]
-    return list(keys[: distinct.index(distinct[-1]) + 1])
+    hashes = [F.xxhash64(F.col(quoted(k))).alias(f"h{i}") for i, k in enumerate(keys)]
+    return list(keys[: _shortest(sample.select(*hashes).collect())])
 
 
 @dataclass(frozen=True)
@@ -94,13 +101,14 @@ def sample_cuts(
         .collect()
     )
     sampled = [i for i, r in enumerate(rows) if not r["opens"]]
+    used = used[: _shortest([tuple(rows[i])[:-1] for i in sampled])]
     chosen = {sampled[i * len(sampled) // buckets] for i in range(1, buckets)} if sampled else set()
     tuples: list[tuple] = []
     opens: list[bool] = []
     for i, row in enumerate(rows):
         if not row["opens"] and i not in chosen:
             continue
-        values = tuple(row)[:-1]
+        values = tuple(row)[: len(used)]
         if tuples and tuples[-1] == values:
             continue
         tuples.append(values)
@@ -345,14 +353,18 @@ def assign_pages(
         return df.withColumn(out, F.lit(None).cast("int"))
     if -(-total // page_rows) <= literal_pages:
         edges = page_edges(df, keys, page_rows, unique=unique, total=total, partition=partition)
-        borders = literal_borders(edges, keys)
+        most = -(-total // page_rows) + (MAX_LITERAL_PARTITIONS if partition else 0)
+        borders = literal_borders(edges, keys, most)
         if borders is not None:
             return assign_from_borders(df, keys, borders, out)
     return assign_by_rank(df, keys, page_rows, unique=unique, total=total, partition=partition, out=out)
 
 
-def literal_borders(edges: DataFrame, keys: Sequence[str]) -> list | None:
-    """The page borders as driver-side text, or None if they are too large for a plan literal."""
+def literal_borders(edges: DataFrame, keys: Sequence[str], at_most: int | None = None) -> list | None:
+    """The page borders as driver-side text, or None if they are too large for a plan literal.
+
+    ``at_most`` states a known bound on their number.
+    """
     key_types = edges.schema["lo"].dataType
     texts = [key_text(F.col("lo")[k], key_types[k].dataType).alias(f"c{i}") for i, k in enumerate(keys)]
     rows = edges.select("iteration", *texts, "carried", "lo_rows")
@@ -363,7 +375,9 @@ def literal_borders(edges: DataFrame, keys: Sequence[str]) -> list | None:
         size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(widths).alias("bytes")).first()
         if size["n"] > MAX_LITERAL_CUTS or (size["bytes"] or 0) > MAX_LITERAL_BYTES:
             return None
-    found = rows.limit(MAX_LITERAL_CUTS + 1).collect()
+    if at_most is None or at_most > 2 * MAX_LITERAL_CUTS:
+        rows = rows.limit(MAX_LITERAL_CUTS + 1)
+    found = rows.collect()
     if len(found) > MAX_LITERAL_CUTS:
         return None
     return sorted(found, key=lambda r: r["iteration"])
@@ -389,7 +403,7 @@ def assign_from_borders(df: DataFrame, keys: Sequence[str], borders: list, out:
     if not any(split):
         return placed.select(*columns, page)
     marked = placed.withColumn(CUT, F.get(cuts.literal(), F.col(BUCKET) - 1)).withColumn(
-        "__split", F.expr(same_tuple(keys)) & (lookup([int(s) for s in split], F.col(BUCKET) - 1) == 1)
+        "__split", key_struct(keys).eqNullSafe(F.col(CUT)) & (lookup([int(s) for s in split], F.col(BUCKET) - 1) == 1)
     )
     whole = marked.filter(~F.col("__split")).select(*columns, page)
     copies = marked.filter("__split").groupBy(BUCKET).agg(F.any_value(F.struct(*columns)).alias("__row"))

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulage.operators.tracking import FAIL, LOAD_FAILED, LOAD_SUCCESS, PASS
+from haulage.operators.tracking import FAIL, LOAD_FAILED, LOAD_SUCCESS, PASS, chunk_tracker_latest
 
 
 def failed_logs(master: DataFrame) -> DataFrame:
     return master.filter(F.col("load_status") == LOAD_FAILED).select("log_id").distinct()
 
 
-def failed_chunks(chunks: DataFrame, logs: DataFrame) -> DataFrame:
-    """Chunks of failed loads whose raw or masked copy failed."""
+def failed_chunks(history: DataFrame, logs: DataFrame, order: Sequence[str] = ("end_timestamp",)) -> DataFrame:
+    """Chunks of the given loads whose raw or masked copy failed in its last attempt.
+
+    Other loads' attempts are dropped before the last ones are looked for.
+    """
     failed = (F.col("write_status") == FAIL) | (F.col("mask_write_status") == FAIL)
-    return chunks.filter(failed).join(logs, "log_id", "left_semi")
+    return chunk_tracker_latest(history.join(logs, "log_id", "left_semi"), order).filter(failed)
 
 
 def recovery_plan(failed: DataFrame) -> DataFrame:

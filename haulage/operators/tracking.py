@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,12 +48,14 @@ MASTER_TRACKER_SCHEMA = T.StructType(
 )
 
 
-def latest(history: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """The last row per key. An aggregate, not a window: a key with many attempts is combined before the shuffle."""
-    rest = [c for c in history.columns if c not in keys]
-    moment = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
-    picked = history.groupBy(*keys).agg(F.max_by(F.struct(*rest), moment).alias("last"))
-    return picked.select(*keys, "last.*").select(*history.columns)
+def latest(history: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The last row per key.
+
+    Spark keeps only each task's last row per key before the shuffle, so a key with very many attempts
+    does not gather anywhere; columns nobody asks for are not shuffled.
+    """
+    last_first = Window.partitionBy(*keys).orderBy(*[F.col(o).desc_nulls_last() for o in order])
+    return history.withColumn("__nth", F.row_number().over(last_first)).filter("__nth = 1").drop("__nth")
 
 
 def chunk_tracker_latest(history: DataFrame, order: Sequence[str] = ("end_timestamp",)) -> DataFrame:

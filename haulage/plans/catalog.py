@@ -261,7 +261,8 @@ def recovery_failed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _failed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recovery.failed_chunks(derived.chunks_now(spark, sf_dir), recovery_failed_logs(spark, sf_dir))
+    history = derived.chunk_history(spark, sf_dir)
+    return recovery.failed_chunks(history, recovery_failed_logs(spark, sf_dir), derived.ATTEMPT_ORDER)
 
 
 def recovery_failed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

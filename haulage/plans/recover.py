@@ -82,7 +82,7 @@ def recover(spark: SparkSession, job: Job, load_of: Callable[[int], Load]) -> li
     if not recoverable(job.target):
         raise ValueError("recovery needs a lake target with account, container, key, format and a folder")
     logs = recovery.failed_logs(job.trackers.master_now())
-    plan = recovery.recovery_plan(recovery.failed_chunks(job.trackers.chunks_now(), logs))
+    plan = recovery.recovery_plan(recovery.failed_chunks(job.trackers.chunk_history(), logs))
     found = [r["log_id"] for r in plan.select("log_id").distinct().orderBy("log_id").collect()]
     for log_id in found:
         load = load_of(log_id)

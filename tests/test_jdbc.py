@@ -185,7 +185,7 @@ def test_bad_chunk_is_isolated(spark, source, monkeypatch, lake_job):
     assert states[1] == ("FAIL", "FAIL", "FAIL")
     assert all(states[i] == ("PASS", "PASS", "PASS") for i in (0, 2, 3))
     plan = recovery.recovery_plan(
-        recovery.failed_chunks(lake_job.trackers.chunks_now(), recovery.failed_logs(lake_job.trackers.master_now()))
+        recovery.failed_chunks(lake_job.trackers.chunk_history(), recovery.failed_logs(lake_job.trackers.master_now()))
     )
     assert [(r["iteration"], r["rerun_raw"], r["rerun_masked"]) for r in plan.collect()] == [(1, True, True)]
     monkeypatch.setattr(extract, "chunk_scan", real)
