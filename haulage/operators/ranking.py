@@ -181,22 +181,22 @@ def _entries(placed: DataFrame, plan: Buckets, keys: Sequence[str], unique: bool
 
 
 def _pieces(entries: DataFrame, plan: Buckets, page_rows: int, unique: bool) -> DataFrame:
-    """Cut every run of copies at the page borders; one row per (tuple, page)."""
-    bucket, n = F.col(BUCKET), F.lit(page_rows).cast("bigint")
-    rows = entries.withColumn("__span", lookup(plan.span, bucket)).withColumn("__base", lookup(plan.base, bucket))
-    if unique:
-        rows = rows.withColumn("__page", F.floor(F.col("__at") / n))
-    else:
-        rows = rows.withColumn(
-            "__page",
-            F.explode(F.sequence(F.expr(f"__at div {page_rows}"), F.expr(f"(__at + __copies - 1) div {page_rows}"))),
-        )
-    page = F.col("__page")
-    return (
-        rows.withColumn("__from", F.greatest(F.col("__at"), page * n))
-        .withColumn("__to", F.least(F.col("__at") + F.col("__copies"), (page + 1) * n))
-        .withColumn("__opens", F.col("__from") == page * n)
-        .withColumn("__closes", F.col("__to") == F.least((page + 1) * n, F.col("__span")))
+    """One row per (tuple, page) with the place of its copies and the page's own place."""
+    rows = entries.withColumn("__span", lookup(plan.span, F.col(BUCKET))).withColumn(
+        "__base", lookup(plan.base, F.col(BUCKET))
+    )
+    if not unique:
+        return _cut(rows, page_rows)
+    # single rows need no cutting
+    n, at = F.lit(page_rows).cast("bigint"), F.col("__at")
+    return rows.withColumns(
+        {
+            "__page": F.floor(at / n),
+            "__from": at,
+            "__to": at + 1,
+            "__opens": at % n == 0,
+            "__closes": ((at + 1) % n == 0) | (at + 1 == F.col("__span")),
+        }
     )
 
 
@@ -281,27 +281,29 @@ def _edges_by_join(
     """Too many partitions for literals: rank over all rows, then subtract the partition's start by a join."""
     placed, plan = place(keyed, keys, page_rows, total)
     entries = _entries(placed, plan, keys, unique, None)
-    part = quoted(partition)
-    sizes = keyed.groupBy(part).agg(F.count(F.lit(1)).alias("__span"))
+    return _edges(_pieces_by_join(entries, keyed, page_rows, partition), keys, page_rows, schema)
+
+
+def _pieces_by_join(entries: DataFrame, rows: DataFrame, page_rows: int, partition: str) -> DataFrame:
+    sizes = rows.groupBy(quoted(partition)).agg(F.count(F.lit(1)).alias("__span"))
     sizes = sizes.withColumn("__pages", F.ceil(F.col("__span") / page_rows))
     spans = running_totals(sizes, [partition], {"__start": "__span", "__base": "__pages"})
-    spans = spans.select(F.col(part).alias("__part"), "__span", "__start", "__base")
-    rows = entries.join(spans, entries[partition].eqNullSafe(spans["__part"])).withColumn(
-        "__at", F.col("__at") - F.col("__start")
-    )
-    n = F.lit(page_rows).cast("bigint")
-    page = F.col("__page")
-    pieces = (
-        rows.withColumn(
-            "__page",
-            F.explode(F.sequence(F.expr(f"__at div {page_rows}"), F.expr(f"(__at + __copies - 1) div {page_rows}"))),
-        )
+    spans = spans.select(F.col(quoted(partition)).alias("__part"), "__span", "__start", "__base")
+    placed = entries.join(spans, entries[partition].eqNullSafe(spans["__part"])).drop("__part")
+    return _cut(placed.withColumn("__at", F.col("__at") - F.col("__start")), page_rows)
+
+
+def _cut(rows: DataFrame, page_rows: int) -> DataFrame:
+    """Cut every run of copies (from __at, __copies long) at the page borders."""
+    n, page = F.lit(page_rows).cast("bigint"), F.col("__page")
+    pages = F.sequence(F.expr(f"__at div {page_rows}"), F.expr(f"(__at + __copies - 1) div {page_rows}"))
+    return (
+        rows.withColumn("__page", F.explode(pages))
         .withColumn("__from", F.greatest(F.col("__at"), page * n))
         .withColumn("__to", F.least(F.col("__at") + F.col("__copies"), (page + 1) * n))
         .withColumn("__opens", F.col("__from") == page * n)
         .withColumn("__closes", F.col("__to") == F.least((page + 1) * n, F.col("__span")))
     )
-    return _edges(pieces, keys, page_rows, schema)
 
 
 def running_totals(
@@ -439,9 +441,12 @@ def assign_by_rank(
 ) -> DataFrame:
     """Page numbers by ranking every row inside its bucket: one shuffle of the rows, no literal per page."""
     if partition is not None and _many_partitions(df.select(quoted(partition)), partition):
-        raise ValueError("number the pages of this many partitions through page_edges and a join")
-    placed, plan = place(df, keys, page_rows, total, partition)
-    pieces = _pieces(_entries(placed, plan, list(keys), unique, None), plan, page_rows, unique)
+        placed, plan = place(df, keys, page_rows, total)
+        entries = _entries(placed, plan, list(keys), unique, None)
+        pieces = _pieces_by_join(entries, df, page_rows, partition)
+    else:
+        placed, plan = place(df, keys, page_rows, total, partition)
+        pieces = _pieces(_entries(placed, plan, list(keys), unique, None), plan, page_rows, unique)
     columns = [F.col(quoted(c)) for c in df.columns]
     number = (F.col("__base") + F.col("__page")).cast("int").alias(out)
     if unique:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from haulage.operators.tracking import FAIL, LOAD_FAILED, LOAD_SUCCESS, PASS, chunk_tracker_latest
 
+MAX_LISTED_CHUNKS = 4096
+
 
 def failed_logs(master: DataFrame) -> DataFrame:
     return master.filter(F.col("load_status") == LOAD_FAILED).select("log_id").distinct()
@@ -44,10 +46,18 @@ def republish(plan: DataFrame) -> DataFrame:
 
 
 def replay(landed: DataFrame, source_chunks: DataFrame, rerun: DataFrame) -> DataFrame:
-    """The landed table once the chunks to rerun (column iteration) are replaced by fresh source rows."""
+    """The landed table once the chunks to rerun (column iteration) are replaced by fresh source rows.
+
+    The few numbers of a rerun become a filter, so neither side is shuffled and chunk folders are pruned;
+    very many of them are joined instead.
+    """
     again = rerun.select("iteration").distinct()
-    kept = landed.join(again, "iteration", "left_anti")
-    return kept.unionByName(source_chunks.join(again, "iteration", "left_semi"))
+    numbers = [r["iteration"] for r in again.limit(MAX_LISTED_CHUNKS + 1).collect()]
+    if len(numbers) > MAX_LISTED_CHUNKS:
+        kept = landed.join(again, "iteration", "left_anti")
+        return kept.unionByName(source_chunks.join(again, "iteration", "left_semi"))
+    wanted = F.col("iteration").isin(numbers) if numbers else F.lit(False)
+    return landed.filter(~wanted).unionByName(source_chunks.filter(wanted))
 
 
 def close_loads(chunks: DataFrame) -> DataFrame:

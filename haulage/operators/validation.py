@@ -61,11 +61,16 @@ def _columns(side: Sides) -> list[str]:
     return side.source.columns + [c for c in side.landed.columns if c not in side.source.columns]
 
 
-def _compared(side: Sides, other: DataFrame, columns: Sequence[str]) -> DataFrame:
-    left = side.source_statistics
-    if left is None:
-        left = _column_stats(side.source, "source", side.table_key, columns)
-    return left.join(_column_stats(other, "landed", side.table_key, columns), "table_key")
+def _compared(side: Sides, columns: Sequence[str], landed: bool = True, masked: bool = False) -> DataFrame:
+    """One row: statistics of the source next to those of the copies, each read once."""
+    wide = side.source_statistics
+    if wide is None:
+        wide = _column_stats(side.source, "source", side.table_key, columns)
+    if landed:
+        wide = wide.join(_column_stats(side.landed, "landed", side.table_key, columns), "table_key")
+    if masked:
+        wide = wide.join(_column_stats(side.masked, "masked", side.table_key, columns), "table_key")
+    return wide
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -75,7 +80,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def validate_counts(sides: Sequence[Sides]) -> DataFrame:
     return _union(
         [
-            _compared(s, s.landed, []).select(
+            _compared(s, []).select(
                 "table_key", "source_rows", "landed_rows", (F.col("source_rows") == F.col("landed_rows")).alias("matches")
             )
             for s in sides
@@ -98,7 +103,7 @@ def validate_columns(sides: Sequence[Sides]) -> DataFrame:
     parts = []
     for side in sides:
         names = _columns(side)
-        wide = _compared(side, side.landed, names)
+        wide = _compared(side, names)
         rows = []
         for i, name in enumerate(names):
             here, there = name in side.source.columns, name in side.landed.columns
@@ -116,14 +121,16 @@ def validate_columns(sides: Sequence[Sides]) -> DataFrame:
     return _union(parts)
 
 
-def _minmax_rows(wide: DataFrame, schema: T.StructType, columns: Sequence[str], checked: Sequence[str]) -> DataFrame:
+def _minmax_rows(
+    wide: DataFrame, schema: T.StructType, columns: Sequence[str], checked: Sequence[str], copy: str = "landed"
+) -> DataFrame:
     rows = []
     for i, name in enumerate(columns):
         if name not in checked:
             continue
         data_type = schema[name].dataType
         low, high = F.col(f"source_min{i}"), F.col(f"source_max{i}")
-        landed_low, landed_high = F.col(f"landed_min{i}"), F.col(f"landed_max{i}")
+        landed_low, landed_high = F.col(f"{copy}_min{i}"), F.col(f"{copy}_max{i}")
         rows.append(
             F.struct(
                 F.lit(name).alias("column_name"),
@@ -144,37 +151,28 @@ def _checked(side: Sides) -> list[str]:
 def validate_minmax(sides: Sequence[Sides]) -> DataFrame:
     """Minimum and maximum of every comparable column, compared in the column's own type."""
     return _union(
-        [
-            _minmax_rows(
-                _compared(s, s.landed, _columns(s)), s.source.schema, _columns(s), _checked(s)
-            )
-            for s in sides
-        ]
+        [_minmax_rows(_compared(s, _columns(s)), s.source.schema, _columns(s), _checked(s)) for s in sides]
     )
 
 
 def masked_minmax(sides: Sequence[Sides]) -> DataFrame:
     """The same for the masked copy, over the numeric columns that are not masked."""
-    return _union(
-        [
-            _minmax_rows(
-                _compared(s, s.masked, s.source.columns),
-                s.source.schema,
-                s.source.columns,
-                checked_numeric_columns(s.source, s.masked_columns),
-            )
-            for s in sides
-            if s.masked is not None
-        ]
-    )
+    parts = []
+    for side in sides:
+        if side.masked is not None:
+            names = side.source.columns
+            wide = _compared(side, names, landed=False, masked=True)
+            numeric = checked_numeric_columns(side.source, side.masked_columns)
+            parts.append(_minmax_rows(wide, side.source.schema, names, numeric, "masked"))
+    return _union(parts)
 
 
-def _agreement(wide: DataFrame, columns: Sequence[str], checked: Sequence[str]) -> Column:
+def _agreement(columns: Sequence[str], checked: Sequence[str], copy: str) -> Column:
     equal = F.lit(True)
     for i, name in enumerate(columns):
         if name in checked:
-            equal = equal & F.col(f"source_min{i}").eqNullSafe(F.col(f"landed_min{i}"))
-            equal = equal & F.col(f"source_max{i}").eqNullSafe(F.col(f"landed_max{i}"))
+            for end in ("min", "max"):
+                equal = equal & F.col(f"source_{end}{i}").eqNullSafe(F.col(f"{copy}_{end}{i}"))
     return equal
 
 
@@ -183,25 +181,23 @@ def validation_status(sides: Sequence[Sides]) -> DataFrame:
     parts = []
     for side in sides:
         names = _columns(side)
-        wide = _compared(side, side.landed, names)
-        columns_ok = all(_same_type(side, n) for n in names)
-        verdict = wide.select(
-            "table_key",
-            (F.col("source_rows") == F.col("landed_rows")).alias("counts_ok"),
-            F.lit(columns_ok).alias("columns_ok"),
-            _agreement(wide, names, _checked(side)).alias("minmax_ok"),
-        )
-        if side.masked is None:
-            verdict = verdict.withColumn("masked_ok", F.lit(None).cast("boolean"))
-        else:
-            source = side.source.columns
-            copy = _compared(side, side.masked, source)
-            same_columns = set(source) == set(side.masked.columns)
+        masked = F.lit(None).cast("boolean")
+        if side.masked is not None:
             numeric = checked_numeric_columns(side.source, side.masked_columns)
-            agrees = (F.col("source_rows") == F.col("landed_rows")) & F.lit(same_columns)
-            agrees = agrees & _agreement(copy, source, numeric)
-            verdict = verdict.join(copy.select("table_key", agrees.alias("masked_ok")), "table_key")
-        parts.append(verdict)
+            masked = (
+                (F.col("source_rows") == F.col("masked_rows"))
+                & F.lit(set(side.source.columns) == set(side.masked.columns))
+                & _agreement(names, numeric, "masked")
+            )
+        parts.append(
+            _compared(side, names, masked=side.masked is not None).select(
+                "table_key",
+                (F.col("source_rows") == F.col("landed_rows")).alias("counts_ok"),
+                F.lit(all(_same_type(side, n) for n in names)).alias("columns_ok"),
+                _agreement(names, _checked(side), "landed").alias("minmax_ok"),
+                masked.alias("masked_ok"),
+            )
+        )
     status = (
         F.when(~F.col("counts_ok") | ~F.col("columns_ok"), FAILED)
         .when(~F.col("minmax_ok") | ~F.coalesce("masked_ok", F.lit(True)), PARTIAL)

@@ -309,7 +309,7 @@ def recovery_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders, ["o_orderkey"], max(1, -(-total // RECOVERY_CHUNKS)), unique=True, total=total
     )
     failed = chunks.groupBy("iteration").count().filter("(iteration * 3 + 7) % 5 = 0")
-    landed = chunks.join(failed, "iteration", "left_anti")
+    landed = chunks.filter("(iteration * 3 + 7) % 5 <> 0")
     return recovery.replay(landed, chunks, failed).select(*orders.columns, "iteration")
 
 

@@ -163,7 +163,8 @@ class JdbcTable:
         keys = self.key_columns()
         indexes = [] if keys else self.index_columns()
         partitions = [] if keys or indexes else self.partitions()
-        decided = "yes" if indexes and self._packs(indexes[0], rows) else "no"
+        counts = self._value_counts(indexes[0]) if indexes else None
+        decided = "yes" if indexes and self._packs(counts, rows) else "no"
         facts = self.spark.range(1).select(
             F.lit(self.vendor).alias("vendor"),
             F.lit(len(keys)).alias("n_key_columns"),
@@ -175,7 +176,7 @@ class JdbcTable:
         chunks = {
             "clustered": lambda: self._key_chunks(keys, rows, count),
             "composite_clustered": lambda: self._key_chunks(keys, rows, count),
-            "non_clustered": lambda: self._index_chunks(indexes[0], rows),
+            "non_clustered": lambda: self._index_chunks(counts, indexes[0], rows),
             "non_clustered_limit_offset": lambda: self._pages(self.name, "", indexes, rows, count, 0),
             "partition": lambda: self._partition_chunks(partitions, rows),
             "limit_offset": lambda: self._pages(self.name, "", [], rows, count, 0),
@@ -183,13 +184,14 @@ class JdbcTable:
         return ChunkPlan(strategy, count, rows, tuple(chunks))
 
     def _value_counts(self, column: str) -> DataFrame:
-        """Rows per index value, counted by the source."""
+        """Rows per index value, counted by the source once and kept in shared storage for the plan."""
         name = vendors.quote(self.vendor, column)
         sql = f"SELECT {name} AS value_of_index, COUNT(*) AS rows_of_value FROM {self.name} GROUP BY {name}"
-        return self._query(sql).toDF("v", "n").withColumn("n", F.col("n").cast("bigint"))
+        ranking.ensure_checkpoint_dir(self.spark)
+        return self._query(sql).toDF("v", "n").withColumn("n", F.col("n").cast("bigint")).checkpoint()
 
-    def _packs(self, column: str, rows: int) -> bool:
-        stats = self._value_counts(column).agg(
+    def _packs(self, counts: DataFrame, rows: int) -> bool:
+        stats = counts.agg(
             F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_values"), F.max("n").alias("max_rows")
         )
         return decision.index_decision(stats, rows).first()["decision"] == "yes"
@@ -241,8 +243,8 @@ class JdbcTable:
     def _where(self, iteration: int, predicate: str) -> Chunk:
         return Chunk(iteration, f"SELECT * FROM {self.name} WHERE {predicate}", predicate)
 
-    def _index_chunks(self, column: str, rows: int) -> list[Chunk]:
-        manifest = chunking.pack_values(self._value_counts(column), column, rows)
+    def _index_chunks(self, counts: DataFrame, column: str, rows: int) -> list[Chunk]:
+        manifest = chunking.pack_values(counts, column, rows)
         lo = f"lo_{column}"
         text = key_text(F.col(quoted(lo)), manifest.schema[lo].dataType).alias("lo")
         lows = [r["lo"] for r in manifest.orderBy("iteration").select(text).collect()]

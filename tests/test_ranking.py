@@ -116,3 +116,13 @@ def test_empty_table(table):
     none = table("orders").where("false")
     assert ranking.page_edges(none, ["o_orderkey"], 10, unique=True).count() == 0
     assert ranking.assign_pages(none, ["o_orderkey"], 10, unique=True).count() == 0
+
+
+@pytest.mark.parametrize("limit", [2048, 1])
+@pytest.mark.parametrize("literal", [4096, 0])
+def test_partitioned_rows(spark, monkeypatch, limit, literal):
+    monkeypatch.setattr(ranking, "MAX_LITERAL_PARTITIONS", limit)
+    df = hot_rows(spark)
+    keys = ["v", "k", "at", "x"]
+    got = ranking.assign_pages(df, keys, 70, unique=False, partition="v", literal_pages=literal)
+    same(got, brute(df, keys, 70, "v"))
