@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 CUT = "__cut"
 KEY = "__key"
+CUTS = "__cuts"
 
 
 def quoted(name: str) -> str:
@@ -74,15 +75,14 @@ def position(df: DataFrame, cuts: Cuts, out: str) -> DataFrame:
     """
     if not len(cuts):
         return df.withColumn(out, F.lit(0))
-    keep = [quoted(c) for c in df.columns]
-    array = cuts.literal()
-    table = df.withColumns({out: F.lit(0), KEY: key_struct(cuts.columns)})
+    table = df.withColumns({out: F.lit(0), KEY: key_struct(cuts.columns), CUTS: cuts.literal()})
     for power in reversed(range(len(cuts).bit_length())):
         step = 1 << power
-        cut = F.get(array, F.col(out) + (step - 1))
-        further = F.when(F.col(KEY) >= cut, F.col(out) + step).otherwise(F.col(out))
-        table = table.select(*keep, KEY, further.alias(out))
-    return table.selectExpr(*keep, f"{out} + least(spark_partition_id(), 0) AS {out}")
+        further = f"CASE WHEN {KEY} >= get({CUTS}, {out} + {step - 1}) THEN {out} + {step} ELSE {out} END"
+        table = table.withColumn(out, F.expr(further))
+    return table.selectExpr(
+        *[quoted(c) for c in df.columns], f"{out} + least(spark_partition_id(), 0) AS {out}"
+    )
 
 
 def lookup(values: Sequence[int | None], index: Column) -> Column:

@@ -38,8 +38,7 @@ def recovery_plan(failed: DataFrame) -> DataFrame:
 
 def republish(plan: DataFrame) -> DataFrame:
     """Per load: is the raw table, the masked table, or are both to be refreshed?"""
-    return plan.groupBy("log_id").agg(
-        F.max("table_name").alias("table_name"),
+    return plan.groupBy("log_id", "table_name").agg(
         F.max("rerun_raw").alias("republish_raw"),
         F.max("rerun_masked").alias("republish_masked"),
     )

@@ -45,32 +45,44 @@ def shown(column: Column, data_type: T.DataType) -> Column:
     return column.cast("string")
 
 
-def _column_stats(df: DataFrame, side: str, table_key: str, columns: Sequence[str]) -> DataFrame:
-    aggregates = [F.count(F.lit(1)).alias(f"{side}_rows")]
+def statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: n_rows, and filled values, minimum and maximum of the i-th column as filled, low, high + i."""
+    aggregates = [F.count(F.lit(1)).alias("n_rows")]
     for i, name in enumerate(columns):
         if name not in df.columns:
             continue
         column = F.col(quoted(name))
-        aggregates.append(F.count(column).alias(f"{side}_n{i}"))
+        aggregates.append(F.count(column).alias(f"filled{i}"))
         if is_plain(df.schema[name].dataType):
-            aggregates += [F.min(column).alias(f"{side}_min{i}"), F.max(column).alias(f"{side}_max{i}")]
-    return df.agg(F.lit(table_key).alias("table_key"), *aggregates)
+            aggregates += [F.min(column).alias(f"low{i}"), F.max(column).alias(f"high{i}")]
+    return df.agg(*aggregates)
 
 
 def _columns(side: Sides) -> list[str]:
     return side.source.columns + [c for c in side.landed.columns if c not in side.source.columns]
 
 
-def _compared(side: Sides, columns: Sequence[str], landed: bool = True, masked: bool = False) -> DataFrame:
-    """One row: statistics of the source next to those of the copies, each read once."""
-    wide = side.source_statistics
-    if wide is None:
-        wide = _column_stats(side.source, "source", side.table_key, columns)
-    if landed:
-        wide = wide.join(_column_stats(side.landed, "landed", side.table_key, columns), "table_key")
-    if masked:
-        wide = wide.join(_column_stats(side.masked, "masked", side.table_key, columns), "table_key")
-    return wide
+def _compared(side: Sides, columns: Sequence[str], copies: Sequence[str] = ("landed",)) -> DataFrame:
+    """One row: statistics of the source next to those of its copies, each side read once.
+
+    The sides' rows are stacked, each in its own columns, and folded by table key: no join is needed.
+    """
+    rows = {"source": side.source_statistics}
+    if rows["source"] is None:
+        rows["source"] = statistics(side.source, columns)
+    for copy in copies:
+        rows[copy] = statistics(getattr(side, copy), columns)
+    stacked = reduce(
+        lambda above, below: above.unionByName(below, allowMissingColumns=True),
+        [
+            frame.select(
+                F.lit(side.table_key).alias("table_key"), *[F.col(n).alias(f"{name}_{n}") for n in frame.columns]
+            )
+            for name, frame in rows.items()
+        ],
+    )
+    folded = [F.max(n).alias(n) for n in stacked.columns if n != "table_key"]
+    return stacked.groupBy("table_key").agg(*folded)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -81,7 +93,10 @@ def validate_counts(sides: Sequence[Sides]) -> DataFrame:
     return _union(
         [
             _compared(s, []).select(
-                "table_key", "source_rows", "landed_rows", (F.col("source_rows") == F.col("landed_rows")).alias("matches")
+                "table_key",
+                F.col("source_n_rows").alias("source_rows"),
+                F.col("landed_n_rows").alias("landed_rows"),
+                (F.col("source_n_rows") == F.col("landed_n_rows")).alias("matches"),
             )
             for s in sides
         ]
@@ -112,8 +127,8 @@ def validate_columns(sides: Sequence[Sides]) -> DataFrame:
                     F.lit(name).alias("column_name"),
                     F.lit(here).alias("in_source"),
                     F.lit(there).alias("in_landed"),
-                    (F.col(f"source_n{i}") if here else F.lit(None).cast("bigint")).alias("source_values"),
-                    (F.col(f"landed_n{i}") if there else F.lit(None).cast("bigint")).alias("landed_values"),
+                    (F.col(f"source_filled{i}") if here else F.lit(None).cast("bigint")).alias("source_values"),
+                    (F.col(f"landed_filled{i}") if there else F.lit(None).cast("bigint")).alias("landed_values"),
                     F.lit(_same_type(side, name)).alias("matches"),
                 )
             )
@@ -129,8 +144,8 @@ def _minmax_rows(
         if name not in checked:
             continue
         data_type = schema[name].dataType
-        low, high = F.col(f"source_min{i}"), F.col(f"source_max{i}")
-        landed_low, landed_high = F.col(f"{copy}_min{i}"), F.col(f"{copy}_max{i}")
+        low, high = F.col(f"source_low{i}"), F.col(f"source_high{i}")
+        landed_low, landed_high = F.col(f"{copy}_low{i}"), F.col(f"{copy}_high{i}")
         rows.append(
             F.struct(
                 F.lit(name).alias("column_name"),
@@ -161,7 +176,7 @@ def masked_minmax(sides: Sequence[Sides]) -> DataFrame:
     for side in sides:
         if side.masked is not None:
             names = side.source.columns
-            wide = _compared(side, names, landed=False, masked=True)
+            wide = _compared(side, names, ["masked"])
             numeric = checked_numeric_columns(side.source, side.masked_columns)
             parts.append(_minmax_rows(wide, side.source.schema, names, numeric, "masked"))
     return _union(parts)
@@ -171,7 +186,7 @@ def _agreement(columns: Sequence[str], checked: Sequence[str], copy: str) -> Col
     equal = F.lit(True)
     for i, name in enumerate(columns):
         if name in checked:
-            for end in ("min", "max"):
+            for end in ("low", "high"):
                 equal = equal & F.col(f"source_{end}{i}").eqNullSafe(F.col(f"{copy}_{end}{i}"))
     return equal
 
@@ -185,14 +200,14 @@ def validation_status(sides: Sequence[Sides]) -> DataFrame:
         if side.masked is not None:
             numeric = checked_numeric_columns(side.source, side.masked_columns)
             masked = (
-                (F.col("source_rows") == F.col("masked_rows"))
+                (F.col("source_n_rows") == F.col("masked_n_rows"))
                 & F.lit(set(side.source.columns) == set(side.masked.columns))
                 & _agreement(names, numeric, "masked")
             )
         parts.append(
-            _compared(side, names, masked=side.masked is not None).select(
+            _compared(side, names, ["landed"] if side.masked is None else ["landed", "masked"]).select(
                 "table_key",
-                (F.col("source_rows") == F.col("landed_rows")).alias("counts_ok"),
+                (F.col("source_n_rows") == F.col("landed_n_rows")).alias("counts_ok"),
                 F.lit(all(_same_type(side, n) for n in names)).alias("columns_ok"),
                 _agreement(names, _checked(side), "landed").alias("minmax_ok"),
                 masked.alias("masked_ok"),
@@ -209,11 +224,10 @@ def validation_status(sides: Sequence[Sides]) -> DataFrame:
 def publish_plan(statuses: DataFrame, target_kind: str, raw_zone: str, masked_zone: str) -> DataFrame:
     """Tables to register: validated ones in a lake target; the masked copy too where columns are masked."""
     passed = statuses.filter(F.col("status").isin(SUCCESS, PARTIAL) & F.lit(target_kind.lower() == "blob"))
-    raw = passed.select("table_key", F.concat(F.lit(raw_zone + "."), "table_key").alias("published_as"))
-    masked = passed.filter("masked_ok IS NOT NULL").select(
-        "table_key", F.concat(F.lit(masked_zone + "."), "table_key", F.lit("_masked")).alias("published_as")
-    )
-    return raw.unionByName(masked)
+    raw = F.concat(F.lit(raw_zone + "."), "table_key")
+    masked = F.concat(F.lit(masked_zone + "."), "table_key", F.lit("_masked"))
+    names = F.array_compact(F.array(raw, F.when(F.col("masked_ok").isNotNull(), masked)))
+    return passed.select("table_key", F.explode(names).alias("published_as"))
 
 
 def run_summary(loads: DataFrame) -> DataFrame:

@@ -225,7 +225,7 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     loads = derived.chunks_now(spark, sf_dir).groupBy("log_id").agg(
         F.max(failed).alias("raw_failed"),
         F.coalesce(F.max(F.col("mask_write_status") == tracking.FAIL), F.lit(False)).alias("masked_failed"),
-        F.max("read_status").alias("best_read"),
+        F.bool_and(F.col("read_status") == tracking.FAIL).alias("unread"),
     )
     status = (
         F.when(F.col("raw_failed"), validation.FAILED)
@@ -236,7 +236,7 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         loads.select(
             F.concat(F.lit("load_"), "log_id").alias("table_key"),
             status.alias("status"),
-            F.when(F.col("best_read") == tracking.FAIL, "no chunk could be read").alias("error"),
+            F.when(F.col("unread"), "no chunk could be read").alias("error"),
         )
     )
 

@@ -288,22 +288,16 @@ class JdbcTable:
         return chunks
 
     def statistics(self, columns: Sequence[str]) -> DataFrame:
-        """Row count, filled values, minimum and maximum per column, computed by the source in one query."""
+        """As ``validation.statistics``, computed by the source in one query."""
         schema = self.sample_frame().schema
-        items = ["COUNT(*) AS source_rows"]
+        items, types = ["COUNT(*) AS n_rows"], {"n_rows": T.LongType()}
         for i, name in enumerate(columns):
-            column = vendors.quote(self.vendor, name)
-            items.append(f"COUNT({column}) AS source_n{i}")
-            if is_plain(schema[name].dataType):
-                for word in ("min", "max"):
-                    items.append(f"{vendors.extreme(self.vendor, word, name, schema[name].dataType)} AS source_{word}{i}")
-        row = self._query(f"SELECT {', '.join(items)} FROM {self.name}")
-        lower = row.toDF(*[c.lower() for c in row.columns])
-        casts = {"source_rows": F.col("source_rows").cast("bigint")}
-        for i, name in enumerate(columns):
-            casts[f"source_n{i}"] = F.col(f"source_n{i}").cast("bigint")
-            if is_plain(schema[name].dataType):
-                for word in ("min", "max"):
-                    casts[f"source_{word}{i}"] = F.col(f"source_{word}{i}").cast(schema[name].dataType)
-        return lower.withColumns(casts).withColumn("table_key", F.lit(self.spec.table_key))
-
+            data_type = schema[name].dataType
+            items.append(f"COUNT({vendors.quote(self.vendor, name)}) AS filled{i}")
+            types[f"filled{i}"] = T.LongType()
+            if is_plain(data_type):
+                for word, end in (("min", "low"), ("max", "high")):
+                    items.append(f"{vendors.extreme(self.vendor, word, name, data_type)} AS {end}{i}")
+                    types[f"{end}{i}"] = data_type
+        row = self._query(f"SELECT {', '.join(items)} FROM {self.name}").toDF(*types)
+        return row.select(*[F.col(n).cast(t).alias(n) for n, t in types.items()])
