@@ -163,7 +163,7 @@ def index_rows(df: DataFrame, column: str, chunk_rows: int) -> DataFrame:
     flagged = values.join(starts, values[column].eqNullSafe(starts[column]), "left").select(
         values[column], F.coalesce("start", F.lit(0)).alias("start")
     )
-    numbered = ranking.running_totals(flagged, [column], {"before": "start"})
+    numbered = ranking.running_totals(flagged.checkpoint(), [column], {"before": "start"})
     numbers = numbered.select(
         F.col(quoted(column)).alias("__v"), (F.col("before") + F.col("start") - 1).cast("int").alias("iteration")
     )

@@ -286,7 +286,9 @@ def _edges_by_join(
 
 def _pieces_by_join(entries: DataFrame, rows: DataFrame, page_rows: int, partition: str) -> DataFrame:
     sizes = rows.groupBy(quoted(partition)).agg(F.count(F.lit(1)).alias("__span"))
-    sizes = sizes.withColumn("__pages", F.ceil(F.col("__span") / page_rows))
+    # one row per partition, written to the shared folder: the totals read it several times
+    ensure_checkpoint_dir(rows.sparkSession)
+    sizes = sizes.withColumn("__pages", F.ceil(F.col("__span") / page_rows)).checkpoint()
     spans = running_totals(sizes, [partition], {"__start": "__span", "__base": "__pages"})
     spans = spans.select(F.col(quoted(partition)).alias("__part"), "__span", "__start", "__base")
     placed = entries.join(spans, entries[partition].eqNullSafe(spans["__part"])).drop("__part")

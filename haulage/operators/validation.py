@@ -40,8 +40,12 @@ def shown(column: Column, data_type: T.DataType) -> Column:
     """Minimum or maximum as text of one fixed form."""
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
         return column.try_cast("decimal(38,6)").cast("string")
-    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(data_type, T.TimestampType):
         return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    if isinstance(data_type, T.TimestampNTZType):
+        # date_format would read it in the session's zone
+        text = column.cast("string")
+        return F.rpad(F.when(F.length(text) == 19, F.concat(text, F.lit("."))).otherwise(text), 26, "0")
     return column.cast("string")
 
 
@@ -245,7 +249,8 @@ def run_summary(loads: DataFrame) -> DataFrame:
 
 def load_durations(loads: DataFrame) -> DataFrame:
     """Elapsed time as hours, minutes and seconds. Input: log_id, start_timestamp, end_timestamp."""
-    elapsed = F.timestamp_diff("SECOND", F.col("start_timestamp"), F.col("end_timestamp"))
+    # an interval, not timestampdiff: the latter reads zone-free times in the session's zone
+    elapsed = F.expr("cast(cast(end_timestamp - start_timestamp AS INTERVAL SECOND) AS BIGINT)")
     timed = loads.select("log_id", elapsed.alias("total_seconds"))
     return timed.selectExpr(
         "log_id",

@@ -36,8 +36,10 @@ class LakeCopy:
     def read(self, iterations: Sequence[int] | None = None) -> DataFrame:
         return lake.read_chunks(self.spark, self.folder, self.format, self.schema, iterations)
 
-    def drop(self, iterations: Sequence[int]) -> None:
-        lake.delete_chunks(self.spark, self.folder, self.format, iterations)
+    def settle(self, rows: dict[int, int]) -> None:
+        """After a write: remove what chunks without rows had left behind. The write itself is all or nothing."""
+        emptied = [number for number, n in rows.items() if not n]
+        lake.delete_chunks(self.spark, self.folder, self.format, emptied)
 
     def publish(self) -> str:
         return lake.publish(self.spark, self.zone, self.published_as, self.schema, self.folder, self.format)
@@ -67,8 +69,12 @@ class RdbmsCopy:
     def read(self, iterations: Sequence[int] | None = None) -> DataFrame:
         return self.target.staged(iterations)
 
-    def drop(self, iterations: Sequence[int]) -> None:
-        """Nothing to do: a write first deletes the staged rows of its iterations."""
+    def settle(self, rows: dict[int, int]) -> None:
+        """After a write: a task that ran twice may have inserted twice, so the rows are counted."""
+        staged = self.target.staged_counts(list(rows))
+        wrong = [number for number, n in rows.items() if staged.get(number, 0) != n]
+        if wrong:
+            raise RuntimeError(f"staged rows of chunks {wrong} differ from the rows read")
 
     def publish(self) -> str:
         self.target.promote(self.schema.fieldNames())

@@ -63,7 +63,7 @@ def partition_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog rows of four tables; part has a single partition."""
     named = {
         "events": F.col("ts").cast("date").cast("string"),
-        "orders": F.date_format("o_orderdate", "yyyy-MM"),
+        "orders": F.substring(F.col("o_orderdate").cast("string"), 1, 7),
         "customer": F.col("c_mktsegment"),
         "part": F.lit("p0"),
     }

@@ -46,8 +46,8 @@ class Load:
 
 def copies(spark: SparkSession, job: Job, load: Load, table: JdbcTable) -> tuple[Copy, Copy | None]:
     """Raw and masked copy; a masked column is text, whatever it was before."""
-    schema = table.sample_frame().schema
-    hidden = masking.masked_projection(table.sample_frame(), load.masked_columns, "").schema
+    schema = table.frame().schema
+    hidden = masking.masked_projection(table.frame(), load.masked_columns, "").schema
     name = load.spec.table
 
     def copy(shape, masked: bool) -> Copy:
@@ -109,7 +109,7 @@ def copy_chunks(
 
 
 def validate(table: JdbcTable, load: Load, raw: Copy, masked: Copy | None) -> str:
-    source = table.sample_frame()
+    source = table.frame()
     side = Sides(
         load.spec.table_key,
         source,

@@ -33,13 +33,13 @@ def split(chunks: Sequence[Chunk], size: int) -> Iterator[Sequence[Chunk]]:
 
 
 def _write(read: Callable[[], DataFrame], copy: Copy, chunks: Sequence[Chunk]) -> None:
-    """Write the chunks in one job, then remove what an emptied chunk had left behind."""
+    """Write the chunks in one job, counting their rows on the way."""
     numbers = [c.iteration for c in chunks]
     seen = Observation()
     counts = [F.count(F.when(F.col("iteration") == n, 1)).alias(f"n{n}") for n in numbers]
     copy.write(read().observe(seen, *counts), numbers)
     found = seen.get
-    copy.drop([n for n in numbers if not found.get(f"n{n}")])
+    copy.settle({n: found.get(f"n{n}", 0) for n in numbers})
 
 
 def _attempt(read: Reader, copy: Copy, chunks: Sequence[Chunk]) -> dict[int, Exception | None]:

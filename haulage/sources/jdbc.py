@@ -34,6 +34,7 @@ class Connection:
     def options(self) -> dict[str, str]:
         known = {"url": self.url, "driver": self.driver, "user": self.user, "password": self.password}
         known |= {"fetchsize": str(self.fetch_rows), "batchsize": str(self.batch_rows)}
+        known |= vendors.SESSION_OPTIONS.get(self.vendor, {})
         return {k: v for k, v in known.items() if v is not None}
 
 
@@ -101,7 +102,7 @@ class JdbcTable:
         self.vendor = connection.vendor
         self.name = vendors.table_name(self.vendor, spec.table, spec.schema)
 
-    def sample_frame(self) -> DataFrame:
+    def frame(self) -> DataFrame:
         """The whole table as one lazy scan; used for its schema."""
         return self.spark.read.format("jdbc").options(**self.connection.options()).option("dbtable", self.name).load()
 
@@ -197,12 +198,12 @@ class JdbcTable:
         return decision.index_decision(stats, rows).first()["decision"] == "yes"
 
     def _fields(self, keys: Sequence[str]) -> list[T.StructField]:
-        schema = self.sample_frame().schema
+        schema = self.frame().schema
         return [schema[k] for k in keys]
 
     def _key_frame(self, keys: Sequence[str], count: int) -> DataFrame:
         """Key columns only, read in parallel strides of a numeric leading key, written once to shared storage."""
-        frame = self.sample_frame().select(*[quoted(k) for k in keys])
+        frame = self.frame().select(*[quoted(k) for k in keys])
         scans = min(MAX_KEY_SCANS, -(-count // KEY_SCAN_ROWS))
         if scans > 1 and isinstance(frame.schema[keys[0]].dataType, T.IntegralType):
             name = vendors.quote(self.vendor, keys[0])
@@ -262,7 +263,7 @@ class JdbcTable:
         return chunks
 
     def _pages(self, source: str, where: str, leading: Sequence[str], rows: int, count: int, first: int) -> list[Chunk]:
-        schema = self.sample_frame().schema
+        schema = self.frame().schema
         names = [*leading, *[f.name for f in schema if f.name not in leading and is_plain(f.dataType)]]
         columns = [vendors.quote(self.vendor, n) for n in names]
         return [
@@ -289,7 +290,7 @@ class JdbcTable:
 
     def statistics(self, columns: Sequence[str]) -> DataFrame:
         """As ``validation.statistics``, computed by the source in one query."""
-        schema = self.sample_frame().schema
+        schema = self.frame().schema
         items, types = ["COUNT(*) AS n_rows"], {"n_rows": T.LongType()}
         for i, name in enumerate(columns):
             data_type = schema[name].dataType

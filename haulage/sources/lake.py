@@ -10,18 +10,24 @@ from pyspark.sql import types as T
 
 from haulage.functions.ordering import quoted
 
+MAX_ROWS_PER_FILE = 5_000_000
+
 
 def table_folder(folder: str, table: str) -> str:
     return f"{folder.rstrip('/')}/{table}/"
 
 
 def write_chunks(df: DataFrame, folder: str, write_format: str) -> None:
-    """Write rows with their ``iteration``; only the folders of the iterations present are replaced."""
+    """Write rows with their ``iteration``; only the folders of the iterations present are replaced.
+
+    A chunk is one task, so its file is split by row count to stay readable in parallel.
+    """
     (
         df.write.format(write_format)
         .partitionBy("iteration")
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
         .save(folder)
     )
 

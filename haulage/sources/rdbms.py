@@ -71,6 +71,17 @@ class RdbmsTarget:
         df = reader.load().withColumnRenamed(NUMBER, "iteration")
         return df if iterations is None else df.filter(F.col("iteration").isin(list(iterations)))
 
+    def staged_counts(self, iterations: Sequence[int]) -> dict[int, int]:
+        """Rows per chunk in the staging table, counted by the database."""
+        listed = ", ".join(str(i) for i in iterations)
+        found = query_frame(
+            self.spark,
+            self.connection,
+            f"SELECT {self.number} AS chunk_number, COUNT(*) AS chunk_rows FROM {self.stage} "
+            f"WHERE {self.number} IN ({listed}) GROUP BY {self.number}",
+        )
+        return {r[0]: r[1] for r in found.collect()}
+
     def promote(self, columns: Sequence[str]) -> None:
         """Fill the target from the staging table in one transaction inside the database."""
         listed = ", ".join(quote(self.connection.vendor, c) for c in columns)

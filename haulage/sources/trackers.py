@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
@@ -47,7 +48,7 @@ class Trackers:
 
     def _read(self, folder: str, schema: T.StructType) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(folder)
+            return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(folder)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -74,4 +75,6 @@ class Trackers:
     def _append(self, rows: Sequence[dict], schema: T.StructType, folder: str) -> None:
         if rows:
             values = [tuple(r.get(n) for n in schema.fieldNames()) for r in rows]
-            self.spark.createDataFrame(values, schema).coalesce(1).write.mode("append").parquet(folder)
+            rows_of_append = self.spark.createDataFrame(values, schema).coalesce(1)
+            # a folder per append: jobs that write at the same time do not share a commit folder
+            rows_of_append.write.parquet(f"{folder}/{uuid.uuid4()}")

@@ -17,6 +17,13 @@ from pyspark.sql import types as T
 VENDORS = ("mysql", "maria", "postgres", "ibm", "mssql")
 MSSQL_SUFFIX = ";encrypt=true;trustServerCertificate=true"
 
+# mysql's driver would hold a whole result in memory without a cursor; Spark quotes names for
+# jdbc:mariadb: URLs in double quotes, which the session must accept as names
+SESSION_OPTIONS = {
+    "mysql": {"useCursorFetch": "true"},
+    "maria": {"sessionInitStatement": "SET SESSION sql_mode = CONCAT(@@sql_mode, ',ANSI_QUOTES')"},
+}
+
 
 def url_expression(vendor: Column, base: Column, database: Column) -> Column:
     """Connection URL over a work list."""

@@ -1,11 +1,13 @@
 """Sources, strategies and both jobs against an in-process database."""
 
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from haulage.operators import recovery
+from haulage.plans.copies import RdbmsCopy
 from haulage.plans.extract import Job, Load, extract_all, extract_table
 from haulage.plans.recover import recover
 from haulage.sources import lake, vendors
@@ -43,7 +45,7 @@ def table_of(spark, conn, monkeypatch, name, **facts):
 def check_chunks(spark, table, plan, strategy):
     assert plan.strategy == strategy
     rows = chunk_scan(spark, table.connection, table.name, plan.chunks)
-    whole = table.sample_frame()
+    whole = table.frame()
     assert rows.drop("iteration").exceptAll(whole).count() == 0
     assert whole.exceptAll(rows.drop("iteration")).count() == 0
     sizes = {r["iteration"]: r["count"] for r in rows.groupBy("iteration").count().collect()}
@@ -125,7 +127,7 @@ def test_extract_and_recover(spark, source, monkeypatch, lake_job, tmp_path):
     assert extract_table(spark, lake_job, load) == "Success"
     target = lake_job.target
     raw = spark.table(f"{target.raw_zone}.ORDERS").drop("iteration")
-    assert raw.exceptAll(table.sample_frame()).count() == 0 and raw.count() == 1500
+    assert raw.exceptAll(table.frame()).count() == 0 and raw.count() == 1500
     masked = spark.table(f"{target.masked_zone}.ORDERS_masked")
     assert masked.count() == 1500
     assert masked.filter("length(o_custkey) = 64 AND length(o_orderstatus) = 64").count() == 1500
@@ -148,7 +150,7 @@ def test_extract_and_recover(spark, source, monkeypatch, lake_job, tmp_path):
     lake_job.trackers.append_master(
         [{"log_id": 1, "table_key": "derby.ORDERS", "load_status": "Failed", "start_timestamp": now(), "end_timestamp": now()}]
     )
-    schema = table.sample_frame().schema
+    schema = table.frame().schema
     rubbish = lake.read_chunks(spark, folder, "parquet", schema, [0]).limit(7).collect()
     lake.write_chunks(spark.createDataFrame(rubbish, lake.read_chunks(spark, folder, "parquet", schema).schema), folder, "parquet")
     lake.delete_chunks(spark, folder, "parquet", [2])
@@ -157,7 +159,7 @@ def test_extract_and_recover(spark, source, monkeypatch, lake_job, tmp_path):
 
     assert recover(spark, lake_job, lambda log_id: load) == [1]
     again = lake.read_chunks(spark, folder, "parquet", schema).drop("iteration")
-    assert again.exceptAll(table.sample_frame()).count() == 0 and again.count() == 1500
+    assert again.exceptAll(table.frame()).count() == 0 and again.count() == 1500
     assert spark.table(f"{target.raw_zone}.ORDERS").count() == 1500
     assert spark.table(f"{target.masked_zone}.ORDERS_masked").count() == 1500
     assert lake_job.trackers.master_now().first()["load_status"] == "Success"
@@ -219,7 +221,8 @@ def test_run_isolates_tables_and_handles_empty_ones(spark, source, monkeypatch,
         Load(3, derby.spec("ORDERS"), source, ("no_such_column",)),
         Load(4, derby.spec("PART"), source),
     ]
-    found = {r["table_key"]: r["outcome"] for r in extract_all(spark, lake_job, loads).collect()}
+    together = replace(lake_job, tables_at_once=3)
+    found = {r["table_key"]: r["outcome"] for r in extract_all(spark, together, loads).collect()}
     assert found == {
         "derby.NOTHING": "Successful Validation",
         "derby.MISSING": "Unsuccessful Extraction",
@@ -236,7 +239,7 @@ def test_database_target(spark, source, monkeypatch, lake_job):
     there = derby.connection()
     job = Job(Target("rdbms", None, None), lake_job.trackers, 9, 0.4, 3, 1, "s", there, "APP")
     assert extract_table(spark, job, orders_load(source, ["o_orderpriority"])) == "Success"
-    whole = table.sample_frame()
+    whole = table.frame()
     landed = query_frame(spark, there, 'SELECT * FROM "APP"."ORDERS"')
     assert landed.exceptAll(whole).count() == 0 and landed.count() == 1500
     masked = query_frame(spark, there, 'SELECT * FROM "APP"."ORDERS_masked"')
@@ -247,6 +250,11 @@ def test_database_target(spark, source, monkeypatch, lake_job):
     assert again.count() == 400
     target.write_chunks(again, [1])
     assert target.staged().count() == 1500
+    # a chunk whose rows were inserted twice is noticed
+    copy = RdbmsCopy(spark, there, "ORDERS", whole.schema, "APP")
+    derby.run(spark, there, 'INSERT INTO "APP"."ORDERS_STAGE" SELECT * FROM "APP"."ORDERS_STAGE" WHERE "ITERATION" = 1')
+    with pytest.raises(RuntimeError, match="chunks .1."):
+        copy.settle({0: 400, 1: 400})
 
 
 def test_config_and_exports(spark, tmp_path):
