@@ -28,7 +28,8 @@ SAMPLE_PER_BUCKET = 16
 MIN_BUCKETS = 8
 MAX_BUCKETS = 4096
 ROWS_PER_BUCKET = 1_000_000
-MIN_ROWS_PER_BUCKET = 256
+MIN_ROWS_PER_BUCKET = 1024
+BUCKETS_PER_PAGE = 16
 MAX_LITERAL_CUTS = 4096
 MAX_LITERAL_BYTES = 4 << 20
 MAX_LITERAL_PARTITIONS = 2048
@@ -37,8 +38,8 @@ COPIES_PER_STEP = 4096
 
 
 def bucket_count(total: int, pages: int) -> int:
-    """A few buckets per page, so that only a share of them holds a page edge; neither tiny nor too many."""
-    wanted = max(min(4 * pages, total // MIN_ROWS_PER_BUCKET), total // ROWS_PER_BUCKET, MIN_BUCKETS)
+    """Many buckets per page, so that few of them hold a page edge and get sorted; none tiny."""
+    wanted = max(min(BUCKETS_PER_PAGE * pages, total // MIN_ROWS_PER_BUCKET), total // ROWS_PER_BUCKET, MIN_BUCKETS)
     return min(wanted, MAX_BUCKETS)
 
 
