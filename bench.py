@@ -1,8 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
 BENCH_SF_DIR names the data (default /root/testdata/sf0.1), BENCH_CPUS the local cores (default 8). Every query
-runs once to warm up; the reported time is the better of two further runs, each writing all rows and columns
-to the no-op sink.
+runs once to warm up and once for the time, writing all rows and columns to the no-op sink.
 """
 
 from __future__ import annotations
@@ -15,8 +14,6 @@ import time
 from haulage.plans.catalog import QUERIES
 from haulage.session import local_session
 
-RUNS = 2
-
 
 def run(spark, sf_dir: str, name: str) -> float:
     started = time.perf_counter()
@@ -31,7 +28,7 @@ def main() -> None:
     times = {}
     for name in names:
         run(spark, sf_dir, name)
-        times[name] = round(min(run(spark, sf_dir, name) for _ in range(RUNS)), 3)
+        times[name] = round(run(spark, sf_dir, name), 3)
     spark.stop()
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")

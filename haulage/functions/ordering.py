@@ -50,9 +50,6 @@ class Cuts:
     def __len__(self) -> int:
         return len(self.rows)
 
-    def text_bytes(self) -> int:
-        return sum(len(v) for row in self.rows for v in row if v is not None)
-
     def literal(self) -> Column:
         names = [f"c{i}" for i in range(len(self.columns))]
         body = json.dumps([dict(zip(names, row)) for row in self.rows])

@@ -54,12 +54,23 @@ def _shortest(rows: Sequence[Sequence]) -> int:
     return next((n for n in range(1, width) if len({tuple(r[:n]) for r in rows}) == whole), width)
 
 
-def _telling_prefix(sample: DataFrame, keys: Sequence[str]) -> list[str]:
-    """The keys worth comparing. Wide values are looked at as hashes, they do not travel to the driver."""
-    if len(keys) == 1 or all(not isinstance(sample.schema[k].dataType, T.StringType) for k in keys):
-        return list(keys)
+def _telling_prefix(sample: DataFrame, keys: Sequence[str]) -> tuple[list[str], int]:
+    """The keys worth comparing, and the average bytes of their text values.
+
+    Text is looked at as hash and length only; it does not travel to the driver here.
+    """
+    text = [isinstance(sample.schema[k].dataType, T.StringType) for k in keys]
+    if not any(text):
+        return list(keys), 0
     hashes = [F.xxhash64(F.col(quoted(k))).alias(f"h{i}") for i, k in enumerate(keys)]
-    return list(keys[: _shortest(sample.select(*hashes).collect())])
+    widths = [
+        (F.coalesce(F.octet_length(quoted(k)), F.lit(0)) if t else F.lit(0)).alias(f"w{i}")
+        for i, (k, t) in enumerate(zip(keys, text))
+    ]
+    rows = sample.select(*hashes, *widths).collect()
+    used = _shortest([r[: len(keys)] for r in rows])
+    travelling = sum(sum(r[len(keys) : len(keys) + used]) for r in rows)
+    return list(keys[:used]), travelling // max(1, len(rows))
 
 
 @dataclass(frozen=True)
@@ -90,7 +101,12 @@ def sample_cuts(
     """Evenly spaced cuts from a bounded sample, plus the start of every source partition."""
     wanted = SAMPLE_PER_BUCKET * buckets
     sample = keyed.sample(wanted / total, SAMPLE_SEED) if total > wanted else keyed
-    used = _telling_prefix(sample, keys)
+    used, width = _telling_prefix(sample, keys)
+    if width * wanted > MAX_LITERAL_BYTES:
+        # wide text: fewer buckets, so that sample and cuts stay a few megabytes
+        wanted = max(MAX_LITERAL_BYTES // width, 4 * MIN_BUCKETS)
+        buckets = max(min(buckets, wanted // 4), MIN_BUCKETS)
+        sample = keyed.sample(wanted / total, SAMPLE_SEED) if total > wanted else keyed
     picked = sample.select(*[quoted(k) for k in used], F.lit(False).alias("opens"))
     if starts is not None:
         opening = [quoted(used[0])] + [f"cast(NULL AS {keyed.schema[k].dataType.simpleString()}) AS {quoted(k)}" for k in used[1:]]

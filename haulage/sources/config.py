@@ -28,6 +28,9 @@ class Target:
     raw_zone: str = "raw"
     masked_zone: str = "masked"
 
+    def __post_init__(self) -> None:
+        object.__setattr__(self, "kind", self.kind.lower())
+
 
 def read_target(spark: SparkSession, path: str, **zones: str) -> Target:
     """First row of a CSV with header; columns are found by name, whatever their order."""
@@ -39,7 +42,7 @@ def read_target(spark: SparkSession, path: str, **zones: str) -> Target:
     found = row.asDict()
     values = {c: found.get(c) for c in TARGET_COLUMNS}
     return Target(
-        kind=(values["target_kind"] or "").lower(),
+        kind=values["target_kind"] or "",
         write_format=values["write_format"],
         folder=values["folder_structure"],
         masked_folder=values["masked_folder_structure"],

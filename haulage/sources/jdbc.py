@@ -71,11 +71,6 @@ def query_frame(spark: SparkSession, connection: Connection, sql: str) -> DataFr
     return spark.read.format("jdbc").options(**connection.options()).option("query", sql).load()
 
 
-def scalar(spark: SparkSession, connection: Connection, sql: str):
-    row = query_frame(spark, connection, sql).first()
-    return None if row is None else row[0]
-
-
 def chunk_scan(spark: SparkSession, connection: Connection, table: str, chunks: Sequence[Chunk]) -> DataFrame:
     """The rows of several chunks in one frame, one source query and one task per chunk."""
     if all(c.predicate is not None for c in chunks):

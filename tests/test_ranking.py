@@ -126,3 +126,16 @@ def test_partitioned_rows(spark, monkeypatch, limit, literal):
     keys = ["v", "k", "at", "x"]
     got = ranking.assign_pages(df, keys, 70, unique=False, partition="v", literal_pages=literal)
     same(got, brute(df, keys, 70, "v"))
+
+
+@pytest.mark.parametrize("n, moved", [(30, False), (2, True)])
+def test_wide_text_keys_stay_small_on_the_driver(table, monkeypatch, n, moved):
+    """Long texts as leading key: fewer buckets, and rows are ranked once the borders' text is over the limit."""
+    documents = table("documents").select("text", "doc_id", "lang")
+    keys = ["text", "doc_id", "lang"]
+    monkeypatch.setattr(ranking, "MAX_LITERAL_BYTES", 20_000)
+    cuts, _ = ranking.sample_cuts(documents, keys, documents.count(), 64)
+    assert len(cuts) < 63
+    got = ranking.assign_pages(documents, keys, n, unique=False)
+    assert ("Window" in got._jdf.queryExecution().executedPlan().toString()) == moved
+    same(got, brute(documents, keys, n))
