@@ -1 +1,119 @@
-CHECKS: dict[str, str] = {}
+"""DuckDB SQL for the results of those registered queries that SQL can express.
+
+Not expressible: op1 and op3 (tokenizer), op5 (XXH64), op7 (hash keys of the sample), op9 (training). Tests compare them with
+plain versions.
+"""
+
+from __future__ import annotations
+
+from haulage.llm import line_dedup, quality, secrets
+
+
+def text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def secret_hits(kind_no: int, pattern: str, group: int) -> str:
+    """Every match of one kind with its text before, length and value."""
+    p = text(pattern)
+    return f"""SELECT doc_id, owner, {kind_no} AS kind_no, i, m[i] AS found, v[i] AS value,
+length(g[i]) + length(m[i]) AS used FROM (
+  SELECT doc_id, owner, regexp_extract_all(body, {p}) AS m, regexp_extract_all(body, {p}, {group}) AS v,
+  string_split_regex(body, {p}) AS g FROM docs), unnest(range(1, len(m) + 1)) AS u(i)"""
+
+
+HITS = " UNION ALL ".join(
+    [
+        secret_hits(0, secrets.ASSIGN, 2),
+        secret_hits(1, rf"AKIA[A-Z0-9]{{{secrets.ACCESS_LEAST - 4},}}", 0),
+        secret_hits(2, rf"[0-9a-f]{{{secrets.HEX_LEAST},}}", 0),
+        secret_hits(3, secrets.OWNED_RUN, 0),
+    ]
+)
+
+SECRETS = f"""WITH docs AS (SELECT doc_id, source AS owner, coalesce(text, '') AS body FROM documents),
+hits AS ({HITS}),
+ended AS (SELECT *, CAST(sum(used) OVER (PARTITION BY doc_id, kind_no ORDER BY i) AS BIGINT) AS ends FROM hits),
+spans AS (SELECT doc_id, owner, kind_no, ends - length(found) AS starts, ends, value FROM ended
+  WHERE CASE kind_no WHEN 0 THEN length(value) >= {secrets.ASSIGN_LEAST}
+    WHEN 3 THEN regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') ELSE true END),
+free AS (SELECT * FROM spans s WHERE kind_no <> 3 OR NOT EXISTS (
+  SELECT 1 FROM spans b WHERE b.doc_id = s.doc_id AND b.kind_no <> 3 AND b.starts < s.ends AND s.starts < b.ends)),
+spread AS (SELECT value, count(DISTINCT coalesce(owner, chr(0))) AS n_owners FROM free GROUP BY value),
+kept AS (SELECT free.*, n_owners, starts || ':' || ends AS place,
+  list_extract(['assign', 'access', 'hex', 'owned'], kind_no + 1) AS kind
+  FROM free JOIN spread USING (value) WHERE kind_no <> 3 OR n_owners = 1),
+rows_ AS (SELECT doc_id, count(*) FILTER (kind_no = 0) AS n_assign, count(*) FILTER (kind_no = 1) AS n_access,
+  count(*) FILTER (kind_no = 2) AS n_hex, count(*) FILTER (kind_no = 3) AS n_owned,
+  string_agg(kind || ':' || place, ',' ORDER BY starts, kind_no) FILTER (kind_no <> 3) AS base,
+  string_agg(kind || ':' || place, ',' ORDER BY starts, kind_no) AS spans,
+  count(*) FILTER (n_owners < 2) AS n_live, count(*) FILTER (n_owners >= 2) AS n_example FROM kept GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_owned, 0) AS n_owned,
+coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example FROM docs d LEFT JOIN rows_ USING (doc_id)"""
+
+REJECTED = " OR ".join(
+    "coalesce(" + rule.rejects.replace("'[^A-Z]', ''", "'[^A-Z]', '', 'g'").replace("'[^A-Za-z]', ''", "'[^A-Za-z]', '', 'g'") + ", false)"
+    for rule in quality.RULES
+)
+
+QUALITY = f"""WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+split AS (SELECT *, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM docs),
+windows AS (SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS g FROM split, unnest(range(1, len(w) - 6)) AS u(i)),
+twice AS (SELECT doc_id, g FROM windows GROUP BY doc_id, g HAVING count(*) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM windows JOIN twice USING (doc_id, g), range(8) AS r(k) GROUP BY doc_id),
+measured AS (SELECT doc_id, text, CAST(len(w) AS BIGINT) AS n_words,
+  CAST(length(translate(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS BIGINT) AS word_chars,
+  CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, CAST(len(l) AS BIGINT) AS n_lines,
+  CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+  len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_echoes FROM split LEFT JOIN covered USING (doc_id)),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+NOT base_failed AND NOT ({REJECTED}) AS kept FROM judged"""
+
+TOP_K = """WITH vectors AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v))
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores) WHERE place <= 10"""
+
+LINES = f"""WITH shown AS (SELECT page_id, url, regexp_replace(html, {text(line_dedup.HIDDEN)}, chr(10), 'g') AS body FROM pages),
+cut AS (SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+  trim(regexp_replace(regexp_replace(regexp_replace(body, {text(line_dedup.LINE_TAGS)}, chr(10), 'g'), '<[^>]*>', '', 'g'),
+  '\\n{{2,}}', chr(10), 'g'), chr(10)) AS whole FROM shown),
+lines AS (SELECT page_id, host, i, l[i] AS line, trim(l[i], ' ' || chr(9) || chr(13)) AS bare FROM (
+  SELECT page_id, host, string_split(whole, chr(10)) AS l FROM cut), unnest(range(1, len(l) + 1)) AS u(i)),
+totals AS (SELECT host, count(*) AS n_pages FROM cut GROUP BY host),
+frequent AS (SELECT host, bare, count(DISTINCT page_id) AS n FROM lines WHERE bare <> '' GROUP BY host, bare),
+dropped AS (SELECT host, bare FROM frequent JOIN totals USING (host) WHERE n >= 10 AND n > 0.1 * n_pages),
+kept AS (SELECT page_id, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM lines ANTI JOIN dropped USING (host, bare)
+  GROUP BY page_id),
+counted AS (SELECT page_id, count(*) AS n_lines FROM lines GROUP BY page_id)
+SELECT page_id, host, coalesce(n_lines, 0) AS n_lines, coalesce(n_lines, 0) - coalesce(n, 0) AS n_dropped,
+CASE WHEN whole IS NULL THEN NULL ELSE coalesce(text, '') END AS text
+FROM cut LEFT JOIN counted USING (page_id) LEFT JOIN kept USING (page_id)"""
+
+CHAT = """WITH named AS (SELECT conv_id, CAST(floor(turn / 256) AS BIGINT) AS section, turn, coalesce(role, 'unknown') AS speaker,
+  coalesce(text, '') AS body FROM conversations),
+said AS (SELECT *, row_number() OVER (PARTITION BY conv_id, section ORDER BY turn NULLS LAST, speaker, body) AS n FROM named),
+who AS (SELECT DISTINCT conv_id AS c, speaker AS assistant FROM named WHERE speaker <> 'system'),
+parts AS (SELECT said.*, assistant, speaker = assistant AS own,
+  '<|im_start|>' || CASE WHEN speaker = assistant THEN 'assistant' WHEN speaker = 'system' THEN 'system'
+  ELSE 'user name=' || regexp_replace(speaker, '[\\s<>|]', '_', 'g') END || chr(10) AS head,
+  regexp_replace(body, '<(\\|im_(?:start|end)\\|>)', '< \\1', 'g') || '<|im_end|>' AS told
+  FROM said JOIN who ON conv_id IS NOT DISTINCT FROM c),
+placed AS (SELECT *, CAST(sum(length(head) + length(told) + 1) OVER (PARTITION BY conv_id, section, assistant ORDER BY n) AS BIGINT)
+  - length(told) - 1 AS starts FROM parts)
+SELECT conv_id, section, assistant, count(*) AS n_turns, count(*) FILTER (own) AS n_own,
+coalesce(string_agg(starts || '-' || (starts + length(told)), ',' ORDER BY n) FILTER (own), '') AS mask,
+string_agg(head || told || chr(10), '' ORDER BY n) AS text FROM placed GROUP BY conv_id, section, assistant"""
+
+CHECKS: dict[str, str] = {
+    "op2_secret_scan": SECRETS,
+    "op4_quality_rules": QUALITY,
+    "op6_exact_top_k": TOP_K,
+    "op8_line_dedup": LINES,
+    "op10_chat_perspectives": CHAT,
+}

@@ -125,7 +125,7 @@ def borders(narrow: DataFrame, weights, share: float, most: float) -> DataFrame:
     running = F.sum("n").over(Window.partitionBy("b_source").orderBy("bucket"))
     at_border = staging.staged(
         sums.withColumn("before", running - F.col("n"))
-        .filter("before <= missing AND missing < before + n")
+        .filter("missing > 0 AND before <= missing AND missing < before + n")
         .selectExpr("b_source AS c_source", "bucket AS border_bucket", "before"),
         "mixing-border",
     )

@@ -49,7 +49,7 @@ def from_planes(rows: np.ndarray, n: int, planes: str) -> np.ndarray:
     if planes == "byte":
         return np.ascontiguousarray(rows.T).view("<u4").reshape(-1)
     bits = np.unpackbits(rows, axis=1, count=n, bitorder="little")
-    return np.packbits(bits.T, axis=1, bitorder="little").view("<u4").reshape(-1)
+    return np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view("<u4").reshape(-1)
 
 
 def encode_chunk(ids: np.ndarray, block_ids: int, planes: str, level: int = 3) -> tuple[bytes, list[int]]:

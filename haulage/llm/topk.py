@@ -13,8 +13,8 @@ one row of a join by the chunk's group, each task keeps the best k per query whi
 
 Vectors that are null, or hold null or non-finite components, take no part. A query is compared with vectors
 of its own length only; an empty vector scores 0 with other empty vectors. Equal scores rank by smaller id.
-A query's own row is left out by id, so a repeated row with the query's id is left out too and repeated candidates each
-count. Components whose products might pass 2^53 are summed as Python integers and scores saturate at the
+A query's own row is left out by id, so a repeated row with the query's id is left out too. Equal query rows are
+answered once; repeated candidates each count. Components whose products might pass 2^53 are summed as Python integers and scores saturate at the
 limits of a long. Empty tables give no rows.
 """
 
@@ -145,7 +145,7 @@ def top_k(
     groups = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # Every chunk goes to one group; every block of queries to all groups.
     chunks = chunks.withColumn("g", F.pmod(F.xxhash64("c_ids"), F.lit(groups)).cast("int"))
-    blocks = packed(took_part.filter(is_query).coalesce(max(1, groups // 8)), QUERY_ROWS).withColumn(
+    blocks = packed(took_part.filter(is_query).distinct(), QUERY_ROWS).withColumn(
         "g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
     )
 
