@@ -84,7 +84,9 @@ def drop_boilerplate(
 
 def clean_pages(pages: DataFrame, ratio: float = 0.1, min_pages: int = 10) -> DataFrame:
     """page_id, host, n_lines, n_dropped, text of web pages (page_id, url, html)."""
-    done = drop_boilerplate(pages, html_text(F.col("html")), host_of(F.col("url")), ratio, min_pages)
+    texts = pages.select("page_id", html_text(F.col("html")).alias("text"), host_of(F.col("url")).alias("host"))
+    texts = staging.staged(texts, "line-dedup-pages")  # tags are taken off once
+    done = drop_boilerplate(texts, F.col("text"), F.col("host"), ratio, min_pages)
     return done.selectExpr("row.page_id", "host", "n_lines", "n_dropped", "text")
 
 
