@@ -41,8 +41,9 @@ SAMPLE_CHARACTERS = 12_000_000
 ROUNDS = 5
 #: Windows learned from in a round, about; a small sample is gone through up to twelve times.
 EXAMPLES = 12_000
-#: Share of the words of a training batch whose word vectors are left out, so that letters alone must do.
-WORD_DROPOUT = 0.5
+#: Word vectors are learned for words of so many training texts at least, and in each batch left out for a share of
+#: them, so that letters must do: rare words would be learned by heart.
+WORD_TEXTS, WORD_DROPOUT = 4, 0.5
 #: Texts scored at once, by characters: bounds the memory of a task.
 SCORED_CHARACTERS = 250_000
 
@@ -145,8 +146,8 @@ class Network:
         normal = lambda *shape, scale: (random.standard_normal(shape) * scale).astype(np.float32)
         return Network(
             {
-                "word": normal(WORD_BUCKETS, WORD_SIZE, scale=0.1),
-                "gram": normal(GRAM_BUCKETS, GRAM_SIZE, scale=0.3),
+                "word": np.zeros((WORD_BUCKETS, WORD_SIZE), np.float32),
+                "gram": normal(GRAM_BUCKETS, GRAM_SIZE, scale=0.03),
                 "inputs": normal(2, INPUT, 3 * HIDDEN, scale=INPUT**-0.5),
                 "states": normal(2, HIDDEN, 3 * HIDDEN, scale=HIDDEN**-0.5),
                 "bias": np.zeros((2, 3 * HIDDEN), np.float32),
@@ -319,6 +320,9 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS, seed: int
     codes, text = windows(batch)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.weights.items()}
     scores, step = first_choice(batch, codes, text, labels), 0
+    owner = np.repeat(np.arange(len(labels)), np.diff(batch.text_starts))
+    pairs = np.unique(owner * max(1, len(batch.word)) + batch.codes)
+    common = np.bincount(pairs % max(1, len(batch.word)), minlength=len(batch.word)) >= WORD_TEXTS
     for turn in range(rounds):
         one = highest(scores, text, 1 if turn else 2)
         two = highest(scores, text, 3)
@@ -333,7 +337,7 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS, seed: int
                 some = order[at : at + 128]
                 words, inverse = np.unique(codes[chosen[some]], return_inverse=True)
                 part = subset(batch, words[words >= 0])
-                part.known = random.random(len(part.word)) >= WORD_DROPOUT
+                part.known = common[words[words >= 0]] & (random.random(len(part.word)) >= WORD_DROPOUT)
                 local = inverse.reshape(len(some), WORDS) - int(words[0] < 0)
                 g = network.gradients(part, local, target[some], weight[some].astype(np.float32))
                 step += 1
