@@ -8,24 +8,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulage.functions.ordering import is_plain, quoted
 from haulage.operators import ranking
 
-SMALL_MANIFEST = 100_000
 IMAGE = "__image_"
+SIGN = "__sign_"
 
 
 def total_order(df: DataFrame, leading: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """The leading columns, then every other column; values without an order are ordered by their text."""
+    """The leading columns, then every other column; values without an order are ordered by their text.
+
+    Grouping takes -0.0 for 0.0, so a floating column is followed by a key that tells them apart.
+    """
+    reserved = [c for c in df.columns if c.startswith((IMAGE, SIGN))]
+    if reserved:
+        raise ValueError(f"columns {reserved} have names that paging uses")
     keys, images = [], {}
     for name in [*leading, *[c for c in df.columns if c not in leading]]:
         data_type = df.schema[name].dataType
         if is_plain(data_type):
             keys.append(name)
+            if isinstance(data_type, (T.FloatType, T.DoubleType)):
+                images[SIGN + name] = F.col(quoted(name)).cast("string") == "-0.0"
+                keys.append(SIGN + name)
             continue
         column = F.col(quoted(name))
         text = F.hex(column) if isinstance(data_type, T.BinaryType) else F.to_json(F.struct(column))
@@ -35,7 +44,13 @@ def total_order(df: DataFrame, leading: Sequence[str]) -> tuple[DataFrame, list[
 
 
 def _without_images(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith(IMAGE)])
+    """The rows as they came: signs of zero put back, helping columns gone."""
+    signs = {
+        name: F.when(F.col(quoted(SIGN + name)), F.lit(-0.0).cast(df.schema[name].dataType)).otherwise(F.col(quoted(name)))
+        for name in df.columns
+        if SIGN + name in df.columns
+    }
+    return df.withColumns(signs).drop(*[c for c in df.columns if c.startswith((IMAGE, SIGN))])
 
 
 def _manifest(edges: DataFrame, shown: Sequence[str]) -> DataFrame:
@@ -117,14 +132,9 @@ def pack_values(counts: DataFrame, column: str, chunk_rows: int) -> DataFrame:
     chunks = packed.groupBy("heavies_before", "heavy", group.alias("pack")).agg(
         F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_values"), F.min("v").alias("lo"), F.max("v").alias("hi")
     )
-    most = 6 * (stats["rows"] or 0) // chunk_rows + 3
     shift = 1 if stats["has_null"] else 0
-    if most <= SMALL_MANIFEST:
-        number = F.row_number().over(Window.orderBy("lo")) - 1
-        numbered = chunks.withColumn("iteration", number)
-    else:
-        ones = chunks.withColumn("one", F.lit(1).cast("bigint")).checkpoint()
-        numbered = ranking.running_totals(ones, ["lo"], {"iteration": "one"})
+    ones = chunks.withColumn("one", F.lit(1).cast("bigint")).checkpoint()
+    numbered = ranking.running_totals(ones, ["lo"], {"iteration": "one"})
     result = numbered.select(
         (F.col("iteration") + shift).cast("int").alias("iteration"),
         "n_rows",

@@ -1,4 +1,4 @@
-"""Which chunks to run again, and how a load is closed afterwards. No loop over loads or chunks."""
+"""Which chunks to run again, and how a load is closed afterwards: plans over whole trackers."""
 
 from __future__ import annotations
 
@@ -7,21 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulage.operators.tracking import FAIL, LOAD_FAILED, LOAD_SUCCESS, PASS, chunk_tracker_latest
+from haulage.operators.tracking import (
+    FAIL,
+    LOAD_FAILED,
+    LOAD_RUNNING,
+    LOAD_SUCCESS,
+    PASS,
+    PENDING,
+    chunk_tracker_latest,
+)
 
-MAX_LISTED_CHUNKS = 4096
+#: States of a copy that still has to be made.
+OPEN = (FAIL, PENDING)
 
 
 def failed_logs(master: DataFrame) -> DataFrame:
-    return master.filter(F.col("load_status") == LOAD_FAILED).select("log_id").distinct()
+    """Loads that failed, and those that never came to an end: their job broke off."""
+    return master.filter(F.col("load_status").isin(LOAD_FAILED, LOAD_RUNNING)).select("log_id").distinct()
 
 
 def failed_chunks(history: DataFrame, logs: DataFrame, order: Sequence[str] = ("end_timestamp",)) -> DataFrame:
-    """Chunks of the given loads whose raw or masked copy failed in its last attempt.
+    """Chunks of the given loads whose raw or masked copy failed in its last attempt or was never tried.
 
     Other loads' attempts are dropped before the last ones are looked for.
     """
-    failed = (F.col("write_status") == FAIL) | (F.col("mask_write_status") == FAIL)
+    failed = F.col("write_status").isin(*OPEN) | F.col("mask_write_status").isin(*OPEN)
     return chunk_tracker_latest(history.join(logs, "log_id", "left_semi"), order).filter(failed)
 
 
@@ -29,9 +39,9 @@ def recovery_plan(failed: DataFrame) -> DataFrame:
     """What each failed chunk needs: its raw copy, its masked copy, or both, each once."""
     return failed.withColumns(
         {
-            "masking_applies": F.coalesce(F.col("mask_write_status").isin(FAIL, PASS), F.lit(False)),
-            "rerun_raw": F.col("write_status").eqNullSafe(FAIL),
-            "rerun_masked": F.col("mask_write_status").eqNullSafe(FAIL),
+            "masking_applies": F.coalesce(F.col("mask_write_status").isin(*OPEN, PASS), F.lit(False)),
+            "rerun_raw": F.coalesce(F.col("write_status").isin(*OPEN), F.lit(False)),
+            "rerun_masked": F.coalesce(F.col("mask_write_status").isin(*OPEN), F.lit(False)),
         }
     )
 
@@ -47,22 +57,17 @@ def republish(plan: DataFrame) -> DataFrame:
 def replay(landed: DataFrame, source_chunks: DataFrame, rerun: DataFrame) -> DataFrame:
     """The landed table once the chunks to rerun (column iteration) are replaced by fresh source rows.
 
-    The few numbers of a rerun become a filter, so neither side is shuffled and chunk folders are pruned;
-    very many of them are joined instead.
+    Numbers are joined; Spark broadcasts them if their measured size allows it, and then neither side is shuffled.
     """
     again = rerun.select("iteration").distinct()
-    numbers = [r["iteration"] for r in again.limit(MAX_LISTED_CHUNKS + 1).collect()]
-    if len(numbers) > MAX_LISTED_CHUNKS:
-        kept = landed.join(again, "iteration", "left_anti")
-        return kept.unionByName(source_chunks.join(again, "iteration", "left_semi"))
-    wanted = F.col("iteration").isin(numbers) if numbers else F.lit(False)
-    return landed.filter(~wanted).unionByName(source_chunks.filter(wanted))
+    kept = landed.join(again, "iteration", "left_anti")
+    return kept.unionByName(source_chunks.join(again, "iteration", "left_semi"))
 
 
 def close_loads(chunks: DataFrame) -> DataFrame:
-    """Roll the latest chunk states up: a load succeeds if none of its chunks is failed."""
-    failed = F.coalesce(F.col("write_status") == FAIL, F.lit(False)) | F.coalesce(
-        F.col("mask_write_status") == FAIL, F.lit(False)
+    """Roll the latest chunk states up: a load succeeds if none of its chunks is failed or still to be tried."""
+    failed = F.coalesce(F.col("write_status").isin(*OPEN), F.lit(False)) | F.coalesce(
+        F.col("mask_write_status").isin(*OPEN), F.lit(False)
     )
     return chunks.groupBy("log_id").agg(
         F.count(F.lit(1)).alias("n_chunks"),

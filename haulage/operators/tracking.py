@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 # The chunk tracker's columns, in order, and the states stored in it.
 PASS = "PASS"
 FAIL = "FAIL"
+#: Ours: a planned chunk that has not been tried yet, and one that a later plan of its load no longer has.
+PENDING = "PENDING"
+REMOVED = "REMOVED"
+LOAD_RUNNING = "Running"
 LOAD_FAILED = "Failed"
 LOAD_SUCCESS = "Success"
 CHUNK_TRACKER_SCHEMA = T.StructType(
@@ -36,6 +40,15 @@ CHUNK_TRACKER_SCHEMA = T.StructType(
         T.StructField("iteration", T.IntegerType()),
     ]
 )
+#: Ours: error texts of chunks, beside the fixed columns.
+ERROR_SCHEMA = T.StructType(
+    [
+        T.StructField("log_id", T.IntegerType()),
+        T.StructField("iteration", T.IntegerType()),
+        T.StructField("at", T.TimestampNTZType()),
+        T.StructField("message", T.StringType()),
+    ]
+)
 MASTER_TRACKER_SCHEMA = T.StructType(
     [
         T.StructField("log_id", T.IntegerType()),

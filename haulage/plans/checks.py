@@ -86,7 +86,7 @@ numbered AS (SELECT v, n, CAST(dense_rank() OVER (ORDER BY pack) - 1
 _PACKED_MANIFEST = """SELECT iteration, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_values,
 min(v) AS lo_o_custkey, max(v) AS hi_o_custkey FROM numbered GROUP BY iteration"""
 
-HISTORY = """history AS (SELECT CAST(l_orderkey AS INTEGER) AS log_id, CAST(l_suppkey % 5 AS INTEGER) AS source_id,
+HISTORY = """history AS (SELECT CAST(l_orderkey % 2147483647 AS INTEGER) AS log_id, CAST(l_suppkey % 5 AS INTEGER) AS source_id,
   'SELECT * FROM t WHERE k = ' || l_partkey AS query, 'public' AS schema_name, 'sales' AS database_name,
   CASE l_suppkey % 5 WHEN 0 THEN 'mysql' WHEN 1 THEN 'maria' WHEN 2 THEN 'postgres' WHEN 3 THEN 'ibm' ELSE 'mssql' END AS rdbms_type,
   'table_' || (l_orderkey % 50) AS table_name, 'source_' || (l_suppkey % 5) AS source_name, 'blob' AS write_detail,
@@ -105,7 +105,7 @@ def latest(history: str) -> str:
   ORDER BY end_timestamp DESC, chunk_size DESC, write_sub_detail DESC) AS nth FROM {history}) WHERE nth = 1"""
 
 
-MASTER = """master AS (SELECT CAST(o_custkey AS INTEGER) AS log_id, 'cust_' || o_custkey AS table_key,
+MASTER = """master AS (SELECT CAST(o_custkey % 2147483647 AS INTEGER) AS log_id, 'cust_' || o_custkey AS table_key,
   CASE o_orderstatus WHEN 'F' THEN 'Failed' WHEN 'O' THEN 'Success' ELSE 'Partial Success' END AS load_status,
   o_orderdate AS end_timestamp, o_orderkey AS attempt FROM orders),
 master_now AS (SELECT * EXCLUDE (nth) FROM (SELECT *, row_number() OVER (PARTITION BY log_id
@@ -284,6 +284,10 @@ SELECT o.*, numbered.iteration FROM o JOIN numbered ON o.o_custkey IS NOT DISTIN
         ["l_returnflag", "l_linestatus", "l_linenumber"],
         7000,
     ),
+    "chunk_limit_offset_zeros": """SELECT l_linenumber, CAST(z AS VARCHAR) AS z,
+CAST(floor((row_number() OVER (ORDER BY l_linenumber, negative) - 1) / 7000) AS INTEGER) AS iteration
+FROM (SELECT l_linenumber, l_quantity % 2 = 0 AS negative,
+  CASE WHEN l_quantity % 2 = 0 THEN CAST('-0.0' AS DOUBLE) ELSE CAST('0.0' AS DOUBLE) END AS z FROM lineitem)""",
     "mask_columns": """SELECT table_key, count(*) AS n_masked, string_agg(column_name, ',' ORDER BY column_name) AS columns
 FROM (SELECT DISTINCT 'cust_' || o_custkey AS table_key,
   'col_' || o_orderstatus || '_' || substr(o_orderpriority, 1, 1) AS column_name FROM orders)
@@ -319,13 +323,20 @@ rerun_raw, rerun_masked FROM failed""",
 bool_or(rerun_masked) AS republish_masked FROM failed GROUP BY log_id""",
     "recovery_close": f"""WITH {FAILED},
 reruns AS (SELECT * EXCLUDE (masking_applies, rerun_raw, rerun_masked) REPLACE (
-  end_timestamp + INTERVAL 1 HOUR AS end_timestamp, 'PASS' AS write_status,
-  CASE WHEN masking_applies THEN 'PASS' END AS mask_write_status) FROM failed WHERE iteration <= 3),
+  end_timestamp + INTERVAL 1 HOUR AS end_timestamp, CASE WHEN chunk_size % 7 = 0 THEN 'FAIL' ELSE 'PASS' END AS write_status,
+  CASE WHEN masking_applies THEN CASE WHEN chunk_size % 7 = 0 THEN 'FAIL' ELSE 'PASS' END END AS mask_write_status) FROM failed),
 everything AS (SELECT * FROM history UNION ALL SELECT * FROM reruns),
 after AS ({latest("everything")})
 SELECT log_id, count(*) AS n_chunks,
 CAST(sum(CASE WHEN write_status = 'FAIL' OR mask_write_status = 'FAIL' THEN 1 ELSE 0 END) AS BIGINT) AS n_failed,
 CASE WHEN bool_or(write_status = 'FAIL' OR coalesce(mask_write_status = 'FAIL', false)) THEN 'Failed' ELSE 'Success' END AS load_status,
 max(end_timestamp) AS end_timestamp FROM after GROUP BY log_id""",
+    "recovery_pending": f"""WITH {HISTORY},
+planned AS (SELECT * REPLACE (TIMESTAMP '1970-01-01 00:00:00' AS end_timestamp, 'PENDING' AS write_status,
+  CASE WHEN mask_write_status IS NOT NULL THEN 'PENDING' END AS mask_write_status) FROM history),
+tried AS (SELECT * FROM planned UNION ALL SELECT * FROM history WHERE chunk_size % 10 <> 0),
+now_there AS ({latest("tried")})
+SELECT log_id, iteration, query, mask_write_status IS NOT NULL AS masking_applies, true AS rerun_raw,
+mask_write_status IS NOT NULL AS rerun_masked FROM now_there WHERE write_status = 'PENDING'""",
     "recovery_rewrite": paged("orders", ["o_orderkey"], "(SELECT ceil(count(*) / 5) FROM orders)"),
 }

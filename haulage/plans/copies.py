@@ -41,6 +41,10 @@ class LakeCopy:
         emptied = [number for number, n in rows.items() if not n]
         lake.delete_chunks(self.spark, self.folder, self.format, emptied)
 
+    def keep_first(self, chunks: int) -> None:
+        """Remove chunks of an earlier, longer plan."""
+        lake.delete_from(self.spark, self.folder, self.format, chunks)
+
     def publish(self) -> str:
         return lake.publish(self.spark, self.zone, self.published_as, self.schema, self.folder, self.format)
 
@@ -76,6 +80,9 @@ class RdbmsCopy:
         if wrong:
             raise RuntimeError(f"staged rows of chunks {wrong} differ from the rows read")
 
+    def keep_first(self, chunks: int) -> None:
+        self.target.delete_from(chunks)
+
     def publish(self) -> str:
         self.target.promote(self.schema.fieldNames())
         return self.target.table

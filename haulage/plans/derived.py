@@ -10,13 +10,31 @@ from haulage.operators.validation import Sides
 from haulage.sources.vendors import VENDORS
 
 SALT = "haulage"
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-).split()
+#: The given tables. Stated, so that opening one costs no job that reads file footers.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+TABLES = tuple(SCHEMAS)
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def vendor_of(number: str):
@@ -76,11 +94,16 @@ def partition_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts
 
 
+def bounded(key: str):
+    """A log_id, which is a fixed int column, from a bigint key: keys below 2^31 - 1 stay as they are."""
+    return F.expr(f"cast({key} % 2147483647 as int)")
+
+
 def chunk_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunk tracker with natural repeats: a line item is one attempt at chunk (order, line number)."""
     failed = F.col("l_returnflag") == "R"
     return load(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").cast("int").alias("log_id"),
+        bounded("l_orderkey").alias("log_id"),
         F.expr("cast(l_suppkey % 5 as int)").alias("source_id"),
         F.concat(F.lit("SELECT * FROM t WHERE k = "), "l_partkey").alias("query"),
         F.lit("public").alias("schema_name"),
@@ -115,7 +138,7 @@ def chunks_now(spark: SparkSession, sf_dir: str) -> DataFrame:
 def master_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Master tracker: one load per customer, one status update per order."""
     return load(spark, sf_dir, "orders").select(
-        F.col("o_custkey").cast("int").alias("log_id"),
+        bounded("o_custkey").alias("log_id"),
         F.concat(F.lit("cust_"), "o_custkey").alias("table_key"),
         F.expr("CASE o_orderstatus WHEN 'F' THEN 'Failed' WHEN 'O' THEN 'Success' ELSE 'Partial Success' END").alias(
             "load_status"
@@ -128,7 +151,8 @@ def master_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sides(spark: SparkSession, sf_dir: str) -> list[Sides]:
     """Landed copies, good and faulty, built through the chunk plan where the table has a key."""
     orders = load(spark, sf_dir, "orders")
-    landed_orders = chunking.clustered_rows(orders, ["o_orderkey"], 4000).drop("iteration")
+    # the filter keeps the chunk numbers in the plan: a row without one would be missing on the landed side
+    landed_orders = chunking.clustered_rows(orders, ["o_orderkey"], 4000).filter("iteration >= 0").drop("iteration")
     order_masks = ["o_custkey", "o_orderpriority"]
     customer = load(spark, sf_dir, "customer")
     landed_customer = chunking.clustered_rows(customer, ["c_custkey"], 400).filter("iteration <> 1").drop("iteration")

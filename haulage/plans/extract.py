@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulage.operators import masking, validation
-from haulage.operators.tracking import FAIL, LOAD_FAILED
+from haulage.operators.tracking import FAIL, LOAD_FAILED, LOAD_RUNNING, PENDING, REMOVED
 from haulage.operators.validation import FAILED, PARTIAL, SUCCESS, Sides
 from haulage.plans.copies import Copy, LakeCopy, RdbmsCopy
-from haulage.plans.waves import Outcome, run_wave, split
+from haulage.plans.waves import Outcome, first_line, run_wave, split
 from haulage.sources.config import Target
 from haulage.sources.jdbc import Chunk, ChunkPlan, Connection, JdbcTable, TableSpec, chunk_scan
 from haulage.sources.trackers import Trackers, now
@@ -32,6 +32,7 @@ class Job:
     salt: str = field(default="", repr=False)
     target_connection: Connection | None = field(default=None, repr=False)
     target_schema: str | None = None
+    wave_tasks: int = 4_096
 
 
 @dataclass(frozen=True)
@@ -46,6 +47,8 @@ class Load:
 
 def copies(spark: SparkSession, job: Job, load: Load, table: JdbcTable) -> tuple[Copy, Copy | None]:
     """Raw and masked copy; a masked column is text, whatever it was before."""
+    if load.masked_columns and not job.salt:
+        raise ValueError("masked columns need a salt: unsalted hashes of short values can be looked up")
     schema = table.frame().schema
     hidden = masking.masked_projection(table.frame(), load.masked_columns, "").schema
     name = load.spec.table
@@ -89,7 +92,7 @@ def copy_chunks(
 ) -> bool:
     """Run all waves; True if every chunk and its masked copy passed."""
     good = True
-    for wave in split(plan.chunks, job.wave_chunks):
+    for wave in split(plan.chunks, job.wave_chunks, job.wave_tasks):
         started = now()
         outcomes = run_wave(
             wave,
@@ -104,10 +107,35 @@ def copy_chunks(
                 for c in wave
             ]
         )
+        record_errors(job, load, outcomes)
         good = good and all(FAIL not in (o.write_status, o.mask_write_status) for o in outcomes.values())
     return good
 
 
+def record_errors(job: Job, load: Load, outcomes: dict[int, Outcome]) -> None:
+    failed = [
+        {"log_id": load.log_id, "iteration": number, "at": now(), "message": outcome.message}
+        for number, outcome in outcomes.items()
+        if outcome.message is not None
+    ]
+    job.trackers.append_errors(failed)
+
+
+def record_plan(job: Job, load: Load, plan: ChunkPlan, masked: Copy | None) -> None:
+    """Before the first wave: every planned chunk, so that a job that breaks off can be completed from the trackers.
+
+    Chunks of an earlier plan with more of them are recorded as removed.
+    """
+    started = now()
+    planned = Outcome(write_status=PENDING, mask_write_status=PENDING if masked is not None else None)
+    rows = [tracker_row(job, load, c, planned, plan.strategy, plan.chunk_rows, started) for c in plan.chunks]
+    known = job.trackers.chunk_history().filter(F.col("log_id") == load.log_id).agg(F.max("iteration")).first()[0]
+    gone = Outcome(write_status=REMOVED)
+    surplus = range(len(plan.chunks), (-1 if known is None else known) + 1)
+    rows += [tracker_row(job, load, Chunk(n, ""), gone, plan.strategy, plan.chunk_rows, started) for n in surplus]
+    job.trackers.append_chunks(rows)
+
+
 def validate(table: JdbcTable, load: Load, raw: Copy, masked: Copy | None) -> str:
     source = table.frame()
     side = Sides(
@@ -132,15 +160,21 @@ def extract_table(spark: SparkSession, job: Job, load: Load) -> str:
     started = now()
     table = JdbcTable(spark, load.connection, load.spec)
     raw, masked = copies(spark, job, load, table)
+    record_load(job, load, started, LOAD_RUNNING, None)
     plan = table.plan(job.cluster_threshold_mb)
+    record_plan(job, load, plan, masked)
     complete = True
     if plan.table_count < 1:
         for copy in (raw, masked):
             if copy is not None:
                 copy.write_empty()
+                copy.keep_first(0)
         status = SUCCESS
     else:
         complete = copy_chunks(spark, job, load, table, plan, raw, masked)
+        for copy in (raw, masked):
+            if copy is not None:
+                copy.keep_first(len(plan.chunks))
         status = validate(table, load, raw, masked) if complete else FAILED
     publish(job, raw, masked, status)
     record_load(job, load, started, status if complete else LOAD_FAILED, None)
@@ -170,7 +204,7 @@ def extract_all(spark: SparkSession, job: Job, loads: Sequence[Load]) -> DataFra
         try:
             return load.spec.table_key, extract_table(spark, job, load), None
         except Exception as error:
-            message = (str(error).splitlines() or [type(error).__name__])[0]
+            message = first_line(error)
             record_load(job, load, started, LOAD_FAILED, message)
             return load.spec.table_key, None, message
 

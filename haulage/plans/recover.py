@@ -9,9 +9,19 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from haulage.operators import masking, recovery
-from haulage.operators.tracking import PASS
-from haulage.plans.extract import Job, Load, record_load, copies, tracker_row
-from haulage.plans.waves import Outcome, run_masked, run_raw, split
+from haulage.operators.tracking import LOAD_FAILED, LOAD_SUCCESS, PASS
+from haulage.plans.extract import (
+    Job,
+    Load,
+    copies,
+    extract_table,
+    publish,
+    record_errors,
+    record_load,
+    tracker_row,
+    validate,
+)
+from haulage.plans.waves import Outcome, first_line, run_masked, run_raw, split
 from haulage.sources.config import recoverable
 from haulage.sources.jdbc import Chunk, JdbcTable, query_frame
 from haulage.sources.trackers import now
@@ -25,8 +35,8 @@ def _stored(spark: SparkSession, load: Load, chunks: Sequence[Chunk]) -> DataFra
     return reduce(DataFrame.union, frames)
 
 
-def rerun(spark: SparkSession, job: Job, load: Load, rows: list[Row]) -> tuple[bool, bool]:
-    """Rerun what each chunk needs, wave by wave; returns which copies were touched."""
+def rerun(spark: SparkSession, job: Job, load: Load, rows: list[Row]) -> None:
+    """Rerun what each chunk needs, wave by wave."""
     table = JdbcTable(spark, load.connection, load.spec)
     raw, masked = copies(spark, job, load, table)
     todo = {r["iteration"]: r for r in rows}
@@ -47,6 +57,7 @@ def rerun(spark: SparkSession, job: Job, load: Load, rows: list[Row]) -> tuple[b
             for number, again in run_raw(lost, lambda some: _stored(spark, load, some), raw).items():
                 outcomes[number].read_status = again.read_status
                 outcomes[number].write_status = again.write_status
+                outcomes[number].message = again.message
         hidden = [
             c for c in wave if todo[c.iteration]["rerun_masked"] and outcomes[c.iteration].write_status == PASS
         ]
@@ -71,32 +82,53 @@ def rerun(spark: SparkSession, job: Job, load: Load, rows: list[Row]) -> tuple[b
                 for c in wave
             ]
         )
-    return any(r["rerun_raw"] for r in rows), any(r["rerun_masked"] for r in rows)
+        record_errors(job, load, outcomes)
 
 
-def recover(spark: SparkSession, job: Job, load_of: Callable[[int], Load]) -> list[int]:
-    """Rerun every failed chunk of every failed load; returns the loads that were worked on.
+def complete(spark: SparkSession, job: Job, load: Load, rows: list[Row], tracked: bool) -> None:
+    """Bring one load to its end: rerun what is open, validate the whole table, publish, close."""
+    started = now()
+    if not tracked:  # it broke off before its chunks were planned
+        extract_table(spark, job, load)
+        return
+    if rows:
+        rerun(spark, job, load, rows)
+    table = JdbcTable(spark, load.connection, load.spec)
+    raw, masked = copies(spark, job, load, table)
+    state = recovery.close_loads(job.trackers.chunks_now().filter(F.col("log_id") == load.log_id)).first()
+    for copy in (raw, masked):
+        if copy is not None:
+            copy.keep_first(job.trackers.planned(load.log_id))
+    status = validate(table, load, raw, masked) if state["load_status"] == LOAD_SUCCESS else LOAD_FAILED
+    publish(job, raw, masked, status)
+    record_load(job, load, started, status, None)
+
 
-    ``load_of`` gives table, connection and masked columns of a load by its log_id.
+def recover(spark: SparkSession, job: Job, load_of: Callable[[int], Load | None]) -> list[int]:
+    """Bring every load that failed or broke off to its end; returns the loads that were worked on.
+
+    ``load_of`` gives table, connection and masked columns of a load by its log_id; a load it does not know stays
+    as it is. A load that raises is recorded as failed and the others go on. Do not run it beside an extraction of the
+    same loads: a load that is still running looks like one that broke off.
     """
     if not recoverable(job.target):
         raise ValueError("recovery needs a lake target with account, container, key, format and a folder")
     logs = recovery.failed_logs(job.trackers.master_now())
-    plan = recovery.recovery_plan(recovery.failed_chunks(job.trackers.chunk_history(), logs))
-    found = [r["log_id"] for r in plan.select("log_id").distinct().orderBy("log_id").collect()]
-    for log_id in found:
+    history = job.trackers.chunk_history()
+    tracked = {r["log_id"] for r in history.join(logs, "log_id", "left_semi").select("log_id").distinct().collect()}
+    # tracker rows of open chunks, not data; read once for all loads
+    rows: dict[int, list[Row]] = {}
+    for row in recovery.recovery_plan(recovery.failed_chunks(history, logs)).collect():
+        rows.setdefault(row["log_id"], []).append(row)
+    done = []
+    for log_id in sorted(r["log_id"] for r in logs.collect()):
         load = load_of(log_id)
+        if load is None:
+            continue
+        done.append(log_id)
         started = now()
-        # the failed chunks of one load: tracker rows, not data
-        rows = plan.filter(F.col("log_id") == log_id).collect()
-        again_raw, again_masked = rerun(spark, job, load, rows)
-        table = JdbcTable(spark, load.connection, load.spec)
-        raw, masked = copies(spark, job, load, table)
-        if again_raw:
-            raw.publish()
-        if again_masked and masked is not None:
-            masked.publish()
-        state = recovery.close_loads(job.trackers.chunks_now().filter(F.col("log_id") == log_id)).first()
-        record_load(job, load, started, state["load_status"], None)
-    return found
-
+        try:
+            complete(spark, job, load, rows.get(log_id, []), log_id in tracked)
+        except Exception as error:
+            record_load(job, load, started, LOAD_FAILED, first_line(error))
+    return done

@@ -27,9 +27,23 @@ class Outcome:
     message: str | None = None
 
 
-def split(chunks: Sequence[Chunk], size: int) -> Iterator[Sequence[Chunk]]:
-    for at in range(0, len(chunks), size):
-        yield chunks[at : at + size]
+def first_line(error: Exception) -> str:
+    return (str(error).splitlines() or [""])[0] or type(error).__name__
+
+
+def split(chunks: Sequence[Chunk], size: int, tasks: int = 4_096) -> Iterator[Sequence[Chunk]]:
+    """Waves of at most ``size`` chunks and, unless one chunk alone has more, at most ``tasks`` source queries."""
+    wave: list[Chunk] = []
+    queries = 0
+    for chunk in chunks:
+        parts = max(1, len(chunk.parts))
+        if wave and (len(wave) == size or queries + parts > tasks):
+            yield wave
+            wave, queries = [], 0
+        wave.append(chunk)
+        queries += parts
+    if wave:
+        yield wave
 
 
 def _write(read: Callable[[], DataFrame], copy: Copy, chunks: Sequence[Chunk]) -> None:
@@ -73,7 +87,7 @@ def run_raw(chunks: Sequence[Chunk], read: Reader, raw: Copy) -> dict[int, Outco
         outcomes[chunk.iteration] = Outcome(
             read_status=PASS if readable else FAIL,
             write_status=PASS if error is None else FAIL,
-            message=None if error is None else str(error).splitlines()[0],
+            message=None if error is None else first_line(error),
         )
     return outcomes
 
@@ -92,7 +106,7 @@ def run_masked(chunks: Sequence[Chunk], raw: Copy, masked: Copy, mask: Mask) ->
         outcomes[chunk.iteration] = Outcome(
             mask_read_status=PASS if readable else FAIL,
             mask_write_status=PASS if error is None else FAIL,
-            message=None if error is None else str(error).splitlines()[0],
+            message=None if error is None else first_line(error),
         )
     return outcomes
 

@@ -9,8 +9,14 @@ from pyspark.sql import types as T
 
 # Columns of the target file, all text.
 TARGET_COLUMNS = (
-    "target_kind write_format account_name container_name access_key folder_structure masked_folder_structure"
-).split()
+    "target_kind",
+    "write_format",
+    "account_name",
+    "container_name",
+    "access_key",
+    "folder_structure",
+    "masked_folder_structure",
+)
 TARGET_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in TARGET_COLUMNS])
 
 

@@ -16,7 +16,9 @@ from haulage.operators import chunking, decision, discovery, profile, ranking
 from haulage.sources import vendors
 
 KEY_SCAN_ROWS = 2_000_000
-MAX_KEY_SCANS = 32
+RESERVED = "__"
+#: Rows of a chunk that one task reads, about.
+TASK_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -51,11 +53,15 @@ class TableSpec:
 
 @dataclass(frozen=True)
 class Chunk:
-    """One restartable unit: the query that reads it, and its key range if it has one."""
+    """One restartable unit: the query that reads it, its key range if it has one, and the parts of that range.
+
+    Parts are disjoint and make up the range; each is read by a task of its own.
+    """
 
     iteration: int
     query: str
     predicate: str | None = None
+    parts: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -72,16 +78,17 @@ def query_frame(spark: SparkSession, connection: Connection, sql: str) -> DataFr
 
 
 def chunk_scan(spark: SparkSession, connection: Connection, table: str, chunks: Sequence[Chunk]) -> DataFrame:
-    """The rows of several chunks in one frame, one source query and one task per chunk."""
+    """The rows of several chunks in one frame; one source query and one task per part of a chunk."""
     if all(c.predicate is not None for c in chunks):
+        parts = [(c.iteration, part) for c in chunks for part in c.parts or (c.predicate,)]
         reader = spark.read.jdbc(
             connection.url,
             table,
-            predicates=[c.predicate for c in chunks],
+            predicates=[part for _, part in parts],
             properties={k: v for k, v in connection.options().items() if k != "url"},
         )
         # the scan has exactly one partition per predicate, in order
-        number = lookup([c.iteration for c in chunks], F.spark_partition_id())
+        number = lookup([number for number, _ in parts], F.spark_partition_id())
         return reader.withColumn("iteration", number.cast("int"))
     frames = [query_frame(spark, connection, c.query).withColumn("iteration", F.lit(c.iteration)) for c in chunks]
     return reduce(DataFrame.union, frames)
@@ -90,11 +97,12 @@ def chunk_scan(spark: SparkSession, connection: Connection, table: str, chunks:
 class JdbcTable:
     """A source table seen through its connection."""
 
-    def __init__(self, spark: SparkSession, connection: Connection, spec: TableSpec):
+    def __init__(self, spark: SparkSession, connection: Connection, spec: TableSpec, task_rows: int = TASK_ROWS):
         self.spark = spark
         self.connection = connection
         self.spec = spec
         self.vendor = connection.vendor
+        self.task_rows = task_rows
         self.name = vendors.table_name(self.vendor, spec.table, spec.schema)
 
     def frame(self) -> DataFrame:
@@ -142,11 +150,14 @@ class JdbcTable:
         sql = vendors.CATALOG[self.vendor].partitions
         if sql is None:
             return []
-        names = [r["partition_name"] for r in self._catalog(sql).select("partition_name").collect()]
+        names = {r["partition_name"] for r in self._catalog(sql).select("partition_name").collect()}
         return sorted(names) if len(names) >= 2 else []
 
     def plan(self, cluster_threshold_mb: float) -> ChunkPlan:
         """Profile, discover, choose the strategy and lay out the chunks."""
+        taken = [c for c in self.frame().columns if c.lower() == "iteration" or c.startswith(RESERVED)]
+        if taken:
+            raise ValueError(f"columns {taken} of {self.spec.table} have names that chunks use; read them under others")
         count, size_mb, average = self.profile()
         if count < 1:
             return ChunkPlan("empty", 0, 1, ())
@@ -199,7 +210,7 @@ class JdbcTable:
     def _key_frame(self, keys: Sequence[str], count: int) -> DataFrame:
         """Key columns only, read in parallel strides of a numeric leading key, written once to shared storage."""
         frame = self.frame().select(*[quoted(k) for k in keys])
-        scans = min(MAX_KEY_SCANS, -(-count // KEY_SCAN_ROWS))
+        scans = -(-count // KEY_SCAN_ROWS)
         if scans > 1 and isinstance(frame.schema[keys[0]].dataType, T.IntegralType):
             name = vendors.quote(self.vendor, keys[0])
             ends = self._query(f"SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM {self.name}").toDF("lo", "hi").first()
@@ -216,28 +227,37 @@ class JdbcTable:
 
     def _key_chunks(self, keys: list[str], rows: int, count: int) -> list[Chunk]:
         fields = [T.StructField(f.name, f.dataType, False) for f in self._fields(keys)]
-        sql = vendors.boundary_query(self.vendor, self.name, keys, rows)
+        # several borders inside each chunk: a chunk is what restarts, its parts are what tasks read
+        part = min(rows, self.task_rows)
+        tasks = -(-rows // part)
+        sql = vendors.boundary_query(self.vendor, self.name, keys, rows, part)
         if sql is not None:
             found = self._query(sql)
             texts = [key_text(F.col(quoted(k)), found.schema[k].dataType).alias(f"c{i}") for i, k in enumerate(keys)]
             borders = found.orderBy("rn").select(*texts).collect()
             lows = [tuple(r) for r in borders]
-            return self._range_chunks(fields, lows, source_order=True)
+            return self._range_chunks(fields, lows, source_order=True, tasks=tasks)
         frame = self._key_frame(keys, count)
-        edges = ranking.page_edges(frame, keys, rows, unique=True)
+        tasks = next(n for n in range(tasks, 0, -1) if rows % n == 0)  # pages are of one size here
+        edges = ranking.page_edges(frame, keys, rows // tasks, unique=True)
         texts = [key_text(F.col("lo")[k], frame.schema[k].dataType).alias(f"c{i}") for i, k in enumerate(keys)]
         borders = edges.orderBy("iteration").select(*texts).collect()
-        return self._range_chunks(fields, [tuple(r) for r in borders])
+        return self._range_chunks(fields, [tuple(r) for r in borders], tasks=tasks)
 
     def _range_chunks(
-        self, fields: list[T.StructField], lows: list[tuple], first: int = 0, source_order: bool = False
+        self, fields: list[T.StructField], lows: list[tuple], first: int = 0, source_order: bool = False, tasks: int = 1
     ) -> list[Chunk]:
         """Ranges in the order the borders were found in: the source's own, or Spark's binary one."""
-        found = ranges(self.vendor, fields, lows, binary=not source_order)
-        return [self._where(first + i, text) for i, text in enumerate(found)]
+        found = ranges(self.vendor, fields, lows[::tasks], binary=not source_order)
+        if tasks == 1:
+            return [self._where(first + i, text) for i, text in enumerate(found)]
+        parts = ranges(self.vendor, fields, lows, binary=not source_order)
+        return [
+            self._where(first + i, text, tuple(parts[i * tasks : (i + 1) * tasks])) for i, text in enumerate(found)
+        ]
 
-    def _where(self, iteration: int, predicate: str) -> Chunk:
-        return Chunk(iteration, f"SELECT * FROM {self.name} WHERE {predicate}", predicate)
+    def _where(self, iteration: int, predicate: str, parts: tuple[str, ...] = ()) -> Chunk:
+        return Chunk(iteration, f"SELECT * FROM {self.name} WHERE {predicate}", predicate, parts)
 
     def _index_chunks(self, counts: DataFrame, column: str, rows: int) -> list[Chunk]:
         manifest = chunking.pack_values(counts, column, rows)

@@ -70,6 +70,21 @@ def delete_chunks(spark: SparkSession, folder: str, write_format: str, iteration
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def delete_from(spark: SparkSession, folder: str, write_format: str, first: int) -> None:
+    """Remove the files of all chunks numbered ``first`` and above: what a plan with more chunks had left."""
+    if write_format == "delta":
+        spark.sql(f"DELETE FROM delta.`{folder}` WHERE iteration >= {first}")
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return
+    for found in system.listStatus(path):
+        name, _, number = found.getPath().getName().partition("=")
+        if name == "iteration" and number.isdigit() and int(number) >= first:
+            system.delete(found.getPath(), True)
+
+
 def publish(
     spark: SparkSession, database: str, table: str, schema: T.StructType, folder: str, write_format: str
 ) -> str:

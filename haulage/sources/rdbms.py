@@ -71,6 +71,12 @@ class RdbmsTarget:
         df = reader.load().withColumnRenamed(NUMBER, "iteration")
         return df if iterations is None else df.filter(F.col("iteration").isin(list(iterations)))
 
+    def delete_from(self, first: int) -> None:
+        """Remove staged chunks numbered ``first`` and above."""
+        if table_exists(self.spark, self.connection, self.stage):
+            with _statements(self.spark, self.connection) as execute:
+                execute(f"DELETE FROM {self.stage} WHERE {self.number} >= {first}")
+
     def staged_counts(self, iterations: Sequence[int]) -> dict[int, int]:
         """Rows per chunk in the staging table, counted by the database."""
         listed = ", ".join(str(i) for i in iterations)

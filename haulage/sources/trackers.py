@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from haulage.operators.tracking import CHUNK_TRACKER_SCHEMA, MASTER_TRACKER_SCHEMA, latest
+from haulage.operators.tracking import CHUNK_TRACKER_SCHEMA, ERROR_SCHEMA, MASTER_TRACKER_SCHEMA, REMOVED, latest
 
 # The text form of times and the columns that exports carry as text.
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -45,6 +45,7 @@ class Trackers:
         self.spark = spark
         self.chunk_folder = f"{folder.rstrip('/')}/chunks"
         self.master_folder = f"{folder.rstrip('/')}/master"
+        self.error_folder = f"{folder.rstrip('/')}/errors"
 
     def _read(self, folder: str, schema: T.StructType) -> DataFrame:
         try:
@@ -66,6 +67,18 @@ class Trackers:
     def master_now(self) -> DataFrame:
         return latest(self.master_history(), ["log_id"], ["end_timestamp"])
 
+    def planned(self, log_id: int) -> int:
+        """Chunks in the load's last plan: one more than the highest number that was not removed since."""
+        now_there = self.chunks_now().filter((F.col("log_id") == log_id) & ~F.col("write_status").eqNullSafe(REMOVED))
+        last = now_there.agg(F.max("iteration")).first()[0]
+        return 0 if last is None else last + 1
+
+    def errors(self) -> DataFrame:
+        return self._read(self.error_folder, ERROR_SCHEMA)
+
+    def append_errors(self, rows: Sequence[dict]) -> None:
+        self._append(rows, ERROR_SCHEMA, self.error_folder)
+
     def append_chunks(self, rows: Sequence[dict]) -> None:
         self._append(rows, CHUNK_TRACKER_SCHEMA, self.chunk_folder)
 

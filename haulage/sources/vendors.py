@@ -6,6 +6,7 @@ columns of one fixed shape. ``derby`` is the in-process database of the tests.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,6 +18,9 @@ from pyspark.sql import types as T
 VENDORS = ("mysql", "maria", "postgres", "ibm", "mssql")
 MSSQL_SUFFIX = ";encrypt=true;trustServerCertificate=true"
 
+#: Offset at the end of a time: Z, or hours ahead of or behind it.
+ZONE = re.compile(r"(?:Z|[+-]\d{2}:?\d{2}(?::?\d{2})?)$")
+
 # mysql's driver would hold a whole result in memory without a cursor; Spark quotes names for
 # jdbc:mariadb: URLs in double quotes, which the session must accept as names
 SESSION_OPTIONS = {
@@ -70,7 +74,7 @@ def literal(vendor: str, text: str, data_type: T.DataType) -> str:
     if isinstance(data_type, T.DateType):
         return f"CAST('{text}' AS DATE)" if vendor == "mssql" else f"DATE '{text}'" if vendor != "derby" else f"DATE('{text}')"
     if isinstance(data_type, T.TimestampType):
-        zone_free = text.split("+")[0].rstrip("Z").replace("T", " ")
+        zone_free = ZONE.sub("", text).replace("T", " ")
         return literal(vendor, zone_free, T.TimestampNTZType())
     if isinstance(data_type, T.TimestampNTZType):
         if vendor == "mssql":
@@ -122,12 +126,17 @@ def page_query(vendor: str, table: str, columns: Sequence[str], offset: int, row
     return f"SELECT * FROM {table} ORDER BY {order} OFFSET {offset} ROWS FETCH NEXT {rows} ROWS ONLY"
 
 
-def boundary_query(vendor: str, table: str, keys: Sequence[str], chunk_rows: int) -> str | None:
-    """First key of every chunk, found by the source along its own key index; None where it cannot."""
+def boundary_query(
+    vendor: str, table: str, keys: Sequence[str], chunk_rows: int, part_rows: int | None = None
+) -> str | None:
+    """First key of every chunk and of every part of it, found by the source along its own key index; None where it cannot."""
     if vendor == "derby":
         return None
     columns = ", ".join(quote(vendor, k) for k in keys)
-    first = f"(rn - 1) % {chunk_rows} = 0" if vendor == "mssql" else f"MOD(rn - 1, {chunk_rows}) = 0"
+    in_chunk = f"(rn - 1) % {chunk_rows}" if vendor == "mssql" else f"MOD(rn - 1, {chunk_rows})"
+    if part_rows is not None and part_rows < chunk_rows:
+        in_chunk = f"({in_chunk}) % {part_rows}" if vendor == "mssql" else f"MOD({in_chunk}, {part_rows})"
+    first = f"{in_chunk} = 0"
     numbered = f"SELECT {columns}, ROW_NUMBER() OVER (ORDER BY {columns}) AS rn FROM {table}"
     return f"SELECT {columns}, rn FROM ({numbered}) numbered WHERE {first}"
 
@@ -138,7 +147,7 @@ def partition_source(vendor: str, table: str, schema: str | None, partition: str
     if vendor in ("mysql", "maria"):
         return f"{name} PARTITION ({quote(vendor, partition)})"
     if vendor == "postgres":
-        return table_name(vendor, partition, schema)
+        return partition  # quoted, with its own schema, by the catalog query
     if vendor == "mssql":
         return f"{name} WHERE {partition}"
     raise ValueError(f"no partition reads for {vendor}")
@@ -165,7 +174,7 @@ WHERE constraint_name = 'PRIMARY' AND table_schema = {database} AND table_name =
 DENSE_RANK() OVER (ORDER BY index_name) * 1000 + seq_in_index AS position
 FROM information_schema.statistics
 WHERE index_name <> 'PRIMARY' AND table_schema = {database} AND table_name = {table}""",
-    partitions="""SELECT partition_name AS partition_name FROM information_schema.partitions
+    partitions="""SELECT DISTINCT partition_name AS partition_name FROM information_schema.partitions
 WHERE partition_name IS NOT NULL AND table_schema = {database} AND table_name = {table}""",
 )
 
@@ -179,7 +188,8 @@ CATALOG: dict[str, CatalogQueries] = {
     "mysql": _MYSQL,
     "maria": _MYSQL,
     "postgres": CatalogQueries(
-        size="""SELECT pg_table_size(c.oid) / 1048576.0 AS table_size_mb
+        size="""SELECT COALESCE((SELECT SUM(pg_table_size(t.relid)) FROM pg_partition_tree(c.oid) t),
+pg_table_size(c.oid)) / 1048576.0 AS table_size_mb
 FROM pg_class c JOIN pg_namespace n ON n.oid = c.relnamespace
 WHERE n.nspname = {schema} AND c.relname = {table}""",
         keys=_STANDARD_KEYS,
@@ -189,10 +199,10 @@ FROM pg_index i JOIN pg_class c ON c.oid = i.indrelid JOIN pg_namespace n ON n.o
 CROSS JOIN LATERAL unnest(i.indkey) WITH ORDINALITY AS k(attnum, place)
 JOIN pg_attribute a ON a.attrelid = c.oid AND a.attnum = k.attnum
 WHERE NOT i.indisprimary AND n.nspname = {schema} AND c.relname = {table}""",
-        partitions="""SELECT part.relname AS partition_name FROM pg_inherits h
+        partitions="""SELECT quote_ident(own.nspname) || '.' || quote_ident(part.relname) AS partition_name FROM pg_inherits h
 JOIN pg_class parent ON parent.oid = h.inhparent JOIN pg_class part ON part.oid = h.inhrelid
-JOIN pg_namespace n ON n.oid = parent.relnamespace
-WHERE n.nspname = {schema} AND parent.relname = {table}""",
+JOIN pg_namespace n ON n.oid = parent.relnamespace JOIN pg_namespace own ON own.oid = part.relnamespace
+WHERE parent.relkind = 'p' AND n.nspname = {schema} AND parent.relname = {table}""",
     ),
     "mssql": CatalogQueries(
         size="""SELECT SUM(a.total_pages) * 8 / 1024.0 AS table_size_mb
@@ -219,8 +229,9 @@ JOIN sys.columns c ON c.object_id = ic.object_id AND c.column_id = ic.column_id
 WHERE p.index_id IN (0, 1) AND s.name = {schema} AND t.name = {table}""",
     ),
     "ibm": CatalogQueries(
-        size="""SELECT DATA_OBJECT_P_SIZE / 1024.0 AS table_size_mb FROM SYSIBMADM.ADMINTABINFO
-WHERE TABSCHEMA = {schema} AND TABNAME = {table}""",
+        size="""SELECT SUM(DATA_OBJECT_P_SIZE + LONG_OBJECT_P_SIZE + LOB_OBJECT_P_SIZE + XML_OBJECT_P_SIZE) / 1024.0
+AS table_size_mb FROM SYSIBMADM.ADMINTABINFO
+WHERE TABSCHEMA = {schema} AND TABNAME = {table} HAVING COUNT(*) > 0""",
         keys="""SELECT k.COLNAME AS column_name, k.COLSEQ AS ordinal_position
 FROM SYSCAT.TABCONST c JOIN SYSCAT.KEYCOLUSE k
 ON k.CONSTNAME = c.CONSTNAME AND k.TABSCHEMA = c.TABSCHEMA AND k.TABNAME = c.TABNAME

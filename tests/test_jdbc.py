@@ -10,9 +10,10 @@ from haulage.operators import recovery
 from haulage.plans.copies import RdbmsCopy
 from haulage.plans.extract import Job, Load, extract_all, extract_table
 from haulage.plans.recover import recover
+from haulage.plans.waves import split
 from haulage.sources import lake, vendors
 from haulage.sources.config import Target, connection_rows, read_target, recoverable
-from haulage.sources.jdbc import JdbcTable, chunk_scan, query_frame
+from haulage.sources.jdbc import Chunk, JdbcTable, chunk_scan, query_frame
 from haulage.sources.rdbms import RdbmsTarget
 from haulage.sources.trackers import Trackers, read_chunk_export
 from tests import derby
@@ -74,6 +75,24 @@ def test_clustered(spark, source, monkeypatch):
     assert sizes == {0: 400, 1: 400, 2: 400, 3: 300}
 
 
+def test_a_chunk_is_read_by_several_tasks(spark, source, monkeypatch):
+    monkeypatch.setitem(vendors.CATALOG, "derby", derby.catalog(keys=["o_orderkey"], size=1.5))
+    table = JdbcTable(spark, source, derby.spec("ORDERS"), task_rows=100)
+    plan = table.plan(0.4)
+    assert [len(c.parts) for c in plan.chunks] == [4, 4, 4, 3]
+    assert check_chunks(spark, table, plan, "clustered") == {0: 400, 1: 400, 2: 400, 3: 300}
+    scan = chunk_scan(spark, source, table.name, plan.chunks)
+    assert scan.rdd.getNumPartitions() == 15
+    assert scan.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] == 100
+
+
+def test_waves_are_bounded_by_queries_too():
+    chunks = [Chunk(i, "q", "p", ("x",) * 5) for i in range(7)]
+    assert [len(w) for w in split(chunks, 3, 100)] == [3, 3, 1]
+    assert [len(w) for w in split(chunks, 3, 10)] == [2, 2, 2, 1]
+    assert [len(w) for w in split(chunks, 3, 1)] == [1] * 7
+
+
 def test_composite(spark, source, monkeypatch):
     key = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
     table = table_of(spark, source, monkeypatch, "LINEITEM", keys=key, size=6)
@@ -132,7 +151,9 @@ def test_extract_and_recover(spark, source, monkeypatch, lake_job, tmp_path):
     assert masked.count() == 1500
     assert masked.filter("length(o_custkey) = 64 AND length(o_orderstatus) = 64").count() == 1500
     history = lake_job.trackers.chunk_history()
-    assert history.count() == 4 and history.filter("write_status = 'PASS' AND mask_write_status = 'PASS'").count() == 4
+    assert history.count() == 8 and history.filter("write_status = 'PASS' AND mask_write_status = 'PASS'").count() == 4
+    assert history.filter("write_status = 'PENDING' AND mask_write_status = 'PENDING'").count() == 4
+    history = lake_job.trackers.chunks_now()
 
     # break the load: two raw chunks and one masked chunk
     folder = lake.table_folder(target.folder, "ORDERS")
@@ -164,7 +185,7 @@ def test_extract_and_recover(spark, source, monkeypatch, lake_job, tmp_path):
     assert spark.table(f"{target.masked_zone}.ORDERS_masked").count() == 1500
     assert lake_job.trackers.master_now().first()["load_status"] == "Success"
     # only the failed chunks were run again
-    assert lake_job.trackers.chunk_history().count() == 4 + 4 + 2
+    assert lake_job.trackers.chunk_history().count() == 4 + 4 + 4 + 2
     assert recover(spark, lake_job, lambda log_id: load) == []
 
 
@@ -186,6 +207,7 @@ def test_bad_chunk_is_isolated(spark, source, monkeypatch, lake_job):
     states = {r["iteration"]: (r["read_status"], r["write_status"], r["mask_write_status"]) for r in lake_job.trackers.chunks_now().collect()}
     assert states[1] == ("FAIL", "FAIL", "FAIL")
     assert all(states[i] == ("PASS", "PASS", "PASS") for i in (0, 2, 3))
+    assert "disk on fire" in lake_job.trackers.errors().filter("iteration = 1").first()["message"]
     plan = recovery.recovery_plan(
         recovery.failed_chunks(lake_job.trackers.chunk_history(), recovery.failed_logs(lake_job.trackers.master_now()))
     )
@@ -196,6 +218,73 @@ def test_bad_chunk_is_isolated(spark, source, monkeypatch, lake_job):
     assert spark.table(f"{lake_job.target.masked_zone}.ORDERS_masked").count() == 1500
 
 
+class Killed(BaseException):
+    """The job's process ends."""
+
+
+def test_recovery_completes_a_job_that_broke_off(spark, source, monkeypatch, lake_job):
+    from haulage.plans import extract
+
+    table = table_of(spark, source, monkeypatch, "ORDERS", keys=["o_orderkey"], size=1.5)
+    load, real, waves = orders_load(source), extract.run_wave, []
+
+    def one_wave(*args):
+        if waves:
+            raise Killed
+        waves.append(1)
+        return real(*args)
+
+    monkeypatch.setattr(extract, "run_wave", one_wave)
+    with pytest.raises(Killed):
+        extract_table(spark, replace(lake_job, wave_chunks=1), load)
+    assert lake_job.trackers.master_now().first()["load_status"] == "Running"
+    states = {r["iteration"]: r["write_status"] for r in lake_job.trackers.chunks_now().collect()}
+    assert states == {0: "PASS", 1: "PENDING", 2: "PENDING", 3: "PENDING"}
+    monkeypatch.setattr(extract, "run_wave", real)
+    assert recover(spark, lake_job, lambda log_id: None) == []
+    assert recover(spark, lake_job, lambda log_id: load) == [1]
+    raw = spark.table(f"{lake_job.target.raw_zone}.ORDERS").drop("iteration")
+    assert raw.count() == 1500 and raw.exceptAll(table.frame()).count() == 0
+    assert lake_job.trackers.master_now().first()["load_status"] == "Success"
+
+
+def test_recovery_goes_on_after_a_load_that_raises(spark, source, monkeypatch, lake_job):
+    from haulage.sources.trackers import now
+
+    table_of(spark, source, monkeypatch, "ORDERS", keys=["o_orderkey"], size=1.5)
+    good, bad = orders_load(source), Load(0, derby.spec("MISSING"), source)
+    for number in (0, 1):
+        lake_job.trackers.append_master([{"log_id": number, "load_status": "Failed", "start_timestamp": now(), "end_timestamp": now()}])
+    assert recover(spark, lake_job, {0: bad, 1: good}.get) == [0, 1]
+    states = {r["log_id"]: r["load_status"] for r in lake_job.trackers.master_now().collect()}
+    assert states == {0: "Failed", 1: "Success"}
+
+
+@pytest.mark.parametrize("kind", ["blob", "rdbms"])
+def test_a_shorter_plan_leaves_no_old_chunks(spark, source, monkeypatch, lake_job, kind):
+    table = table_of(spark, source, monkeypatch, "ORDERS", keys=["o_orderkey"], size=1.5)
+    job = lake_job
+    if kind == "rdbms":
+        job = replace(job, target=Target("rdbms", None, None), target_connection=derby.connection(), target_schema="AGAIN")
+        derby.run(spark, job.target_connection, 'CREATE SCHEMA "AGAIN"')
+    load = orders_load(source, ["o_orderpriority"])
+    for threshold, chunks in ((0.5, 3), (0.8, 2)):
+        assert extract_table(spark, replace(job, cluster_threshold_mb=threshold), load) == "Success"
+        states = [r["write_status"] for r in job.trackers.chunks_now().orderBy("iteration").collect()]
+        assert states == ["PASS"] * chunks + ["REMOVED"] * (3 - chunks)
+    if kind == "blob":
+        landed = spark.table(f"{job.target.raw_zone}.ORDERS").drop("iteration")
+    else:
+        landed = query_frame(spark, job.target_connection, 'SELECT * FROM "AGAIN"."ORDERS"')
+    assert landed.count() == 1500 and landed.exceptAll(table.frame()).count() == 0
+
+
+def test_masks_need_a_salt(spark, source, monkeypatch, lake_job):
+    table_of(spark, source, monkeypatch, "ORDERS", keys=["o_orderkey"], size=1.5)
+    with pytest.raises(ValueError, match="salt"):
+        extract_table(spark, replace(lake_job, salt=""), orders_load(source))
+
+
 def test_emptied_chunk_leaves_nothing_behind(spark, source, lake_job):
     folder = lake.table_folder(lake_job.target.folder, "T")
     rows = spark.range(30).selectExpr("id", "cast(id div 10 as int) AS iteration")

@@ -67,11 +67,19 @@ def test_index_packing_with_a_hot_value(spark, monkeypatch, limit, literal):
     assert values.filter("n > 1").count() == 0
 
 
-def test_index_packing_of_a_large_manifest(spark, monkeypatch):
-    rows = hot_index(spark)
-    small = chunking.index_manifest(rows, "v", 2100).collect()
-    monkeypatch.setattr(chunking, "SMALL_MANIFEST", 0)
-    assert sorted(chunking.index_manifest(rows, "v", 2100).collect()) == sorted(small)
+def test_paging_keeps_the_sign_of_zero(spark):
+    rows = spark.createDataFrame([(x,) for x in [0.0, -0.0] * 5 + [1.0, None, float("nan")]], "x double")
+    for literal in (4096, 0):
+        paged = ranking.assign_pages(*chunking.total_order(rows, []), 3, unique=False, literal_pages=literal)
+        got = chunking._without_images(paged)
+        assert got.columns == ["x", "iteration"]
+        texts = sorted(str(r["x"]) for r in got.collect())
+        assert texts == sorted(["0.0", "-0.0"] * 5 + ["1.0", "None", "nan"])
+
+
+def test_reserved_names_are_refused(spark):
+    with pytest.raises(ValueError, match="__image_x"):
+        chunking.paged_rows(spark.range(3).withColumnRenamed("id", "__image_x"), [], 2)
 
 
 def test_index_value_over_the_limit(spark):

@@ -37,6 +37,8 @@ def test_quoting_and_literals():
     assert vendors.literal("mysql", "it's \\", T.StringType()) == "'it''s \\\\'"
     assert vendors.literal("postgres", "it's \\", T.StringType()) == "'it''s \\'"
     assert vendors.literal("postgres", "1.5", T.DoubleType()) == "1.5E0"
+    for zone in ("", "Z", "+02:00", "-05:00", "-0330"):
+        assert vendors.literal("postgres", f"2024-01-02T03:04:05{zone}", T.TimestampType()) == "TIMESTAMP '2024-01-02 03:04:05'"
     assert vendors.literal("mssql", "2024-01-02", T.DateType()) == "CAST('2024-01-02' AS DATE)"
     assert vendors.literal("ibm", "2024-01-02 03:04:05", T.TimestampNTZType()) == "TIMESTAMP '2024-01-02 03:04:05'"
     assert vendors.literal("mssql", "true", T.BooleanType()) == "1"
