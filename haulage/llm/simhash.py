@@ -14,9 +14,9 @@ are the connected components of the links.
 3. In a shard a vantage-point tree over the home fingerprints is searched with all of them and all visitors at once.
    Links are merged as they are found (union-find), so a dense group costs no list of its pairs; the shard returns
    the members of each group as a chain, at most one link for each fingerprint.
-4. Chains are joined to components by taking the least label of the neighbours and of the label's own label,
-   round by round, each round a table in the shared folder. A chain has no hubs, and joins by label read written
-   tables on both sides, so skewed ones are split at run time.
+4. Chains are joined to components round by round: a label moves to the least label that any of its nodes sees at a
+   neighbour, so every round merges each group with another one. Rounds are written to the shared folder. A chain has
+   no hubs, and joins by label are such that Spark splits skewed ones at run time.
 
 Null and wordless texts have fingerprint zero and link like any other. Null ids take part in links; a component
 without any id has a null component_id. Repeated rows are copies. Columns of the input pass through `near_dedup`
@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from haulage.llm import staging
@@ -235,42 +235,48 @@ def links(fingerprints: DataFrame, radius: int, n: int) -> DataFrame:
     return dealt.groupBy("shard").applyInArrow(search, "a long, b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, label (the component's least node) for every node of the edges (a, b)."""
-    both = staging.staged(
-        edges.union(edges.select("b", "a")).filter("a <> b").distinct().toDF("node", "other"), "simhash-edges"
-    )
-    labels = staging.staged(both.select("node").distinct().withColumn("label", F.col("node")), "simhash-labels")
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
+    """node, label (the component's least node) for every node of the edges (a, b), of which there are about rows."""
+    way = lambda node, other: F.struct(F.col(node).alias("node"), F.col(other).alias("other"))
+    ways = edges.filter("a <> b").select(F.explode(F.array(way("a", "b"), way("b", "a"))).alias("e"))
+    both = staging.staged(ways.select("e.*").distinct(), "simhash-edges", rows)
+    n = both.count()  # from the files' footers; there are no more nodes than edges
+    labels = staging.staged(both.select("node").distinct().withColumn("label", F.col("node")), "simhash-labels", n)
     while True:
         seen = both.join(labels.toDF("other", "theirs"), "other").groupBy("node").agg(F.min("theirs").alias("least"))
         lower = staging.staged(
             labels.join(seen, "node").select("node", F.least("label", "least").alias("label"), F.col("label").alias("was")),
             "simhash-labels",
+            n,
         )
-        # The label's own label: path lengths halve with every round.
-        jump = lower.select(F.col("node").alias("through"), F.col("label").alias("beyond"))
-        new = staging.staged(
-            lower.join(jump, F.col("label") == F.col("through")).select("node", F.col("beyond").alias("label"), "was"),
-            "simhash-labels",
+        # All nodes of a label follow the one among them that saw the least label; then every label takes its own label,
+        # which halves the length of paths.
+        hooks = lower.groupBy(F.col("was").alias("root")).agg(F.min("label").alias("lowest"))
+        merged = staging.staged(
+            lower.join(hooks, F.expr("was = root")).select("node", F.col("lowest").alias("label"), "was"), "simhash-labels", n
         )
-        labels = new.select("node", "label")
-        if new.filter("label <> was").isEmpty():
+        onward = merged.select(F.col("node").alias("through"), F.col("label").alias("beyond"))
+        moved = Observation()
+        jumped = merged.join(onward, F.expr("label = through")).observe(moved, F.count_if(F.expr("beyond <> was")).alias("n"))
+        labels = staging.staged(jumped.select("node", F.col("beyond").alias("label")), "simhash-labels", n)
+        if not n or not moved.get["n"]:
             return labels
 
 
 def grouped(rows: DataFrame, radius: int) -> DataFrame:
     """rows (id, fp, rid; a written table) with component_id, the smallest id of the component."""
-    distinct = staging.staged(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
+    distinct = staging.staged(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct", rows.count())
     n = distinct.count()
-    nodes = components(links(distinct.select("fp"), radius, n))
+    nodes = components(links(distinct.select("fp"), radius, n), n)
     members = distinct.join(nodes, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("label", "fp").alias("label")
     )
-    members = staging.staged(members, "simhash-members")
-    least = staging.staged(members.groupBy("label").agg(F.min("least").alias("component_id")), "simhash-least")
+    members = staging.staged(members, "simhash-members", n)
+    least = staging.staged(members.groupBy("label").agg(F.min("least").alias("component_id")), "simhash-least", n)
     named = staging.staged(
         members.join(least.withColumnRenamed("label", "l"), F.expr("label = l")).select("fp", "label", "component_id"),
         "simhash-named",
+        n,
     )
     return rows.join(named.withColumnRenamed("fp", "f"), F.expr("fp = f")).drop("f")
 
