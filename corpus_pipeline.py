@@ -27,8 +27,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    return mixing.mixed_documents(docs)
+    """Documents as often as the mix takes them, those of higher labelled quality first."""
+    return mixing.mixed_documents(docs, labels=spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,9 +5,13 @@ from a weighted sample without replacement: a document's key is -ln(u) / w, with
 text and w its quality weight; documents are taken in ascending key order while the running sum of their sizes
 stays within the missing words, and the document that crosses the border is taken if that brings the sum nearer.
 
+Weights come from a table of labels: LEAST_WEIGHT and the document's quality (the mean of its labels); a document without
+a label gets the mean quality of those that have one. Missing weights count as 1, others are held within WEIGHT_RANGE.
+
 No source is sorted as a whole. Keys are cut into buckets (their number grows with the source's rows), buckets are
 summed with map-side combine, the running sum over buckets finds the one that holds the border, and only the rows of
-that bucket are sorted. A document then compares its key with its source's border. The other side of that join has
+that bucket are sorted. Buckets follow the distribution of the source's keys, a mixture of one exponential per class of
+weights (half octaves, so that a source has a bounded number), and so stay even whatever the weights are. A document then compares its key with its source's border. The other side of that join has
 a row per source; where it is too large for Spark to broadcast it, a skewed source is split at run time.
 
 Null texts have size 0; null sources form a source of their own, sorted last. Rows with equal id and
@@ -24,20 +28,39 @@ from haulage.llm import staging
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a source in one bucket of keys, about.
 BUCKET_ROWS = 2_000
+#: What a document of quality 0 weighs.
+LEAST_WEIGHT = 0.1
+WEIGHT_RANGE = (1e-9, 1e9)
 
 
 def n_words(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def key(weight: Column, *parts: str, seed: int = 42) -> Column:
-    """-ln(u) / weight with u in (0, 1] from a hash: exponential keys that do not depend on the run."""
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), *parts), 11) + F.lit(1)) / F.lit(float(1 << 53))
-    return -F.log(u) / weight
+def uniform(*parts: str, seed: int = 42) -> Column:
+    """In (0, 1], from a hash: does not depend on the run."""
+    return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), *parts), 11) + F.lit(1)) / F.lit(float(1 << 53))
+
+
+def usable(weight: Column) -> Column:
+    least, most = WEIGHT_RANGE
+    number = F.coalesce(F.nanvl(weight.cast("double"), F.lit(1.0)), F.lit(1.0))
+    return F.least(F.greatest(number, F.lit(least)), F.lit(most))
+
+
+def label_weights(labels: DataFrame, id_column: str = "doc_id", quality_column: str = "quality") -> tuple[DataFrame, float]:
+    """l_id, l_weight, one row per labelled id; and the weight of documents without a label."""
+    known = labels.select(F.col(id_column).alias("l_id"), F.col(quality_column).cast("double").alias("q"))
+    known = known.filter("l_id IS NOT NULL AND q IS NOT NULL AND NOT isnan(q)").groupBy("l_id").agg(
+        (F.lit(LEAST_WEIGHT) + F.greatest(F.avg("q"), F.lit(0.0))).alias("l_weight")
+    )
+    known = staging.staged(known, "mixing-quality")
+    mean = known.agg(F.avg("l_weight")).first()[0]
+    return known, 1.0 if mean is None else mean
 
 
 def targets(sizes: DataFrame, weights=(5.0, 2.0, 1.0), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """source, source_size, rows -> the same with target.
+    """source, source_size and others, a row per source -> the same with target.
 
     Weights repeat over the sources in code point order, null last. A target stops at `most` times its source's size;
     the excess is shared again by weight among the others until none is above. Sources in ascending order of
@@ -58,7 +81,7 @@ def targets(sizes: DataFrame, weights=(5.0, 2.0, 1.0), share: float = 1.5, most:
     fits = F.when(F.col("level") * F.col("weight") <= F.col("stop"), F.col("level"))
     shared = F.min_by(fits, F.when(fits.isNotNull(), F.col("stop") / F.col("weight"))).over(every)
     target = F.least(F.col("stop"), F.coalesce(shared * F.col("weight"), F.col("stop")))
-    return levels.select("source", "source_size", "n_rows", target.alias("target"))
+    return levels.select(*sizes.columns, target.alias("target"))
 
 
 def mix(
@@ -71,20 +94,29 @@ def mix(
     share: float = 1.5,
     most: float = 2.0,
     seed: int = 42,
+    labels: DataFrame | None = None,
 ) -> DataFrame:
     """row (all columns of a document), size, source_size, target, times (how often the mix takes it).
 
     quality: positive weight of a row, 1 by default. Rows of higher weight come earlier in the fractional pass.
+    labels: id and quality of documents, from which the weights are taken instead; unlabelled rows keep `quality` if given.
     The document's own columns travel inside a struct, so whatever names they have cannot clash.
     """
     rows = docs.select(
         F.struct(*docs.columns).alias("row"),
         n_words(text_column).alias("size"),
-        key(F.lit(1.0) if quality is None else quality, id_column, text_column, seed=seed).alias("key"),
+        uniform(id_column, text_column, seed=seed).alias("u"),
+        (F.lit(None).cast("double") if quality is None else quality).alias("own_weight"),
         F.col(source_column).alias("source"),
         F.col(id_column).alias("id"),
     )
-    narrow = staging.staged(rows.select("source", "size", "key", "id"), "mixing-keys")
+    weight = F.col("own_weight")
+    if labels is not None:
+        known, otherwise = label_weights(labels, id_column)
+        rows = rows.join(known, F.expr("id = l_id"), "left")
+        weight = F.coalesce("l_weight", weight, F.lit(otherwise))
+    rows = rows.withColumn("weight", usable(weight)).withColumn("key", -F.log("u") / F.col("weight"))
+    narrow = staging.staged(rows.select("source", "size", "key", "weight", "id"), "mixing-keys")
     border = borders(narrow, weights, share, most)
     joined = rows.join(border, F.expr("source <=> b_source"), "left").withColumn("bucket", bucket())
     in_pass = F.expr(
@@ -96,23 +128,41 @@ def mix(
 
 
 def bucket() -> Column:
-    """Keys are about exponential: 1 - exp(-key) spreads them evenly over a source's buckets."""
+    """The share of a source's keys expected below this one spreads them evenly over its buckets.
+
+    spread: the source's classes of weights with their shares. The share above a key never grows with the key.
+    """
     count = F.ceil(F.col("n_rows") / F.lit(float(BUCKET_ROWS)))
-    return F.least(F.floor(count * (1 - F.exp(-F.col("key")))), count - 1)
+    above = F.aggregate(
+        "spread", F.lit(0.0), lambda s, x: s + x["share"] * F.exp(-F.col("key") * x["weight"])
+    )
+    return F.greatest(F.least(F.floor(count * (1 - above)), count - 1), F.lit(0))
+
+
+def source_sizes(narrow: DataFrame) -> DataFrame:
+    """source, source_size, n_rows, spread ([{weight, share}], one per class of weights)."""
+    classes = narrow.groupBy("source", F.round(2 * F.log2("weight")).cast("int").alias("class")).agg(
+        F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"), F.avg("weight").alias("weight")
+    )
+    sizes = classes.groupBy("source").agg(
+        F.sum("size").alias("source_size"),
+        F.sum("n").alias("n_rows"),
+        F.sort_array(F.collect_list(F.struct("weight", "n"))).alias("classes"),
+    )
+    share = lambda x: F.struct(x["weight"].alias("weight"), (x["n"] / F.col("n_rows")).alias("share"))
+    return sizes.select("source", "source_size", "n_rows", F.transform("classes", share).alias("spread"))
 
 
 def borders(narrow: DataFrame, weights, share: float, most: float) -> DataFrame:
     """Per source: size, target, whole epochs; bucket, key and id of the last row that the fractional pass takes."""
-    sizes = narrow.groupBy(F.col("source").alias("source")).agg(
-        F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows")
-    )
     goal = staging.staged(
-        targets(sizes, weights, share, most)
+        targets(source_sizes(narrow), weights, share, most)
         .selectExpr(
             "source AS b_source",
             "source_size",
             "target",
             "n_rows",
+            "spread",
             "CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS int) ELSE 0 END AS epochs",
         )
         .withColumn("missing", F.expr("target - epochs * source_size")),
@@ -147,7 +197,7 @@ def borders(narrow: DataFrame, weights, share: float, most: float) -> DataFrame:
     )
     return staging.staged(
         goal.join(found, F.expr("b_source <=> c_source"), "left").select(
-            "b_source", "source_size", "target", "n_rows", "epochs", "border_bucket", "border_key", "border_id"
+            "b_source", "source_size", "target", "n_rows", "spread", "epochs", "border_bucket", "border_key", "border_id"
         ),
         "mixing-borders",
     )

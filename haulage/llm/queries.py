@@ -42,7 +42,7 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.taken_words(load(spark, sf_dir, "documents"))
+    return mixing.taken_words(load(spark, sf_dir, "documents"), labels=load(spark, sf_dir, "labels"))
 
 
 def page_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from haulage.llm import (
     chat, line_dedup, mixing, packing, quality, queries, secrets, simhash, token_files, tokens, topk, toxicity,
 )
@@ -330,6 +331,37 @@ def test_mixing_prefers_quality(spark):
     assert share[1] > 2 * share[0]
 
 
+def test_registered_mixing_prefers_labelled_quality(spark, tmp_path):
+    rows = [(i, "w " * 10, "en", "big" if i < 900 else "small", 20) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    # A third good, a third junk, a third without a label; a second label and a missing quality change nothing.
+    labels = [(i, i % 3) for i in range(1000) if i % 3 < 2] + [(1, 1), (2, None)]
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.source_mixing(spark, str(tmp_path)).collect()
+    assert len(got) == 1000
+    taken = Counter()
+    for r in got:
+        if r.doc_id < 900:
+            taken[r.doc_id % 3] += r.taken // r.size
+    mixed = Counter(r.doc_id % 3 for r in corpus_pipeline.mix_sources(spark, docs, str(tmp_path)).collect() if r.doc_id < 900)
+    assert mixed == taken
+    again = lambda k: taken[k] - 300 * (min(taken.values()) // 300)  # what the fractional pass took
+    assert again(1) > 2 * again(0) and again(2) > 1.5 * again(0)
+
+
+@pytest.mark.parametrize("scale", [1e-4, 1.0, 1e4])
+def test_buckets_stay_even_under_weights(spark, monkeypatch, scale):
+    rows = [(i, "w " * (i % 13), "s", scale * 10.0 ** (i % 5 - 2)) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, q double").repartition(4)
+    whole = sorted(map(tuple, mixing.taken_words(docs, quality=F.col("q"), share=0.4).collect()))
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 100)
+    assert sorted(map(tuple, mixing.taken_words(docs, quality=F.col("q"), share=0.4).collect())) == whole
+    keys = docs.select("source", F.lit(1).alias("size"), F.col("q").alias("weight"), (-F.log(mixing.uniform("doc_id", "text")) / F.col("q")).alias("key"))
+    each = keys.join(mixing.source_sizes(keys), "source").groupBy(mixing.bucket().alias("b")).count().collect()
+    assert len(each) == 40 and max(r["count"] for r in each) < 200
+
+
 # Lines
 
 
