@@ -13,8 +13,10 @@ then learns from each text's highest windows (and, for label 0, some others at r
 round the windows are chosen by the log-odds of their character 4-grams. The last step moves the output's bias to the
 threshold that errs least on the training texts.
 
-Bounds. The driver trains on at most `SAMPLE_TEXTS` labelled texts of each label and `SAMPLE_CHARACTERS` characters, taken
-in the order of a hash of their ids (a text that would pass the second bound is left out). The weights (under 1 MB)
+Bounds. The driver trains on at most `SAMPLE_TEXTS` labelled texts of each label, taken in the order of a hash of their
+ids, and on about `SAMPLE_CHARACTERS` characters of them. No text is left out for the second bound: if they are longer
+together, the longest are cut to one common length, at which each gives `STRETCHES` stretches spread evenly over all of
+it, so both labels stay. The weights (under 1 MB)
 are shipped with the scoring function; texts are scored where they are read, and no row moves.
 
 Null and wordless texts have no window: their score is that of an empty window. Without rows of both labels the score is
@@ -31,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from haulage.llm import staging
+
 WORDS, STRIDE = 24, 12
 WORD_BUCKETS, GRAM_BUCKETS = 1 << 14, 1 << 14
 WORD_SIZE, GRAM_SIZE, HIDDEN, ATTENTION = 6, 10, 8, 8
@@ -38,6 +42,7 @@ INPUT = WORD_SIZE + GRAM_SIZE
 
 SAMPLE_TEXTS = 2_000
 SAMPLE_CHARACTERS = 12_000_000
+STRETCHES = 8
 ROUNDS = 5
 #: Windows learned from in a round, about; a small sample is gone through up to twelve times.
 EXAMPLES = 12_000
@@ -392,6 +397,25 @@ def held_out(id_column: str) -> Column:
     return F.crc32(F.col(id_column).cast("string")) % 5 == 0
 
 
+def common_length(lengths: list[int], most: int) -> int:
+    """The largest length to which texts can be cut so that they hold `most` characters in all; at least STRETCHES."""
+    left, longest = most, max(lengths, default=0)
+    for i, n in enumerate(sorted(lengths)):
+        share = left // (len(lengths) - i)
+        if n > share:
+            return max(share, STRETCHES)
+        left -= n
+    return max(longest, STRETCHES)
+
+
+def stretches(text: Column, length: int) -> Column:
+    """Texts of up to `length` characters as they are; of longer ones STRETCHES parts, from their beginning to their end."""
+    part = length // STRETCHES
+    gap = (F.length(text) - F.lit(part)).cast("double") / F.lit(float(STRETCHES - 1))
+    parts = [F.substring(text, F.floor(gap * i).cast("int") + 1, F.lit(part)) for i in range(STRETCHES)]
+    return F.when(F.length(text) <= length, text).otherwise(F.concat_ws("\n", *parts))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic"):
     """Trains on a bounded sample of labelled texts that are not held out; a float (share of label 1) without both labels."""
     known = labels.filter(F.col(label_column).isin(0, 1) & ~held_out(id_column)).select(
@@ -410,8 +434,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
         .withColumn("order", F.row_number().over(Window.partitionBy("id").orderBy(F.length("text"), "text")))
         .filter("order = 1 AND text IS NOT NULL")
     )
-    so_far = F.sum(F.length("text")).over(Window.orderBy("h", "id"))  # at most 2 * SAMPLE_TEXTS rows
-    sample = rows.withColumn("so_far", so_far).filter(F.col("so_far") <= SAMPLE_CHARACTERS).orderBy("h", "id").select("text", "label").collect()
+    rows = staging.staged(rows.select("h", "id", "label", "text"), "toxicity-sample", 2 * SAMPLE_TEXTS)
+    length = common_length([r.n for r in rows.select(F.length("text").alias("n")).collect()], SAMPLE_CHARACTERS)
+    sample = rows.select("h", "id", "label", stretches(F.col("text"), length).alias("text")).orderBy("h", "id").collect()
     y = np.array([r.label for r in sample], np.int64)
     if len(set(y.tolist())) < 2:
         return float(y.mean()) if len(y) else 0.0

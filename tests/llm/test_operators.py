@@ -461,6 +461,35 @@ def test_toxicity_without_labels(spark, odd):
     assert kept.columns == odd.columns and kept.count() == odd.count()
 
 
+def test_long_labelled_texts_leave_no_one_out(spark, monkeypatch):
+    """The texts first in hash order are longer than the bound, one of each label."""
+    rows, bound = made_up(300, 5), 40_000
+    ids = spark.createDataFrame([(i, y) for i, _, y in rows], "id long, y int").filter(~toxicity.held_out("id"))
+    order = [(r.id, r.y) for r in ids.orderBy(F.xxhash64(F.lit(11), "id")).collect()]
+    long = [next(i for i, y in order if y == label) for label in (0, 1)]
+    text_of = {i: (t + " ") * (2 * bound // len(t) + 1) if i in long else t for i, t, _ in rows}
+    docs = spark.createDataFrame(list(text_of.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARACTERS", bound)
+    monkeypatch.setattr(toxicity, "train", lambda texts, y: seen.append((texts, y.tolist())) or 0.5)
+    assert toxicity.fit(docs, labels) == 0.5
+    (texts, y), want = seen[0], [y for _, y in order]
+    assert y == want and set(y) == {0, 1}
+    assert sum(map(len, texts)) <= bound + toxicity.STRETCHES * len(texts)
+
+
+def test_stretches_span_the_whole_text(spark):
+    text = "".join(f"é{i:06d} " for i in range(10_000))
+    frame = spark.createDataFrame([(text,), ("short",), ("",)], "text string")
+    got = [r.s for r in frame.select(toxicity.stretches(F.col("text"), 800).alias("s")).collect()]
+    parts = got[0].split("\n")
+    assert got[1:] == ["short", ""] and [len(p) for p in parts] == [100] * 8
+    at = [text.index(p) for p in parts]
+    assert at[0] == 0 and at[-1] == len(text) - 100 and max(np.diff(at)) - min(np.diff(at)) <= 1
+    assert toxicity.common_length([5, 90, 1000, 400], 295) == 100 and toxicity.common_length([5, 9], 100) == 9
+
+
 # Chat
 
 
