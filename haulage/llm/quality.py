@@ -44,7 +44,7 @@ RULES = (
     Rule("word_length", "word_chars > 25 * n_words"),
     Rule("exclaimed", "2 * (length(text) - length(translate(text, '!', ''))) > n_words"),
     Rule("shouted", "5 * length(regexp_replace(text, '[^A-Z]', '')) > 4 * length(regexp_replace(text, '[^A-Za-z]', '')) AND n_words >= 20"),
-    Rule("duplicate_lines", "10 * n_dup_lines > 6 * (n_dup_lines + n_lines)"),
+    Rule("duplicate_lines", "10 * n_dup_lines > 6 * n_lines"),
     Rule("repeated_word", "n_words >= 20 AND 3 * n_echoes > n_words"),
 )
 

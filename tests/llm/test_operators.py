@@ -200,6 +200,22 @@ def test_order_of_rules_does_not_change_the_verdict(given):
     assert [s / c for _, c, s in order] == sorted((s / c for _, c, s in order), reverse=True)
 
 
+def test_short_repeated_lines_are_rejected(spark):
+    """Lines between which other words change repeat no 8-word window, so only the rule on lines can see them."""
+    menu = ["home page", "read more", "log in"]
+    text = lambda own, often: "\n".join(
+        x for i in range(20) for x in (*(menu[(i + k) % 3] for k in range(often)), " ".join(f"{own}{i}{c}" for c in "abcdef"))
+    )
+    rows = [(1, text("p", 3)), (2, text("q", 1)), (3, text("r", 0))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: r for r in quality.judged(docs).collect()}
+    for key, body in rows:
+        lines = body.split("\n")
+        assert not got[key].base_failed
+        assert got[key].rejected_by == ("duplicate_lines" if 10 * (len(lines) - len(set(lines))) > 6 * len(lines) else None)
+    assert [got[k].kept for k in (1, 2, 3)] == [False, True, True]
+
+
 # SimHash
 
 
