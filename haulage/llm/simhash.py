@@ -40,6 +40,8 @@ from haulage.llm import staging
 SEED = 42
 #: Fingerprints that shape the tree of shards: at most this many come to the driver.
 SAMPLE = 65_536
+#: Share of the fingerprints that the driver sees at most; the sample only decides how even shards are.
+SAMPLE_SHARE = 0.1
 LEAF = 256
 
 
@@ -206,7 +208,7 @@ def links(fingerprints: DataFrame, radius: int, n: int) -> DataFrame:
     """a, b: chains whose components are those of all links among the n distinct fingerprints (fp)."""
     spark = fingerprints.sparkSession
     depth = max(4, round(math.log2(math.sqrt(max(n, 1)) / 6))) if n > 4_096 else 0
-    taken = fingerprints.sample(min(1.0, 0.8 * SAMPLE / max(n, 1)), SEED).limit(SAMPLE) if depth else fingerprints.limit(0)
+    taken = fingerprints.sample(min(SAMPLE_SHARE, 0.8 * SAMPLE / max(n, 1)), SEED).limit(SAMPLE) if depth else fingerprints.limit(0)
     sample = np.array([row.fp for row in taken.collect()], np.int64).view(np.uint64)
     tree = ShardTree(sample, depth)
 

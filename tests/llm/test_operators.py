@@ -266,6 +266,15 @@ def test_shards_lose_no_link(spark, seed):
     assert (groups.find(every) == want.find(every)).all()
 
 
+def test_the_driver_sees_a_small_share_of_fingerprints(spark, monkeypatch):
+    seen, tree = [], simhash.ShardTree
+    monkeypatch.setattr(simhash, "ShardTree", lambda sample, depth: seen.append(len(sample)) or tree(sample, depth))
+    n = 6_000
+    frame = spark.range(n).select(F.xxhash64("id").alias("fp"))
+    simhash.links(frame, 4, n)
+    assert 0 < seen[0] < 0.15 * n
+
+
 def test_components_of_a_long_chain(spark):
     n = 3000
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(9000, 9001)], "a long, b long")
