@@ -110,10 +110,53 @@ SELECT conv_id, section, assistant, count(*) AS n_turns, count(*) FILTER (own) A
 coalesce(string_agg(starts || '-' || (starts + length(told)), ',' ORDER BY n) FILTER (own), '') AS mask,
 string_agg(head || told || chr(10), '' ORDER BY n) AS text FROM placed GROUP BY conv_id, section, assistant"""
 
+COLLOCATIONS = """WITH pieces AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+grams AS (SELECT lang, k, w[i : i + k - 1] AS ws FROM pieces, range(1, 6) AS s(k), unnest(range(1, greatest(len(w) - k + 2, 1))) AS u(i)),
+counts AS (SELECT lang, k, array_to_string(ws, ' ') AS phrase, ws, count(*) AS f FROM grams GROUP BY lang, k, ws),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT * FROM counts WHERE k > 1 AND f >= 100),
+alone AS (SELECT * FROM candidates c WHERE NOT EXISTS (SELECT 1 FROM candidates b WHERE b.lang = c.lang AND b.k > c.k
+  AND contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' ') AND 100 * b.f >= 100 * c.f)),
+cuts AS (SELECT c.lang, c.phrase, c.f AS a, l.f AS l, r.f AS r, n, cut,
+  CAST((1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM alone c JOIN range(1, 5) AS s(cut) ON cut < c.k JOIN totals t ON t.lang = c.lang
+  JOIN counts l ON l.lang = c.lang AND l.ws = c.ws[1 : cut] JOIN counts r ON r.lang = c.lang AND r.ws = c.ws[cut + 1 : c.k]),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best) WHERE rank <= 2000"""
+
+SUBSTRINGS = """WITH docs AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS g FROM docs, unnest(range(1, greatest(len(w) - 18, 1))) AS u(i)),
+later AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS place FROM windows) WHERE place > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM later, range(20) AS r(j)),
+words AS (SELECT doc_id, p, w[p] AS word FROM docs, unnest(range(1, len(w) + 1)) AS u(p)),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)"""
+
+NEGATIVES = """WITH vectors AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+  row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS place
+  FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE place <= 5"""
+
 CHECKS: dict[str, str] = {
     "op2_secret_scan": SECRETS,
     "op4_quality_rules": QUALITY,
     "op6_exact_top_k": TOP_K,
     "op8_line_dedup": LINES,
     "op10_chat_perspectives": CHAT,
+    "op11_phrase_collocations": COLLOCATIONS,
+    "op12_substring_dedup": SUBSTRINGS,
+    "op13_hard_negatives": NEGATIVES,
 }

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulage.llm import chat, line_dedup, mixing, packing, quality, secrets, simhash, token_files, topk, toxicity
+from haulage.llm import (
+    chat, collocations, line_dedup, mixing, negatives, packing, quality, secrets, simhash, substring, token_files, topk, toxicity,
+)
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +59,20 @@ def chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.perspectives(load(spark, sf_dir, "conversations"))
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(load(spark, sf_dir, "documents"), least=100, most_words=5, per_language=2_000)
+
+
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.without_repeats(load(spark, sf_dir, "documents"), length=20, keep_text=False)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(load(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label, positives=5, negatives=5)
+
+
 QUERIES = {
     "op1_best_fit_packing": best_fit_packing,
     "op2_secret_scan": secret_scan,
@@ -68,4 +84,7 @@ QUERIES = {
     "op8_line_dedup": page_line_dedup,
     "op9_toxicity": toxicity_scores,
     "op10_chat_perspectives": chat_perspectives,
+    "op11_phrase_collocations": phrase_collocations,
+    "op12_substring_dedup": substring_dedup,
+    "op13_hard_negatives": hard_negatives,
 }
