@@ -43,12 +43,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulage.llm import staging
-from haulage.llm.wordspans import words_of
+from haulage.llm.wordspans import slices, words_of
 
 #: Words of a repeat at least, and of an anchor.
 LENGTH, ANCHOR = 20, 8
 #: Bits of the map of documents that are wanted, 64 to a row: a fixed 2 MB.
 MAP_BITS = 1 << 24
+#: Bytes of text that are taken together, about: what a task holds in arrays is some twenty times as much.
+BATCH_BYTES = 6 << 20
 #: Kinds of rows in `place` (start << 16 | number of windows << 2 | kind).
 OCCURRENCE, MARK, WINDOW, REPEAT = range(4)
 ROWS = "x long, y long, doc_id long, text_key long, place long"
@@ -162,32 +164,36 @@ def exploded(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(first, count) + within
 
 
+def seeds_of(batch: Batch, length: int, anchor: int) -> Iterator[pa.RecordBatch]:
+    first, last, at = batch.words.occurrences(length, anchor)
+    single = batch.single[batch.words.texts[first]]
+    first, last, at = first[single], last[single], at[single]
+    count = last - first + 1
+    seeds = batch.words.first.runs(at, at + anchor)
+    shape = mixed((at - first).astype(np.uint64) << np.uint64(32) | count.astype(np.uint64))
+    contexts = batch.words.second.runs(first, last + length) ^ shape
+    by, new = first_of_each(batch.order(first), seeds, contexts)
+    again, kept = by[~new], by[new]
+    yield batch.rows(REPEAT, seeds[again], contexts[again], first[again], count[again])
+    # Runs of one anchor among the contexts that are left.
+    start = np.ones(len(kept), bool)
+    start[1:] = seeds[kept][1:] != seeds[kept][:-1]
+    group = np.cumsum(start) - 1
+    several = (np.bincount(group, minlength=1) > 1)[group] if len(kept) else start
+    alone, marks, open_ = kept[~several], kept[several & start], kept[several]
+    yield batch.rows(OCCURRENCE, seeds[alone], contexts[alone], first[alone], count[alone])
+    yield batch.rows(MARK, seeds[marks], contexts[marks], first[marks], 0)
+    yield from batch.windows(exploded(first[open_], count[open_]), length)
+
+
 def seeded(docs: DataFrame, length: int, anchor: int) -> DataFrame:
     """Anchor occurrences, marks, windows and repeats of every batch. docs: doc_id, text_key, text."""
 
     def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs_of = Batch(batch.column(0), batch.column(1).to_numpy(), batch.column(2))
-            first, last, at = docs_of.words.occurrences(length, anchor)
-            single = docs_of.single[docs_of.words.texts[first]]
-            first, last, at = first[single], last[single], at[single]
-            count = last - first + 1
-            seeds = docs_of.words.first.runs(at, at + anchor)
-            contexts = docs_of.words.second.runs(first, last + length) ^ mixed((at - first).astype(np.uint64) << np.uint64(32) | count.astype(np.uint64))
-            by, new = first_of_each(docs_of.order(first), seeds, contexts)
-            again = by[~new]
-            yield docs_of.rows(REPEAT, seeds[again], contexts[again], first[again], count[again])
-            kept = by[new]
-            # Runs of one anchor among the contexts that are left.
-            start = np.ones(len(kept), bool)
-            start[1:] = seeds[kept][1:] != seeds[kept][:-1]
-            group = np.cumsum(start) - 1
-            several = (np.bincount(group, minlength=1) > 1)[group] if len(kept) else start
-            yield docs_of.rows(OCCURRENCE, seeds[kept[~several]], contexts[kept[~several]], first[kept[~several]], count[kept[~several]])
-            marks = kept[several & start]
-            yield docs_of.rows(MARK, seeds[marks], contexts[marks], first[marks], 0)
-            open_ = kept[several]
-            yield from docs_of.windows(exploded(first[open_], count[open_]), length)
+            for start, size in slices(batch.column(2), BATCH_BYTES):
+                part = batch.slice(start, size)
+                yield from seeds_of(Batch(part.column(0), part.column(1).to_numpy(), part.column(2)), length, anchor)
 
     return docs.mapInArrow(seed, ROWS)
 
@@ -198,15 +204,18 @@ def extended(found: DataFrame, length: int) -> DataFrame:
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inflate = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            texts = pa.array([inflate(x) for x in batch.column(2).to_pylist()], pa.large_binary())
-            docs_of = Batch(batch.column(0), batch.column(1).to_numpy(), texts)
-            places = batch.column(3)
-            text = np.repeat(np.arange(len(places)), np.diff(places.offsets.to_numpy()))
-            place = places.flatten().to_numpy()
-            mine = docs_of.single[text]
-            text, place = text[mine], place[mine]
-            starts = exploded((place >> 16) + docs_of.words.bounds[text], (place >> 2) & 0x3FFF)
-            yield from docs_of.windows(np.unique(starts), length)
+            # Compressed texts: a third of the bytes, so that the texts of a slice come to about BATCH_BYTES.
+            for start, size in slices(batch.column(2), BATCH_BYTES // 3):
+                part = batch.slice(start, size)
+                texts = pa.array([inflate(x) for x in part.column(2).to_pylist()], pa.large_binary())
+                docs_of = Batch(part.column(0), part.column(1).to_numpy(), texts)
+                places = part.column(3)
+                text = np.repeat(np.arange(len(places)), np.diff(places.offsets.to_numpy()))
+                place = places.flatten().to_numpy()
+                mine = docs_of.single[text]
+                text, place = text[mine], place[mine]
+                starts = exploded((place >> 16) + docs_of.words.bounds[text], (place >> 2) & 0x3FFF)
+                yield from docs_of.windows(np.unique(starts), length)
 
     return found.mapInArrow(extend, ROWS)
 

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Tables of byte classes for `spans`: bytes that end a word.
 BLANKS = np.zeros(256, bool)
@@ -66,3 +67,11 @@ def words_of(column: pa.Array, blank: np.ndarray = BLANKS) -> Words:
     codes, distinct = coded(whole, starts, ends)
     texts = np.searchsorted(text_starts, starts, side="right") - 1
     return Words(codes, distinct, texts, starts, ends)
+
+
+def slices(column: pa.Array, most: int) -> list[tuple[int, int]]:
+    """(first text, length) of neighbouring texts of about `most` bytes together; a longer text stands alone."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    group = (np.cumsum(sizes) - sizes) // most
+    cuts = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+    return [(int(a), int(b - a)) for a, b in zip(cuts, np.append(cuts[1:], len(group)))]
