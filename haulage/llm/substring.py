@@ -138,11 +138,13 @@ class Batch:
         self.rank[by] = np.arange(len(keys))
         self.words = Sequence(texts)
 
-    def rows(self, kind: int, x, y, at: np.ndarray, count) -> pa.RecordBatch:
+    def rows(self, kind: int, x: np.ndarray, y: np.ndarray, at: np.ndarray, count) -> pa.RecordBatch:
         """Rows of the occurrences or windows that begin at the words `at`."""
         text = self.words.texts[at]
         place = ((at - self.words.bounds[text]) << 16) | (np.broadcast_to(count, at.shape) << 2) | kind
-        values = [np.asarray(v).astype(np.uint64).view(np.int64) for v in (x, y)]
+        if kind == REPEAT:  # compared with nothing any more: dealt out evenly
+            x, y = mixed(self.keys[text].view(np.uint64) ^ mixed(place.astype(np.uint64))), np.zeros(len(at), np.uint64)
+        values = [v.view(np.int64) for v in (x, y)]
         columns = [pa.array(values[0]), pa.array(values[1]), self.ids.take(pa.array(text)), pa.array(self.keys[text]), pa.array(place)]
         return pa.RecordBatch.from_arrays(columns, names=["x", "y", "doc_id", "text_key", "place"])
 
