@@ -7,11 +7,11 @@ l = f(first part), r = f(rest); the lowest-scoring cut counts. Candidates that s
 Layout, nothing of which is held in memory or in a hash table that grows with the text:
 
 1. Chunks. Texts of one language become blocks of word codes with their own dictionary, written once.
-2. Pairs. Each chunk sends its distinct word pairs with their counts; the sums over all chunks (one shuffle by pair) tell each
-   chunk which of its pairs reach `least`. No longer phrase can, unless all its pairs do. Pairs go by a 64-bit hash: equal
-   hashes can only keep too many, and counts are exact from here on.
-3. Prefix order. Every position whose pairs reach `least` gives the window of up to MOST_WORDS words that begins there. Windows are
-   merged within the chunk, range-partitioned and sorted: occurrences of a phrase are then a run of windows that begin with it, and
+2. Thinning. Each chunk sends its distinct word pairs with their counts; the sums over all chunks (one shuffle by pair) tell
+   each chunk which of its pairs reach `least`, and it is cut at all others; then the same for triples. No longer phrase can
+   reach `least` unless all its pairs and triples do. They go by 64-bit hashes: equal hashes can only keep too many, and the
+   counts that follow are exact.
+3. Prefix order. Every position that is left gives the window of up to MOST_WORDS words that begins there. Windows are merged within the chunk, range-partitioned and sorted: occurrences of a phrase are then a run of windows that begin with it, and
    one pass with one open count per length gives f of all phrases of all lengths. Runs that touch the border of a partition are
    added up afterwards, at most 2 * MOST_WORDS per partition.
 4. Lockstep merge joins. Cuts of candidates are sorted by their first part (prefix order) and merged with the count stream, then
@@ -19,7 +19,7 @@ Layout, nothing of which is held in memory or in a hash table that grows with th
    A phrase contained as often in any longer candidate is contained as often in one that is longer by one word, since counts
    cannot grow with length.
 
-Hot groups. A pair or window has one row per chunk at most. Cuts with a common first part or rest are salted, the count stream
+Hot groups. A pair, triple or window has one row per chunk at most. Cuts with a common first part or rest are salted, the count stream
 holds a copy per salt. The best of a language are kept per task before they meet.
 
 Letters A-Z are lower-cased. Pieces end at .,;:!? and the bytes 0x0A to 0x0D, words at 0x20 and 0x09. Null texts are empty; a null
@@ -59,14 +59,15 @@ CHUNK = "part int, number int, lang string, n_words long, words array<string>, c
 
 
 def encoded(docs: DataFrame) -> DataFrame:
-    """Chunks: codes (compressed, 2 * code + 1 for the last word of a piece), distinct words and their counts. docs: lang, text."""
+    """Chunks: codes (compressed, 2 * code + 1 for the last word of a piece), distinct words and their counts. docs: lang, text.
+
+    A piece is a run of the chunk.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list[np.ndarray]] = {}
         sizes: dict[str, int] = {}
         part, number = TaskContext.get().partitionId(), 0
-        kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary()]
-        names = [field.split()[0] for field in CHUNK.split(", ")]
 
         def chunk(lang: str) -> Iterator[pa.RecordBatch]:
             nonlocal number
@@ -78,12 +79,9 @@ def encoded(docs: DataFrame) -> DataFrame:
             codes, distinct = coded(whole, starts, ends)
             pieces = np.cumsum(PIECE_ENDS[whole], dtype=np.int64)[starts]
             last = np.append(pieces[1:] != pieces[:-1], True)
-            body = zstandard.ZstdCompressor(level=1).compress((codes.astype(np.uint32) * 2 + last).astype(np.uint32).tobytes())
-            words = distinct.cast(pa.large_string()).cast(pa.string())
-            counts = np.bincount(codes, minlength=len(distinct))
-            values = (part, number, lang, len(codes), words.to_pylist(), counts, body)
+            words = distinct.cast(pa.large_string()).to_pylist()
+            yield Chunk(lang, words, codes.astype(np.int64), last).row(part, number)
             number += 1
-            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds)], names=names)
 
         for batch in batches:
             langs, texts = batch.column(0), batch.column(1)
@@ -100,64 +98,123 @@ def encoded(docs: DataFrame) -> DataFrame:
 
 
 class Chunk:
-    """Codes of a chunk with the hash of each pair of neighbours of one piece (0 where there is none)."""
+    """Words of a chunk in runs; no phrase crosses the end of a run."""
 
-    def __init__(self, lang: str, words: pa.Array, body: bytes):
+    def __init__(self, lang: str, words: list[str], codes: np.ndarray, last: np.ndarray):
+        self.lang, self.words, self.codes, self.last = lang, words, codes, last
+
+    @classmethod
+    def read(cls, lang: str, words: list[str], body: bytes) -> Chunk:
         codes = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint32)
-        self.codes, self.last = (codes >> 1).astype(np.int64), (codes & 1).astype(bool)
-        seed = xxhash.xxh3_64_intdigest(lang.encode())
-        self.words = words.to_pylist()
-        hashes = np.array([xxhash.xxh3_64_intdigest(w.encode(), seed=seed) for w in self.words], np.uint64)[self.codes]
-        self.paired = ~self.last[:-1]
-        self.pairs = mixed(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + mixed(hashes[1:]))
+        return cls(lang, words, (codes >> 1).astype(np.int64), (codes & 1).astype(bool))
+
+    def grams(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of the `size` words from each position on, and whether they are of one run."""
+        count = max(len(self.codes) - size + 1, 0)
+        seed = xxhash.xxh3_64_intdigest(self.lang.encode())
+        words = np.array([xxhash.xxh3_64_intdigest(w.encode(), seed=seed) for w in self.words], np.uint64)[self.codes]
+        hashes, inside = np.zeros(count, np.uint64), np.ones(count, bool)
+        for step in range(size):
+            hashes = mixed(hashes * np.uint64(0x9E3779B97F4A7C15) + words[step : step + count])
+            if step:
+                inside &= ~self.last[step - 1 : step - 1 + count]
+        return hashes, inside
+
+    def thinned(self, size: int, frequent: np.ndarray) -> Chunk:
+        """Runs cut at every phrase of `size` (2 or 3) words that is not frequent; runs of single words go.
+
+        The run before ends with the last word but one of such a phrase, the run after begins with its second word.
+        """
+        hashes, inside = self.grams(size)
+        bad = inside & ~np.isin(hashes, frequent)
+        codes, last = self.codes, self.last.copy()
+        if size == 2:
+            last[:-1] |= bad
+        else:  # the middle word ends one run and begins another
+            twice = np.zeros(len(codes), np.int64)
+            twice[1:-1] = bad
+            codes, last = np.repeat(codes, 1 + twice), np.repeat(last, 1 + twice)
+            last[np.flatnonzero(twice) + np.cumsum(twice)[twice == 1] - 1] = True
+        single = last & np.append(True, last[:-1])
+        used, codes = np.unique(codes[~single], return_inverse=True)
+        return Chunk(self.lang, [self.words[c] for c in used.tolist()], codes, last[~single])
+
+    def windows(self, most_words: int) -> tuple[list[str], np.ndarray]:
+        """Distinct windows of two to most_words words, each word with a space behind it, and how often they occur."""
+        n = len(self.codes)
+        more, going = np.zeros(n, np.int64), np.append(~self.last, np.zeros(most_words, bool))
+        for step in range(most_words - 2, -1, -1):
+            more = np.where(going[step : step + n], more + 1, 0)
+        at = np.flatnonzero(more)
+        codes = np.append(self.codes, np.zeros(most_words, np.int64))
+        rows = np.stack([np.where(more[at] >= j, codes[at + j], -1) for j in range(most_words)])
+        by = np.lexsort(rows[::-1])
+        rows = rows[:, by]
+        new = np.append(True, (rows[:, 1:] != rows[:, :-1]).any(axis=0)) if len(by) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        text = ["".join([self.words[c] + " " for c in row if c >= 0]) for row in rows[:, first].T.tolist()]
+        return text, np.diff(np.append(first, len(by)))
+
+    def row(self, part: int, number: int) -> pa.RecordBatch:
+        body = zstandard.ZstdCompressor(level=1).compress((self.codes * 2 + self.last).astype(np.uint32).tobytes())
+        counts = np.bincount(self.codes, minlength=len(self.words))
+        values = (part, number, self.lang, len(self.codes), self.words, counts, body)
+        kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary()]
+        names = [field.split()[0] for field in CHUNK.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds)], names=names)
+
 
+def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, Chunk, np.ndarray | None]]:
+    """part, number, chunk and, if there is such a column, the frequent phrases of each row."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = [batch.column(name)[i] for name in ("part", "number", "lang", "words", "codes")]
+            part, number, lang, words, body = (value.as_py() for value in row)
+            listed = batch.column("frequent")[i].values.to_numpy().view(np.uint64) if "frequent" in batch.schema.names else None
+            yield part, number, Chunk.read(lang, words, body), listed
 
-def pair_counts(chunks: DataFrame) -> DataFrame:
-    """part, number, pair, count: the distinct pairs of each chunk."""
+
+def with_frequent(chunks: DataFrame, size: int, least: int) -> DataFrame:
+    """Chunks with `frequent`: those of their phrases of `size` words that occur `least` times or more in all chunks together.
+
+    A chunk without any has an empty list.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                chunk = Chunk(batch.column(2)[i].as_py(), batch.column(3)[i].values, batch.column(4)[i].as_py())
-                pairs, counts = np.unique(chunk.pairs[chunk.paired], return_counts=True)
-                place = [pa.array(np.full(len(pairs), batch.column(c)[i].as_py(), np.int32)) for c in (0, 1)]
-                yield pa.RecordBatch.from_arrays(
-                    [*place, pa.array(pairs.view(np.int64)), pa.array(counts.astype(np.int32))], names=["part", "number", "pair", "count"]
-                )
+        for part, number, chunk, _ in chunks_of(batches):
+            hashes, inside = chunk.grams(size)
+            grams, counts = np.unique(hashes[inside], return_counts=True)
+            place = [pa.array(np.full(len(grams), x, np.int32)) for x in (part, number)]
+            columns = [*place, pa.array(grams.view(np.int64)), pa.array(counts.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "number", "gram", "count"])
 
-    return chunks.select("part", "number", "lang", "words", "codes").mapInArrow(count, "part int, number int, pair long, count int")
+    chunks = chunks.select("part", "number", "lang", "words", "codes")
+    found = chunks.mapInArrow(count, "part int, number int, gram long, count int")
+    found = found.withColumn("f", F.sum("count").over(Window.partitionBy("gram"))).filter(F.col("f") >= least)
+    lists = found.groupBy("part", "number").agg(F.collect_list("gram").alias("frequent"))
+    listed = merged(chunks, lists, ["part", "number"], "left")
+    return listed.withColumn("frequent", F.coalesce("frequent", F.array().cast("array<bigint>")))
 
 
-def frequent_windows(chunks: DataFrame, most_words: int) -> DataFrame:
-    """lang, window, count: distinct windows of each chunk, every word with a space behind it. chunks carry `pairs`, the frequent ones."""
+def frequent_windows(chunks: DataFrame, least: int, most_words: int) -> DataFrame:
+    """lang, window, count: distinct windows of each chunk, all of whose words stand in pairs and triples that reach `least`."""
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, number, chunk, frequent in chunks_of(batches):
+            yield chunk.thinned(2, frequent).row(part, number)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                lang = batch.column(0)[i].as_py()
-                chunk = Chunk(lang, batch.column(1)[i].values, batch.column(2)[i].as_py())
-                frequent = np.sort(batch.column(3)[i].values.to_numpy().view(np.uint64))
-                good = chunk.paired & (frequent[np.minimum(np.searchsorted(frequent, chunk.pairs), len(frequent) - 1)] == chunk.pairs)
-                good = np.append(good, np.zeros(most_words, bool))
-                run = np.zeros(len(chunk.codes), np.int64)  # pairs that follow, as far as they are frequent
-                for step in range(most_words - 2, -1, -1):
-                    run = np.where(good[step : step + len(run)], run + 1, 0)
-                at = np.flatnonzero(run)
-                codes = np.append(chunk.codes, np.zeros(most_words, np.int64))
-                rows = np.stack([np.where(run[at] >= j, codes[at + j], -1) for j in range(most_words)])
-                by = np.lexsort(rows[::-1])
-                rows = rows[:, by]
-                new = np.append(True, (rows[:, 1:] != rows[:, :-1]).any(axis=0)) if len(by) else np.zeros(0, bool)
-                first = np.flatnonzero(new)
-                counts = np.diff(np.append(first, len(by)))
-                words = chunk.words
-                windows = ["".join([words[c] + " " for c in row if c >= 0]) for row in rows[:, first].T.tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(windows), pa.string()), pa.array(windows, pa.string()), pa.array(counts, pa.int64())],
-                    names=["lang", "window", "count"],
-                )
-
-    return chunks.select("lang", "words", "codes", "pairs").mapInArrow(cut, "lang string, window string, count long")
+        for _, _, chunk, frequent in chunks_of(batches):
+            if frequent is not None:
+                chunk = chunk.thinned(3, frequent)
+            windows, counts = chunk.windows(most_words)
+            columns = [pa.array([chunk.lang] * len(windows), pa.string()), pa.array(windows, pa.string()), pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "window", "count"])
+
+    kept = staging.staged(with_frequent(chunks, 2, least).mapInArrow(thin, CHUNK), "collocations-pairs")
+    if most_words > 2:
+        kept = with_frequent(kept, 3, least)
+    return kept.mapInArrow(cut, "lang string, window string, count long")
 
 
 def run_counts(windows: DataFrame, least: int, most_words: int) -> DataFrame:
@@ -213,10 +270,7 @@ def merged(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner")
 def phrase_counts(docs: DataFrame, least: int, most_words: int) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, n_words, f) of all words and phrases with f >= least, and (lang, n). docs: lang, text."""
     chunks = staging.staged(encoded(docs), "collocations-chunks")
-    sums = Window.partitionBy("pair")
-    frequent = pair_counts(chunks).withColumn("f", F.sum("count").over(sums)).filter(F.col("f") >= least)
-    lists = frequent.groupBy("part", "number").agg(F.collect_list("pair").alias("pairs"))
-    windows = staging.staged(frequent_windows(merged(chunks, lists, ["part", "number"]), most_words), "collocations-windows")
+    windows = staging.staged(frequent_windows(chunks, least, most_words), "collocations-windows")
     ordered = windows.repartitionByRange("lang", "window").sortWithinPartitions("lang", "window")
     phrases = run_counts(ordered, least, most_words).groupBy("lang", "phrase", "n_words").agg(F.sum("f").alias("f"))
     words = chunks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
