@@ -166,3 +166,59 @@ def perspectives(turns, section=256):
                     text += body + "\n"
                 found[conv, part, name] = (text, ",".join(mask))
     return found
+
+
+def collocations(rows, least, most_words=5, per_language=2000):
+    """rows: (lang, text). (lang, rank, phrase, a, l, r, n, score)."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    f, n = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(lower)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            f.update((lang, *words[i : i + k]) for k in range(1, most_words + 1) for i in range(len(words) - k + 1))
+    candidates = {p: a for p, a in f.items() if a >= least and len(p) > 2}
+    inside = {(p[0], *p[1:][i : i + k]) for p, a in candidates.items() for k in range(2, len(p) - 1) for i in range(len(p) - k)
+              if 100 * a >= 100 * f[(p[0], *p[1:][i : i + k])]}
+    found = []
+    for (lang, *words), a in candidates.items():
+        if (lang, *words) in inside:
+            continue
+        cuts = [(f[(lang, *words[:k])], f[(lang, *words[k:])], k) for k in range(1, len(words))]
+        score, k, left, right = min((1000 * a * n[lang] // (x * y), k, x, y) for x, y, k in cuts)
+        found.append((lang, -score, -a, " ".join(words).encode(), left, right))
+    ranks, out = Counter(), []
+    for lang, score, a, phrase, left, right in sorted(found):
+        ranks[lang] += 1
+        if ranks[lang] <= per_language:
+            out.append((lang, ranks[lang], phrase.decode(), -a, left, right, n[lang], -score))
+    return out
+
+
+def substrings(rows, length=20):
+    """rows: (id, text). (id, words, removed words, sha256 of the kept ones) per row; equal rows are one document."""
+    seen, verdict = set(), {}
+    for key in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")):
+        words, gone = WORD.findall(key[1] or ""), set()
+        for i in range(len(words) - length + 1):
+            window = tuple(words[i : i + length])
+            if window in seen:
+                gone.update(range(i, i + length))
+            seen.add(window)
+        kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+        verdict[key] = (key[0], len(words), len(gone), sha(kept))
+    return [verdict[r] for r in rows]
+
+
+def hard_negatives(rows, k=5, least=80):
+    """rows: (id, label, vector), ids divisible by 100 are anchors. (anchor, positive, rank, negative, two scores)."""
+    scaled = [(i, label, [math.floor(256 * float(x)) for x in v]) for i, label, v in rows]
+    out = []
+    for own, kind, anchor in (r for r in scaled if r[0] % 100 == 0):
+        scores = sorted(((-sum(a * b for a, b in zip(anchor, v)), i, label) for i, label, v in scaled if len(v) == len(anchor)))
+        positives = [(-s, i) for s, i, label in scores if label == kind and i != own][:k]
+        for top, positive in positives:
+            window = [(-s, i) for s, i, label in scores if label != kind and least * top <= -100 * s <= 100 * top][:k]
+            out += [(own, positive, rank, i, top, s) for rank, (s, i) in enumerate(window, 1)]
+    return sorted(out)
