@@ -57,6 +57,17 @@ def at_or_after(vendor: str, fields: Sequence[T.StructField], values: Tuple, bin
     return f"{column} >= {value} AND {text}" if value is not None and len(parts) > 1 else text
 
 
+def above(vendor: str, fields: Sequence[T.StructField], values: Tuple, binary: bool = True) -> str:
+    """Key tuple > values, NULLs first."""
+    parts = _parts(vendor, fields, values, binary)
+    return "(" + " OR ".join(f"({c})" for c in _alternatives(parts, lambda p: _above(p[0], p[1]))) + ")"
+
+
+def equal(vendor: str, fields: Sequence[T.StructField], values: Tuple, binary: bool = True) -> str:
+    """Key tuple = values, NULL equal to NULL."""
+    return "(" + " AND ".join(_equal(c, v) for c, v, _ in _parts(vendor, fields, values, binary)) + ")"
+
+
 def before(vendor: str, fields: Sequence[T.StructField], values: Tuple, binary: bool = True) -> str:
     """Key tuple < values, NULLs first."""
     parts = _parts(vendor, fields, values, binary)

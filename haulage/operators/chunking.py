@@ -101,9 +101,12 @@ def index_manifest(df: DataFrame, column: str, chunk_rows: int) -> DataFrame:
     return pack_values(df.groupBy(F.col(quoted(column)).alias("v")).agg(F.count(F.lit(1)).alias("n")), column, chunk_rows)
 
 
-def pack_values(counts: DataFrame, column: str, chunk_rows: int) -> DataFrame:
+def pack_values(counts: DataFrame, column: str, chunk_rows: int, part_rows: int | None = None) -> DataFrame:
     """Pack values (v, n) in value order. Input: one row per distinct value with its row count.
 
+    With ``part_rows`` each chunk also gets ``part_lows``: the values at which its parts begin, so that a part holds at most
+    that many rows besides those of its last value.
+
     Values over half a chunk stand alone. The others are packed by ``floor(rows_before / step)`` with
     ``step = chunk_rows - largest + 1``, which keeps the bound and makes chunks at least half full on
     average. NULL is a chunk of its own, before all others.
@@ -129,10 +132,22 @@ def pack_values(counts: DataFrame, column: str, chunk_rows: int) -> DataFrame:
     )
     step = chunk_rows - (stats["light"] or 0) + 1
     group = F.when(F.col("heavy") == 1, 0).otherwise(F.floor(F.col("light_before") / step))
-    chunks = packed.groupBy("heavies_before", "heavy", group.alias("pack")).agg(
+    chunk = ["heavies_before", "heavy", "pack"]
+    packed = packed.withColumn("pack", group)
+    # parts first: map-side sums, and a chunk's list is as long as it has parts
+    part = F.floor((F.col("light_before") - F.col("pack") * step) / (part_rows or chunk_rows))
+    parts = packed.groupBy(*chunk, F.when(F.col("heavy") == 1, 0).otherwise(part).alias("part")).agg(
         F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_values"), F.min("v").alias("lo"), F.max("v").alias("hi")
     )
+    chunks = parts.groupBy(*chunk).agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("n_values").alias("n_values"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+        F.array_sort(F.collect_list("lo")).alias("part_lows"),
+    )
     shift = 1 if stats["has_null"] else 0
+    lows = [] if part_rows is None else ["part_lows"]
     ones = chunks.withColumn("one", F.lit(1).cast("bigint")).checkpoint()
     numbered = ranking.running_totals(ones, ["lo"], {"iteration": "one"})
     result = numbered.select(
@@ -141,6 +156,7 @@ def pack_values(counts: DataFrame, column: str, chunk_rows: int) -> DataFrame:
         "n_values",
         F.col("lo").alias(f"lo_{column}"),
         F.col("hi").alias(f"hi_{column}"),
+        *lows,
     )
     if not shift:
         return result
@@ -150,6 +166,7 @@ def pack_values(counts: DataFrame, column: str, chunk_rows: int) -> DataFrame:
         F.lit(1).cast("bigint").alias("n_values"),
         F.col("v").alias(f"lo_{column}"),
         F.col("v").alias(f"hi_{column}"),
+        *[F.array("v").alias(name) for name in lows],
     )
     return result.unionByName(nulls)
 

@@ -59,6 +59,28 @@ MASTER_TRACKER_SCHEMA = T.StructType(
         T.StructField("message", T.StringType()),
     ]
 )
+#: Ours: the runs of a load, each a complete attempt with chunks and files of its own, and when it became what readers see.
+STARTED = "started"
+PUBLISHED = "published"
+RUN_SCHEMA = T.StructType(
+    [
+        T.StructField("log_id", T.IntegerType()),
+        T.StructField("run", T.IntegerType()),
+        T.StructField("event", T.StringType()),
+        T.StructField("at", T.TimestampNTZType()),
+    ]
+)
+#: Ours: the ranges that make up a planned chunk, so that a rerun reads it with as many tasks as the first attempt.
+PART_SCHEMA = T.StructType(
+    [
+        T.StructField("log_id", T.IntegerType()),
+        T.StructField("run", T.IntegerType()),
+        T.StructField("iteration", T.IntegerType()),
+        T.StructField("part", T.IntegerType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("predicate", T.StringType()),
+    ]
+)
 
 
 def latest(history: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

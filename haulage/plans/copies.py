@@ -16,13 +16,19 @@ MASKED_SUFFIX = "_masked"
 
 
 class LakeCopy:
-    def __init__(self, spark: SparkSession, target: Target, table: str, schema: T.StructType, masked: bool = False):
+    """A run's files; readers see them from `publish` on, and until then the run before."""
+
+    def __init__(
+        self, spark: SparkSession, target: Target, table: str, schema: T.StructType, masked: bool = False, run: int = 0
+    ):
         folder = target.masked_folder if masked else target.folder
         if folder is None:
             raise ValueError(f"the target names no {'masked ' if masked else ''}folder")
         self.spark = spark
         self.format = target.write_format
-        self.folder = lake.table_folder(folder, table)
+        self.run = run
+        self.table_folder = lake.table_folder(folder, table)
+        self.folder = lake.run_folder(folder, table, run)
         self.schema = schema
         self.zone = target.masked_zone if masked else target.raw_zone
         self.published_as = table + MASKED_SUFFIX if masked else table
@@ -45,8 +51,12 @@ class LakeCopy:
         """Remove chunks of an earlier, longer plan."""
         lake.delete_from(self.spark, self.folder, self.format, chunks)
 
-    def publish(self) -> str:
-        return lake.publish(self.spark, self.zone, self.published_as, self.schema, self.folder, self.format)
+    def publish(self, before: int | None = None) -> str:
+        """``before``: the run that readers have seen until now; it is kept for those that still read it."""
+        name = lake.publish(self.spark, self.zone, self.published_as, self.schema, self.folder, self.format, self.run)
+        if self.run:
+            lake.drop_runs(self.spark, self.zone, self.published_as, self.table_folder, (self.run, before or 0))
+        return name
 
 
 class RdbmsCopy:
@@ -83,7 +93,7 @@ class RdbmsCopy:
     def keep_first(self, chunks: int) -> None:
         self.target.delete_from(chunks)
 
-    def publish(self) -> str:
+    def publish(self, before: int | None = None) -> str:
         self.target.promote(self.schema.fieldNames())
         return self.target.table
 

@@ -45,8 +45,8 @@ class Load:
     masked_columns: tuple[str, ...] = ()
 
 
-def copies(spark: SparkSession, job: Job, load: Load, table: JdbcTable) -> tuple[Copy, Copy | None]:
-    """Raw and masked copy; a masked column is text, whatever it was before."""
+def copies(spark: SparkSession, job: Job, load: Load, table: JdbcTable, run: int) -> tuple[Copy, Copy | None]:
+    """Raw and masked copy of a run; a masked column is text, whatever it was before."""
     if load.masked_columns and not job.salt:
         raise ValueError("masked columns need a salt: unsalted hashes of short values can be looked up")
     schema = table.frame().schema
@@ -56,7 +56,7 @@ def copies(spark: SparkSession, job: Job, load: Load, table: JdbcTable) -> tuple
     def copy(shape, masked: bool) -> Copy:
         if job.target.kind == "rdbms":
             return RdbmsCopy(spark, job.target_connection, name, shape, job.target_schema, masked)
-        return LakeCopy(spark, job.target, name, shape, masked)
+        return LakeCopy(spark, job.target, name, shape, masked, run)
 
     return copy(schema, False), copy(hidden, True) if load.masked_columns else None
 
@@ -121,11 +121,20 @@ def record_errors(job: Job, load: Load, outcomes: dict[int, Outcome]) -> None:
     job.trackers.append_errors(failed)
 
 
-def record_plan(job: Job, load: Load, plan: ChunkPlan, masked: Copy | None) -> None:
+def record_plan(job: Job, load: Load, plan: ChunkPlan, masked: Copy | None, run: int) -> None:
     """Before the first wave: every planned chunk, so that a job that breaks off can be completed from the trackers.
 
-    Chunks of an earlier plan with more of them are recorded as removed.
+    The ranges of chunks that several tasks read go first: a chunk that is known has its parts. Chunks of an earlier plan with
+    more of them are recorded as removed.
     """
+    job.trackers.append_parts(
+        [
+            {"log_id": load.log_id, "run": run, "iteration": c.iteration, "part": i, "source": c.source, "predicate": part}
+            for c in plan.chunks
+            if c.predicate is not None
+            for i, part in enumerate(c.parts or (c.predicate,))
+        ]
+    )
     started = now()
     planned = Outcome(write_status=PENDING, mask_write_status=PENDING if masked is not None else None)
     rows = [tracker_row(job, load, c, planned, plan.strategy, plan.chunk_rows, started) for c in plan.chunks]
@@ -149,20 +158,29 @@ def validate(table: JdbcTable, load: Load, raw: Copy, masked: Copy | None) -> st
     return validation.validation_status([side]).first()["status"]
 
 
-def publish(job: Job, raw: Copy, masked: Copy | None, status: str) -> list[str]:
+def publish(job: Job, load: Load, raw: Copy, masked: Copy | None, status: str, run: int) -> list[str]:
+    """Readers see the run from here on; what they saw before is kept until the next publication."""
     if status not in (SUCCESS, PARTIAL):
         return []
-    return [copy.publish() for copy in (raw, masked) if copy is not None]
+    before = job.trackers.published_run(load.log_id, run)
+    names = [copy.publish(before) for copy in (raw, masked) if copy is not None]
+    job.trackers.record_published(load.log_id, run)
+    return names
 
 
 def extract_table(spark: SparkSession, job: Job, load: Load) -> str:
-    """Copy one table; returns its validation status and records it in the master tracker."""
+    """Copy one table; returns its validation status and records it in the master tracker.
+
+    The run is started before the load is marked as running: whatever breaks off after that belongs to this run, and states of
+    earlier runs say nothing about it.
+    """
     started = now()
     table = JdbcTable(spark, load.connection, load.spec)
-    raw, masked = copies(spark, job, load, table)
+    run = job.trackers.start_run(load.log_id)
+    raw, masked = copies(spark, job, load, table, run)
     record_load(job, load, started, LOAD_RUNNING, None)
     plan = table.plan(job.cluster_threshold_mb)
-    record_plan(job, load, plan, masked)
+    record_plan(job, load, plan, masked, run)
     complete = True
     if plan.table_count < 1:
         for copy in (raw, masked):
@@ -176,7 +194,7 @@ def extract_table(spark: SparkSession, job: Job, load: Load) -> str:
             if copy is not None:
                 copy.keep_first(len(plan.chunks))
         status = validate(table, load, raw, masked) if complete else FAILED
-    publish(job, raw, masked, status)
+    publish(job, load, raw, masked, status, run)
     record_load(job, load, started, status if complete else LOAD_FAILED, None)
     return status
 

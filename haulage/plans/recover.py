@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Row, SparkSession
 from pyspark.sql import functions as F
 
 from haulage.operators import masking, recovery
@@ -23,25 +22,34 @@ from haulage.plans.extract import (
 )
 from haulage.plans.waves import Outcome, first_line, run_masked, run_raw, split
 from haulage.sources.config import recoverable
-from haulage.sources.jdbc import Chunk, JdbcTable, query_frame
+from haulage.sources.jdbc import Chunk, JdbcTable, chunk_scan
 from haulage.sources.trackers import now
 
 
-def _stored(spark: SparkSession, load: Load, chunks: Sequence[Chunk]) -> DataFrame:
-    """Chunks as their tracker rows say: each is its own stored query."""
-    frames = [
-        query_frame(spark, load.connection, c.query).withColumn("iteration", F.lit(c.iteration)) for c in chunks
-    ]
-    return reduce(DataFrame.union, frames)
+def stored_chunks(job: Job, load: Load, run: int, rows: Sequence[Row]) -> list[Chunk]:
+    """Chunks as the trackers say: their stored ranges, each read by a task of its own, or else their stored query."""
+    numbers = [r["iteration"] for r in rows]
+    found: dict[int, list[Row]] = {}
+    # ranges of the chunks that failed, not data; a chunk has as many as tasks read it
+    for part in job.trackers.parts(load.log_id, run).filter(F.col("iteration").isin(numbers)).collect():
+        found.setdefault(part["iteration"], []).append(part)
+    chunks = []
+    for row in sorted(rows, key=lambda r: r["iteration"]):
+        parts = sorted(found.get(row["iteration"], []), key=lambda p: p["part"])
+        ranges = tuple(p["predicate"] for p in parts)
+        whole = " OR ".join(f"({p})" for p in ranges) or None
+        chunks.append(Chunk(row["iteration"], row["query"], whole, ranges, parts[0]["source"] if parts else None))
+    return chunks
 
 
-def rerun(spark: SparkSession, job: Job, load: Load, rows: list[Row]) -> None:
-    """Rerun what each chunk needs, wave by wave."""
+def rerun(spark: SparkSession, job: Job, load: Load, rows: list[Row], run: int) -> None:
+    """Rerun what each chunk needs, wave by wave, into the files of the run that failed."""
     table = JdbcTable(spark, load.connection, load.spec)
-    raw, masked = copies(spark, job, load, table)
+    raw, masked = copies(spark, job, load, table, run)
     todo = {r["iteration"]: r for r in rows}
-    chunks = [Chunk(r["iteration"], r["query"]) for r in sorted(rows, key=lambda r: r["iteration"])]
-    for wave in split(chunks, job.wave_chunks):
+    chunks = stored_chunks(job, load, run, rows)
+    read = lambda some: chunk_scan(spark, load.connection, table.name, some)
+    for wave in split(chunks, job.wave_chunks, job.wave_tasks):
         started = now()
         outcomes = {
             c.iteration: Outcome(
@@ -54,7 +62,7 @@ def rerun(spark: SparkSession, job: Job, load: Load, rows: list[Row]) -> None:
         }
         lost = [c for c in wave if todo[c.iteration]["rerun_raw"]]
         if lost:
-            for number, again in run_raw(lost, lambda some: _stored(spark, load, some), raw).items():
+            for number, again in run_raw(lost, read, raw).items():
                 outcomes[number].read_status = again.read_status
                 outcomes[number].write_status = again.write_status
                 outcomes[number].message = again.message
@@ -91,16 +99,17 @@ def complete(spark: SparkSession, job: Job, load: Load, rows: list[Row], tracked
     if not tracked:  # it broke off before its chunks were planned
         extract_table(spark, job, load)
         return
+    run = job.trackers.last_run(load.log_id)
     if rows:
-        rerun(spark, job, load, rows)
+        rerun(spark, job, load, rows, run)
     table = JdbcTable(spark, load.connection, load.spec)
-    raw, masked = copies(spark, job, load, table)
+    raw, masked = copies(spark, job, load, table, run)
     state = recovery.close_loads(job.trackers.chunks_now().filter(F.col("log_id") == load.log_id)).first()
     for copy in (raw, masked):
         if copy is not None:
             copy.keep_first(job.trackers.planned(load.log_id))
     status = validate(table, load, raw, masked) if state["load_status"] == LOAD_SUCCESS else LOAD_FAILED
-    publish(job, raw, masked, status)
+    publish(job, load, raw, masked, status, run)
     record_load(job, load, started, status, None)
 
 
@@ -114,7 +123,8 @@ def recover(spark: SparkSession, job: Job, load_of: Callable[[int], Load | None]
     if not recoverable(job.target):
         raise ValueError("recovery needs a lake target with account, container, key, format and a folder")
     logs = recovery.failed_logs(job.trackers.master_now())
-    history = job.trackers.chunk_history()
+    # states of earlier runs of a load count for nothing: they belong to other plans and other files
+    history = job.trackers.run_chunks()
     tracked = {r["log_id"] for r in history.join(logs, "log_id", "left_semi").select("log_id").distinct().collect()}
     # tracker rows of open chunks, not data; read once for all loads
     rows: dict[int, list[Row]] = {}

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from haulage.functions.ordering import is_plain, key_text, lookup, quoted
 from haulage.functions.predicates import ranges
 from haulage.operators import chunking, decision, discovery, profile, ranking
-from haulage.sources import vendors
+from haulage.sources import paging, vendors
 
 KEY_SCAN_ROWS = 2_000_000
 RESERVED = "__"
@@ -55,13 +55,15 @@ class TableSpec:
 class Chunk:
     """One restartable unit: the query that reads it, its key range if it has one, and the parts of that range.
 
-    Parts are disjoint and make up the range; each is read by a task of its own.
+    Parts are disjoint and make up the range; each is read by a task of its own. The range is one of ``source``, if that is
+    not the table itself (one partition of it).
     """
 
     iteration: int
     query: str
     predicate: str | None = None
     parts: tuple[str, ...] = ()
+    source: str | None = None
 
 
 @dataclass(frozen=True)
@@ -77,20 +79,33 @@ def query_frame(spark: SparkSession, connection: Connection, sql: str) -> DataFr
     return spark.read.format("jdbc").options(**connection.options()).option("query", sql).load()
 
 
+def table_frame(spark: SparkSession, connection: Connection, source: str) -> DataFrame:
+    """A whole table as one lazy scan."""
+    return spark.read.format("jdbc").options(**connection.options()).option("dbtable", source).load()
+
+
+def range_frame(spark: SparkSession, connection: Connection, source: str, predicates: Sequence[str]) -> DataFrame:
+    """One source query, and one partition, per predicate, in their order."""
+    properties = {k: v for k, v in connection.options().items() if k != "url"}
+    return spark.read.jdbc(connection.url, source, predicates=list(predicates), properties=properties)
+
+
 def chunk_scan(spark: SparkSession, connection: Connection, table: str, chunks: Sequence[Chunk]) -> DataFrame:
     """The rows of several chunks in one frame; one source query and one task per part of a chunk."""
-    if all(c.predicate is not None for c in chunks):
-        parts = [(c.iteration, part) for c in chunks for part in c.parts or (c.predicate,)]
-        reader = spark.read.jdbc(
-            connection.url,
-            table,
-            predicates=[part for _, part in parts],
-            properties={k: v for k, v in connection.options().items() if k != "url"},
-        )
+    by_source: dict[str, list[Chunk]] = {}
+    for chunk in chunks:
+        if chunk.predicate is not None:
+            by_source.setdefault(chunk.source or table, []).append(chunk)
+    frames = []
+    for source, some in by_source.items():
+        parts = [(c.iteration, part) for c in some for part in c.parts or (c.predicate,)]
+        reader = range_frame(spark, connection, source, [part for _, part in parts])
         # the scan has exactly one partition per predicate, in order
         number = lookup([number for number, _ in parts], F.spark_partition_id())
-        return reader.withColumn("iteration", number.cast("int"))
-    frames = [query_frame(spark, connection, c.query).withColumn("iteration", F.lit(c.iteration)) for c in chunks]
+        frames.append(reader.withColumn("iteration", number.cast("int")))
+    for chunk in chunks:
+        if chunk.predicate is None:
+            frames.append(query_frame(spark, connection, chunk.query).withColumn("iteration", F.lit(chunk.iteration)))
     return reduce(DataFrame.union, frames)
 
 
@@ -107,7 +122,7 @@ class JdbcTable:
 
     def frame(self) -> DataFrame:
         """The whole table as one lazy scan; used for its schema."""
-        return self.spark.read.format("jdbc").options(**self.connection.options()).option("dbtable", self.name).load()
+        return table_frame(self.spark, self.connection, self.name)
 
     def _query(self, sql: str) -> DataFrame:
         return query_frame(self.spark, self.connection, sql)
@@ -184,9 +199,9 @@ class JdbcTable:
             "clustered": lambda: self._key_chunks(keys, rows, count),
             "composite_clustered": lambda: self._key_chunks(keys, rows, count),
             "non_clustered": lambda: self._index_chunks(counts, indexes[0], rows),
-            "non_clustered_limit_offset": lambda: self._pages(self.name, "", indexes, rows, count, 0),
+            "non_clustered_limit_offset": lambda: self._pages(self.name, indexes, rows, count, 0),
             "partition": lambda: self._partition_chunks(partitions, rows),
-            "limit_offset": lambda: self._pages(self.name, "", [], rows, count, 0),
+            "limit_offset": lambda: self._pages(self.name, [], rows, count, 0),
         }[strategy]()
         return ChunkPlan(strategy, count, rows, tuple(chunks))
 
@@ -260,30 +275,63 @@ class JdbcTable:
         return Chunk(iteration, f"SELECT * FROM {self.name} WHERE {predicate}", predicate, parts)
 
     def _index_chunks(self, counts: DataFrame, column: str, rows: int) -> list[Chunk]:
-        manifest = chunking.pack_values(counts, column, rows)
+        """Packed values; a chunk's parts begin at values too, about ``task_rows`` rows apart."""
+        manifest = chunking.pack_values(counts, column, rows, min(rows, self.task_rows))
         lo = f"lo_{column}"
-        text = key_text(F.col(quoted(lo)), manifest.schema[lo].dataType).alias("lo")
-        lows = [r["lo"] for r in manifest.orderBy("iteration").select(text).collect()]
+        text = lambda c: key_text(c, manifest.schema[lo].dataType)
+        found = manifest.orderBy("iteration").select(
+            F.col(quoted(lo)).isNull().alias("is_null"), F.transform("part_lows", text).alias("lows")
+        )
+        listed = [r["lows"] for r in found.collect() if not r["is_null"]]
         field_ = self._fields([column])[0]
+        name = vendors.quote(self.vendor, column)
         chunks = []
-        if lows and lows[0] is None:
-            lows = lows[1:]
         if field_.nullable:
             # also planned when no NULL exists yet: rows may arrive while the job runs
-            chunks.append(self._where(0, f"{vendors.quote(self.vendor, column)} IS NULL"))
+            chunks.append(self._where(0, f"{name} IS NULL"))
         filled = T.StructField(field_.name, field_.dataType, False)
-        present = f"{vendors.quote(self.vendor, column)} IS NOT NULL"
-        for chunk in self._range_chunks([filled], [(v,) for v in lows], len(chunks)):
-            chunks.append(self._where(chunk.iteration, f"{present} AND {chunk.predicate}"))
+        parts = iter(ranges(self.vendor, [filled], [(v,) for lows in listed for v in lows]))
+        whole = ranges(self.vendor, [filled], [(lows[0],) for lows in listed])
+        present = f"{name} IS NOT NULL AND "
+        for lows, predicate in zip(listed, whole):
+            inside = tuple(present + next(parts) for _ in lows)
+            chunks.append(self._where(len(chunks), present + predicate, inside if len(inside) > 1 else ()))
         return chunks
 
-    def _pages(self, source: str, where: str, leading: Sequence[str], rows: int, count: int, first: int) -> list[Chunk]:
-        schema = self.frame().schema
-        names = [*leading, *[f.name for f in schema if f.name not in leading and is_plain(f.dataType)]]
+    def _pages(self, source: str, leading: Sequence[str], rows: int, count: int, first: int) -> list[Chunk]:
+        """Pages under a total order of the columns that have one, cut at borders that the source finds in one query.
+
+        A page is a key range. Where a run of full copies is cut, the page is its range and the copies on either side of it,
+        counted by offset inside the run: copies are alike, so it does not matter which of them a page gets. In tables with
+        columns that have no order rows of a run may differ; there a run stays whole, in one page.
+        """
+        fields = [self.frame().schema[n] for n in leading]
+        fields += [f for f in self.frame().schema if f.name not in leading and is_plain(f.dataType)]
+        loose = (T.FloatType, T.DoubleType)  # 0.0 and -0.0 are equal, but no copies
+        cut_runs = all(is_plain(f.dataType) and not isinstance(f.dataType, loose) for f in self.frame().schema)
+        part = min(rows, self.task_rows)
+        sql = vendors.page_border_query(self.vendor, source, fields, rows, part) if fields else None
+        if sql is None:
+            return self._offset_pages(source, [f.name for f in fields], rows, count, first)
+        keys = [key_text(F.col(f"k{i}"), f.dataType).alias(f"k{i}") for i, f in enumerate(fields)]
+        numbers = [F.col(n).cast("bigint").alias(n) for n in ("ordinal", "page_start")]
+        found = self._query(sql).orderBy("rn").select(*keys, *numbers).collect()
+        borders = [paging.Border(tuple(r)[:-2], *tuple(r)[-2:]) for r in found]
+        item, condition = vendors.filtered(source)
+        try:
+            pages = paging.pages(self.vendor, fields, borders, cut_runs, rows, condition)
+        except paging.NoLiteral:
+            return self._offset_pages(source, [f.name for f in fields], rows, count, first)
+        return [
+            Chunk(first + i, page.query(self.vendor, item), page.predicate, page.parts, None if item == self.name else item)
+            for i, page in enumerate(pages)
+        ]
+
+    def _offset_pages(self, source: str, names: Sequence[str], rows: int, count: int, first: int) -> list[Chunk]:
+        """For sources that cannot number rows, and borders that have no literal."""
         columns = [vendors.quote(self.vendor, n) for n in names]
         return [
-            Chunk(first + i, vendors.page_query(self.vendor, source + where, columns, i * rows, rows))
-            for i in range(-(-count // rows))
+            Chunk(first + i, vendors.page_query(self.vendor, source, columns, i * rows, rows)) for i in range(-(-count // rows))
         ]
 
     def _partition_chunks(self, partitions: list[str], rows: int) -> list[Chunk]:
@@ -297,10 +345,10 @@ class JdbcTable:
         sizes = {r["i"]: r["n"] for r in reduce(DataFrame.unionByName, counted).collect()}
         chunks: list[Chunk] = []
         for i, source in enumerate(sources):
-            if sizes[i] <= rows:
+            if sizes[i] <= min(rows, self.task_rows):
                 chunks.append(Chunk(len(chunks), f"SELECT * FROM {source}"))
             else:
-                chunks += self._pages(source, "", [], rows, sizes[i], len(chunks))
+                chunks += self._pages(source, [], rows, sizes[i], len(chunks))
         return chunks
 
     def statistics(self, columns: Sequence[str]) -> DataFrame:

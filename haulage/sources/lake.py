@@ -17,10 +17,19 @@ def table_folder(folder: str, table: str) -> str:
     return f"{folder.rstrip('/')}/{table}/"
 
 
+def run_folder(folder: str, table: str, run: int) -> str:
+    """Where a run's chunks are; run 0 is from before runs had folders of their own."""
+    return table_folder(folder, table) + (f"run={run}/" if run else "")
+
+
+def run_table(table: str, run: int) -> str:
+    return f"{table}__run_{run}"
+
+
 def write_chunks(df: DataFrame, folder: str, write_format: str) -> None:
     """Write rows with their ``iteration``; only the folders of the iterations present are replaced.
 
-    A chunk is one task, so its file is split by row count to stay readable in parallel.
+    Files are split by row count, so that what one task wrote is read by several.
     """
     (
         df.write.format(write_format)
@@ -86,19 +95,29 @@ def delete_from(spark: SparkSession, folder: str, write_format: str, first: int)
 
 
 def publish(
-    spark: SparkSession, database: str, table: str, schema: T.StructType, folder: str, write_format: str
+    spark: SparkSession, database: str, table: str, schema: T.StructType, folder: str, write_format: str, run: int = 0
 ) -> str:
-    """Register the folder as a table once; later runs refresh it, so readers always find it.
+    """Let readers see a run: a table over its folder, then one replacement of the view that bears the table's name.
 
-    Only a table whose columns no longer fit is registered anew; its files stay where they are.
+    Until that replacement readers see the run before, whole; from then on this one. A run that is published again (after a
+    rerun of its chunks) is refreshed in place.
     """
-    name = f"{quoted(database)}.{quoted(table)}"
-    location = folder.replace("\\", "\\\\").replace("'", "\\'")
+    name, own = f"{quoted(database)}.{quoted(table)}", f"{quoted(database)}.{quoted(run_table(table, run))}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
+    _register(spark, own, schema, folder, write_format)
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")  # published before there were runs; its files stay
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {own}")
+    return name
+
+
+def _register(spark: SparkSession, name: str, schema: T.StructType, folder: str, write_format: str) -> None:
+    """A table over a run's folder; one whose columns no longer fit is registered anew, its files stay where they are."""
+    location = folder.replace("\\", "\\\\").replace("'", "\\'")
     if write_format == "delta":
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING delta LOCATION '{location}'")
         spark.sql(f"REFRESH TABLE {name}")
-        return name
+        return
     wanted = [(f.name.lower(), f.dataType) for f in with_iteration(schema)]
     if spark.catalog.tableExists(name):
         known = [(f.name.lower(), f.dataType) for f in spark.table(name).schema]
@@ -111,4 +130,21 @@ def publish(
     )
     spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.sql(f"REFRESH TABLE {name}")
-    return name
+
+
+def drop_runs(spark: SparkSession, database: str, table: str, folder: str, keep: Sequence[int]) -> list[int]:
+    """Remove tables and files of all runs but these; ``folder`` is the table's. Returns the runs removed.
+
+    Called after a publication with the new run and the one before it, which readers may still be reading.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = set()
+    for found in system.listStatus(path) if system.exists(path) else []:
+        name, _, number = found.getPath().getName().partition("=")
+        run = int(number) if name == "run" and number.isdigit() else 0 if name == "iteration" else None
+        if run is not None and run not in keep:
+            spark.sql(f"DROP TABLE IF EXISTS {quoted(database)}.{quoted(run_table(table, run))}")
+            system.delete(found.getPath(), True)
+            gone.add(run)
+    return sorted(gone)

@@ -18,6 +18,12 @@ from pyspark.sql import types as T
 VENDORS = ("mysql", "maria", "postgres", "ibm", "mssql")
 MSSQL_SUFFIX = ";encrypt=true;trustServerCertificate=true"
 
+#: A row limit that never bites, for dialects in which an offset needs one.
+ALL_ROWS = 9_223_372_036_854_775_807
+
+#: How the condition of a filtered FROM item begins.
+FILTERED = "WHERE /* partition */ "
+
 #: Offset at the end of a time: Z, or hours ahead of or behind it.
 ZONE = re.compile(r"(?:Z|[+-]\d{2}:?\d{2}(?::?\d{2})?)$")
 
@@ -141,6 +147,41 @@ def boundary_query(
     return f"SELECT {columns}, rn FROM ({numbered}) numbered WHERE {first}"
 
 
+def total_order(vendor: str, fields: Sequence[T.StructField]) -> str:
+    """ORDER BY of a tuple in Spark's order: NULLs first, text by its bytes."""
+    keys = []
+    for f in fields:
+        if f.nullable:
+            keys.append(f"CASE WHEN {quote(vendor, f.name)} IS NULL THEN 0 ELSE 1 END")
+        keys.append(ordered_column(vendor, f.name, f.dataType))
+    return ", ".join(keys)
+
+
+def page_border_query(
+    vendor: str, source: str, fields: Sequence[T.StructField], rows: int, part_rows: int
+) -> str | None:
+    """The first row of every page and of every part of it: its values (k0, k1, …), how many copies of it stand before it
+    (ordinal), its number (rn) and whether a page begins with it (page_start). None where the source cannot number rows."""
+    if vendor == "derby":
+        return None
+    order = total_order(vendor, fields)
+    columns = ", ".join(f"{quote(vendor, f.name)} AS k{i}" for i, f in enumerate(fields))
+    rest = (lambda a, b: f"({a}) % {b}") if vendor == "mssql" else (lambda a, b: f"MOD({a}, {b})")
+    in_page = rest("rn - 1", rows)
+    numbered = f"SELECT {columns}, ROW_NUMBER() OVER (ORDER BY {order}) AS rn, RANK() OVER (ORDER BY {order}) AS place FROM {source}"
+    keys = ", ".join(f"k{i}" for i in range(len(fields)))
+    return (
+        f"SELECT {keys}, rn - place AS ordinal, rn, CASE WHEN {in_page} = 0 THEN 1 ELSE 0 END AS page_start "
+        f"FROM ({numbered}) numbered WHERE {rest(in_page, part_rows)} = 0"
+    )
+
+
+def filtered(source: str) -> tuple[str, str | None]:
+    """FROM item without its condition, and the condition, if a partition is read by one."""
+    item, _, condition = source.partition(f" {FILTERED}")
+    return item, condition or None
+
+
 def partition_source(vendor: str, table: str, schema: str | None, partition: str) -> str:
     """FROM item (and filter) that reads one partition of a table."""
     name = table_name(vendor, table, schema)
@@ -149,7 +190,7 @@ def partition_source(vendor: str, table: str, schema: str | None, partition: str
     if vendor == "postgres":
         return partition  # quoted, with its own schema, by the catalog query
     if vendor == "mssql":
-        return f"{name} WHERE {partition}"
+        return f"{name} {FILTERED}({partition})"
     raise ValueError(f"no partition reads for {vendor}")
 
 

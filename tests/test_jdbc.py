@@ -156,8 +156,8 @@ def test_extract_and_recover(spark, source, monkeypatch, lake_job, tmp_path):
     history = lake_job.trackers.chunks_now()
 
     # break the load: two raw chunks and one masked chunk
-    folder = lake.table_folder(target.folder, "ORDERS")
-    hidden = lake.table_folder(target.masked_folder, "ORDERS")
+    folder = lake.run_folder(target.folder, "ORDERS", 1)
+    hidden = lake.run_folder(target.masked_folder, "ORDERS", 1)
     broken = [
         {**r.asDict(), "write_status": "FAIL" if r["iteration"] in (0, 2) else "PASS",
          "mask_write_status": "FAIL" if r["iteration"] == 2 else "PASS"}
