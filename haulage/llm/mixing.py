@@ -10,7 +10,8 @@ a label gets the mean quality of those that have one. Missing weights count as 1
 
 No source is sorted as a whole. Keys are cut into buckets (their number grows with the source's rows), buckets are
 summed with map-side combine, the running sum over buckets finds the one that holds the border, and only the rows of
-that bucket are sorted. Buckets follow the distribution of the source's keys, a mixture of one exponential per class of
+that bucket are sorted. Everything up to the verdict on a document works on narrow rows (id, hash, source, size, weight);
+only `mix` and `mixed_documents` move whole documents, once. Buckets follow the distribution of the source's keys, a mixture of one exponential per class of
 weights (half octaves, so that a source has a bounded number), and so stay even whatever the weights are. A document then compares its key with its source's border. The other side of that join has
 a row per source; where it is too large for Spark to broadcast it, a skewed source is split at run time.
 
@@ -39,7 +40,11 @@ def n_words(text: str = "text") -> Column:
 
 def uniform(*parts: str, seed: int = 42) -> Column:
     """In (0, 1], from a hash: does not depend on the run."""
-    return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), *parts), 11) + F.lit(1)) / F.lit(float(1 << 53))
+    return spread_evenly(F.xxhash64(F.lit(seed), *parts))
+
+
+def spread_evenly(hashed: Column) -> Column:
+    return (F.shiftrightunsigned(hashed, 11) + F.lit(1)) / F.lit(float(1 << 53))
 
 
 def usable(weight: Column) -> Column:
@@ -52,10 +57,10 @@ def label_weights(labels: DataFrame, id_column: str = "doc_id", quality_column:
     """l_id, l_weight, one row per labelled id; and the weight of documents without a label."""
     known = labels.select(F.col(id_column).alias("l_id"), F.col(quality_column).cast("double").alias("q"))
     known = known.filter("l_id IS NOT NULL AND q IS NOT NULL AND NOT isnan(q)").groupBy("l_id").agg(
-        (F.lit(LEAST_WEIGHT) + F.greatest(F.avg("q"), F.lit(0.0))).alias("l_weight")
+        (F.lit(LEAST_WEIGHT) + F.greatest(F.round(F.avg("q"), 9), F.lit(0.0))).alias("l_weight")
     )
     known = staging.staged(known, "mixing-quality")
-    mean = known.agg(F.avg("l_weight")).first()[0]
+    mean = known.agg(F.round(F.avg("l_weight"), 9)).first()[0]  # rounded: sums of doubles depend on their order
     return known, 1.0 if mean is None else mean
 
 
@@ -84,7 +89,7 @@ def targets(sizes: DataFrame, weights=(5.0, 2.0, 1.0), share: float = 1.5, most:
     return levels.select(*sizes.columns, target.alias("target"))
 
 
-def mix(
+def decided(
     docs: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
@@ -96,35 +101,61 @@ def mix(
     seed: int = 42,
     labels: DataFrame | None = None,
 ) -> DataFrame:
-    """row (all columns of a document), size, source_size, target, times (how often the mix takes it).
+    """id, hashed (of id and text), source, size, source_size, target, times for every row; texts stay where they are read.
 
     quality: positive weight of a row, 1 by default. Rows of higher weight come earlier in the fractional pass.
     labels: id and quality of documents, from which the weights are taken instead; unlabelled rows keep `quality` if given.
-    The document's own columns travel inside a struct, so whatever names they have cannot clash.
     """
     rows = docs.select(
-        F.struct(*docs.columns).alias("row"),
+        F.col(id_column).alias("id"),
+        F.xxhash64(F.lit(seed), id_column, text_column).alias("hashed"),
         n_words(text_column).alias("size"),
-        uniform(id_column, text_column, seed=seed).alias("u"),
         (F.lit(None).cast("double") if quality is None else quality).alias("own_weight"),
         F.col(source_column).alias("source"),
-        F.col(id_column).alias("id"),
     )
     weight = F.col("own_weight")
     if labels is not None:
         known, otherwise = label_weights(labels, id_column)
-        rows = rows.join(known, F.expr("id = l_id"), "left")
+        rows = rows.join(known.hint("merge"), F.expr("id = l_id"), "left")
         weight = F.coalesce("l_weight", weight, F.lit(otherwise))
-    rows = rows.withColumn("weight", usable(weight)).withColumn("key", -F.log("u") / F.col("weight"))
-    narrow = staging.staged(rows.select("source", "size", "key", "weight", "id"), "mixing-keys")
+    rows = rows.withColumn("weight", usable(weight)).withColumn("key", -F.log(spread_evenly(F.col("hashed"))) / F.col("weight"))
+    narrow = staging.staged(rows.select("source", "size", "key", "weight", "id", "hashed"), "mixing-keys")
     border = borders(narrow, weights, share, most)
-    joined = rows.join(border, F.expr("source <=> b_source"), "left").withColumn("bucket", bucket())
+    joined = narrow.join(border, F.expr("source <=> b_source"), "left").withColumn("bucket", bucket())
     in_pass = F.expr(
         "bucket < border_bucket OR bucket = border_bucket AND "
         "(key < border_key OR key = border_key AND struct(id) <= struct(border_id))"
     )
     times = F.when(F.col("source_size") > 0, F.col("epochs") + F.when(in_pass, 1).otherwise(0)).otherwise(0)
-    return joined.select("row", "size", "source_size", "target", times.cast("int").alias("times"))
+    return joined.select("id", "hashed", "source", "size", "source_size", "target", times.cast("int").alias("times"))
+
+
+def mix(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    seed: int = 42,
+    **options,
+) -> DataFrame:
+    """row (all columns of a document), size, source_size, target, times (how often the mix takes it).
+
+    Options as for `decided`. Wide rows move once, to the verdict on them, whatever the size of the tables. The document's
+    own columns travel inside a struct, so whatever names they have cannot clash.
+    """
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col(id_column).alias("id"),
+        F.xxhash64(F.lit(seed), id_column, text_column).alias("hashed"),
+        F.col(source_column).alias("source"),
+    )
+    verdict = decided(docs, id_column, text_column, source_column, seed=seed, **options)
+    # Equal rows of a source share their verdict; max only where their weights differ.
+    verdict = verdict.groupBy(
+        F.col("id").alias("v_id"), F.col("hashed").alias("v_hashed"), F.col("source").alias("v_source"), "size", "source_size", "target"
+    ).agg(F.max("times").alias("times"))
+    same = F.expr("hashed = v_hashed AND id <=> v_id AND source <=> v_source")
+    return rows.join(verdict.hint("merge"), same).select("row", "size", "source_size", "target", "times")
 
 
 def bucket() -> Column:
@@ -205,9 +236,7 @@ def borders(narrow: DataFrame, weights, share: float, most: float) -> DataFrame:
 
 def taken_words(docs: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target, taken for every row."""
-    return mix(docs, **options).selectExpr(
-        "row.doc_id", "size", "source_size", "target", "size * times AS taken"
-    )
+    return decided(docs, **options).selectExpr("id AS doc_id", "size", "source_size", "target", "size * times AS taken")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
