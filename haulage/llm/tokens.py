@@ -16,6 +16,8 @@ import numpy as np
 
 #: Parts kept by a worker before it starts afresh: bounds the memo's memory (about 250 MB).
 MEMO_PARTS = 1_000_000
+#: New parts that are encoded as one text.
+JOINED_PARTS = 256
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -46,6 +48,12 @@ def is_uneven(part: str) -> bool:
     return part[-1:].isspace() or part[:1] != " " and not part[:1].strip() or part[1:2].isspace()
 
 
+def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """start, start + 1, … for each start, as many as its length says."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
+
+
 class Encoder:
     """encode(texts) gives the ids of every text, equal to those of the library's own encode."""
 
@@ -54,6 +62,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.feed = feed[0] if len(feed) == 1 else -1
         self.reset()
 
     def reset(self) -> None:
@@ -67,13 +77,45 @@ class Encoder:
         parts, self.memo.waiting = self.memo.waiting, []
         if not parts:
             return
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-        ends = self.ends[-1] + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        uneven = np.fromiter(map(is_uneven, parts), bool, len(parts))
+        joinable = [not odd and "\n" not in part and "<|" not in part for part, odd in zip(parts, uneven.tolist())]
+        ids, lengths = self.joined([part for part, good in zip(parts, joinable) if good])
+        if not all(joinable):  # put the others in their places
+            joinable = np.array(joinable)
+            others, other_lengths = self.one_by_one([part for part, good in zip(parts, joinable) if not good])
+            both, of_part = np.concatenate([ids, others]), np.empty(len(parts), np.int64)
+            of_part[joinable], of_part[~joinable] = lengths, other_lengths
+            where = np.empty(len(parts), np.int64)
+            where[joinable], where[~joinable] = np.cumsum(lengths) - lengths, len(ids) + np.cumsum(other_lengths) - other_lengths
+            ids, lengths = both[expand(where, of_part)], of_part
+        ends = self.ends[-1] + np.cumsum(lengths)
         if ends[-1] > len(self.flat):
             self.flat = np.resize(self.flat, max(int(ends[-1]), 2 * len(self.flat)))
-        self.flat[self.ends[-1] : ends[-1]] = np.fromiter(chain.from_iterable(found), np.uint32)
+        self.flat[self.ends[-1] : ends[-1]] = ids
         self.ends = np.concatenate([self.ends, ends])
-        self.uneven = np.concatenate([self.uneven, np.fromiter(map(is_uneven, parts), bool, len(parts))])
+        self.uneven = np.concatenate([self.uneven, uneven])
+
+    def one_by_one(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts behind each other, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+
+    def joined(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for parts without line feeds, white space at an end or special tokens: many to a text, a line feed between
+        two. It is a token of its own there; a text in which it is not goes part by part."""
+        blocks = [parts[at : at + JOINED_PARTS] for at in range(0, len(parts), JOINED_PARTS)]
+        ids, lengths = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        encoded = self.tokenizer.encode_batch_fast(["\n".join(block) for block in blocks], add_special_tokens=False)
+        for block, found in zip(blocks, encoded):
+            row = np.array(found.ids, np.uint32)
+            feeds = np.flatnonzero(row == self.feed)
+            if len(feeds) == len(block) - 1:
+                ids.append(np.delete(row, feeds))
+                lengths.append(np.diff(np.concatenate([[-1], feeds, [len(row)]])) - 1)
+            else:
+                for values, kept in zip(self.one_by_one(block), (ids, lengths)):
+                    kept.append(values)
+        return np.concatenate(ids), np.concatenate(lengths)
 
     def codes(self, parts: list) -> np.ndarray:
         parts[0] = (parts[0],)
@@ -92,9 +134,7 @@ class Encoder:
 
     def gather(self, codes: np.ndarray) -> np.ndarray:
         starts = self.ends[codes]
-        lengths = self.ends[codes + 1] - starts
-        before = np.cumsum(lengths) - lengths
-        return self.flat[np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))]
+        return self.flat[expand(starts, self.ends[codes + 1] - starts)]
 
 
 _encoders: dict[str, Encoder] = {}
