@@ -87,7 +87,7 @@ lines AS (SELECT page_id, host, i, l[i] AS line, trim(l[i], ' ' || chr(9) || chr
   SELECT page_id, host, string_split(whole, chr(10)) AS l FROM cut), unnest(range(1, len(l) + 1)) AS u(i)),
 totals AS (SELECT host, count(*) AS n_pages FROM cut GROUP BY host),
 frequent AS (SELECT host, bare, count(DISTINCT page_id) AS n FROM lines WHERE bare <> '' GROUP BY host, bare),
-dropped AS (SELECT host, bare FROM frequent JOIN totals USING (host) WHERE n >= 10 AND n > 0.1 * n_pages),
+dropped AS (SELECT host, bare FROM frequent JOIN totals USING (host) WHERE n >= {line_dedup.MIN_PAGES} AND n > {line_dedup.RATIO} * n_pages),
 kept AS (SELECT page_id, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM lines ANTI JOIN dropped USING (host, bare)
   GROUP BY page_id),
 counted AS (SELECT page_id, count(*) AS n_lines FROM lines GROUP BY page_id)

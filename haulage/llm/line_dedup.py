@@ -1,12 +1,12 @@
 """Line dedup by frequency relative to a site.
 
-Pages are grouped by host. A line is boilerplate on a host if it stands on at least `min_pages` of the host's pages
-and on more than `ratio` of them. Boilerplate lines are dropped from the host's pages; all other text stays as it is.
+Pages are grouped by host. A line is boilerplate on a host if it stands on more than `ratio` of the host's pages, and on
+`min_pages` of them (two: the ratio decides, but a host's only page keeps its text). Boilerplate lines are dropped from the host's pages; all other text stays as it is.
 
 Lines are cut at \\n and compared after trimming spaces and tabs; lines without other characters are never counted or
 dropped. A line counts once per page. Counting groups by (host, 128-bit hash of the line) with map-side combine, so a
 line found on a third of all pages meets as one row per task. A host has at most (mean lines per page) / ratio
-boilerplate lines, so their hashes fit one array per host; pages meet that array in a join by host, which Spark
+boilerplate lines (with few pages: as many as their pages have), so their hashes fit one array per host; pages meet that array in a join by host, which Spark
 broadcasts if it is small and splits at run time if a host is skewed.
 
 Null texts stay null and count as pages without lines. A null host is a host of its own. Repeated rows are pages of
@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from haulage.llm import staging
 
 BLANKS = " \t\r"
+#: Share of a host's pages above which a line is boilerplate. One page alone has no lines of others to compare with.
+RATIO, MIN_PAGES = 0.1, 2
 #: Tags that end a line of a page's text; what scripts, styles and comments hold is no text.
 LINE_TAGS = r"(?i)<(?:/?(?:p|div|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|title|head|body|html)|br)\b[^>]*>"
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
@@ -61,7 +63,7 @@ def boilerplate(rows: DataFrame, ratio: float, min_pages: int) -> DataFrame:
 
 
 def drop_boilerplate(
-    pages: DataFrame, text: Column, host: Column, ratio: float = 0.1, min_pages: int = 10
+    pages: DataFrame, text: Column, host: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES
 ) -> DataFrame:
     """row (all columns of a page), host, n_lines, n_dropped, text (without boilerplate).
 
@@ -82,7 +84,7 @@ def drop_boilerplate(
     )
 
 
-def clean_pages(pages: DataFrame, ratio: float = 0.1, min_pages: int = 10) -> DataFrame:
+def clean_pages(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, host, n_lines, n_dropped, text of web pages (page_id, url, html)."""
     texts = pages.select("page_id", html_text(F.col("html")).alias("text"), host_of(F.col("url")).alias("host"))
     texts = staging.staged(texts, "line-dedup-pages")  # tags are taken off once
@@ -90,7 +92,7 @@ def clean_pages(pages: DataFrame, ratio: float = 0.1, min_pages: int = 10) -> Da
     return done.selectExpr("row.page_id", "host", "n_lines", "n_dropped", "text")
 
 
-def clean_documents(docs: DataFrame, ratio: float = 0.1, min_pages: int = 10) -> DataFrame:
+def clean_documents(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """Documents with their sources as sites and the columns of docs; n_chars follows the text."""
     done = drop_boilerplate(docs, F.col("text"), F.col("source"), ratio, min_pages)
     new = {"text": F.col("text")}

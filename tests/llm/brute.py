@@ -132,7 +132,7 @@ def targets(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
     return target
 
 
-def line_dedup(pages, ratio=0.1, min_pages=10):
+def line_dedup(pages, ratio=0.1, min_pages=2):
     """pages: [(host, text)]; the texts without boilerplate."""
     trim = lambda line: line.strip(" \t\r")
     on = Counter((h, line) for h, t in pages for line in {trim(x) for x in (t or "").split("\n")} if line)

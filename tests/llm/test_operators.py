@@ -408,6 +408,13 @@ def test_line_dedup_of_pages(spark):
     assert got[20].text == "menu" and got[21].text is None and got[22].text == "menu\nmenu"
 
 
+def test_small_hosts_lose_their_menus_too(spark):
+    pages = [(i, f"http://h{i % 9}.example/{i}", f"<div>home</div><p>own {i}</p><div>h{i % 9} imprint</div>") for i in range(27)]
+    pages.append((27, "http://single.example/", "<p>home</p>"))
+    got = {r.page_id: r for r in line_dedup.clean_pages(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[i].text == f"own {i}" and got[i].n_dropped == 2 for i in range(27)) and got[27].text == "home"
+
+
 # Toxicity
 
 
