@@ -1,25 +1,14 @@
-"""Finding the place of a key tuple among a sorted list of cut tuples.
-
-Everything that needs a global order (ranks, pages, packed index chunks) is
-built on one narrow expression: a binary search over a literal array of cuts.
-It is a chain of plain projections, so it runs inside whole-stage codegen and
-needs neither a shuffle nor a Python worker.
-"""
+"""Column names, key values as text, and numbers looked up by place."""
 
 from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CUT = "__cut"
-KEY = "__key"
-CUTS = "__cuts"
-
 
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -39,49 +28,6 @@ def is_plain(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (*nested, *intervals, T.NullType))
 
 
-@dataclass(frozen=True)
-class Cuts:
-    """Sorted, distinct key tuples held as text on the driver (bounded size)."""
-
-    columns: tuple[str, ...]
-    types: tuple[str, ...]
-    rows: tuple[tuple[str | None, ...], ...]
-
-    def __len__(self) -> int:
-        return len(self.rows)
-
-    def literal(self) -> Column:
-        names = [f"c{i}" for i in range(len(self.columns))]
-        body = json.dumps([dict(zip(names, row)) for row in self.rows])
-        read = ",".join(f"{n}:string" for n in names)
-        typed = ",".join(f"{n}:{t}" for n, t in zip(names, self.types))
-        return F.from_json(F.lit(body), f"array<struct<{read}>>").cast(f"array<struct<{typed}>>")
-
-
-def key_struct(columns: Sequence[str]) -> Column:
-    """The row's tuple in the shape of a cut; structs compare field by field, NULLs first."""
-    return F.struct(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(columns)])
-
-
-def position(df: DataFrame, cuts: Cuts, out: str) -> DataFrame:
-    """Add ``out``: how many cuts are at or before the row's key tuple.
-
-    ``len(cuts).bit_length()`` halving steps; each step is one projection. The last projection
-    adds ``least(spark_partition_id(), 0)``, always 0: a later filter on the position would
-    otherwise be pushed down through the steps, doubling the expression at each of them.
-    """
-    if not len(cuts):
-        return df.withColumn(out, F.lit(0))
-    table = df.withColumns({out: F.lit(0), KEY: key_struct(cuts.columns), CUTS: cuts.literal()})
-    for power in reversed(range(len(cuts).bit_length())):
-        step = 1 << power
-        further = f"CASE WHEN {KEY} >= get({CUTS}, {out} + {step - 1}) THEN {out} + {step} ELSE {out} END"
-        table = table.withColumn(out, F.expr(further))
-    return table.selectExpr(
-        *[quoted(c) for c in df.columns], f"{out} + least(spark_partition_id(), 0) AS {out}"
-    )
-
-
 def lookup(values: Sequence[int | None], index: Column) -> Column:
     """Element of a literal bigint array; NULL where the array holds NULL."""
     array = F.from_json(F.lit(json.dumps(list(values))), "array<bigint>")

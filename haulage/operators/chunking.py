@@ -1,7 +1,7 @@
 """The six chunking strategies: a manifest of chunks, and the rows with their chunk number.
 
 A chunk is a contiguous run of rows in a total order and holds at most ``chunk_rows`` rows.
-Manifests read key columns only; rows get their number without being shuffled (see ``ranking``).
+Manifests read and sort key columns only; rows get their number by one sort over key ranges (see ``ranking``).
 """
 
 from __future__ import annotations
@@ -111,15 +111,11 @@ def pack_values(counts: DataFrame, column: str, chunk_rows: int, part_rows: int
     ``step = chunk_rows - largest + 1``, which keeps the bound and makes chunks at least half full on
     average. NULL is a chunk of its own, before all others.
     """
-    ranking.ensure_checkpoint_dir(counts.sparkSession)
-    # written to the shared folder: it is read three times below
-    counts = counts.checkpoint()
+    counts = ranking.written(counts, "value-counts")  # read three times below
     heavy = F.col("n") * 2 > chunk_rows
     stats = counts.agg(
         F.max("n").alias("largest"),
         F.max(F.when(~heavy & F.col("v").isNotNull(), F.col("n"))).alias("light"),
-        F.sum("n").alias("rows"),
-        F.count("v").alias("values"),
         F.max(F.col("v").isNull()).alias("has_null"),
     ).first()
     if (stats["largest"] or 0) > chunk_rows:
@@ -127,9 +123,7 @@ def pack_values(counts: DataFrame, column: str, chunk_rows: int, part_rows: int
     values = counts.filter("v IS NOT NULL").select(
         "v", "n", heavy.cast("bigint").alias("heavy"), F.when(heavy, 0).otherwise(F.col("n")).alias("light")
     )
-    packed = ranking.running_totals(
-        values, ["v"], {"heavies_before": "heavy", "light_before": "light"}, total=stats["values"]
-    )
+    packed = ranking.running_totals(values, ["v"], {"heavies_before": "heavy", "light_before": "light"})
     step = chunk_rows - (stats["light"] or 0) + 1
     group = F.when(F.col("heavy") == 1, 0).otherwise(F.floor(F.col("light_before") / step))
     chunk = ["heavies_before", "heavy", "pack"]
@@ -148,10 +142,9 @@ def pack_values(counts: DataFrame, column: str, chunk_rows: int, part_rows: int
     )
     shift = 1 if stats["has_null"] else 0
     lows = [] if part_rows is None else ["part_lows"]
-    ones = chunks.withColumn("one", F.lit(1).cast("bigint")).checkpoint()
-    numbered = ranking.running_totals(ones, ["lo"], {"iteration": "one"})
+    numbered = ranking.with_ranks(ranking.ordered(chunks, ["lo"]))
     result = numbered.select(
-        (F.col("iteration") + shift).cast("int").alias("iteration"),
+        (F.col("__at") + shift).cast("int").alias("iteration"),
         "n_rows",
         "n_values",
         F.col("lo").alias(f"lo_{column}"),
@@ -172,25 +165,18 @@ def pack_values(counts: DataFrame, column: str, chunk_rows: int, part_rows: int
 
 
 def index_rows(df: DataFrame, column: str, chunk_rows: int) -> DataFrame:
-    """Rows with the number of their packed index chunk; map-only while the manifest fits a literal."""
+    """Rows with the number of their packed index chunk.
+
+    Every value gets its number, then rows meet their value: in place while Spark finds the values small enough to broadcast,
+    else in a join whose hot values it splits at run time.
+    """
     manifest = index_manifest(df, column, chunk_rows)
-    lo, hi = f"lo_{column}", f"hi_{column}"
-    edges = manifest.select(
-        "iteration",
-        F.struct(F.col(lo).alias(column)).alias("lo"),
-        F.lit(0).cast("bigint").alias("carried"),
-        F.lit(1).cast("bigint").alias("lo_rows"),
-    )
-    borders = ranking.literal_borders(edges, [column])
-    if borders is not None:
-        return ranking.assign_from_borders(df, [column], borders, "iteration")
-    # too many chunks for a literal: number every value once, then join the rows to their value
+    starts = manifest.select(F.col(f"lo_{column}").alias("__lo"), F.lit(1).cast("bigint").alias("start"))
     values = df.select(quoted(column)).distinct()
-    starts = manifest.select(F.col(lo).alias(column), F.lit(1).cast("bigint").alias("start"))
-    flagged = values.join(starts, values[column].eqNullSafe(starts[column]), "left").select(
+    flagged = values.join(starts, values[column].eqNullSafe(starts["__lo"]), "left").select(
         values[column], F.coalesce("start", F.lit(0)).alias("start")
     )
-    numbered = ranking.running_totals(flagged.checkpoint(), [column], {"before": "start"})
+    numbered = ranking.running_totals(flagged, [column], {"before": "start"})
     numbers = numbered.select(
         F.col(quoted(column)).alias("__v"), (F.col("before") + F.col("start") - 1).cast("int").alias("iteration")
     )

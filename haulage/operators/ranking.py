@@ -1,207 +1,105 @@
-"""Exact global ranks, pages and running totals without a one-task sort.
+"""Exact ranks, pages and running totals from one sort that is written down.
 
-1. Sample key tuples and take evenly spaced ones as literal cuts. The sample
-   decides only how even the buckets are, never the result.
-2. Place every row in a bucket (narrow) and count per bucket (map-side combine).
-   Bucket counts give the rank at which each bucket starts.
-3. Only the buckets that hold a page edge are sorted, each in its own task.
+Rows are partitioned by ranges of their keys, sorted, and written to the shared folder once, each with the number of its
+partition and its place there. The sizes of the partitions, one row each, tell at which rank each of them starts; start plus
+place is a row's rank. Nothing is sorted in one task, and nothing but those sizes is put together.
 
-Cuts are compared over the whole tuple, so a leading value that holds a third
-of the table is split by the later columns; full copies are counted before they
-are shuffled.
+Ranges are cut over the whole tuple, so a leading value that holds a third of the table is split by the later columns; full
+copies are counted, per task first, before they are sorted, and written out again in blocks afterwards.
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulage.functions.ordering import CUT, Cuts, key_struct, key_text, lookup, position, quoted
-
-BUCKET = "__bucket"
-SAMPLE_PER_BUCKET = 16
-MIN_BUCKETS = 8
-MAX_BUCKETS = 4096
-ROWS_PER_BUCKET = 1_000_000
-MIN_ROWS_PER_BUCKET = 1024
-BUCKETS_PER_PAGE = 16
-MAX_LITERAL_CUTS = 4096
-MAX_LITERAL_BYTES = 4 << 20
-MAX_LITERAL_PARTITIONS = 2048
-SAMPLE_SEED = 7
-COPIES_PER_STEP = 4096
+from haulage.functions.ordering import quoted
 
+PART, NTH = "__part", "__nth"
+COPIES_PER_STEP = 4096
+#: Bits of monotonically_increasing_id() that count rows inside a partition.
+PLACE_BITS = 33
 
-def bucket_count(total: int, pages: int) -> int:
-    """Many buckets per page, so that few of them hold a page edge and get sorted; none tiny."""
-    wanted = max(min(BUCKETS_PER_PAGE * pages, total // MIN_ROWS_PER_BUCKET), total // ROWS_PER_BUCKET, MIN_BUCKETS)
-    return min(wanted, MAX_BUCKETS)
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A folder that nothing else uses, among those that all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
 
-def _texts(df: DataFrame, keys: Sequence[str]) -> list:
-    return [key_text(F.col(quoted(k)), df.schema[k].dataType).alias(f"c{i}") for i, k in enumerate(keys)]
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows of df, computed once, from the folder that all executors share."""
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def _shortest(rows: Sequence[Sequence]) -> int:
-    """Length of the shortest prefix that tells the rows apart as well as all their values do."""
-    width = len(rows[0]) if rows else 1
-    whole = len({tuple(r) for r in rows})
-    return next((n for n in range(1, width) if len({tuple(r[:n]) for r in rows}) == whole), width)
 
+def ordered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """df in key order over all partitions, written, with partition number and place in it."""
+    order = [F.col(quoted(k)).asc_nulls_first() for k in keys]
+    number = F.monotonically_increasing_id()
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = rows.withColumn(PART, F.shiftright(number, PLACE_BITS).cast("int"))
+    return written(rows.withColumn(NTH, number.bitwiseAND((1 << PLACE_BITS) - 1)), "ordered")
 
-def _telling_prefix(sample: DataFrame, keys: Sequence[str]) -> tuple[list[str], int]:
-    """The keys worth comparing, and the average bytes of their text values.
 
-    Text is looked at as hash and length only; it does not travel to the driver here.
-    """
-    text = [isinstance(sample.schema[k].dataType, T.StringType) for k in keys]
-    if not any(text):
-        return list(keys), 0
-    hashes = [F.xxhash64(F.col(quoted(k))).alias(f"h{i}") for i, k in enumerate(keys)]
-    widths = [
-        (F.coalesce(F.octet_length(quoted(k)), F.lit(0)) if t else F.lit(0)).alias(f"w{i}")
-        for i, (k, t) in enumerate(zip(keys, text))
-    ]
-    rows = sample.select(*hashes, *widths).collect()
-    used = _shortest([r[: len(keys)] for r in rows])
-    travelling = sum(sum(r[len(keys) : len(keys) + used]) for r in rows)
-    return list(keys[:used]), travelling // max(1, len(rows))
-
-
-@dataclass(frozen=True)
-class Buckets:
-    """Cuts, rows per bucket, and per bucket its place inside its source partition."""
-
-    cuts: Cuts
-    sizes: tuple[int, ...]
-    first: tuple[int, ...]
-    span: tuple[int, ...]
-    base: tuple[int, ...]
-    pages: int
-
-    def holds_edge(self, bucket: int, page_rows: int) -> bool:
-        size = self.sizes[bucket]
-        if not size:
-            return False
-        lo = self.first[bucket]
-        hi = lo + size
-        starts = -(-lo // page_rows) * page_rows < hi
-        ends = (hi // page_rows) * page_rows > lo or hi == self.span[bucket]
-        return starts or ends
-
-
-def sample_cuts(
-    keyed: DataFrame, keys: Sequence[str], total: int, buckets: int, starts: DataFrame | None = None
-) -> tuple[Cuts, list[bool]]:
-    """Evenly spaced cuts from a bounded sample, plus the start of every source partition."""
-    wanted = SAMPLE_PER_BUCKET * buckets
-    sample = keyed.sample(wanted / total, SAMPLE_SEED) if total > wanted else keyed
-    used, width = _telling_prefix(sample, keys)
-    if width * wanted > MAX_LITERAL_BYTES:
-        # wide text: fewer buckets, so that sample and cuts stay a few megabytes
-        wanted = max(MAX_LITERAL_BYTES // width, 4 * MIN_BUCKETS)
-        buckets = max(min(buckets, wanted // 4), MIN_BUCKETS)
-        sample = keyed.sample(wanted / total, SAMPLE_SEED) if total > wanted else keyed
-    picked = sample.select(*[quoted(k) for k in used], F.lit(False).alias("opens"))
-    if starts is not None:
-        opening = [quoted(used[0])] + [f"cast(NULL AS {keyed.schema[k].dataType.simpleString()}) AS {quoted(k)}" for k in used[1:]]
-        picked = picked.unionByName(starts.selectExpr(*opening, "true AS opens"))
-    rows = (
-        picked.repartition(1)
-        .sortWithinPartitions(*[F.col(quoted(k)) for k in used], F.desc("opens"))
-        .select(*_texts(keyed, used), "opens")
-        .collect()
+def with_totals(rows: DataFrame, sums: dict[str, str]) -> DataFrame:
+    """Ordered rows; for each ``out: column`` add the column's sum over all earlier rows, and over all rows (``out_all``)."""
+    sizes = rows.groupBy(PART).agg(*[F.sum(quoted(column)).alias(f"{out}_in") for out, column in sums.items()])
+    before, every = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
+    # one row per partition of the sort, as many as the session has shuffle partitions
+    starts = sizes.select(
+        PART,
+        *[F.coalesce(F.sum(f"{out}_in").over(before), F.lit(0)).alias(f"{out}_start") for out in sums],
+        *[F.sum(f"{out}_in").over(every).alias(f"{out}_all") for out in sums],
     )
-    sampled = [i for i, r in enumerate(rows) if not r["opens"]]
-    used = used[: _shortest([tuple(rows[i])[:-1] for i in sampled])]
-    chosen = {sampled[i * len(sampled) // buckets] for i in range(1, buckets)} if sampled else set()
-    tuples: list[tuple] = []
-    opens: list[bool] = []
-    for i, row in enumerate(rows):
-        if not row["opens"] and i not in chosen:
-            continue
-        values = tuple(row)[: len(used)]
-        if tuples and tuples[-1] == values:
-            continue
-        tuples.append(values)
-        opens.append(row["opens"])
-    types = tuple(keyed.schema[k].dataType.simpleString() for k in used)
-    return Cuts(tuple(used), types, tuple(tuples)), opens
-
-
-def place(
-    keyed: DataFrame,
-    keys: Sequence[str],
-    page_rows: int,
-    total: int,
-    partition: str | None = None,
-    buckets: int | None = None,
-) -> tuple[DataFrame, Buckets]:
-    """Rows with their bucket, and the driver-side summary of the buckets (at most a few thousand)."""
-    starts = keyed.select(quoted(partition)).distinct() if partition else None
-    wanted = buckets or bucket_count(total, -(-total // page_rows))
-    cuts, opens = sample_cuts(keyed, keys, total, wanted, starts)
-    placed = position(keyed, cuts, BUCKET)
-    counted = {r[BUCKET]: r["count"] for r in placed.groupBy(BUCKET).count().collect()}
-    sizes = [counted.get(b, 0) for b in range(len(cuts) + 1)]
-
-    groups, members = [], []
-    for bucket, size in enumerate(sizes):
-        if not members or (bucket > 0 and opens[bucket - 1]):
-            members = []
-            groups.append(members)
-        members.append((bucket, size))
-    first, span, base, pages = [], [], [], 0
-    for members in groups:
-        rows = sum(size for _, size in members)
-        at = 0
-        for _, size in members:
-            first.append(at)
-            span.append(rows)
-            base.append(pages)
-            at += size
-        pages += -(-rows // page_rows)
-    return placed, Buckets(cuts, tuple(sizes), tuple(first), tuple(span), tuple(base), pages)
-
-
-def _entries(placed: DataFrame, plan: Buckets, keys: Sequence[str], unique: bool, page_rows: int | None) -> DataFrame:
-    """Distinct key tuples with their copies and the rank of the first copy (0-based, in its partition).
-
-    With ``page_rows`` only buckets holding a page edge are kept.
-    """
-    kept = range(len(plan.sizes))
-    if page_rows is not None:
-        kept = [b for b in kept if plan.holds_edge(b, page_rows)]
-    wanted = set(kept)
-    first = lookup([f if b in wanted else None for b, f in enumerate(plan.first)], F.col(BUCKET))
-    rows = placed.withColumn("__first", first).filter("__first IS NOT NULL")
-    if unique:
-        rows = rows.withColumn("__copies", F.lit(1).cast("bigint"))
-    else:
-        others = [c for c in placed.columns if c not in keys and c != BUCKET]
-        shape = [F.any_value(F.col(quoted(c))).alias(c) for c in others]
-        rows = rows.groupBy(BUCKET, "__first", *[quoted(k) for k in keys]).agg(
-            F.count(F.lit(1)).alias("__copies"), *shape
-        )
-    order = Window.partitionBy(BUCKET).orderBy(*[F.col(quoted(k)).asc_nulls_first() for k in keys])
+    inside = Window.partitionBy(PART).orderBy(NTH).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.join(F.broadcast(starts), PART)
+    totals = {out: F.col(f"{out}_start") + F.sum(quoted(c)).over(inside) - F.col(quoted(c)) for out, c in sums.items()}
+    return placed.withColumns(totals).drop(*[f"{out}_start" for out in sums])
+
+
+def with_ranks(rows: DataFrame) -> DataFrame:
+    """Ordered rows with __at, the rank from 0, and __span, the number of all rows; a projection beside the partition sizes."""
+    sizes = rows.groupBy(PART).agg(F.count(F.lit(1)).alias("__size"))
+    before, every = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
+    starts = sizes.select(
+        PART, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"), F.sum("__size").over(every).alias("__span")
+    )
+    return rows.join(F.broadcast(starts), PART).withColumn("__at", F.col("__start") + F.col(NTH)).drop("__start")
+
+
+def running_totals(df: DataFrame, keys: Sequence[str], sums: dict[str, str]) -> DataFrame:
+    """For distinct key tuples: add, for each ``out: column``, the sum over all earlier tuples."""
+    totals = with_totals(ordered(df, keys), sums)
+    return totals.drop(PART, NTH, *[f"{out}_all" for out in sums])
+
+
+def _entries(df: DataFrame, keys: Sequence[str], unique: bool) -> DataFrame:
+    """Distinct key tuples with their copies, the rank of the first copy (__at) and the number of rows (__span)."""
     if unique:
-        rank = F.row_number().over(order) - 1
-    else:
-        running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        rank = F.sum("__copies").over(running) - F.col("__copies")
-    return rows.withColumn("__at", F.col("__first") + rank)
+        return with_ranks(ordered(df, keys)).withColumn("__copies", F.lit(1).cast("bigint"))
+    others = [F.any_value(F.col(quoted(c))).alias(c) for c in df.columns if c not in keys]
+    counted = df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("__copies"), *others)
+    return with_totals(ordered(counted, keys), {"__at": "__copies"}).withColumnRenamed("__at_all", "__span")
 
 
-def _pieces(entries: DataFrame, plan: Buckets, page_rows: int, unique: bool) -> DataFrame:
+def _pieces(df: DataFrame, keys: Sequence[str], page_rows: int, unique: bool, partition: str | None) -> DataFrame:
     """One row per (tuple, page) with the place of its copies and the page's own place."""
-    rows = entries.withColumn("__span", lookup(plan.span, F.col(BUCKET))).withColumn(
-        "__base", lookup(plan.base, F.col(BUCKET))
-    )
+    if page_rows < 1:
+        raise ValueError("a chunk holds at least one row")
+    if partition is not None and keys[0] != partition:
+        raise ValueError("the partition column leads the key")
+    rows = _entries(df, keys, unique)
+    if partition is None:
+        rows = rows.withColumn("__base", F.lit(0).cast("bigint"))
+    else:
+        rows = _inside_partitions(rows, page_rows, partition)
     if not unique:
         return _cut(rows, page_rows)
     # single rows need no cutting
@@ -217,6 +115,16 @@ def _pieces(entries: DataFrame, plan: Buckets, page_rows: int, unique: bool) ->
     )
 
 
+def _inside_partitions(rows: DataFrame, page_rows: int, partition: str) -> DataFrame:
+    """Ranks start again in every source partition; __span is its size and __base the pages of those before it."""
+    sizes = rows.groupBy(quoted(partition)).agg(F.sum("__copies").alias("__size"))
+    sizes = sizes.withColumn("__pages", F.ceil(F.col("__size") / page_rows))
+    spans = running_totals(sizes, [partition], {"__first": "__size", "__base": "__pages"})
+    spans = spans.select(F.col(quoted(partition)).alias("__of"), "__size", "__first", "__base")
+    placed = rows.drop("__span").join(spans, rows[partition].eqNullSafe(spans["__of"])).drop("__of")
+    return placed.withColumn("__at", F.col("__at") - F.col("__first")).withColumnRenamed("__size", "__span")
+
+
 def edges_schema(df: DataFrame, keys: Sequence[str]) -> T.StructType:
     key = T.StructType([T.StructField(k, df.schema[k].dataType) for k in keys])
     return T.StructType(
@@ -233,35 +141,16 @@ def edges_schema(df: DataFrame, keys: Sequence[str]) -> T.StructType:
 
 
 def page_edges(
-    df: DataFrame,
-    keys: Sequence[str],
-    page_rows: int,
-    *,
-    unique: bool,
-    total: int | None = None,
-    partition: str | None = None,
-    buckets: int | None = None,
+    df: DataFrame, keys: Sequence[str], page_rows: int, *, unique: bool, partition: str | None = None
 ) -> DataFrame:
     """One row per page of ``page_rows`` rows in key order (restarting in every partition).
 
     ``lo``/``hi`` are the first and last tuples, ``carried`` the copies of ``lo`` that lie on
     earlier pages and ``lo_rows`` its copies on this page. Only key columns are read.
     """
-    if page_rows < 1:
-        raise ValueError("a chunk holds at least one row")
     keys = list(keys)
-    if partition is not None and keys[0] != partition:
-        raise ValueError("the partition column leads the key")
     keyed = df.select(*[quoted(k) for k in keys])
-    total = keyed.count() if total is None else total
-    schema = edges_schema(df, keys)
-    if total == 0:
-        return df.sparkSession.createDataFrame([], schema)
-    if partition is not None and _many_partitions(keyed, partition):
-        return _edges_by_join(keyed, keys, page_rows, total, partition, unique, schema)
-    placed, plan = place(keyed, keys, page_rows, total, partition, buckets)
-    pieces = _pieces(_entries(placed, plan, keys, unique, page_rows), plan, page_rows, unique)
-    return _edges(pieces, keys, page_rows, schema)
+    return _edges(_pieces(keyed, keys, page_rows, unique, partition), keys, page_rows, edges_schema(df, keys))
 
 
 def _edges(pieces: DataFrame, keys: Sequence[str], page_rows: int, schema: T.StructType) -> DataFrame:
@@ -281,37 +170,6 @@ def _edges(pieces: DataFrame, keys: Sequence[str], page_rows: int, schema: T.Str
     )
 
 
-def _many_partitions(keyed: DataFrame, partition: str) -> bool:
-    found = keyed.select(quoted(partition)).distinct().limit(MAX_LITERAL_PARTITIONS + 1).count()
-    return found > MAX_LITERAL_PARTITIONS
-
-
-def _edges_by_join(
-    keyed: DataFrame,
-    keys: list[str],
-    page_rows: int,
-    total: int,
-    partition: str,
-    unique: bool,
-    schema: T.StructType,
-) -> DataFrame:
-    """Too many partitions for literals: rank over all rows, then subtract the partition's start by a join."""
-    placed, plan = place(keyed, keys, page_rows, total)
-    entries = _entries(placed, plan, keys, unique, None)
-    return _edges(_pieces_by_join(entries, keyed, page_rows, partition), keys, page_rows, schema)
-
-
-def _pieces_by_join(entries: DataFrame, rows: DataFrame, page_rows: int, partition: str) -> DataFrame:
-    sizes = rows.groupBy(quoted(partition)).agg(F.count(F.lit(1)).alias("__span"))
-    # one row per partition, written to the shared folder: the totals read it several times
-    ensure_checkpoint_dir(rows.sparkSession)
-    sizes = sizes.withColumn("__pages", F.ceil(F.col("__span") / page_rows)).checkpoint()
-    spans = running_totals(sizes, [partition], {"__start": "__span", "__base": "__pages"})
-    spans = spans.select(F.col(quoted(partition)).alias("__part"), "__span", "__start", "__base")
-    placed = entries.join(spans, entries[partition].eqNullSafe(spans["__part"])).drop("__part")
-    return _cut(placed.withColumn("__at", F.col("__at") - F.col("__start")), page_rows)
-
-
 def _cut(rows: DataFrame, page_rows: int) -> DataFrame:
     """Cut every run of copies (from __at, __copies long) at the page borders."""
     n, page = F.lit(page_rows).cast("bigint"), F.col("__page")
@@ -325,115 +183,25 @@ def _cut(rows: DataFrame, page_rows: int) -> DataFrame:
     )
 
 
-def running_totals(
-    df: DataFrame, keys: Sequence[str], sums: dict[str, str], total: int | None = None, buckets: int | None = None
-) -> DataFrame:
-    """For distinct key tuples: add, for each ``out: column``, the sum over all earlier tuples."""
-    total = df.count() if total is None else total
-    if total == 0:
-        return df.select("*", *[F.lit(0).cast("bigint").alias(out) for out in sums])
-    cuts, _ = sample_cuts(df.select(*[quoted(k) for k in keys]), keys, total, buckets or bucket_count(total, 1))
-    placed = position(df, cuts, BUCKET)
-    found = {
-        r[BUCKET]: r
-        for r in placed.groupBy(BUCKET).agg(*[F.sum(quoted(c)).alias(o) for o, c in sums.items()]).collect()
-    }
-    order = Window.partitionBy(BUCKET).orderBy(*[F.col(quoted(k)).asc_nulls_first() for k in keys])
-    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    result = placed
-    for out, column in sums.items():
-        starts, at = [], 0
-        for bucket in range(len(cuts) + 1):
-            starts.append(at)
-            at += found[bucket][out] if bucket in found else 0
-        inside = F.sum(quoted(column)).over(running) - F.col(quoted(column))
-        result = result.withColumn(out, lookup(starts, F.col(BUCKET)) + inside)
-    return result.drop(BUCKET)
-
-
 def assign_pages(
     df: DataFrame,
     keys: Sequence[str],
     page_rows: int,
     *,
     unique: bool,
-    total: int | None = None,
     partition: str | None = None,
     out: str = "iteration",
-    literal_pages: int = MAX_LITERAL_CUTS,
 ) -> DataFrame:
-    """Every row with its page number.
+    """Every row with its page number; rows are shuffled once, by key range.
 
-    While the page borders fit a checked literal size the rows never move: the page is a binary
-    search in a projection. Beyond it the rows are shuffled once by bucket and ranked there.
     Without ``unique`` the keys must determine the whole row.
     """
-    keys = list(keys)
-    total = df.count() if total is None else total
-    if total == 0:
-        return df.withColumn(out, F.lit(None).cast("int"))
-    if -(-total // page_rows) <= literal_pages:
-        edges = page_edges(df, keys, page_rows, unique=unique, total=total, partition=partition)
-        most = -(-total // page_rows) + (MAX_LITERAL_PARTITIONS if partition else 0)
-        borders = literal_borders(edges, keys, most)
-        if borders is not None:
-            return assign_from_borders(df, keys, borders, out)
-    return assign_by_rank(df, keys, page_rows, unique=unique, total=total, partition=partition, out=out)
-
-
-def literal_borders(edges: DataFrame, keys: Sequence[str], at_most: int | None = None) -> list | None:
-    """The page borders as driver-side text, or None if they are too large for a plan literal.
-
-    ``at_most`` states a known bound on their number.
-    """
-    key_types = edges.schema["lo"].dataType
-    texts = [key_text(F.col("lo")[k], key_types[k].dataType).alias(f"c{i}") for i, k in enumerate(keys)]
-    rows = edges.select("iteration", *texts, "carried", "lo_rows")
-    if any(isinstance(key_types[k].dataType, T.StringType) for k in keys):
-        ensure_checkpoint_dir(edges.sparkSession)
-        rows = rows.checkpoint()
-        widths = sum((F.coalesce(F.octet_length(f"c{i}"), F.lit(0)) for i in range(len(keys))), F.lit(0))
-        size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(widths).alias("bytes")).first()
-        if size["n"] > MAX_LITERAL_CUTS or (size["bytes"] or 0) > MAX_LITERAL_BYTES:
-            return None
-    if at_most is None or at_most > 2 * MAX_LITERAL_CUTS:
-        rows = rows.limit(MAX_LITERAL_CUTS + 1)
-    found = rows.collect()
-    if len(found) > MAX_LITERAL_CUTS:
-        return None
-    return sorted(found, key=lambda r: r["iteration"])
-
-
-def assign_from_borders(df: DataFrame, keys: Sequence[str], borders: list, out: str) -> DataFrame:
-    """Map-only page lookup; only copies that lie across a page border are counted and dealt out again."""
-    types = tuple(df.schema[k].dataType.simpleString() for k in keys)
-    tuples: list[tuple] = []
-    shares: list[list[tuple[int, int]]] = []
-    for row in borders:
-        values = tuple(row[f"c{i}"] for i in range(len(keys)))
-        if not tuples or tuples[-1] != values:
-            tuples.append(values)
-            shares.append([(row["iteration"] - 1, row["carried"])] if row["carried"] else [])
-        shares[-1].append((row["iteration"], row["lo_rows"]))
-    cuts = Cuts(tuple(keys), types, tuple(tuples))
-    last = [pages[-1][0] for pages in shares]
-    split = [len(pages) > 1 for pages in shares]
-    placed = position(df, cuts, BUCKET)
-    page = lookup(last, F.col(BUCKET) - 1).cast("int").alias(out)
+    pieces = _pieces(df, list(keys), page_rows, unique, partition)
     columns = [F.col(quoted(c)) for c in df.columns]
-    if not any(split):
-        return placed.select(*columns, page)
-    marked = placed.withColumn(CUT, F.get(cuts.literal(), F.col(BUCKET) - 1)).withColumn(
-        "__split", key_struct(keys).eqNullSafe(F.col(CUT)) & (lookup([int(s) for s in split], F.col(BUCKET) - 1) == 1)
-    )
-    whole = marked.filter(~F.col("__split")).select(*columns, page)
-    copies = marked.filter("__split").groupBy(BUCKET).agg(F.any_value(F.struct(*columns)).alias("__row"))
-    dealt = df.sparkSession.createDataFrame(
-        [(b + 1, p, q) for b, pages in enumerate(shares) if len(pages) > 1 for p, q in pages],
-        f"{BUCKET} int, {out} int, __copies bigint",
-    )
-    pieces = dealt.join(copies, BUCKET).select("__row.*", out, "__copies")
-    return whole.unionByName(repeat_rows(pieces, "__copies"))
+    number = (F.col("__base") + F.col("__page")).cast("int").alias(out)
+    if unique:
+        return pieces.select(*columns, number)
+    return repeat_rows(pieces.select(*columns, number, (F.col("__to") - F.col("__from")).alias("__n")), "__n")
 
 
 def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
@@ -448,32 +216,7 @@ def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
     )
 
 
-def assign_by_rank(
-    df: DataFrame,
-    keys: Sequence[str],
-    page_rows: int,
-    *,
-    unique: bool,
-    total: int,
-    partition: str | None = None,
-    out: str = "iteration",
-) -> DataFrame:
-    """Page numbers by ranking every row inside its bucket: one shuffle of the rows, no literal per page."""
-    if partition is not None and _many_partitions(df.select(quoted(partition)), partition):
-        placed, plan = place(df, keys, page_rows, total)
-        entries = _entries(placed, plan, list(keys), unique, None)
-        pieces = _pieces_by_join(entries, df, page_rows, partition)
-    else:
-        placed, plan = place(df, keys, page_rows, total, partition)
-        pieces = _pieces(_entries(placed, plan, list(keys), unique, None), plan, page_rows, unique)
-    columns = [F.col(quoted(c)) for c in df.columns]
-    number = (F.col("__base") + F.col("__page")).cast("int").alias(out)
-    if unique:
-        return pieces.select(*columns, number)
-    return repeat_rows(pieces.select(*columns, number, (F.col("__to") - F.col("__from")).alias("__n")), "__n")
-
-
-def ensure_checkpoint_dir(spark) -> None:
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the cluster's shared checkpoint folder; fall back to a temporary one only where none is named."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:

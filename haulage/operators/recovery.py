@@ -54,16 +54,6 @@ def republish(plan: DataFrame) -> DataFrame:
     )
 
 
-def replay(landed: DataFrame, source_chunks: DataFrame, rerun: DataFrame) -> DataFrame:
-    """The landed table once the chunks to rerun (column iteration) are replaced by fresh source rows.
-
-    Numbers are joined; Spark broadcasts them if their measured size allows it, and then neither side is shuffled.
-    """
-    again = rerun.select("iteration").distinct()
-    kept = landed.join(again, "iteration", "left_anti")
-    return kept.unionByName(source_chunks.join(again, "iteration", "left_semi"))
-
-
 def close_loads(chunks: DataFrame) -> DataFrame:
     """Roll the latest chunk states up: a load succeeds if none of its chunks is failed or still to be tried."""
     failed = F.coalesce(F.col("write_status").isin(*OPEN), F.lit(False)) | F.coalesce(

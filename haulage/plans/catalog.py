@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from haulage.operators import chunking, decision, discovery, masking, profile, ranking, recovery, tracking, validation
 from haulage.plans import derived
 from haulage.plans.derived import load
+from haulage.sources import lake
 from haulage.sources.vendors import url_expression
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -331,15 +332,24 @@ def recovery_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recovery_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders in five chunks, the failed one lost, replayed from the source: the whole table again."""
+    """Orders written in five chunks, one of them lost, that one replayed from its stored key range and read back.
+
+    The lake is a new folder among the shared ones; the replay replaces the lost chunk's partition only.
+    """
     orders = load(spark, sf_dir, "orders")
-    total = orders.count()
-    chunks = ranking.assign_pages(
-        orders, ["o_orderkey"], max(1, -(-total // RECOVERY_CHUNKS)), unique=True, total=total
-    )
-    failed = chunks.groupBy("iteration").count().filter("(iteration * 3 + 7) % 5 = 0")
-    landed = chunks.filter("(iteration * 3 + 7) % 5 <> 0")
-    return recovery.replay(landed, chunks, failed).select(*orders.columns, "iteration")
+    rows = max(1, -(-orders.count() // RECOVERY_CHUNKS))
+    chunks = chunking.clustered_rows(orders, ["o_orderkey"], rows)
+    plan = chunking.clustered_manifest(orders, ["o_orderkey"], rows)
+    folder = ranking.new_folder(spark, "recovery-rewrite")
+    lake.write_chunks(chunks, folder, "parquet")
+    failed = plan.filter("(iteration * 3 + 7) % 5 = 0")
+    lost = [r["iteration"] for r in failed.select("iteration").collect()]
+    lake.delete_chunks(spark, folder, "parquet", lost)
+    # the failed chunks' ranges are a handful of rows: one chunk is as large as a task's share of the table
+    stored = failed.select("iteration", F.col("lo_o_orderkey").alias("__lo"), F.col("hi_o_orderkey").alias("__hi"))
+    again = orders.join(F.broadcast(stored), orders["o_orderkey"].between(F.col("__lo"), F.col("__hi"))).drop("__lo", "__hi")
+    lake.write_chunks(again, folder, "parquet")
+    return lake.read_chunks(spark, folder, "parquet", orders.schema)
 
 
 QUERIES: dict[str, Query] = {

@@ -49,22 +49,46 @@ def test_unique_key_pages(table, n):
     same(got, brute(orders, ["o_orderkey"], n))
 
 
-@pytest.mark.parametrize("n", [40, 333, 1000])
-@pytest.mark.parametrize("literal", [4096, 0])
-def test_pages_with_copies_and_nulls(spark, n, literal):
+@pytest.mark.parametrize("n", [1, 40, 333, 1000])
+def test_pages_with_copies_and_nulls(spark, n):
     df = hot_rows(spark)
     keys = ["k", "v", "at", "x"]
-    got = ranking.assign_pages(df, keys, n, unique=False, literal_pages=literal)
-    same(got, brute(df, keys, n))
+    same(ranking.assign_pages(df, keys, n, unique=False), brute(df, keys, n))
 
 
-def test_rank_route_keeps_other_columns(table):
+def test_pages_keep_other_columns(table):
     lineitem = table("lineitem")
     keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
-    got = ranking.assign_pages(lineitem, keys, 700, unique=True, literal_pages=0)
-    same(got, brute(lineitem, keys, 700))
-    narrow = ranking.assign_pages(lineitem, keys, 700, unique=True)
-    same(got, narrow)
+    same(ranking.assign_pages(lineitem, keys, 700, unique=True), brute(lineitem, keys, 700))
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """As on a cluster: partitions that nothing puts together."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "31")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_ranks_over_many_partitions(spark, table, many_partitions):
+    orders = table("orders").select("o_orderkey", "o_custkey").repartition(9)
+    rows = ranking.ordered(orders, ["o_orderkey"])
+    sizes = [r["count"] for r in rows.groupBy(ranking.PART).count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 1500 / 8
+    same(ranking.assign_pages(orders, ["o_orderkey"], 70, unique=True), brute(orders, ["o_orderkey"], 70))
+    df, keys = hot_rows(spark).repartition(5), ["v", "k", "at", "x"]
+    same(ranking.assign_pages(df, keys, 33, unique=False), brute(df, keys, 33))
+    same(ranking.assign_pages(df, keys, 33, unique=False, partition="v"), brute(df, keys, 33, "v"))
+
+
+def test_hot_leading_value_is_split(spark, many_partitions):
+    """Ranges look at the whole tuple: a leading value with half of the rows spreads over many partitions."""
+    rows = spark.range(4000).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("k"), "id")
+    sizes = [r["count"] for r in ranking.ordered(rows, ["k", "id"]).groupBy(ranking.PART).count().collect()]
+    assert max(sizes) < 4000 / 8
 
 
 @pytest.mark.parametrize("n", [9, 50, 5000])
@@ -81,10 +105,8 @@ def test_edges(spark, n):
     same(got, want)
 
 
-@pytest.mark.parametrize("limit", [2048, 1])
 @pytest.mark.parametrize("n", [20, 1000])
-def test_partitioned_edges(spark, monkeypatch, limit, n):
-    monkeypatch.setattr(ranking, "MAX_LITERAL_PARTITIONS", limit)
+def test_partitioned_edges(spark, n):
     df = hot_rows(spark)
     keys = ["v", "k", "at", "x"]
     got = ranking.page_edges(df, keys, n, unique=False, partition="v").select("iteration", "n_rows", "lo", "hi")
@@ -97,14 +119,6 @@ def test_partitioned_edges(spark, monkeypatch, limit, n):
     same(got, want)
 
 
-def test_only_edge_buckets_are_sorted(table):
-    orders = table("orders").select("o_orderkey")
-    placed, plan = ranking.place(orders, ["o_orderkey"], 500, orders.count(), buckets=60)
-    kept = [b for b in range(len(plan.sizes)) if plan.holds_edge(b, 500)]
-    assert len(kept) <= 7
-    assert sum(plan.sizes) == 1500
-
-
 def test_running_totals(spark):
     df = hot_rows(spark).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     got = ranking.running_totals(df, ["k"], {"before": "n"})
@@ -118,24 +132,21 @@ def test_empty_table(table):
     assert ranking.assign_pages(none, ["o_orderkey"], 10, unique=True).count() == 0
 
 
-@pytest.mark.parametrize("limit", [2048, 1])
-@pytest.mark.parametrize("literal", [4096, 0])
-def test_partitioned_rows(spark, monkeypatch, limit, literal):
-    monkeypatch.setattr(ranking, "MAX_LITERAL_PARTITIONS", limit)
+def test_partitioned_rows(spark):
     df = hot_rows(spark)
     keys = ["v", "k", "at", "x"]
-    got = ranking.assign_pages(df, keys, 70, unique=False, partition="v", literal_pages=literal)
-    same(got, brute(df, keys, 70, "v"))
+    same(ranking.assign_pages(df, keys, 70, unique=False, partition="v"), brute(df, keys, 70, "v"))
 
 
-@pytest.mark.parametrize("n, moved", [(30, False), (2, True)])
-def test_wide_text_keys_stay_small_on_the_driver(table, monkeypatch, n, moved):
-    """Long texts as leading key: fewer buckets, and rows are ranked once the borders' text is over the limit."""
+@pytest.mark.parametrize("n", [30, 2])
+def test_wide_text_keys(table, n):
     documents = table("documents").select("text", "doc_id", "lang")
     keys = ["text", "doc_id", "lang"]
-    monkeypatch.setattr(ranking, "MAX_LITERAL_BYTES", 20_000)
-    cuts, _ = ranking.sample_cuts(documents, keys, documents.count(), 64)
-    assert len(cuts) < 63
-    got = ranking.assign_pages(documents, keys, n, unique=False)
-    assert ("Window" in got._jdf.queryExecution().executedPlan().toString()) == moved
-    same(got, brute(documents, keys, n))
+    same(ranking.assign_pages(documents, keys, n, unique=False), brute(documents, keys, n))
+
+
+def test_bad_arguments(table):
+    with pytest.raises(ValueError, match="at least one row"):
+        ranking.assign_pages(table("orders"), ["o_orderkey"], 0, unique=True)
+    with pytest.raises(ValueError, match="leads the key"):
+        ranking.page_edges(table("orders"), ["o_orderkey"], 5, unique=True, partition="o_custkey")

@@ -55,9 +55,7 @@ def hot_index(spark):
 
 
 @pytest.mark.parametrize("limit", [2060, 2100, 4500, 10_000])
-@pytest.mark.parametrize("literal", [4096, 0])
-def test_index_packing_with_a_hot_value(spark, monkeypatch, limit, literal):
-    monkeypatch.setattr(ranking, "MAX_LITERAL_CUTS", literal)
+def test_index_packing_with_a_hot_value(spark, limit):
     rows = hot_index(spark)
     sizes = check(chunking.index_rows(rows, "v", limit), rows, limit)
     assert len(sizes) <= 6 * 6000 // limit + 3
@@ -69,12 +67,10 @@ def test_index_packing_with_a_hot_value(spark, monkeypatch, limit, literal):
 
 def test_paging_keeps_the_sign_of_zero(spark):
     rows = spark.createDataFrame([(x,) for x in [0.0, -0.0] * 5 + [1.0, None, float("nan")]], "x double")
-    for literal in (4096, 0):
-        paged = ranking.assign_pages(*chunking.total_order(rows, []), 3, unique=False, literal_pages=literal)
-        got = chunking._without_images(paged)
-        assert got.columns == ["x", "iteration"]
-        texts = sorted(str(r["x"]) for r in got.collect())
-        assert texts == sorted(["0.0", "-0.0"] * 5 + ["1.0", "None", "nan"])
+    got = chunking.paged_rows(rows, [], 3)
+    assert got.columns == ["x", "iteration"]
+    texts = sorted(str(r["x"]) for r in got.collect())
+    assert texts == sorted(["0.0", "-0.0"] * 5 + ["1.0", "None", "nan"])
 
 
 def test_reserved_names_are_refused(spark):
@@ -99,19 +95,11 @@ def test_empty_index(spark):
     assert chunking.index_rows(none, "v", 10).count() == 0
 
 
-def test_plan_reads_keys_only_and_moves_no_rows(table):
+def test_manifests_write_and_sort_keys_only(table):
     manifest = chunking.clustered_manifest(table("orders"), ["o_orderkey"], 400)
     text = manifest._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<o_orderkey:bigint>" in text
-    rows = chunking.clustered_rows(table("orders"), ["o_orderkey"], 400)
-    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
-
-
-def test_hot_leading_key_is_split(spark):
-    """Cuts look at the whole tuple: a leading value with half of the rows spreads over many buckets."""
-    rows = spark.range(4000).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("k"), "id")
-    _, plan = ranking.place(rows, ["k", "id"], 100, 4000, buckets=40)
-    assert max(plan.sizes) < 4000 / 8
+    assert f"ReadSchema: struct<o_orderkey:bigint,{ranking.PART}:int,{ranking.NTH}:bigint>" in text
+    assert "rangepartitioning" not in text  # sorted once, when it was written
 
 
 def test_profile_rules(spark, table):
