@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +56,35 @@ def encrypted_projection(df: DataFrame, columns: Sequence[str], key: Column) ->
     return df.withColumns({c: encrypted(F.col(quoted(c)), key) for c in columns})
 
 
+@dataclass(frozen=True)
+class Mask:
+    """How a job masks: ``hash`` (salted, one way) or ``aes`` (reversible for those who have the key).
+
+    Salt and key stand in the plans of the jobs that use them: keep event logs as safe as the secrets, or let Spark redact them.
+    """
+
+    kind: str = "hash"
+    secret: str = field(default="", repr=False)
+
+    def __post_init__(self) -> None:
+        if self.kind not in ("hash", "aes"):
+            raise ValueError(f"no mask of kind {self.kind}")
+        if self.kind == "aes" and len(self.secret.encode()) not in (16, 24, 32):
+            raise ValueError("an AES key has 16, 24 or 32 bytes")
+
+    def check(self) -> None:
+        if not self.secret:
+            raise ValueError("masked columns need a salt: unsalted hashes of short values can be looked up")
+
+    def apply(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        if self.kind == "hash":
+            return masked_projection(df, columns, self.secret)
+        unknown = sorted(set(columns) - set(df.columns))
+        if unknown:
+            raise ValueError(f"masked columns not in the table: {', '.join(unknown)}")
+        return encrypted_projection(df, columns, F.lit(self.secret))
+
+
 def checked_numeric_columns(df: DataFrame, masked: Sequence[str]) -> list[str]:
     """Numeric columns whose minimum and maximum still mean something in the masked copy."""
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in masked]

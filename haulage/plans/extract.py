@@ -33,6 +33,18 @@ class Job:
     target_connection: Connection | None = field(default=None, repr=False)
     target_schema: str | None = None
     wave_tasks: int = 4_096
+    mask_kind: str = "hash"
+    mask_key: str = field(default="", repr=False)
+
+    @property
+    def mask(self) -> masking.Mask:
+        """By salted hash, or reversible by key."""
+        return masking.Mask(self.mask_kind, self.salt if self.mask_kind == "hash" else self.mask_key)
+
+    @property
+    def database(self) -> tuple[Connection | None, str | None]:
+        """Connection and schema of a database target, given to the job or described by the target."""
+        return self.target_connection or self.target.database, self.target_schema or self.target.schema_name
 
 
 @dataclass(frozen=True)
@@ -47,15 +59,18 @@ class Load:
 
 def copies(spark: SparkSession, job: Job, load: Load, table: JdbcTable, run: int) -> tuple[Copy, Copy | None]:
     """Raw and masked copy of a run; a masked column is text, whatever it was before."""
-    if load.masked_columns and not job.salt:
-        raise ValueError("masked columns need a salt: unsalted hashes of short values can be looked up")
+    if load.masked_columns:
+        job.mask.check()
     schema = table.frame().schema
-    hidden = masking.masked_projection(table.frame(), load.masked_columns, "").schema
+    hidden = job.mask.apply(table.frame(), load.masked_columns).schema
     name = load.spec.table
 
     def copy(shape, masked: bool) -> Copy:
         if job.target.kind == "rdbms":
-            return RdbmsCopy(spark, job.target_connection, name, shape, job.target_schema, masked)
+            connection, schema_name = job.database
+            if connection is None:
+                raise ValueError("the target names no database")
+            return RdbmsCopy(spark, connection, name, shape, schema_name, masked)
         return LakeCopy(spark, job.target, name, shape, masked, run)
 
     return copy(schema, False), copy(hidden, True) if load.masked_columns else None
@@ -74,7 +89,7 @@ def tracker_row(
         "table_name": load.spec.table,
         "source_name": load.spec.source_name,
         "write_detail": job.target.kind,
-        "write_sub_detail": job.target.folder if job.target.kind == "blob" else job.target_schema,
+        "write_sub_detail": job.target.folder if job.target.kind == "blob" else job.database[1],
         "chunk_size": chunk_rows,
         "extraction_approach": strategy,
         "start_timestamp": started,
@@ -99,7 +114,7 @@ def copy_chunks(
             lambda some: chunk_scan(spark, load.connection, table.name, some),
             raw,
             masked,
-            lambda df: masking.masked_projection(df, load.masked_columns, job.salt),
+            lambda df: job.mask.apply(df, load.masked_columns),
         )
         job.trackers.append_chunks(
             [

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Row, SparkSession
 from pyspark.sql import functions as F
 
-from haulage.operators import masking, recovery
+from haulage.operators import recovery
 from haulage.operators.tracking import LOAD_FAILED, LOAD_SUCCESS, PASS
 from haulage.plans.extract import (
     Job,
@@ -71,7 +71,7 @@ def rerun(spark: SparkSession, job: Job, load: Load, rows: list[Row], run: int)
         ]
         if hidden and masked is not None:
             again_masked = run_masked(
-                hidden, raw, masked, lambda df: masking.masked_projection(df, load.masked_columns, job.salt)
+                hidden, raw, masked, lambda df: job.mask.apply(df, load.masked_columns)
             )
             for number, again in again_masked.items():
                 outcomes[number].mask_read_status = again.mask_read_status

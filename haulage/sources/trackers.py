@@ -5,11 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from threading import Lock
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from haulage.operators.tracking import (
     CHUNK_TRACKER_SCHEMA,
@@ -22,6 +22,7 @@ from haulage.operators.tracking import (
     STARTED,
     latest,
 )
+from haulage.sources import history
 
 # The text form of times and the columns that exports carry as text.
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -50,6 +51,11 @@ def read_chunk_export(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumns(typed)
 
 
+def run_of(place: Column) -> Column:
+    """The run that a file's rows belong to."""
+    return F.coalesce(F.regexp_extract(place, r"/run=(\d+)/", 1).try_cast("int"), F.lit(0))
+
+
 class Trackers:
     """Histories of loads. One job at a time writes a load's rows.
 
@@ -64,16 +70,15 @@ class Trackers:
         self.error_folder = f"{folder.rstrip('/')}/errors"
         self.run_folder = f"{folder.rstrip('/')}/runs"
         self.part_folder = f"{folder.rstrip('/')}/parts"
+        self._compacting = Lock()
 
     def _read(self, folder: str, schema: T.StructType, place: bool = False) -> DataFrame:
         """All rows of a history; with ``place`` also the file each of them is in."""
-        try:
-            rows = self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(folder)
-            return rows.select("*", F.col("_metadata.file_path").alias("place")) if place else rows
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        paths = history.paths(self.spark, folder)
+        if not paths:
             return self.spark.createDataFrame([], T.StructType([*schema, T.StructField("place", T.StringType())]) if place else schema)
+        rows = self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths)
+        return rows.select("*", F.col("_metadata.file_path").alias("place")) if place else rows
 
     def chunk_history(self) -> DataFrame:
         """Chunk rows of all runs."""
@@ -82,8 +87,7 @@ class Trackers:
     def run_chunks(self) -> DataFrame:
         """Chunk rows of each load's last run; a run that broke off before its plan was recorded has none."""
         rows = self._read(self.chunk_folder, CHUNK_TRACKER_SCHEMA, place=True)
-        number = F.coalesce(F.regexp_extract("place", r"/run=(\d+)/", 1).try_cast("int"), F.lit(0))
-        of_run = rows.withColumn("run", number).join(self.last_runs().withColumnRenamed("run", "last"), "log_id", "left")
+        of_run = rows.withColumn("run", run_of(F.col("place"))).join(self.last_runs().withColumnRenamed("run", "last"), "log_id", "left")
         return of_run.filter(F.col("run") == F.coalesce("last", F.lit(0))).select(*CHUNK_TRACKER_SCHEMA.fieldNames())
 
     def master_history(self) -> DataFrame:
@@ -151,8 +155,22 @@ class Trackers:
         self._append(rows, MASTER_TRACKER_SCHEMA, self.master_folder)
 
     def _append(self, rows: Sequence[dict], schema: T.StructType, folder: str) -> None:
-        if rows:
-            values = [tuple(r.get(n) for n in schema.fieldNames()) for r in rows]
-            rows_of_append = self.spark.createDataFrame(values, schema).coalesce(1)
-            # a folder per append: jobs that write at the same time do not share a commit folder
-            rows_of_append.write.parquet(f"{folder}/{uuid.uuid4()}")
+        if not rows:
+            return
+        values = [tuple(r.get(n) for n in schema.fieldNames()) for r in rows]
+        rows_of_append = self.spark.createDataFrame(values, schema).coalesce(1)
+        # a folder per append: jobs that write at the same time do not share a commit folder
+        rows_of_append.write.parquet(f"{folder}/{uuid.uuid4()}")
+        self.compact(folder.partition("/run=")[0], schema)
+
+    def compact(self, folder: str, schema: T.StructType, least: int = history.APPENDS) -> bool:
+        """Put a history's appends together once there are many; readers go on meanwhile. True if it was done."""
+        with self._compacting:
+            if len(history.tail(self.spark, folder)) < least:
+                return False
+
+            def merged(paths: list[str]) -> DataFrame:
+                rows = self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths)
+                return rows.withColumn("run", run_of(F.col("_metadata.file_path")))
+
+            return history.compact(self.spark, folder, merged)

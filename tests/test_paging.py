@@ -203,3 +203,16 @@ def test_partitions(spark, source, monkeypatch):
     table = JdbcTable(spark, standin.SOURCE, standin.spec("s_part"))
     check(spark, table, table.plan(0.04), "partition")
     assert not any("OFFSET" in q for q in source)
+
+
+def test_sources_that_cannot_number_rows(spark, source, monkeypatch):
+    """Key borders are found by Spark, pages by offset; both are the rows of the table."""
+    monkeypatch.setattr(vendors, "boundary_query", lambda *_: None)
+    monkeypatch.setattr(vendors, "page_border_query", lambda *_: None)
+    standin.catalog(monkeypatch, keys=["p_partkey"], size=2)
+    table = JdbcTable(spark, standin.SOURCE, standin.spec("s_part"), task_rows=20)
+    sizes, tasks = check(spark, table, table.plan(0.6), "clustered")
+    assert sorted(sizes.values()) == [20, 60, 60, 60] and sorted(tasks.values()) == [1, 3, 3, 3]
+    standin.catalog(monkeypatch, size=2)
+    sizes, _ = check(spark, table, table.plan(0.6), "limit_offset")
+    assert sorted(sizes.values()) == [20, 60, 60, 60]
