@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,17 +101,12 @@ def index_manifest(df: DataFrame, column: str, chunk_rows: int) -> DataFrame:
     return pack_values(df.groupBy(F.col(quoted(column)).alias("v")).agg(F.count(F.lit(1)).alias("n")), column, chunk_rows)
 
 
-def pack_values(counts: DataFrame, column: str, chunk_rows: int, part_rows: int | None = None) -> DataFrame:
-    """Pack values (v, n) in value order. Input: one row per distinct value with its row count.
+CHUNK = ["heavies_before", "heavy", "pack"]
 
-    With ``part_rows`` each chunk also gets ``part_lows``: the values at which its parts begin, so that a part holds at most
-    that many rows besides those of its last value.
 
-    Values over half a chunk stand alone. The others are packed by ``floor(rows_before / step)`` with
-    ``step = chunk_rows - largest + 1``, which keeps the bound and makes chunks at least half full on
-    average. NULL is a chunk of its own, before all others.
-    """
-    counts = ranking.written(counts, "value-counts")  # read three times below
+def _packed(counts: DataFrame, column: str, chunk_rows: int) -> tuple[DataFrame, int, bool]:
+    """Values (v, n) with the chunk they belong to (CHUNK) and their place among the light ones, the step of packing, and whether
+    there is a NULL. ``counts`` is a written table."""
     heavy = F.col("n") * 2 > chunk_rows
     stats = counts.agg(
         F.max("n").alias("largest"),
@@ -126,32 +121,44 @@ def pack_values(counts: DataFrame, column: str, chunk_rows: int, part_rows: int
     packed = ranking.running_totals(values, ["v"], {"heavies_before": "heavy", "light_before": "light"})
     step = chunk_rows - (stats["light"] or 0) + 1
     group = F.when(F.col("heavy") == 1, 0).otherwise(F.floor(F.col("light_before") / step))
-    chunk = ["heavies_before", "heavy", "pack"]
-    packed = packed.withColumn("pack", group)
-    # parts first: map-side sums, and a chunk's list is as long as it has parts
-    part = F.floor((F.col("light_before") - F.col("pack") * step) / (part_rows or chunk_rows))
-    parts = packed.groupBy(*chunk, F.when(F.col("heavy") == 1, 0).otherwise(part).alias("part")).agg(
+    return packed.withColumn("pack", group), step, bool(stats["has_null"])
+
+
+def _numbered(packed: DataFrame, part: Column, shift: bool) -> DataFrame:
+    """Chunks with their number, in value order; a chunk of NULLs comes before all others."""
+    # parts first: sums per task, and a chunk's list is as long as it has parts
+    parts = packed.groupBy(*CHUNK, F.when(F.col("heavy") == 1, 0).otherwise(part).alias("part")).agg(
         F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_values"), F.min("v").alias("lo"), F.max("v").alias("hi")
     )
-    chunks = parts.groupBy(*chunk).agg(
+    chunks = parts.groupBy(*CHUNK).agg(
         F.sum("n_rows").alias("n_rows"),
         F.sum("n_values").alias("n_values"),
         F.min("lo").alias("lo"),
         F.max("hi").alias("hi"),
         F.array_sort(F.collect_list("lo")).alias("part_lows"),
     )
-    shift = 1 if stats["has_null"] else 0
+    ranked = ranking.with_ranks(ranking.ordered(chunks, ["lo"]))
+    return ranked.withColumn("iteration", (F.col("__at") + int(shift)).cast("int"))
+
+
+def pack_values(counts: DataFrame, column: str, chunk_rows: int, part_rows: int | None = None) -> DataFrame:
+    """Pack values (v, n) in value order. Input: one row per distinct value with its row count.
+
+    With ``part_rows`` each chunk also gets ``part_lows``: the values at which its parts begin, so that a part holds at most
+    that many rows besides those of its last value.
+
+    Values over half a chunk stand alone. The others are packed by ``floor(rows_before / step)`` with
+    ``step = chunk_rows - largest + 1``, which keeps the bound and makes chunks at least half full on
+    average. NULL is a chunk of its own, before all others.
+    """
+    counts = ranking.written(counts, "value-counts")  # read three times below
+    packed, step, has_null = _packed(counts, column, chunk_rows)
+    part = F.floor((F.col("light_before") - F.col("pack") * step) / (part_rows or chunk_rows))
     lows = [] if part_rows is None else ["part_lows"]
-    numbered = ranking.with_ranks(ranking.ordered(chunks, ["lo"]))
-    result = numbered.select(
-        (F.col("__at") + shift).cast("int").alias("iteration"),
-        "n_rows",
-        "n_values",
-        F.col("lo").alias(f"lo_{column}"),
-        F.col("hi").alias(f"hi_{column}"),
-        *lows,
+    result = _numbered(packed, part, has_null).select(
+        "iteration", "n_rows", "n_values", F.col("lo").alias(f"lo_{column}"), F.col("hi").alias(f"hi_{column}"), *lows
     )
-    if not shift:
+    if not has_null:
         return result
     nulls = counts.filter("v IS NULL").select(
         F.lit(0).alias("iteration"),
@@ -170,14 +177,11 @@ def index_rows(df: DataFrame, column: str, chunk_rows: int) -> DataFrame:
     Every value gets its number, then rows meet their value: in place while Spark finds the values small enough to broadcast,
     else in a join whose hot values it splits at run time.
     """
-    manifest = index_manifest(df, column, chunk_rows)
-    starts = manifest.select(F.col(f"lo_{column}").alias("__lo"), F.lit(1).cast("bigint").alias("start"))
-    values = df.select(quoted(column)).distinct()
-    flagged = values.join(starts, values[column].eqNullSafe(starts["__lo"]), "left").select(
-        values[column], F.coalesce("start", F.lit(0)).alias("start")
-    )
-    numbered = ranking.running_totals(flagged, [column], {"before": "start"})
-    numbers = numbered.select(
-        F.col(quoted(column)).alias("__v"), (F.col("before") + F.col("start") - 1).cast("int").alias("iteration")
-    )
+    counts = df.groupBy(F.col(quoted(column)).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    counts = ranking.written(counts, "value-counts")
+    packed, _, has_null = _packed(counts, column, chunk_rows)
+    chunks = _numbered(packed, F.lit(0), has_null).select(*CHUNK, "iteration")
+    numbers = packed.join(chunks, CHUNK).select(F.col("v").alias("__v"), "iteration")
+    if has_null:
+        numbers = numbers.unionByName(counts.filter("v IS NULL").select(F.col("v").alias("__v"), F.lit(0).alias("iteration")))
     return df.join(numbers, df[column].eqNullSafe(numbers["__v"])).drop("__v")
