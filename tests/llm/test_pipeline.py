@@ -6,9 +6,10 @@ import numpy as np
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from haulage.llm import tokens, toxicity
+from haulage.llm import staging, tokens, toxicity
 from tests.conftest import SF_DIR
 from tests.llm import brute
+from tests.llm.test_operators import DOCS, ODD
 
 
 def test_stages_follow_each_other(spark, table):
@@ -48,3 +49,27 @@ def test_stages_follow_each_other(spark, table):
     for r in got:
         filled[r.sequence_id] += r.length
     assert max(filled.values()) <= 1024 and np.mean(list(filled.values())) > 1000
+
+
+def test_stages_take_odd_rows(spark):
+    """Nulls in any column, texts without words, long ones, repeated rows, columns with clashing names, an empty table."""
+    rows = [(*r, f"r{i}", i, "s") for i, r in enumerate(ODD)] + [(13, "long " * 60_000, None, "c", None, None, None, None)]
+    odd = spark.createDataFrame(rows, DOCS).repartition(3)
+    for docs in (odd, odd.filter("false")):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            before = docs
+            docs = staging.staged(stage(spark, before, SF_DIR), "odd")
+            assert docs.dtypes == odd.dtypes, name
+            kept, given = [r.asDict() for r in docs.collect()], [r.asDict() for r in before.collect()]
+            key = lambda r: (r["doc_id"], r["row"])
+            assert {key(r) for r in kept} <= {key(r) for r in given}, name
+            if name == "line dedup":
+                assert Counter(map(key, kept)) == Counter(map(key, given))
+            elif name == "simhash near-dedup":
+                ids = [10**6 if r["doc_id"] is None else r["doc_id"] for r in given]
+                least = brute.components(ids, [brute.fingerprint(r["text"]) for r in given])
+                assert sorted(10**6 if r["doc_id"] is None else r["doc_id"] for r in kept) == sorted(set(least))
+            elif name == "mixing sources":
+                assert max(Counter(map(key, kept)).values(), default=0) <= 2
+        pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect()
+        assert sum(r.piece == 0 for r in pieces) == len(kept) and all(1 <= r.length <= 1024 for r in pieces)
