@@ -102,11 +102,14 @@ def table_eligibility(profile: DataFrame) -> DataFrame:
 def cluster_threshold_mb(spark, share: float = 1 / 3) -> float:
     """A chunk may fill this share of the executors' memory, as configured in the session.
 
-    With two 32 GB executors and a third of the memory, a 64 GB table takes three chunks.
+    Under dynamic allocation the executors that it may grow to count, or else those it begins with. With two 32 GB executors and a third of the memory, a 64 GB table takes three chunks.
     """
     memory = spark.conf.get("spark.executor.memory", "1g").strip().lower()
     units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
     number = memory.rstrip("bkmgt")
     unit = memory[len(number) : len(number) + 1]
-    executors = int(spark.conf.get("spark.executor.instances", "1"))
-    return float(number) * (units[unit] if unit else 1) * executors * share
+    executors = spark.conf.get("spark.executor.instances", None)
+    if executors is None and spark.conf.get("spark.dynamicAllocation.enabled", "false") == "true":
+        named = [spark.conf.get(f"spark.dynamicAllocation.{n}Executors", None) for n in ("max", "initial", "min")]
+        executors = next((n for n in named if n not in (None, "infinity", str(2**31 - 1))), None)
+    return float(number) * (units[unit] if unit else 1) * max(int(executors or 1), 1) * share

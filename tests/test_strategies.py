@@ -126,6 +126,20 @@ def test_cluster_threshold(spark):
     assert threshold == pytest.approx(64 * 1024 / 3)
 
 
+@pytest.mark.parametrize(
+    "more, executors",
+    [({}, 1), ({"max": "12", "min": "2"}, 12), ({"max": "2147483647", "initial": "5"}, 5), ({"min": "0"}, 1)],
+)
+def test_cluster_threshold_under_dynamic_allocation(more, executors):
+    known = {"spark.executor.memory": "3g", "spark.dynamicAllocation.enabled": "true"}
+    known |= {f"spark.dynamicAllocation.{k}Executors": v for k, v in more.items()}
+
+    class Settings:
+        conf = type("Conf", (), {"get": staticmethod(known.get)})
+
+    assert profile.cluster_threshold_mb(Settings) == pytest.approx(executors * 1024)
+
+
 def test_reversible_mask(table):
     customer = table("customer")
     key = F.lit("0123456789abcdef")
