@@ -185,8 +185,7 @@ class JdbcTable:
         keys = self.key_columns()
         indexes = [] if keys else self.index_columns()
         partitions = [] if keys or indexes else self.partitions()
-        counts = self._value_counts(indexes[0]) if indexes else None
-        decided = "yes" if indexes and self._packs(counts, rows) else "no"
+        decided = "yes" if indexes and self._packs(indexes[0], rows) else "no"
         facts = self.spark.range(1).select(
             F.lit(self.vendor).alias("vendor"),
             F.lit(len(keys)).alias("n_key_columns"),
@@ -198,7 +197,7 @@ class JdbcTable:
         chunks = {
             "clustered": lambda: self._key_chunks(keys, rows, count),
             "composite_clustered": lambda: self._key_chunks(keys, rows, count),
-            "non_clustered": lambda: self._index_chunks(counts, indexes[0], rows),
+            "non_clustered": lambda: self._index_chunks(indexes[0], rows),
             "non_clustered_limit_offset": lambda: self._pages(self.name, indexes, rows, count, 0),
             "partition": lambda: self._partition_chunks(partitions, rows),
             "limit_offset": lambda: self._pages(self.name, [], rows, count, 0),
@@ -212,10 +211,11 @@ class JdbcTable:
         ranking.ensure_checkpoint_dir(self.spark)
         return self._query(sql).toDF("v", "n").withColumn("n", F.col("n").cast("bigint")).checkpoint()
 
-    def _packs(self, counts: DataFrame, rows: int) -> bool:
-        stats = counts.agg(
-            F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_values"), F.max("n").alias("max_rows")
-        )
+    def _packs(self, column: str, rows: int) -> bool:
+        """Whether whole values of the column fit into chunks; counted by the source, which returns one row."""
+        sql = vendors.value_statistics_query(self.vendor, self.name, self._fields([column])[0])
+        stats = self._query(sql).toDF("n_rows", "n_values", "max_rows")
+        stats = stats.select(*[F.col(c).cast("bigint").alias(c) for c in stats.columns])
         return decision.index_decision(stats, rows).first()["decision"] == "yes"
 
     def _fields(self, keys: Sequence[str]) -> list[T.StructField]:
@@ -274,15 +274,9 @@ class JdbcTable:
     def _where(self, iteration: int, predicate: str, parts: tuple[str, ...] = ()) -> Chunk:
         return Chunk(iteration, f"SELECT * FROM {self.name} WHERE {predicate}", predicate, parts)
 
-    def _index_chunks(self, counts: DataFrame, column: str, rows: int) -> list[Chunk]:
+    def _index_chunks(self, column: str, rows: int) -> list[Chunk]:
         """Packed values; a chunk's parts begin at values too, about ``task_rows`` rows apart."""
-        manifest = chunking.pack_values(counts, column, rows, min(rows, self.task_rows))
-        lo = f"lo_{column}"
-        text = lambda c: key_text(c, manifest.schema[lo].dataType)
-        found = manifest.orderBy("iteration").select(
-            F.col(quoted(lo)).isNull().alias("is_null"), F.transform("part_lows", text).alias("lows")
-        )
-        listed = [r["lows"] for r in found.collect() if not r["is_null"]]
+        listed = self._packed_lows(column, rows, min(rows, self.task_rows))
         field_ = self._fields([column])[0]
         name = vendors.quote(self.vendor, column)
         chunks = []
@@ -298,6 +292,24 @@ class JdbcTable:
             chunks.append(self._where(len(chunks), present + predicate, inside if len(inside) > 1 else ()))
         return chunks
 
+    def _packed_lows(self, column: str, rows: int, part_rows: int) -> list[list[str]]:
+        """Per chunk the values, as text, at which its parts begin; found by the source, or by Spark where that cannot."""
+        field_ = self._fields([column])[0]
+        sql = vendors.value_border_query(self.vendor, self.name, field_, rows, part_rows)
+        if sql is None:
+            manifest = chunking.pack_values(self._value_counts(column), column, rows, part_rows)
+            lo = f"lo_{column}"
+            text = lambda c: key_text(c, manifest.schema[lo].dataType)
+            found = manifest.filter(F.col(quoted(lo)).isNotNull()).orderBy("iteration")
+            return [r["lows"] for r in found.select(F.transform("part_lows", text).alias("lows")).collect()]
+        found = self._query(sql).toDF("v", "chunk_start", "place").orderBy("place")
+        listed: list[list[str]] = []
+        for row in found.select(key_text(F.col("v"), field_.dataType).alias("v"), F.col("chunk_start").cast("int").alias("new")).collect():
+            if row["new"]:
+                listed.append([])
+            listed[-1].append(row["v"])
+        return listed
+
     def _pages(self, source: str, leading: Sequence[str], rows: int, count: int, first: int) -> list[Chunk]:
         """Pages under a total order of the columns that have one, cut at borders that the source finds in one query.
 

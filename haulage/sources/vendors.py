@@ -176,6 +176,56 @@ def page_border_query(
     )
 
 
+def value_statistics_query(vendor: str, table: str, field: T.StructField) -> str:
+    """Rows, distinct values (NULL is one) and rows of the most frequent value of a column, one row."""
+    counted = f"SELECT COUNT(*) AS n FROM {table} GROUP BY {_value_key(vendor, field)}"
+    return f"SELECT SUM(n) AS n_rows, COUNT(*) AS n_values, MAX(n) AS max_rows FROM ({counted}) counted"
+
+
+def _value_key(vendor: str, field: T.StructField) -> str:
+    """Tells values apart by their bytes, whatever the source's collation."""
+    column, key = quote(vendor, field.name), ordered_column(vendor, field.name, field.dataType)
+    return column if key == column else f"{column}, {key}"
+
+
+def value_border_query(vendor: str, table: str, field: T.StructField, rows: int, part_rows: int) -> str | None:
+    """Where the chunks of packed values begin, and the parts inside them: v, chunk_start (1 or 0), place (in value order).
+
+    The packing of ``chunking.pack_values``, done by the source: values over half a chunk stand alone, the others are packed
+    by the rows before them. None where the source cannot number rows.
+    """
+    if vendor == "derby":
+        return None
+    rest = (lambda a, b: f"(({a}) % ({b}))") if vendor == "mssql" else (lambda a, b: f"MOD({a}, {b})")
+    whole = lambda a, b: f"({a} - {rest(a, b)}) / {b}"
+    column, key = quote(vendor, field.name), ordered_column(vendor, field.name, field.dataType)
+    so_far = "OVER (ORDER BY k ROWS UNBOUNDED PRECEDING)"
+    counted = (
+        f"SELECT {column} AS v, {key} AS k, COUNT(*) AS n FROM {table} WHERE {column} IS NOT NULL "
+        f"GROUP BY {_value_key(vendor, field)}"
+    )
+    weighed = (
+        f"SELECT v, k, CASE WHEN n * 2 > {rows} THEN 1 ELSE 0 END AS heavy, CASE WHEN n * 2 > {rows} THEN 0 ELSE n END AS light "
+        f"FROM ({counted}) counted"
+    )
+    summed = (
+        f"SELECT v, k, heavy, SUM(heavy) {so_far} - heavy AS heavies, SUM(light) {so_far} - light AS before, "
+        f"{rows + 1} - MAX(light) OVER () AS step FROM ({weighed}) weighed"
+    )
+    packed = (
+        f"SELECT v, k, heavy, heavies, CASE WHEN heavy = 1 THEN 0 ELSE {whole('before', 'step')} END AS pack, "
+        f"CASE WHEN heavy = 1 THEN 0 ELSE {whole(rest('before', 'step'), str(part_rows))} END AS part FROM ({summed}) summed"
+    )
+    started = (
+        "SELECT v, k, ROW_NUMBER() OVER (PARTITION BY heavies, heavy, pack ORDER BY k) AS in_chunk, "
+        f"ROW_NUMBER() OVER (PARTITION BY heavies, heavy, pack, part ORDER BY k) AS in_part FROM ({packed}) packed"
+    )
+    return (
+        "SELECT v, CASE WHEN in_chunk = 1 THEN 1 ELSE 0 END AS chunk_start, ROW_NUMBER() OVER (ORDER BY k) AS place "
+        f"FROM ({started}) started WHERE in_part = 1"
+    )
+
+
 def filtered(source: str) -> tuple[str, str | None]:
     """FROM item without its condition, and the condition, if a partition is read by one."""
     item, _, condition = source.partition(f" {FILTERED}")

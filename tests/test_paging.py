@@ -176,6 +176,10 @@ def test_index_chunks_are_read_by_several_tasks(spark, source, monkeypatch):
     sizes, tasks = check(spark, table, plan, "non_clustered")
     full = {n: k for n, k in tasks.items() if sizes[n] >= 60}
     assert full and all(k >= 3 for k in full.values())
+    assert not any("rows_of_value" in q for q in source)  # no list of all values
+    monkeypatch.setattr(vendors, "value_border_query", lambda *_: None)
+    again = table.plan(0.8)
+    assert [(c.query, c.parts) for c in again.chunks] == [(c.query, c.parts) for c in plan.chunks]
 
 
 def test_parts_of_packed_values(spark):
@@ -193,6 +197,41 @@ def test_parts_of_packed_values(spark):
     assert "part_lows" not in chunking.pack_values(counts, "v", 100).columns
 
 
+@pytest.mark.parametrize("vendor", ["postgres", "mysql"])
+@pytest.mark.parametrize("rows,part", [(70, 70), (100, 25), (300, 40)])
+def test_values_packed_by_the_source(spark, vendor, rows, part):
+    """The same chunks and parts as Spark packs, from one query."""
+    pick = random.Random(rows)
+    made = [(v, pick.randint(1, 12) if v % 40 else rows) for v in range(150)] + [(None, 9)]
+    counts = spark.createDataFrame(made, "v int, n long")
+    manifest = chunking.pack_values(counts, "v", rows, part).filter("lo_v IS NOT NULL").orderBy("iteration")
+    want = [r["part_lows"] for r in manifest.collect()]
+    field = T.StructField("v", T.IntegerType(), True)
+    sql = vendors.value_border_query(vendor, "t", field, rows, part)
+    stats = vendors.value_statistics_query(vendor, "t", field)
+    if vendor == "postgres":
+        con = duckdb.connect()
+        con.execute("CREATE TABLE t (v INTEGER)")
+        con.executemany("INSERT INTO t VALUES (?)", [(v,) for v, n in made for _ in range(n)])
+        found, facts = con.execute(sql).fetchall(), con.execute(stats).fetchone()
+    else:
+        counts.selectExpr("v", "explode(sequence(1, n)) AS i").select("v").createOrReplaceTempView("t")
+        found, facts = [tuple(r) for r in spark.sql(sql).collect()], tuple(spark.sql(stats).first())
+    got = []
+    for v, new, _ in sorted(found, key=lambda r: r[2]):
+        got = [*got, [v]] if new else [*got[:-1], [*got[-1], v]]
+    assert got == want
+    assert tuple(map(int, facts)) == (sum(n for _, n in made), 151, rows)
+
+
+@pytest.mark.parametrize("vendor", vendors.VENDORS)
+def test_value_queries_of_all_vendors(vendor):
+    field = T.StructField("w", T.StringType(), True)
+    sql = vendors.value_border_query(vendor, "t", field, 10, 5)
+    assert vendors.ordered_column(vendor, "w", field.dataType) + " AS k" in sql and ("%" in sql) == (vendor == "mssql")
+    assert vendors.value_border_query("derby", "t", field, 10, 5) is None
+
+
 def test_partitions(spark, source, monkeypatch):
     brands = [r[0] for r in spark.sql("SELECT DISTINCT p_brand FROM s_part").collect()]
     standin.catalog(monkeypatch, partitions=brands, size=2)
