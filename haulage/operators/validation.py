@@ -32,8 +32,10 @@ class Sides:
     landed: DataFrame
     masked: DataFrame | None = None
     masked_columns: Sequence[str] = field(default_factory=list)
-    # statistics a database computed itself (see ``source_statistics``); the source is then not scanned
+    # statistics that a database computed itself, over the source's columns; that side is then not scanned
     source_statistics: DataFrame | None = None
+    landed_statistics: DataFrame | None = None
+    masked_statistics: DataFrame | None = None
 
 
 def shown(column: Column, data_type: T.DataType) -> Column:
@@ -71,11 +73,10 @@ def _compared(side: Sides, columns: Sequence[str], copies: Sequence[str] = ("lan
 
     The sides' rows are stacked, each in its own columns, and folded by table key: no join is needed.
     """
-    rows = {"source": side.source_statistics}
-    if rows["source"] is None:
-        rows["source"] = statistics(side.source, columns)
-    for copy in copies:
-        rows[copy] = statistics(getattr(side, copy), columns)
+    rows = {}
+    for name in ("source", *copies):
+        known = getattr(side, f"{name}_statistics")
+        rows[name] = statistics(getattr(side, name), columns) if known is None else known
     stacked = reduce(
         lambda above, below: above.unionByName(below, allowMissingColumns=True),
         [

@@ -42,6 +42,10 @@ class LakeCopy:
     def read(self, iterations: Sequence[int] | None = None) -> DataFrame:
         return lake.read_chunks(self.spark, self.folder, self.format, self.schema, iterations)
 
+    def statistics(self, columns: Sequence[str]) -> DataFrame | None:
+        """Files are read by Spark."""
+        return None
+
     def settle(self, rows: dict[int, int]) -> None:
         """After a write: remove what chunks without rows had left behind. The write itself is all or nothing."""
         emptied = [number for number, n in rows.items() if not n]
@@ -83,6 +87,10 @@ class RdbmsCopy:
     def read(self, iterations: Sequence[int] | None = None) -> DataFrame:
         return self.target.staged(iterations)
 
+    def statistics(self, columns: Sequence[str]) -> DataFrame | None:
+        """Of all staged rows, computed by the database."""
+        return self.target.statistics(self.schema, columns)
+
     def settle(self, rows: dict[int, int]) -> None:
         """After a write: a task that ran twice may have inserted twice, so the rows are counted."""
         staged = self.target.staged_counts(list(rows))

@@ -169,6 +169,8 @@ def validate(table: JdbcTable, load: Load, raw: Copy, masked: Copy | None) -> st
         None if masked is None else masked.read().drop("iteration"),
         list(load.masked_columns),
         table.statistics(source.columns),
+        raw.statistics(source.columns),
+        None if masked is None else masked.statistics(source.columns),
     )
     return validation.validation_status([side]).first()["status"]
 

@@ -109,6 +109,23 @@ def chunk_scan(spark: SparkSession, connection: Connection, table: str, chunks:
     return reduce(DataFrame.union, frames)
 
 
+def table_statistics(
+    spark: SparkSession, connection: Connection, name: str, schema: T.StructType, columns: Sequence[str]
+) -> DataFrame:
+    """As ``validation.statistics`` of a database's table, computed there in one query; values in the types of ``schema``."""
+    items, types = ["COUNT(*) AS n_rows"], {"n_rows": T.LongType()}
+    for i, column in enumerate(columns):
+        data_type = schema[column].dataType
+        items.append(f"COUNT({vendors.quote(connection.vendor, column)}) AS filled{i}")
+        types[f"filled{i}"] = T.LongType()
+        if is_plain(data_type):
+            for word, end in (("min", "low"), ("max", "high")):
+                items.append(f"{vendors.extreme(connection.vendor, word, column, data_type)} AS {end}{i}")
+                types[f"{end}{i}"] = data_type
+    row = query_frame(spark, connection, f"SELECT {', '.join(items)} FROM {name}").toDF(*types)
+    return row.select(*[F.col(n).cast(t).alias(n) for n, t in types.items()])
+
+
 class JdbcTable:
     """A source table seen through its connection."""
 
@@ -365,15 +382,4 @@ class JdbcTable:
 
     def statistics(self, columns: Sequence[str]) -> DataFrame:
         """As ``validation.statistics``, computed by the source in one query."""
-        schema = self.frame().schema
-        items, types = ["COUNT(*) AS n_rows"], {"n_rows": T.LongType()}
-        for i, name in enumerate(columns):
-            data_type = schema[name].dataType
-            items.append(f"COUNT({vendors.quote(self.vendor, name)}) AS filled{i}")
-            types[f"filled{i}"] = T.LongType()
-            if is_plain(data_type):
-                for word, end in (("min", "low"), ("max", "high")):
-                    items.append(f"{vendors.extreme(self.vendor, word, name, data_type)} AS {end}{i}")
-                    types[f"{end}{i}"] = data_type
-        row = self._query(f"SELECT {', '.join(items)} FROM {self.name}").toDF(*types)
-        return row.select(*[F.col(n).cast(t).alias(n) for n, t in types.items()])
+        return table_statistics(self.spark, self.connection, self.name, self.frame().schema, columns)

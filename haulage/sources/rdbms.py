@@ -6,9 +6,9 @@ from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from haulage.sources.jdbc import Connection, query_frame
+from haulage.sources.jdbc import Connection, query_frame, range_frame, table_frame, table_statistics
 from haulage.sources.vendors import quote, table_name
 
 STAGE_SUFFIX = "_STAGE"
@@ -67,9 +67,16 @@ class RdbmsTarget:
         df.write.format("jdbc").options(**self.connection.options()).option("dbtable", name).mode("append").save()
 
     def staged(self, iterations: Sequence[int] | None = None) -> DataFrame:
-        reader = self.spark.read.format("jdbc").options(**self.connection.options()).option("dbtable", self.stage)
-        df = reader.load().withColumnRenamed(NUMBER, "iteration")
-        return df if iterations is None else df.filter(F.col("iteration").isin(list(iterations)))
+        """Staged rows; of given chunks, each read by a task of its own."""
+        if iterations is None:
+            df = table_frame(self.spark, self.connection, self.stage)
+        else:
+            df = range_frame(self.spark, self.connection, self.stage, [f"{self.number} = {i}" for i in iterations])
+        return df.withColumnRenamed(NUMBER, "iteration")
+
+    def statistics(self, schema: T.StructType, columns: Sequence[str]) -> DataFrame:
+        """Counts, minima and maxima of the staged rows, computed by the database."""
+        return table_statistics(self.spark, self.connection, self.stage, schema, columns)
 
     def delete_from(self, first: int) -> None:
         """Remove staged chunks numbered ``first`` and above."""
