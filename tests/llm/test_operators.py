@@ -537,5 +537,5 @@ def test_perspectives(spark):
     assert chat.perspectives(frame.filter("false")).count() == 0
 
 
-def test_all_ten_are_registered():
-    assert {int(name[2:].split("_")[0]) for name in queries.QUERIES} == set(range(1, 11))
+def test_all_operators_are_registered():
+    assert {int(name[2:].split("_")[0]) for name in queries.QUERIES} == set(range(1, 14))
