@@ -18,6 +18,9 @@ from pyspark.sql import types as T
 VENDORS = ("mysql", "maria", "postgres", "ibm", "mssql")
 MSSQL_SUFFIX = ";encrypt=true;trustServerCertificate=true"
 
+#: Where Spark creates text columns as large objects, which have no minimum or maximum.
+TEXT_AS_OBJECTS = ("ibm", "derby")
+
 #: A row limit that never bites, for dialects in which an offset needs one.
 ALL_ROWS = 9_223_372_036_854_775_807
 

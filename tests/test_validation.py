@@ -1,9 +1,12 @@
 """Statistics computed by a database stand for a scan of its rows."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from haulage.operators import masking, validation
 from haulage.operators.validation import Sides
+from haulage.plans.copies import RdbmsCopy
 from haulage.sources import jdbc, rdbms
 from tests import standin
 from tests.test_runs import asked  # noqa: F401
@@ -43,3 +46,14 @@ def test_staged_chunks_are_read_by_a_task_each(spark, asked, monkeypatch):  # no
     assert target.staged().count() == 90
     asked.clear()
     assert target.statistics(some.schema, ["id"]).first()["n_rows"] == 90 and len(asked) == 1
+
+
+def test_text_kept_as_large_objects_is_scanned(spark, asked):  # noqa: F811
+    schema = spark.table("s_orders").schema
+    for vendor, pushed in (("mysql", True), ("derby", False), ("ibm", False)):
+        copy = RdbmsCopy(spark, replace(standin.SOURCE, vendor=vendor), "s_orders", schema)
+        copy.target.stage = "`s_orders`"
+        assert (copy.statistics(["o_orderkey"]) is not None) == pushed
+        numbers = RdbmsCopy(spark, replace(standin.SOURCE, vendor="mysql"), "s_orders", schema[:1])
+        numbers.target.stage = "`s_orders`"
+        assert numbers.statistics(["o_orderkey"]).first()["n_rows"] == 1500
