@@ -6,7 +6,7 @@ plain versions.
 
 from __future__ import annotations
 
-from haulage.llm import line_dedup, quality, secrets
+from haulage.llm import line_dedup, secrets
 
 
 def text(value: str) -> str:
@@ -39,23 +39,24 @@ spans AS (SELECT doc_id, owner, kind_no, ends - length(found) AS starts, ends, v
     WHEN 3 THEN regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') ELSE true END),
 free AS (SELECT * FROM spans s WHERE kind_no <> 3 OR NOT EXISTS (
   SELECT 1 FROM spans b WHERE b.doc_id = s.doc_id AND b.kind_no <> 3 AND b.starts < s.ends AND s.starts < b.ends)),
-spread AS (SELECT value, count(DISTINCT coalesce(owner, chr(0))) AS n_owners FROM free GROUP BY value),
-kept AS (SELECT free.*, n_owners, starts || ':' || ends AS place,
+spread AS (SELECT value, count(DISTINCT coalesce(owner, chr(0))) AS n_owners,
+  count(DISTINCT {{'o': coalesce(owner, chr(0)), 'r': doc_id}}) AS n_repositories FROM free GROUP BY value),
+kept AS (SELECT free.*, n_owners, n_repositories, n_owners < 3 AND n_repositories < 10 AS live, starts || ':' || ends AS place,
   list_extract(['assign', 'access', 'hex', 'owned'], kind_no + 1) AS kind
-  FROM free JOIN spread USING (value) WHERE kind_no <> 3 OR n_owners = 1),
+  FROM free JOIN spread USING (value) WHERE kind_no <> 3 OR (n_owners < 3 AND n_repositories < 10)),
 rows_ AS (SELECT doc_id, count(*) FILTER (kind_no = 0) AS n_assign, count(*) FILTER (kind_no = 1) AS n_access,
   count(*) FILTER (kind_no = 2) AS n_hex, count(*) FILTER (kind_no = 3) AS n_owned,
   string_agg(kind || ':' || place, ',' ORDER BY starts, kind_no) FILTER (kind_no <> 3) AS base,
   string_agg(kind || ':' || place, ',' ORDER BY starts, kind_no) AS spans,
-  count(*) FILTER (n_owners < 2) AS n_live, count(*) FILTER (n_owners >= 2) AS n_example FROM kept GROUP BY doc_id)
+  string_agg(n_owners || '/' || n_repositories || CASE WHEN live THEN '/live' ELSE '/example' END, ',' ORDER BY starts, kind_no) AS ownership,
+  count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example FROM kept GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
 sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_owned, 0) AS n_owned,
-coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example FROM docs d LEFT JOIN rows_ USING (doc_id)"""
+coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example, coalesce(ownership, '') AS ownership FROM docs d LEFT JOIN rows_ USING (doc_id)"""
 
-REJECTED = " OR ".join(
-    "coalesce(" + rule.rejects.replace("'[^A-Z]', ''", "'[^A-Z]', '', 'g'").replace("'[^A-Za-z]', ''", "'[^A-Za-z]', '', 'g'") + ", false)"
-    for rule in quality.RULES
-)
+REJECTED = """10 * n_symbols > n_words OR word_chars > 25 * n_words OR 2 * (len(text) - len(replace(text, '!', ''))) > n_words
+OR (n_words >= 20 AND 5 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 4 * len(regexp_replace(text, '[^A-Za-z]', '', 'g')))
+OR 10 * n_dup_lines > 6 * n_lines OR (n_words >= 20 AND 3 * n_echoes > n_words)"""
 
 QUALITY = f"""WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 split AS (SELECT *, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,

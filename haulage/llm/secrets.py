@@ -4,10 +4,12 @@ Base kinds (fixed patterns below) are found leftmost and without overlap, each k
 between matches, `regexp_extract_all` the matches, and a running sum of both lengths over a row's matches their places in
 code points. An assignment whose value is too short is dropped after matching, so it still uses up its text.
 
-The method: every candidate's value is hashed and counted over the corpus by distinct repositories and owners. A
-value found with `example_owners` or more owners is a widely copied example; with fewer owners it looks live. Besides the
-base kinds, long strings of letters and digits without such a context (kind `owned`) are candidates; they become spans only
-if all their places belong to one owner and they do not overlap a base span. Base spans always stay.
+The method: every candidate's value is hashed and counted over the corpus by distinct owners and repositories, and both
+counts decide. A value found with `example_owners` or more owners, or in `example_repositories` or more repositories (of
+one owner, too), is a widely copied example; any other looks live, so one copy with a second owner changes nothing. Besides
+the base kinds, long strings of letters and digits without such a context (kind `owned`) are candidates; they become spans
+if their value looks live and they do not overlap a base span. Base spans always stay; every span carries both counts
+and the verdict. A repository belongs to its owner: the same name with two owners counts twice.
 
 Hot values (one example on a third of all pages) are counted by (value, owner, repository) with map-side combine; each
 row's verdicts come back through a join by value of two written tables, which Spark splits at run time if it is
@@ -33,6 +35,9 @@ BASE_KINDS = ("assign", "access", "hex")
 OWNED_RUN = r"[A-Za-z0-9]{20,}"
 OWNED = 3
 
+#: From so many distinct owners, or repositories, on a value is a widely copied example.
+EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES = 3, 10
+
 HIT = "array<struct<kind_no:int,nth:int,gap:int,length:int,value:string>>"
 
 
@@ -109,12 +114,10 @@ def scan(
     text_column: str = "text",
     owner_column: str = "source",
     repository_column: str = "doc_id",
-    example_owners: int = 2,
+    example_owners: int = EXAMPLE_OWNERS,
+    example_repositories: int = EXAMPLE_REPOSITORIES,
 ) -> DataFrame:
-    """Per row: id, spans ([{start, kind_no, end}] in order), n_live, n_example.
-
-    Spans are the base ones and the owned ones; n_live and n_example count spans by the verdict on their values.
-    """
+    """Per row: id, spans ([{start, kind_no, end, n_owners, n_repositories, live}] in order): the base ones and the owned ones."""
     text = F.coalesce(F.col(text_column), F.lit(""))
     found = staging.staged(
         docs.select(
@@ -137,24 +140,27 @@ def scan(
         F.count(F.lit(1)).alias("n_owners"), F.sum("n_repositories").alias("n_repositories")
     )
     spread = staging.staged(spread, "secrets-spread")
-    judged = spans.join(spread, F.expr("value = v")).filter((F.col("kind_no") != OWNED) | (F.col("n_owners") == 1))
+    live = (F.col("n_owners") < example_owners) & (F.col("n_repositories") < example_repositories)
+    judged = spans.join(spread, F.expr("value = v")).withColumn("live", live).filter((F.col("kind_no") != OWNED) | F.col("live"))
     by_row = judged.groupBy(F.col("rid").alias("r")).agg(
-        F.sort_array(F.collect_list(F.struct("start", "kind_no", "end"))).alias("spans"),
-        F.count_if(F.col("n_owners") < example_owners).alias("n_live"),
-        F.count_if(F.col("n_owners") >= example_owners).alias("n_example"),
-    )
-    return found.drop("hits").join(by_row, F.expr("rid = r"), "left").select(
-        "id",
-        F.coalesce("spans", F.array().cast("array<struct<start:long,kind_no:int,end:long>>")).alias("spans"),
-        F.coalesce("n_live", F.lit(0)).alias("n_live"),
-        F.coalesce("n_example", F.lit(0)).alias("n_example"),
+        F.sort_array(F.collect_list(F.struct("start", "kind_no", "end", "n_owners", "n_repositories", "live"))).alias("spans")
     )
+    none = F.array().cast("array<struct<start:long,kind_no:int,end:long,n_owners:long,n_repositories:long,live:boolean>>")
+    return found.drop("hits").join(by_row, F.expr("rid = r"), "left").select("id", F.coalesce("spans", none).alias("spans"))
 
 
 def secret_spans(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, then n_owned, n_live, n_example."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, then n_owned, n_live, n_example and ownership.
+
+    ownership: owners/repositories/live or example for each of the spans, in their order, comma-joined.
+    """
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind_no"] == k)).cast("long")
     base = F.filter("spans", lambda s: s["kind_no"] != OWNED)
+    live = F.size(F.filter("spans", lambda s: s["live"])).cast("long")
+    verdict = lambda s: F.when(s["live"], "live").otherwise("example")
+    counts = F.transform(
+        "spans", lambda s: F.concat_ws("/", s["n_owners"].cast("string"), s["n_repositories"].cast("string"), verdict(s))
+    )
     return scan(docs, **options).select(
         F.col("id").alias("doc_id"),
         count(0).alias("n_assign"),
@@ -163,6 +169,7 @@ def secret_spans(docs: DataFrame, **options) -> DataFrame:
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
         count(OWNED).alias("n_owned"),
-        "n_live",
-        "n_example",
+        live.alias("n_live"),
+        (F.size("spans") - live).cast("long").alias("n_example"),
+        F.array_join(counts, ",").alias("ownership"),
     )

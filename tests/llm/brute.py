@@ -68,6 +68,20 @@ def quality(text):
     }
 
 
+def kept(text):
+    """The verdict of the rules, by counting characters one by one."""
+    text, found = text or "", quality(text)
+    words, n = WORD.findall(text), found["n_words"]
+    capitals = sum("A" <= c <= "Z" for c in text)
+    letters = capitals + sum("a" <= c <= "z" for c in text)
+    echoes = sum(a == b for a, b in zip(words, words[1:]))
+    lines = sum(1 for x in text.split("\n") if WORD.search(x))
+    return not (
+        found["base_failed"] or 10 * found["n_symbols"] > n or found["word_chars"] > 25 * n or 2 * text.count("!") > n
+        or (n >= 20 and 5 * capitals > 4 * letters) or 10 * found["n_dup_lines"] > 6 * lines or (n >= 20 and 3 * echoes > n)
+    )
+
+
 def fingerprint(text, shingle=4):
     lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = WORD.findall(lower)

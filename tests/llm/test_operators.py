@@ -166,34 +166,81 @@ def test_secret_base(given, odd):
             assert brute.sha(base) == r.base_sha256
 
 
-def test_secret_owners(spark):
-    shared, own, plain = "q1w2e3r4t5y6u7i8o9p0aa", "z1x2c3v4b5n6m7a8s9d0ff", "abcdefghijklmnopqrstuvwxyz"
+def test_secret_owners_and_repositories(spark):
+    """Three owners or ten repositories make an example; one copy in a second owner's repository does not."""
+    twice, own, plain = "q1w2e3r4t5y6u7i8o9p0aa", "z1x2c3v4b5n6m7a8s9d0ff", "abcdefghijklmnopqrstuvwxyz"
+    pasted, nine, spread = "p1o2i3u4y5t6r7e8w9q0bb", "l1k2j3h4g5f6d7s8a9p0cc", "m1n2b3v4c5x6z7l8k9j0dd"
     rows = [
-        (1, f"see {shared} here", "a"), (2, f"see {shared} here", "b"), (3, f"é {own} {own}", "a"), (4, plain, "a"),
-        (5, "password=hunter2hunter2", "a"), (6, "password=hunter2hunter2", "c"), (7, f"token={own}", "a"),
+        (1, f"see {twice} here", "a"), (2, f"see {twice} here", "b"), (3, f"é {own} {own}", "a"), (4, plain, "a"),
+        *((5 + i, "password=hunter2hunter2", owner) for i, owner in enumerate("ab")), (7, f"token={own}", "a"),
+        *((8 + i, f"see {spread}", owner) for i, owner in enumerate("abc")),
+        *((20 + i, f"see {pasted}", "a") for i in range(10)), *((40 + i, f"see {nine}", "a") for i in range(9)),
+        (40, f"see {nine}", "a"), (60, f"token={pasted}", "a"),
     ]
-    got = {r.doc_id: r for r in secrets.secret_spans(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
-    assert got[1].spans == got[2].spans == got[4].spans == ""
-    assert got[3].spans == "owned:2:24,owned:25:47" and got[3].n_live == 2
-    assert got[5].spans == "assign:0:23" and got[5].n_example == 1 and got[5].n_live == 0
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in secrets.secret_spans(frame).collect()}
+    assert got[1].spans == got[2].spans == "owned:4:26" and got[1].ownership == "2/2/live" and got[2].n_live == 1
+    assert got[3].spans == "owned:2:24,owned:25:47" and got[3].n_live == 2 and got[3].ownership == "1/2/live,1/2/live"
+    assert got[4].spans == got[4].ownership == ""
+    assert got[5].spans == "assign:0:23" and got[5].ownership == "2/2/live"
     assert got[7].spans == "assign:0:28" and got[7].n_live == 1
+    assert all(got[i].spans == "" for i in (8, 9, 10, *range(20, 30)))
+    assert all(got[i].ownership == "1/9/live" for i in range(40, 49))
+    assert got[60].spans == "assign:0:28" and got[60].ownership == "1/11/example" and got[60].n_example == 1
+    strict = {r.doc_id: r for r in secrets.secret_spans(frame, example_owners=2).collect()}
+    assert strict[1].spans == "" and strict[5].n_example == 1
 
 
 # Quality
 
 
 def test_quality(given, odd):
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     for docs in both(given, odd):
         got = quality.quality_flags(docs).collect()
-        want = [(key, *brute.quality(text).values()) for key, text in pairs(docs)]
+        want = [(key, *brute.quality(text).values(), brute.kept(text)) for key, text in pairs(docs)]
         same([(r.doc_id, *(r[n] for n in names)) for r in got], want)
-        assert not any(r.kept and r.base_failed for r in got)
+
+
+def test_every_rule_rejects_what_it_should(spark):
+    plain = "the quick brown fox jumps over one lazy dog while seven other small animals watch from behind a very old garden fence"
+    texts = {
+        None: plain, "symbols": plain + " ###", "word_length": plain + " " + "x" * 900, "exclaimed": plain + "!" * 12,
+        "shouted": plain.upper(),
+        "duplicate_lines": "\n".join(x for i in range(20) for x in (*("fcd"[i % 3 :] + "fcd"[: i % 3]), f"p{i} q{i} r{i} s{i} t{i} u{i}")),
+        "repeated_word": " ".join([plain, *(w for w in "no so la do re mi fa ti ut".split() for _ in range(3))]),
+    }
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts.values())], "doc_id long, text string")
+    for name, rule in zip(list(texts)[1:], quality.RULES):
+        got = {r.id: r.rejected_by for r in quality.judged(docs, (rule,)).collect()}
+        assert rule.name == name and got[list(texts).index(name)] == name and got[0] is None
+    same([(r.id, r.kept) for r in quality.judged(docs).collect()], [(i, brute.kept(t)) for i, t in enumerate(texts.values())])
+
+
+def test_what_follows_a_rejection_is_not_measured(spark):
+    """A rule that fails wherever it is evaluated stands behind the base test and a rule that rejects the rest."""
+    docs = spark.createDataFrame([(1, "too short"), (2, " ".join(f"w{i}" for i in range(40)))], "doc_id long, text string")
+    rest = quality.Rule("rest", lambda m: m["n_words"] >= 20)
+    bomb = quality.Rule("bomb", lambda m: F.raise_error(F.lit("evaluated")).cast("boolean"))
+    verdict = F.when(~F.col("base_failed"), quality.cascade((rest, bomb)))
+    got = quality.based(docs).select("id", "base_failed", verdict.alias("by")).collect()
+    assert sorted(map(tuple, got)) == [(1, True, None), (2, False, "rest")]
+
+
+def test_rules_are_tried_from_the_text_in_a_stable_order(given):
+    rows = quality.based(given)
+    dear = quality.Rule("dear", lambda m: sum((F.length(F.regexp_replace("text", f"[{c}]", "")) for c in "aeiou"), F.lit(0)) >= 0)
+    cheap = quality.Rule("cheap", lambda m: m["n_words"] >= 0)
+    never = [quality.Rule(f"never{i}", lambda m: m["n_letters"] < 0) for i in range(3)]
+    for _ in range(5):
+        assert [r.name for r, _, _ in quality.ordered(rows, (never[0], dear, never[1], cheap, never[2]))] == [
+            "cheap", "dear", "never0", "never1", "never2",
+        ]
 
 
 def test_order_of_rules_does_not_change_the_verdict(given):
-    rows = quality.measured(given)
-    a, b = (rows.filter(quality.cascade(rules).isNull()).count() for rules in (quality.RULES, quality.RULES[::-1]))
+    rows = quality.based(given)
+    a, b = (rows.agg(F.count_if(quality.cascade(rules).isNull())).first()[0] for rules in (quality.RULES, quality.RULES[::-1]))
     assert a == b
     order = quality.ordered(rows)
     assert {rule for rule, _, _ in order} == set(quality.RULES)
