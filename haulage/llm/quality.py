@@ -170,7 +170,10 @@ def cascade(rules: Sequence[Rule], ready: Mapping[str, Column] | None = None) ->
 
 
 def judged(docs: DataFrame, rules: Sequence[Rule] = RULES, report: Sequence[str] = (), **columns) -> DataFrame:
-    """id, text, n_words, n_repeat_words, the measures to report, base_failed, rejected_by (null where base_failed), kept."""
+    """id, text, n_words, n_repeat_words, the measures to report, base_failed, rejected_by (null where base_failed), kept.
+
+    Write the result before filtering it by a verdict: Spark pushes such a filter below the measures, which then repeats them.
+    """
     rows = based(docs, report=report, **columns)
     # Twice the rows wanted are drawn before anything is measured; the limit then takes no more than it needs.
     share = min(1.0, 2 * SAMPLE_ROWS / max(docs.count(), 1))
