@@ -2,7 +2,8 @@
 
 Rows are partitioned by ranges of their keys, sorted, and written to the shared folder once, each with the number of its
 partition and its place there. The sizes of the partitions, one row each, tell at which rank each of them starts; start plus
-place is a row's rank. Nothing is sorted in one task, and nothing but those sizes is put together.
+place is a row's rank. Nothing is sorted in one task, and nothing but those sizes is put together. Running totals are counted
+inside stretches of a partition, so no partition is gathered again: there the sizes are of stretches, a row per 65,536 rows.
 
 Ranges are cut over the whole tuple, so a leading value that holds a third of the table is split by the later columns; full
 copies are counted, per task first, before they are sorted, and written out again in blocks afterwards.
@@ -20,8 +21,10 @@ from pyspark.sql import types as T
 
 from haulage.functions.ordering import quoted
 
-PART, NTH = "__part", "__nth"
+PART, NTH, STRETCH = "__part", "__nth", "__stretch"
 COPIES_PER_STEP = 4096
+#: Rows of a stretch, as a power of two.
+STRETCH_BITS = 16
 #: Bits of monotonically_increasing_id() that count rows inside a partition.
 PLACE_BITS = 33
 
@@ -50,18 +53,19 @@ def ordered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def with_totals(rows: DataFrame, sums: dict[str, str]) -> DataFrame:
     """Ordered rows; for each ``out: column`` add the column's sum over all earlier rows, and over all rows (``out_all``)."""
-    sizes = rows.groupBy(PART).agg(*[F.sum(quoted(column)).alias(f"{out}_in") for out, column in sums.items()])
-    before, every = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
-    # one row per partition of the sort, as many as the session has shuffle partitions
+    rows = rows.withColumn(STRETCH, F.shiftright(NTH, STRETCH_BITS))
+    sizes = rows.groupBy(PART, STRETCH).agg(*[F.sum(quoted(column)).alias(f"{out}_in") for out, column in sums.items()])
+    before, every = Window.orderBy(PART, STRETCH).rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
     starts = sizes.select(
         PART,
+        STRETCH,
         *[F.coalesce(F.sum(f"{out}_in").over(before), F.lit(0)).alias(f"{out}_start") for out in sums],
         *[F.sum(f"{out}_in").over(every).alias(f"{out}_all") for out in sums],
     )
-    inside = Window.partitionBy(PART).orderBy(NTH).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = rows.join(F.broadcast(starts), PART)
+    inside = Window.partitionBy(PART, STRETCH).orderBy(NTH).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.join(F.broadcast(starts), [PART, STRETCH])
     totals = {out: F.col(f"{out}_start") + F.sum(quoted(c)).over(inside) - F.col(quoted(c)) for out, c in sums.items()}
-    return placed.withColumns(totals).drop(*[f"{out}_start" for out in sums])
+    return placed.withColumns(totals).drop(STRETCH, *[f"{out}_start" for out in sums])
 
 
 def with_ranks(rows: DataFrame) -> DataFrame:
@@ -201,15 +205,21 @@ def assign_pages(
     number = (F.col("__base") + F.col("__page")).cast("int").alias(out)
     if unique:
         return pieces.select(*columns, number)
-    return repeat_rows(pieces.select(*columns, number, (F.col("__to") - F.col("__from")).alias("__n")), "__n")
+    places = [PART, NTH, "__page"]
+    return repeat_rows(pieces.select(*columns, number, *places, (F.col("__to") - F.col("__from")).alias("__n")), "__n", places)
+
 
+def repeat_rows(df: DataFrame, copies: str, places: Sequence[str]) -> DataFrame:
+    """Write every row ``copies`` times, spread over tasks in blocks so no row is expanded in one piece.
 
-def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
-    """Write every row ``copies`` times, spread over tasks in blocks so no row is expanded in one piece."""
+    ``places`` tell the rows apart: blocks are dealt out by them. They and ``copies`` are left out of the result.
+    """
     block, n = F.lit(COPIES_PER_STEP), F.col(copies)
-    columns = [c for c in df.columns if c != copies]
+    columns = [c for c in df.columns if c != copies and c not in places]
     blocks = df.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / block))))
-    spread = blocks.repartition("__block", copies)
+    # a stated number: what is small here may be large once it is expanded
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = blocks.repartition(tasks, *places, "__block")
     here = F.least(block.cast("bigint"), n - F.col("__block") * block)
     return spread.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), here))).select(
         *[F.col(quoted(c)) for c in columns]

@@ -126,6 +126,32 @@ def test_running_totals(spark):
     same(got, df.withColumn("before", F.sum("n").over(w) - F.col("n")))
 
 
+@pytest.mark.parametrize("bits", [0, 3, 20])
+def test_totals_over_stretches(spark, many_partitions, monkeypatch, bits):
+    monkeypatch.setattr(ranking, "STRETCH_BITS", bits)
+    df = hot_rows(spark).groupBy("k", "v", "at").agg(F.count(F.lit(1)).alias("n"))
+    got = ranking.running_totals(df, ["k", "v", "at"], {"before": "n"})
+    w = Window.orderBy(*[F.col(k).asc_nulls_first() for k in ("k", "v", "at")]).rowsBetween(Window.unboundedPreceding, -1)
+    same(got, df.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0))))
+
+
+def rows_of_tasks(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_rows_without_copies_are_spread(table, many_partitions):
+    """Rows that are alone differ neither in their block nor in the number of their copies."""
+    sizes = rows_of_tasks(ranking.assign_pages(table("orders"), ["o_orderdate", "o_orderkey"], 70, unique=False))
+    assert sum(sizes) == 1500 and max(sizes) < 1500 / 8
+
+
+def test_expanded_copies_are_spread(spark):
+    """Few tuples are a few bytes until their copies are written out."""
+    rows = spark.range(200_000).select((F.col("id") % 3).alias("k"))
+    sizes = rows_of_tasks(ranking.assign_pages(rows, ["k"], 50_000, unique=False))
+    assert sum(sizes) == 200_000 and max(sizes) < 200_000 * 0.6
+
+
 def test_empty_table(table):
     none = table("orders").where("false")
     assert ranking.page_edges(none, ["o_orderkey"], 10, unique=True).count() == 0
