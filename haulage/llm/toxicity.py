@@ -16,7 +16,8 @@ threshold that errs least on the training texts.
 Bounds. The driver trains on at most `SAMPLE_TEXTS` labelled texts of each label, taken in the order of a hash of their
 ids, and on about `SAMPLE_CHARACTERS` characters of them. No text is left out for the second bound: if they are longer
 together, the longest are cut to one common length, at which each gives `STRETCHES` stretches spread evenly over all of
-it, so both labels stay. The weights (under 1 MB)
+it, so both labels stay. They are read some at a time: what stays in memory are the numbers of their words, their windows
+and their distinct words. The weights (under 1 MB)
 are shipped with the scoring function; texts are scored where they are read, and no row moves.
 
 Null and wordless texts have no window: their score is that of an empty window. Without rows of both labels the score is
@@ -34,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulage.llm import staging
+from haulage.llm.tokens import slices
 
 WORDS, STRIDE = 24, 12
 WORD_BUCKETS, GRAM_BUCKETS = 1 << 14, 1 << 14
@@ -51,6 +53,8 @@ EXAMPLES = 12_000
 WORD_TEXTS, WORD_DROPOUT = 4, 0.5
 #: Texts scored at once, by characters: bounds the memory of a task.
 SCORED_CHARACTERS = 250_000
+#: Windows, and distinct words, whose numbers or vectors are made at once.
+WINDOWS_AT_ONCE, WORDS_AT_ONCE = 1 << 14, 1 << 14
 
 #: Bytes of words: ASCII letters and all bytes of other alphabets; the rest parts words.
 BYTES = np.array([b if chr(b).isalpha() or b >= 128 else 32 for b in range(256)], np.uint8).tobytes()
@@ -73,6 +77,7 @@ class Batch:
     codes: np.ndarray  # distinct word of every word of every text
     text_starts: np.ndarray  # first word of every text, and the number of words
     known: np.ndarray | None = None  # in training: distinct words whose word vectors are used
+    hashes: np.ndarray | None = None  # of the distinct words, ascending
 
 
 def read_words(texts: list[str | None]) -> Batch:
@@ -85,7 +90,7 @@ def read_words(texts: list[str | None]) -> Batch:
     text_starts = np.r_[0, np.searchsorted(starts, ends_of_texts)]
     if not len(starts):
         none = np.empty(0, np.int64)
-        return Batch(none, none, none, none, text_starts)
+        return Batch(none, none, none, none, text_starts, hashes=np.empty(0, np.uint64))
     lengths = ends - starts
     at = np.flatnonzero(in_word)
     inside = np.arange(len(at)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -100,7 +105,27 @@ def read_words(texts: list[str | None]) -> Batch:
     three = b0 | b1 << np.uint64(8) | b2 << np.uint64(16)
     four = three | b3 << np.uint64(24) | np.uint64(1 << 40)
     grams = np.stack([bucket(three * POWERS[3], GRAM_BUCKETS), bucket(four * POWERS[3], GRAM_BUCKETS)], axis=1).ravel()
-    return Batch(bucket(distinct, WORD_BUCKETS), grams, 2 * gram_starts, codes.reshape(-1), text_starts)
+    return Batch(bucket(distinct, WORD_BUCKETS), grams, 2 * gram_starts, codes.reshape(-1), text_starts, hashes=distinct)
+
+
+def read_many(texts: list[str | None]) -> Batch:
+    """The same as read_words, which is given some texts at a time: memory follows the words, not the characters."""
+    codes, starts, hashes, batches = [np.empty(0, np.int32)], [np.zeros(1, np.int64)], np.empty(0, np.uint64), []
+    for a, b in slices(texts, SCORED_CHARACTERS):
+        part = read_words(texts[a:b])
+        new = np.flatnonzero(~np.isin(part.hashes, hashes))
+        hashes = np.concatenate([hashes, part.hashes[new]])  # in the order of their first part
+        order = np.argsort(hashes)
+        codes.append(order[np.searchsorted(hashes, part.hashes, sorter=order)].astype(np.int32)[part.codes])
+        starts.append(starts[-1][-1] + part.text_starts[1:])
+        batches.append(subset(part, new))
+    grams = np.concatenate([np.empty(0, np.int32), *[part.grams.astype(np.int32) for part in batches]])
+    sizes = np.concatenate([np.empty(0, np.int64), *[np.diff(np.r_[part.gram_starts, len(part.grams)]) for part in batches]])
+    word = np.concatenate([np.empty(0, np.int64), *[part.word for part in batches]])
+    order, place = np.argsort(hashes), np.empty(len(hashes), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    whole = subset(Batch(word, grams, np.cumsum(sizes) - sizes, word[:0], np.zeros(1, np.int64)), order)
+    return Batch(whole.word, whole.grams, whole.gram_starts, place[np.concatenate(codes)], np.concatenate(starts), hashes=hashes[order])
 
 
 def windows(batch: Batch) -> tuple[np.ndarray, np.ndarray]:
@@ -109,10 +134,12 @@ def windows(batch: Batch) -> tuple[np.ndarray, np.ndarray]:
     many = np.maximum(1, -(-(counts - WORDS) // STRIDE) + 1)
     text = np.repeat(np.arange(len(counts)), many)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
-    places = (nth * STRIDE)[:, None] + np.arange(WORDS)[None, :]
-    there = places < counts[text][:, None]
-    codes = np.full(places.shape, -1, np.int64)
-    codes[there] = batch.codes[(batch.text_starts[:-1][text][:, None] + places)[there]]
+    codes = np.full((len(text), WORDS), -1, np.int32)
+    for at in range(0, len(text), WINDOWS_AT_ONCE):
+        some = text[at : at + WINDOWS_AT_ONCE]
+        places = (nth[at : at + WINDOWS_AT_ONCE] * STRIDE)[:, None] + np.arange(WORDS)[None, :]
+        there = places < counts[some][:, None]
+        codes[at : at + WINDOWS_AT_ONCE][there] = batch.codes[(batch.text_starts[:-1][some][:, None] + places)[there]]
     return codes, text
 
 
@@ -171,8 +198,11 @@ class Network:
             rows[:-1, :WORD_SIZE] = w["word"][batch.word]
             if batch.known is not None:
                 rows[:-1, :WORD_SIZE][~batch.known] = 0
-            sums = np.add.reduceat(w["gram"][batch.grams], batch.gram_starts, axis=0)
-            rows[:-1, WORD_SIZE:] = sums / self.gram_counts(batch)[:, None]
+            ends, counts = np.r_[batch.gram_starts, len(batch.grams)], self.gram_counts(batch)
+            for a in range(0, len(batch.word), WORDS_AT_ONCE):
+                b = min(a + WORDS_AT_ONCE, len(batch.word))
+                sums = np.add.reduceat(w["gram"][batch.grams[ends[a] : ends[b]]], ends[a:b] - ends[a], axis=0)
+                rows[a:b, WORD_SIZE:] = sums / counts[a:b, None]
         return rows
 
     @staticmethod
@@ -183,7 +213,7 @@ class Network:
         """Logit of each window, in buffers that are used again: the hot loop allocates nothing."""
         w, n, two = self.weights, len(codes), 2 * HIDDEN
         there = np.ascontiguousarray((codes >= 0).T)
-        codes = np.where(there, codes.T, len(vectors) - 1)
+        codes = np.where(there, codes.T, np.int64(len(vectors) - 1))
         present = there.astype(np.float32)[:, :, None]
         states = np.empty((WORDS, n, two), np.float32)
         x, s = np.empty((n, 3 * HIDDEN), np.float32), np.empty((n, 3 * HIDDEN), np.float32)
@@ -309,7 +339,7 @@ def first_choice(batch: Batch, codes: np.ndarray, text: np.ndarray, labels: np.n
     totals = np.array([(labels == 0).sum(), (labels == 1).sum()])[:, None]
     odds = np.log((per_gram[1] + 0.5) / (totals[1] + 1)) - np.log((per_gram[0] + 0.5) / (totals[0] + 1))
     of_word = np.maximum.reduceat(odds[batch.grams], batch.gram_starts) if n_words else np.empty(0)
-    return np.where(codes >= 0, np.r_[of_word, -np.inf][codes], -np.inf).max(axis=1)
+    return np.r_[of_word, -np.inf][codes].max(axis=1)  # -1: behind the text
 
 
 def highest(scores: np.ndarray, text: np.ndarray, many: int) -> np.ndarray:
@@ -321,7 +351,7 @@ def highest(scores: np.ndarray, text: np.ndarray, many: int) -> np.ndarray:
 
 def train(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS, seed: int = 7) -> Network:
     random = np.random.default_rng(seed)
-    network, batch = Network.fresh(random), read_words(texts)
+    network, batch = Network.fresh(random), read_many(texts)
     codes, text = windows(batch)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.weights.items()}
     scores, step = first_choice(batch, codes, text, labels), 0
@@ -451,8 +481,6 @@ def scored(docs: DataFrame, model, id_column: str = "doc_id", text_column: str =
     row_type = carried.schema["row"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from haulage.llm.tokens import slices
-
         for batch in batches:
             texts, found = batch.column(1).to_pylist(), []
             for a, b in slices(texts, SCORED_CHARACTERS):

@@ -1,6 +1,7 @@
 """Every operator against a plain version, on given documents and on odd rows."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -558,6 +559,26 @@ def test_long_labelled_texts_leave_no_one_out(spark, monkeypatch):
     assert sum(map(len, texts)) <= bound + toxicity.STRETCHES * len(texts)
 
 
+def test_training_texts_are_read_some_at_a_time(monkeypatch):
+    """The batch is that of all texts at once, the memory to train far below it."""
+    rows = made_up(300, 6)
+    texts, labels = [None, "", *[t for _, t, _ in rows]], np.array([0, 0, *[y for _, _, y in rows]])
+    whole = toxicity.read_words(texts)
+    monkeypatch.setattr(toxicity, "SCORED_CHARACTERS", 3_000)
+    parts = toxicity.read_many(texts)
+    for name in ("word", "grams", "gram_starts", "codes", "text_starts", "hashes"):
+        assert np.array_equal(getattr(parts, name), getattr(whole, name)), name
+    assert len(toxicity.read_many([None, ""]).codes) == 0
+    monkeypatch.undo()
+    long, rounds = [(t + " ") * 12 for t in texts[2:]], 0
+    long = long * (3_000_000 // sum(map(len, long)) + 1)
+    tracemalloc.start()
+    toxicity.train(long, np.resize(labels[2:], len(long)), rounds)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25 * sum(map(len, long))
+
+
 def test_stretches_span_the_whole_text(spark):
     text = "".join(f"é{i:06d} " for i in range(10_000))
     frame = spark.createDataFrame([(text,), ("short",), ("",)], "text string")
