@@ -4,6 +4,12 @@ A byte-level BPE vocabulary with the usual split pattern never merges across a s
 characters: a token may begin with such a space but not span it. So a text is cut before every single space, each
 distinct part is encoded once by the library, and the ids of the parts are put together again. Texts where white
 space touches white space, or stands at an end, are cut only at the spaces for which this holds.
+
+The split pattern also ends a word at a stop (.,;:!?) behind an ASCII letter, so a part is cut there too: a word before a stop
+is not a part of its own.
+
+Parts are found on the UTF-8 bytes of all texts that are encoded together and counted there once each, so that only the
+distinct ones become Python objects and are looked up in the memo.
 """
 
 from __future__ import annotations
@@ -13,12 +19,16 @@ import re
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 #: Parts kept by a worker before it starts afresh: bounds the memo's memory (about 250 MB).
 MEMO_PARTS = 1_000_000
 #: New parts that are encoded as one text.
 JOINED_PARTS = 256
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
+LETTERS, STOPS = np.zeros(256, bool), np.zeros(256, bool)
+LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+STOPS[[*b".,;:!?"]] = True
 
 
 def default_vocabulary() -> str:
@@ -28,10 +38,7 @@ def default_vocabulary() -> str:
 
 
 class Memo(dict):
-    """Numbers of parts; a new part gets the next number and waits to be encoded.
-
-    The key of a part that follows a space is the text behind it; a text's first part has a tuple as its key.
-    """
+    """Numbers of parts, by their UTF-8 bytes; a new part gets the next number and waits to be encoded."""
 
     def __init__(self):
         super().__init__()
@@ -39,13 +46,13 @@ class Memo(dict):
 
     def __missing__(self, key):
         self[key] = number = len(self)
-        self.waiting.append(" " + key if type(key) is str else key[0])
+        self.waiting.append(key.decode())
         return number
 
 
 def is_uneven(part: str) -> bool:
     """Whether white space may touch white space where this part was cut off."""
-    return part[-1:].isspace() or part[:1] != " " and not part[:1].strip() or part[1:2].isspace()
+    return part[-1:].isspace() or part[:1] != " " and not part[:1].strip() or part[:1] == " " and part[1:2].isspace()
 
 
 def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -117,24 +124,48 @@ class Encoder:
                     kept.append(values)
         return np.concatenate(ids), np.concatenate(lengths)
 
-    def codes(self, parts: list) -> np.ndarray:
-        parts[0] = (parts[0],)
+    def numbers(self, parts: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.memo.__getitem__, parts), np.int64, len(parts))
 
+    def codes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the parts of all texts cut before every space and stop, and where each text starts in them (one more at the end)."""
+        column = pa.array(texts, pa.large_string())
+        ends = np.frombuffer(column.buffers()[1], np.int64)[: len(texts) + 1]
+        body = column.buffers()[2] or pa.py_buffer(b"")
+        data = np.frombuffer(body, np.uint8)[: ends[-1]]
+        cut = data == 0x20
+        cut[1:] |= STOPS[data[1:]] & LETTERS[data[:-1]]
+        cuts = np.flatnonzero(cut)
+        # a text's first part begins where it does and is empty if a cut stands there
+        borders = np.sort(np.concatenate([ends, cuts]), kind="stable")
+        buffers = [None, pa.py_buffer(borders), body]
+        parts = pa.Array.from_buffers(pa.large_binary(), len(borders) - 1, buffers).dictionary_encode()
+        starts = np.arange(len(ends)) + np.searchsorted(cuts, ends)
+        return self.numbers(parts.dictionary.to_pylist())[parts.indices.to_numpy(zero_copy_only=False)], starts
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.memo) > MEMO_PARTS:
             self.reset()
-        coded = [self.codes(text.split(" ")) for text in texts]
+        codes, starts = self.codes(texts)
         self.learn()
-        uneven = [k for k, codes in enumerate(coded) if self.uneven[codes].any()]
-        for k in uneven:  # white space meets white space: cut at fewer places
-            coded[k] = self.codes(SAFE_CUT.split(texts[k]))
+        ids, lengths = self.gather(codes)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[starts]
+        found = [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        owners = np.searchsorted(starts, np.flatnonzero(self.uneven[codes]), side="right") - 1
+        recut = {}
+        for k in np.unique(owners).tolist():  # white space meets white space: cut at fewer places
+            first, *others = SAFE_CUT.split(texts[k])
+            recut[k] = self.numbers([first.encode(), *[f" {part}".encode() for part in others]])
         self.learn()
-        return [self.gather(codes) for codes in coded]
+        for k, numbers in recut.items():
+            found[k] = self.gather(numbers)[0]
+        return found
 
-    def gather(self, codes: np.ndarray) -> np.ndarray:
+    def gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts behind each other, and how many each has."""
         starts = self.ends[codes]
-        return self.flat[expand(starts, self.ends[codes + 1] - starts)]
+        lengths = self.ends[codes + 1] - starts
+        return self.flat[expand(starts, lengths)], lengths
 
 
 _encoders: dict[str, Encoder] = {}

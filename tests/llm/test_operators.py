@@ -76,6 +76,18 @@ def test_memo_gives_the_librarys_ids(tokenizer):
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_words_before_stops_are_encoded_once(tokenizer):
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(100)]
+    texts = [" ".join(w + stop for w in words) for stop in [*".,;:!?", ".\n", "'s,", "9.", "é,", ". ", ",,"]]
+    texts += ["", ",", "end", ",start", "a.b. c", "x.\ny", " .a", "a\n.b", "<|endoftext|>. a.<|endoftext|>", "a .b"]
+    encoder = tokens.Encoder(tokens.default_vocabulary())
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    encoder.reset()
+    encoder.encode(texts[:6])
+    assert len(encoder.memo) < 120
+
+
 def test_packing(given, odd, tokenizer):
     for docs in both(given, odd):
         got = packing.packed_documents(docs).collect()
