@@ -23,8 +23,11 @@ Hot groups. A pair, triple or window has one row per chunk at most. Cuts with a
 holds a copy per salt. The best of a language are kept per task before they meet.
 
 Letters A-Z are lower-cased. Pieces end at .,;:!? and the bytes 0x0A to 0x0D, words at 0x20 and 0x09. Null texts are empty; a null
-language is `und`. Repeated rows and documents count again. Long texts are handled whole, in the memory of one batch. Equal
-scores are ordered by f, then by the phrase's bytes. Empty tables give no rows. Other columns are not looked at.
+language is `und`. Repeated rows and documents count again. Equal scores are ordered by f, then by the phrase's bytes. Empty
+tables give no rows. Other columns are not looked at.
+
+Memory. A task holds a batch of texts and, per language, the codes (4 bytes a word) and distinct words of one open chunk. Words are
+looked for in stretches of SLICE_BYTES, also within a long text; hashes and windows of a chunk are made and sent ROWS at a time.
 """
 
 from __future__ import annotations
@@ -42,11 +45,13 @@ from pyspark.sql import functions as F
 
 from haulage.llm import staging
 from haulage.llm.substring import mixed
-from haulage.llm.wordspans import coded, joined, spans
+from haulage.llm.wordspans import coded, joined, slices, spans
 
 LEAST, MOST_WORDS, PER_LANGUAGE = 100, 5, 2_000
 #: Bytes of text in a chunk, about.
 CHUNK_BYTES = 16 << 20
+#: Bytes of text whose words are looked for at once; positions and rows of a chunk that are worked on or sent at once.
+SLICE_BYTES, ROWS = 2 << 20, 50_000
 #: Copies of the count stream that cuts with a common part are dealt to.
 SALTS = 16
 PIECE_ENDS = np.zeros(256, bool)
@@ -58,6 +63,50 @@ LOWER[65:91] += 32
 CHUNK = "part int, number int, lang string, n_words long, words array<string>, counts array<bigint>, codes binary"
 
 
+def stretches(whole: np.ndarray) -> Iterator[np.ndarray]:
+    """whole in parts of about SLICE_BYTES, each up to the end of a piece or, in longer pieces, to the end of a word."""
+    at = 0
+    while at < len(whole):
+        end = at + SLICE_BYTES
+        while end < len(whole):
+            found = next((x for x in (np.flatnonzero(ends[whole[at:end]]) for ends in (PIECE_ENDS, WORD_ENDS)) if len(x)), ())
+            if len(found):
+                end = at + int(found[-1]) + 1
+                break
+            end += end - at  # a word longer than that
+        yield whole[at:end]
+        at = end
+
+
+class Coding:
+    """A chunk while its texts come in."""
+
+    def __init__(self):
+        self.numbers: dict[bytes, int] = {}
+        self.parts: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, whole: np.ndarray) -> None:
+        """Words of a stretch, which ends with a byte of WORD_ENDS."""
+        self.size += len(whole)
+        starts, ends = spans(whole, WORD_ENDS)
+        if self.parts and PIECE_ENDS[whole[: starts[0] if len(starts) else None]].any():
+            self.parts[-1][-1] |= 1
+        if not len(starts):
+            return
+        codes, distinct = coded(whole, starts, ends)
+        numbers = self.numbers
+        number = np.array([numbers.setdefault(word, len(numbers)) for word in distinct.to_pylist()], np.uint32)
+        pieces = np.cumsum(PIECE_ENDS[whole], dtype=np.int32)
+        last = np.diff(pieces[starts], append=pieces[-1]) > 0
+        self.parts.append(number[codes] * 2 + last)
+
+    def row(self, lang: str, part: int, number: int) -> pa.RecordBatch:
+        codes = np.concatenate(self.parts)
+        self.parts.clear()
+        return Chunk(lang, [word.decode() for word in self.numbers], (codes >> 1).astype(np.int32), (codes & 1).astype(bool)).row(part, number)
+
+
 def encoded(docs: DataFrame) -> DataFrame:
     """Chunks: codes (compressed, 2 * code + 1 for the last word of a piece), distinct words and their counts. docs: lang, text.
 
@@ -65,34 +114,23 @@ def encoded(docs: DataFrame) -> DataFrame:
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[str, list[np.ndarray]] = {}
-        sizes: dict[str, int] = {}
+        waiting: dict[str, Coding] = {}
         part, number = TaskContext.get().partitionId(), 0
-
-        def chunk(lang: str) -> Iterator[pa.RecordBatch]:
-            nonlocal number
-            whole = np.concatenate(waiting.pop(lang))
-            del sizes[lang]
-            starts, ends = spans(whole, WORD_ENDS)
-            if not len(starts):
-                return
-            codes, distinct = coded(whole, starts, ends)
-            pieces = np.cumsum(PIECE_ENDS[whole], dtype=np.int64)[starts]
-            last = np.append(pieces[1:] != pieces[:-1], True)
-            words = distinct.cast(pa.large_string()).to_pylist()
-            yield Chunk(lang, words, codes.astype(np.int64), last).row(part, number)
-            number += 1
-
         for batch in batches:
-            langs, texts = batch.column(0), batch.column(1)
-            for lang in pc.unique(langs).to_pylist():
-                whole, _ = joined(texts.filter(pc.equal(langs, lang)))
-                waiting.setdefault(lang, []).append(LOWER[whole])
-                sizes[lang] = sizes.get(lang, 0) + len(whole)
-                if sizes[lang] >= CHUNK_BYTES:
-                    yield from chunk(lang)
-        for lang in list(waiting):
-            yield from chunk(lang)
+            for first, count in slices(batch.column(1), SLICE_BYTES):
+                langs, texts = (batch.column(i).slice(first, count) for i in range(2))
+                for lang in pc.unique(langs).to_pylist():
+                    whole, _ = joined(texts.filter(pc.equal(langs, lang)))
+                    for stretch in stretches(whole):
+                        chunk = waiting.setdefault(lang, Coding())
+                        chunk.add(LOWER[stretch])
+                        if chunk.parts and chunk.size >= CHUNK_BYTES and chunk.parts[-1][-1] & 1:
+                            yield waiting.pop(lang).row(lang, part, number)
+                            number += 1
+        for lang, chunk in waiting.items():
+            if chunk.parts:
+                yield chunk.row(lang, part, number)
+                number += 1
 
     return docs.mapInArrow(encode, CHUNK)
 
@@ -106,54 +144,79 @@ class Chunk:
     @classmethod
     def read(cls, lang: str, words: list[str], body: bytes) -> Chunk:
         codes = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint32)
-        return cls(lang, words, (codes >> 1).astype(np.int64), (codes & 1).astype(bool))
+        return cls(lang, words, (codes >> 1).astype(np.int32), (codes & 1).astype(bool))
 
-    def grams(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of the `size` words from each position on, and whether they are of one run."""
-        count = max(len(self.codes) - size + 1, 0)
+    def grams(self, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Some positions at a time: the first, hash of the `size` words from each on, and whether they are of one run."""
+        total = max(len(self.codes) - size + 1, 0)
         seed = xxhash.xxh3_64_intdigest(self.lang.encode())
-        words = np.array([xxhash.xxh3_64_intdigest(w.encode(), seed=seed) for w in self.words], np.uint64)[self.codes]
-        hashes, inside = np.zeros(count, np.uint64), np.ones(count, bool)
-        for step in range(size):
-            hashes = mixed(hashes * np.uint64(0x9E3779B97F4A7C15) + words[step : step + count])
-            if step:
-                inside &= ~self.last[step - 1 : step - 1 + count]
-        return hashes, inside
+        words = np.array([xxhash.xxh3_64_intdigest(w.encode(), seed=seed) for w in self.words], np.uint64)
+        for first in range(0, total, ROWS):
+            count = min(ROWS, total - first)
+            hashes, inside = np.zeros(count, np.uint64), np.ones(count, bool)
+            for step in range(first, first + size):
+                hashes = mixed(hashes * np.uint64(0x9E3779B97F4A7C15) + words[self.codes[step : step + count]])
+                if step > first:
+                    inside &= ~self.last[step - 1 : step - 1 + count]
+            yield first, hashes, inside
+
+    def counted(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct hashes of the phrases of `size` words, and how often they occur."""
+        hashes = np.concatenate([np.zeros(0, np.uint64), *(h[inside] for _, h, inside in self.grams(size))])
+        hashes.sort()
+        new = np.ones(len(hashes), bool)
+        new[1:] = hashes[1:] != hashes[:-1]
+        first = np.flatnonzero(new)
+        return hashes[first], np.diff(first, append=len(hashes)).astype(np.int32)
 
     def thinned(self, size: int, frequent: np.ndarray) -> Chunk:
         """Runs cut at every phrase of `size` (2 or 3) words that is not frequent; runs of single words go.
 
         The run before ends with the last word but one of such a phrase, the run after begins with its second word.
         """
-        hashes, inside = self.grams(size)
-        bad = inside & ~np.isin(hashes, frequent)
+        frequent, bad = np.sort(frequent), np.zeros(max(len(self.codes) - size + 1, 0), bool)
+        for first, hashes, inside in self.grams(size):
+            at = np.searchsorted(frequent, hashes)
+            at[at == len(frequent)] = 0
+            bad[first : first + len(hashes)] = inside & (frequent[at] != hashes if len(frequent) else True)
         codes, last = self.codes, self.last.copy()
         if size == 2:
             last[:-1] |= bad
         else:  # the middle word ends one run and begins another
-            twice = np.zeros(len(codes), np.int64)
-            twice[1:-1] = bad
-            codes, last = np.repeat(codes, 1 + twice), np.repeat(last, 1 + twice)
-            last[np.flatnonzero(twice) + np.cumsum(twice)[twice == 1] - 1] = True
-        single = last & np.append(True, last[:-1])
-        used, codes = np.unique(codes[~single], return_inverse=True)
-        return Chunk(self.lang, [self.words[c] for c in used.tolist()], codes, last[~single])
-
-    def windows(self, most_words: int) -> tuple[list[str], np.ndarray]:
-        """Distinct windows of two to most_words words, each word with a space behind it, and how often they occur."""
+            middle = np.zeros(len(codes), bool)
+            middle[1:-1] = bad
+            codes, last = np.repeat(codes, 1 + middle), np.repeat(last, 1 + middle)
+            last[np.flatnonzero(middle) + np.arange(np.count_nonzero(middle))] = True
+        kept = ~(last & np.append(True, last[:-1]))
+        codes = codes[kept]
+        used = np.zeros(len(self.words), bool)
+        used[codes] = True
+        return Chunk(self.lang, [self.words[c] for c in np.flatnonzero(used).tolist()], (np.cumsum(used, dtype=np.int32) - 1)[codes], last[kept])
+
+    def windows(self, most_words: int) -> Iterator[tuple[list[str], np.ndarray]]:
+        """Distinct windows of two to most_words words, each word with a space behind it, and how often they occur; some at a time."""
         n = len(self.codes)
-        more, going = np.zeros(n, np.int64), np.append(~self.last, np.zeros(most_words, bool))
+        more, going = np.zeros(n, np.int32), np.append(~self.last, np.zeros(most_words, bool))
         for step in range(most_words - 2, -1, -1):
             more = np.where(going[step : step + n], more + 1, 0)
         at = np.flatnonzero(more)
-        codes = np.append(self.codes, np.zeros(most_words, np.int64))
-        rows = np.stack([np.where(more[at] >= j, codes[at + j], -1) for j in range(most_words)])
+        more, codes = more[at], np.append(self.codes, np.zeros(most_words, np.int32))
+        rows = np.empty((most_words, len(at)), np.int32)
+        for j in range(most_words):
+            rows[j] = np.where(more >= j, codes[at + j], -1)
+        del at, more, codes, going
         by = np.lexsort(rows[::-1])
-        rows = rows[:, by]
-        new = np.append(True, (rows[:, 1:] != rows[:, :-1]).any(axis=0)) if len(by) else np.zeros(0, bool)
+        new = np.zeros(len(by), bool)
+        new[:1] = True
+        for row in rows:  # sorted in place
+            row[:] = row[by]
+            new[1:] |= row[1:] != row[:-1]
+        del by
         first = np.flatnonzero(new)
-        text = ["".join([self.words[c] + " " for c in row if c >= 0]) for row in rows[:, first].T.tolist()]
-        return text, np.diff(np.append(first, len(by)))
+        counts = np.diff(first, append=len(new))
+        for i in range(0, len(first), ROWS):
+            found = rows[:, first[i : i + ROWS]].T.tolist()
+            yield ["".join([self.words[c] + " " for c in row if c >= 0]) for row in found], counts[i : i + ROWS]
 
     def row(self, part: int, number: int) -> pa.RecordBatch:
         body = zstandard.ZstdCompressor(level=1).compress((self.codes * 2 + self.last).astype(np.uint32).tobytes())
@@ -182,11 +245,11 @@ def with_frequent(chunks: DataFrame, size: int, least: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, number, chunk, _ in chunks_of(batches):
-            hashes, inside = chunk.grams(size)
-            grams, counts = np.unique(hashes[inside], return_counts=True)
-            place = [pa.array(np.full(len(grams), x, np.int32)) for x in (part, number)]
-            columns = [*place, pa.array(grams.view(np.int64)), pa.array(counts.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, names=["part", "number", "gram", "count"])
+            grams, counts = chunk.counted(size)
+            for i in range(0, len(grams), ROWS):
+                some = grams[i : i + ROWS].view(np.int64)
+                place = [np.full(len(some), x, np.int32) for x in (part, number)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*place, some, counts[i : i + ROWS])], names=["part", "number", "gram", "count"])
 
     chunks = chunks.select("part", "number", "lang", "words", "codes")
     found = chunks.mapInArrow(count, "part int, number int, gram long, count int")
@@ -207,9 +270,9 @@ def frequent_windows(chunks: DataFrame, least: int, most_words: int) -> DataFram
         for _, _, chunk, frequent in chunks_of(batches):
             if frequent is not None:
                 chunk = chunk.thinned(3, frequent)
-            windows, counts = chunk.windows(most_words)
-            columns = [pa.array([chunk.lang] * len(windows), pa.string()), pa.array(windows, pa.string()), pa.array(counts, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "window", "count"])
+            for windows, counts in chunk.windows(most_words):
+                columns = [pa.array([chunk.lang] * len(windows), pa.string()), pa.array(windows, pa.string()), pa.array(counts, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "window", "count"])
 
     kept = staging.staged(with_frequent(chunks, 2, least).mapInArrow(thin, CHUNK), "collocations-pairs")
     if most_words > 2:

@@ -1,6 +1,9 @@
 """Phrase collocations, substring dedup and hard negatives against plain versions, on given tables and on odd rows."""
 
 import math
+import re
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +75,59 @@ def test_collocations_over_many_small_chunks_and_partitions(spark, given, monkey
     assert pairs == sorted(brute.collocations([(r.lang, r.text) for r in docs.collect()], 5, 2, 9))
 
 
+def peak_of(job):
+    """Bytes allocated at most while job runs."""
+    tracemalloc.start()
+    try:
+        job()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def encoder(monkeypatch):
+    """What a task of `encoded` does with its batches."""
+    monkeypatch.setattr(collocations, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    return collocations.encoded(SimpleNamespace(mapInArrow=lambda encode, _: encode))
+
+
+def test_texts_are_encoded_and_windows_sent_some_at_a_time(monkeypatch):
+    """Memory far below what all words of a batch or of a chunk take at once."""
+    encode, words = encoder(monkeypatch), np.random.default_rng(1).integers(0, 40_000, 1_500_000)
+    texts = [" ".join(f"w{x}" for x in words[i : i + 500]) for i in range(0, len(words), 500)]
+    batch, size = pa.record_batch({"lang": ["en"] * len(texts), "text": texts}), sum(map(len, texts))
+    rows = []
+    assert peak_of(lambda: rows.extend(encode(iter([batch])))) < 6 * size
+    chunk = next(collocations.chunks_of(iter(rows)))[2]
+    assert peak_of(lambda: [None for _ in chunk.windows(5)]) < 100 * len(chunk.codes)
+    assert peak_of(lambda: chunk.counted(2)) < 45 * len(chunk.codes)
+
+
+def test_texts_are_cut_between_words_without_loss(spark, monkeypatch):
+    """Pieces and words longer than a stretch, blanks and ends of pieces on its border."""
+    encode, random = encoder(monkeypatch), np.random.default_rng(2)
+    alphabet = np.array(["a", "b", "é", "LongerThanAStretch", " ", " ", " ", "\t", ".", "\n"])
+    rows = [("en", "".join(random.choice(alphabet, random.integers(0, 60)))) for _ in range(80)] + [("en", "a b " * 40), ("fr", "a . b"), ("fr", " . ")]
+    batch = pa.record_batch([pa.array(c) for c in zip(*rows)], names=["lang", "text"])
+
+    def runs(found):
+        for _, _, chunk, _ in collocations.chunks_of(found):
+            for run in np.split(chunk.codes, np.flatnonzero(chunk.last)[:-1] + 1):
+                yield chunk.lang, [chunk.words[c] for c in run]
+
+    whole = sorted(runs(encode(iter([batch]))))
+    for size in (1, 3, 8, 50):
+        monkeypatch.setattr(collocations, "SLICE_BYTES", size)
+        monkeypatch.setattr(collocations, "ROWS", size)
+        monkeypatch.setattr(collocations, "CHUNK_BYTES", 6 * size)
+        assert sorted(runs(encode(iter([batch])))) == whole
+        docs = spark.createDataFrame(rows, "lang string, text string").repartition(2)
+        if size == 8:
+            assert sorted(tuple(r) for r in collocations.collocations(docs, least=3).collect()) == sorted(brute.collocations(rows, 3))
+    lower = [(lang, re.findall(r"[^ \t]+", piece.lower())) for lang, text in rows for piece in re.split(r"[.\n]", text)]
+    assert whole == sorted((lang, words) for lang, words in lower if words)
+
+
 def test_run_counts_keep_parts_at_borders(spark):
     windows = spark.createDataFrame([("en", "a b c ", 1), ("en", "a b d ", 2), ("en", "a c ", 9), ("en", "b c ", 1)], "lang string, window string, count long")
     got = {(r.phrase, r.f) for r in collocations.run_counts(windows.coalesce(1), 3, 5).collect()}
