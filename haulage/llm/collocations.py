@@ -49,7 +49,7 @@ from haulage.llm.wordspans import coded, joined, slices, spans
 
 LEAST, MOST_WORDS, PER_LANGUAGE = 100, 5, 2_000
 #: Bytes of text in a chunk, about.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 24 << 20
 #: Bytes of text whose words are looked for at once; positions and rows of a chunk that are worked on or sent at once.
 SLICE_BYTES, ROWS = 2 << 20, 50_000
 #: Copies of the count stream that cuts with a common part are dealt to.
