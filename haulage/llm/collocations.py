@@ -8,7 +8,8 @@ Layout, nothing of which is held in memory or in a hash table that grows with th
 
 1. Chunks. Texts of one language become blocks of word codes with their own dictionary, written once.
 2. Thinning. Each chunk sends its distinct word pairs with their counts; the sums over all chunks (one shuffle by pair) tell
-   each chunk which of its pairs reach `least`, and it is cut at all others; then the same for triples. No longer phrase can
+   each chunk which of its pairs reach `least`, and it is cut at all others; what is left of several chunks becomes one; then the
+   same for triples. No longer phrase can
    reach `least` unless all its pairs and triples do. They go by 64-bit hashes: equal hashes can only keep too many, and the
    counts that follow are exact.
 3. Prefix order. Every position that is left gives the window of up to MOST_WORDS words that begins there. Windows are merged within the chunk, range-partitioned and sorted: occurrences of a phrase are then a run of windows that begin with it, and
@@ -50,6 +51,8 @@ from haulage.llm.wordspans import coded, joined, slices, spans
 LEAST, MOST_WORDS, PER_LANGUAGE = 100, 5, 2_000
 #: Bytes of text in a chunk, about.
 CHUNK_BYTES = 24 << 20
+#: Words of a chunk that is put together of thinned ones, about.
+CHUNK_WORDS = 3_000_000
 #: Bytes of text whose words are looked for at once; positions and rows of a chunk that are worked on or sent at once.
 SLICE_BYTES, ROWS = 2 << 20, 50_000
 #: Copies of the count stream that cuts with a common part are dealt to.
@@ -259,6 +262,28 @@ def with_frequent(chunks: DataFrame, size: int, least: int) -> DataFrame:
     return listed.withColumn("frequent", F.coalesce("frequent", F.array().cast("array<bigint>")))
 
 
+def refilled(chunks: DataFrame) -> DataFrame:
+    """Thinned chunks of a language put together to chunks of about CHUNK_WORDS words; their runs stay as they are.
+
+    A phrase has a row per chunk at most, so the number of chunks should follow the words that are left, not the tasks and languages.
+    """
+
+    def put(group: pa.Table) -> pa.Table:
+        numbers: dict[str, int] = {}
+        codes, last = [], []
+        for part, number, chunk, _ in chunks_of(iter(group.to_batches())):
+            own = np.array([numbers.setdefault(word, len(numbers)) for word in chunk.words], np.int32)
+            codes.append(own[chunk.codes])
+            last.append(chunk.last)
+        whole = Chunk(chunk.lang, list(numbers), np.concatenate(codes), np.concatenate(last))
+        return pa.Table.from_batches([whole.row(part, number)])
+
+    chunks = chunks.filter("n_words > 0")
+    before = F.sum("n_words").over(Window.partitionBy("lang").orderBy("part", "number")) - F.col("n_words")
+    place = chunks.select("part", "number", F.floor(before / CHUNK_WORDS).alias("place"))
+    return merged(chunks, place, ["part", "number"]).groupBy("lang", "place").applyInArrow(put, CHUNK)
+
+
 def frequent_windows(chunks: DataFrame, least: int, most_words: int) -> DataFrame:
     """lang, window, count: distinct windows of each chunk, all of whose words stand in pairs and triples that reach `least`."""
 
@@ -275,6 +300,7 @@ def frequent_windows(chunks: DataFrame, least: int, most_words: int) -> DataFram
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "window", "count"])
 
     kept = staging.staged(with_frequent(chunks, 2, least).mapInArrow(thin, CHUNK), "collocations-pairs")
+    kept = staging.staged(refilled(kept), "collocations-refilled")
     if most_words > 2:
         kept = with_frequent(kept, 3, least)
     return kept.mapInArrow(cut, "lang string, window string, count long")

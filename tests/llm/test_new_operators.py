@@ -8,6 +8,7 @@ from types import SimpleNamespace
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from haulage.llm import collocations, negatives, queries, substring, wordspans
@@ -121,11 +122,23 @@ def test_texts_are_cut_between_words_without_loss(spark, monkeypatch):
         monkeypatch.setattr(collocations, "ROWS", size)
         monkeypatch.setattr(collocations, "CHUNK_BYTES", 6 * size)
         assert sorted(runs(encode(iter([batch])))) == whole
-        docs = spark.createDataFrame(rows, "lang string, text string").repartition(2)
-        if size == 8:
-            assert sorted(tuple(r) for r in collocations.collocations(docs, least=3).collect()) == sorted(brute.collocations(rows, 3))
     lower = [(lang, re.findall(r"[^ \t]+", piece.lower())) for lang, text in rows for piece in re.split(r"[.\n]", text)]
     assert whole == sorted((lang, words) for lang, words in lower if words)
+    monkeypatch.setattr(collocations, "TaskContext", TaskContext)  # chunks are told apart by their task
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(2)
+    assert sorted(tuple(r) for r in collocations.collocations(docs, least=3).collect()) == sorted(brute.collocations(rows, 3))
+
+
+def test_windows_have_few_rows_however_many_tasks_read_the_texts(spark, monkeypatch):
+    rows = [(lang, f"the cat sat on the mat, number{i}") for lang in ("en", "fr") for i in range(40)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    chunks = collocations.staging.staged(collocations.encoded(docs.repartition(16)), "many")
+    found = lambda: sorted(tuple(r) for r in collocations.frequent_windows(chunks, 5, 5).collect())
+    tails = ["the cat sat on the ", "cat sat on the mat ", "sat on the mat ", "on the mat ", "the mat "]
+    assert found() == sorted((lang, window, 40) for lang in ("en", "fr") for window in tails)
+    monkeypatch.setattr(collocations, "CHUNK_WORDS", 100)  # 240 words of a language are left
+    assert 2 * len(tails) < len(parts := found()) <= 2 * len(tails) * 3
+    assert {(lang, w): sum(n for x, y, n in parts if (x, y) == (lang, w)) for lang, w, _ in parts} == {(x, w): 40 for x in ("en", "fr") for w in tails}
 
 
 def test_run_counts_keep_parts_at_borders(spark):
