@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -371,6 +372,50 @@ def test_top_k_prunes_and_breaks_ties_by_id():
         assert [(-s, i) for s, i in zip(best.scores[q], best.ids[q])] == want
 
 
+def test_top_k_holds_a_part_of_the_queries(spark, monkeypatch):
+    for name, value in (("CELL_BYTES", 4_000), ("FEW_GROUPS", 2), ("REPEATED_BYTES", 0), ("QUERY_ROWS", 4), ("CHUNK_ROWS", 25)):
+        monkeypatch.setattr(topk, name, value)
+    random = np.random.default_rng(3)
+    rows = {20 * i: v for i, v in enumerate(random.integers(-2, 3, (300, 20)).tolist())}
+    rows |= {20 * i: [1.0] * 20 for i in range(100, 140)} | {20 * i: [2.0**20, i] for i in range(200, 220)} | {20 * i: [2.0**21, -i] for i in range(220, 240)}
+    frame = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in rows.items()], "vec_id long, embedding array<double>")
+    found = topk.top_k(frame.repartition(3), F.col("id") % 100 == 0)
+    # A join keeps all queries that a key has in memory, whatever their number.
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in found.collect()) == brute.top_k(rows)
+
+
+def test_top_k_grid():
+    for queries, tasks in ((0, 12), (6_000, 16), (230_000, 600), (1_100_000, 3_000), (100_000_000, 600)):
+        held = 304 * queries
+        of_queries, of_chunks = topk.grid(held, tasks)
+        assert held <= of_queries * topk.CELL_BYTES and of_chunks >= 1
+        assert of_chunks <= topk.FEW_GROUPS or of_chunks * held <= topk.REPEATED_BYTES
+    assert topk.grid(0, 12) == (1, 12)
+
+
+def test_top_k_sends_a_chunk_once():
+    """A cell's rows are its blocks and its chunks, not their pairs; queries without a chunk of their length find nothing."""
+    random = np.random.default_rng(4)
+    vectors = np.floor(100 * random.normal(size=(64, 2000)))
+    part = lambda ids: (ids.astype(np.int64).tobytes(), np.ascontiguousarray(topk.narrow(vectors[:, ids])).tobytes())
+    rows = [(True, 64, *part(np.arange(at, at + 50))) for at in range(0, 400, 50)] + [(True, 0, np.int64(7).tobytes(), b"")]
+    rows += [(False, 64, *part(np.arange(at, at + 500))) for at in range(0, 2000, 500)]
+    batches = (pa.RecordBatch.from_pylist([dict(zip(("of_queries", "dims", "ids", "body"), r))]) for r in rows)
+    got = [tuple(r.values()) for b in topk.cell_answers(batches, 5) for r in b.to_pylist()]
+    scores = vectors.T @ vectors
+    want = [(q, i, int(s)) for q in range(400) for s, i in sorted((-s, i) for i, s in enumerate(scores[q]) if i != q)[:5]]
+    assert sorted(got) == sorted((q, i, -s) for q, i, s in want)
+
+
+def test_top_k_rows_as_narrow_numbers():
+    for most, kind in ((32767, np.int16), (-32768, np.int32), (2**31 - 1, np.int32), (2**31, np.float64), (2.0**80, np.float64)):
+        matrix = np.array([[1.0, -3.0], [most, 0.0], [5.0, 2.0]])
+        body = topk.narrow(matrix)
+        ids, got = topk.unpack(3, np.array([4, 9]).tobytes(), body.tobytes())
+        assert body.dtype == got.dtype == kind and ids.tolist() == [4, 9] and (got == matrix).all()
+
+
 # Mixing
 
 
